@@ -114,9 +114,10 @@ def symbol_hits(spark: SparkSession, d: str) -> DataFrame:
     gid = F.concat(F.lit("ENSG"), F.lpad(F.col("p_partkey").cast("string"), 11, "0"))
     sym = F.when(F.col("p_partkey") % UNMAPPED_EVERY == 0, F.lit(None).cast("string")) \
         .otherwise(F.concat(F.upper(F.regexp_replace("p_name", " ", "")), F.col("p_partkey").cast("string")))
-    first = p.select(gid.alias("gene_id"), sym.alias("symbol"), F.lit(1).alias("hit_ord"))
+    first = p.select(gid.alias("gene_id"), sym.alias("symbol"), F.lit(1).alias("hit_ord"), F.col("p_size").alias("size"))
     second = p.where(F.col("p_size") > 40).select(
-        gid.alias("gene_id"), F.regexp_replace("p_brand", "#", "").alias("symbol"), F.lit(2).alias("hit_ord"))
+        gid.alias("gene_id"), F.regexp_replace("p_brand", "#", "").alias("symbol"), F.lit(2).alias("hit_ord"),
+        F.col("p_size").alias("size"))
     return first.unionByName(second)
 
 

@@ -55,13 +55,13 @@ _CTES: dict[str, tuple[tuple[str, ...], str]] = {
     "symbol_hits": ((), """
   SELECT 'ENSG' || lpad(CAST(p_partkey AS VARCHAR), 11, '0') AS gene_id,
          CASE WHEN p_partkey % 7 = 0 THEN NULL ELSE upper(replace(p_name, ' ', '')) || CAST(p_partkey AS VARCHAR) END AS symbol,
-         1 AS hit_ord
+         1 AS hit_ord, p_size AS size
   FROM part
   UNION ALL
-  SELECT 'ENSG' || lpad(CAST(p_partkey AS VARCHAR), 11, '0'), replace(p_brand, '#', ''), 2
+  SELECT 'ENSG' || lpad(CAST(p_partkey AS VARCHAR), 11, '0'), replace(p_brand, '#', ''), 2, p_size
   FROM part WHERE p_size > 40"""),
     "symbol_map": (("symbol_hits",), """
-  SELECT gene_id, symbol FROM symbol_hits WHERE hit_ord = 1"""),
+  SELECT gene_id, symbol, size FROM symbol_hits WHERE hit_ord = 1"""),
     "gene_sets": ((), """
   SELECT 'TYPE_' || p_type AS term, upper(replace(p_name, ' ', '')) || CAST(p_partkey AS VARCHAR) AS symbol
   FROM part WHERE p_partkey % 7 <> 0

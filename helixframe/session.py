@@ -30,6 +30,7 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     builder = (SparkSession.builder.appName(app_name)
                .master(master or os.environ.get("HELIX_MASTER", "local[*]"))
                .config("spark.ui.enabled", "false")
+               .config("spark.ui.showConsoleProgress", "false")
                .config("spark.driver.memory", os.environ.get("HELIX_DRIVER_MEM", "16g"))
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions or 8)))
     for k, v in _DEFAULTS.items():
