@@ -4,9 +4,9 @@ from __future__ import annotations
 
 
 def registry() -> dict:
-    from helixframe.plans import q_expression, q_results
+    from helixframe.plans import q_corpus, q_expression, q_results
     out: dict = {}
-    for mod in (q_expression, q_results):
+    for mod in (q_expression, q_results, q_corpus):
         for k, v in mod.Q.items():
             if k in out:
                 raise ValueError(f"duplicate query name {k}")

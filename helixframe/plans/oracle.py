@@ -97,18 +97,29 @@ _CTES: dict[str, tuple[tuple[str, ...], str]] = {
          list_filter([ 'L' || lang || ' AB',
                        CASE WHEN doc_id % 3 = 0 THEN 'S' || source ELSE 'S' || source || ' C' END,
                        CASE WHEN doc_id % 5 = 0 THEN source || ' Consortium' END,
-                       CASE WHEN doc_id % 7 = 0 THEN 'Doe J' END ], x -> x IS NOT NULL) AS authors,
+                       CASE WHEN doc_id % 7 = 0 THEN 'Doe J' END ], lambda x: x IS NOT NULL) AS authors,
          CAST(CASE WHEN doc_id % 10 <> 0 THEN 1990 + doc_id % 30 WHEN doc_id % 20 = 0 THEN 2024 END AS INTEGER) AS year,
          CASE WHEN doc_id % 4 <> 0 THEN '10.5555/d.' || CAST(doc_id AS VARCHAR) END AS doi,
          'Journal of ' || source AS journal,
          list_filter([ CASE WHEN lang = 'en' THEN 'Colorectal Neoplasms' END,
                        'Language ' || upper(lang),
-                       CASE WHEN doc_id % 3 = 0 THEN 'Humans' END ], x -> x IS NOT NULL) AS mesh_major_topics
+                       CASE WHEN doc_id % 3 = 0 THEN 'Humans' END ], lambda x: x IS NOT NULL) AS mesh_major_topics
   FROM doc_parts"""),
     "search_terms": ((), """
   SELECT gene, CAST(row_number() OVER (ORDER BY first_item, gene) AS INTEGER) AS gene_ord FROM (
     SELECT regexp_extract(lower(text), '^([\\p{L}\\p{N}]+)', 1) AS gene, min(item_id) AS first_item
     FROM benchmark GROUP BY 1) WHERE length(gene) > 0"""),
+    "hits": (("corpus", "search_terms"), """
+  SELECT gene, gene_ord, CAST(hit_ord AS INTEGER) AS hit_ord, pmid FROM (
+    SELECT s.gene, s.gene_ord, d.pmid,
+           row_number() OVER (PARTITION BY s.gene ORDER BY d.year DESC NULLS LAST, d.pmid DESC) AS hit_ord
+    FROM (SELECT pmid, year,
+                 list_distinct(list_filter(regexp_split_to_array(lower(title || ' ' || abstract), '[^\\p{L}\\p{N}]+'),
+                                           lambda t: length(t) > 0)) AS toks
+          FROM corpus WHERE list_contains(mesh_major_topics, 'Colorectal Neoplasms') AND length(abstract) > 0) d
+    JOIN search_terms s ON list_contains(d.toks, s.gene)) WHERE hit_ord <= 20"""),
+    "flat": (("hits", "corpus"), """
+  SELECT h.gene, h.gene_ord, h.hit_ord, c.* FROM hits h JOIN corpus c USING (pmid)"""),
     "vectors": ((), """
   SELECT CAST(vec_id AS VARCHAR) AS id, 'G' || CAST(label AS VARCHAR) AS gene, embedding FROM embeddings"""),
 }
