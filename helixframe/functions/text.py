@@ -135,3 +135,8 @@ def hit_label(pmid="id", gene="gene", distance="distance") -> Column:
 def word_tokens(col) -> Column:
     """Lower-cased word tokens (letters and digits, any script), empty tokens dropped."""
     return F.filter(F.split(F.lower(_c(col)), r"[^\p{L}\p{N}]+"), lambda t: F.length(t) > 0)
+
+
+def word_tokens_nolambda(col) -> Column:
+    """Same tokens as :func:`word_tokens` without a lambda (usable under explode / UDFs)."""
+    return F.array_remove(F.split(F.lower(_c(col)), r"[^\p{L}\p{N}]+"), "")
