@@ -8,6 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 _HALF_LOG_2PI = 0.5 * math.log(2.0 * math.pi)
 _SHIFT = 10
@@ -40,16 +41,13 @@ def log_choose(n, k) -> Column:
     return lgamma(n + 1) - lgamma(k + 1) - lgamma(n - k + 1)
 
 
-_erfc = np.frompyfunc(math.erfc, 1, 1)
-
-
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())  # a type object: importable on workers without a session
 def erfc(x: pd.Series) -> pd.Series:
     """Complementary error function, element-wise over an Arrow batch (NULL stays NULL)."""
     out = pd.Series(np.nan, index=x.index, dtype="float64")
     m = x.notna()
     if m.any():
-        out[m] = _erfc(x[m].to_numpy(dtype=np.float64)).astype(np.float64)
+        out[m] = np.array([math.erfc(v) for v in x[m].to_numpy(dtype=np.float64)], dtype=np.float64)
     return out
 
 

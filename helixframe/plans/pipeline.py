@@ -42,3 +42,43 @@ def expression_inputs(spark: SparkSession, d: str, min_total: int = 10) -> Expre
     sf_array = [float(by_id[r["sample_id"]]) for r in design]
     gv = R.gene_vectors(kept, samples, n)
     return ExpressionInputs(kept, samples, n, sf, sf_array, gv, design)
+
+
+@dataclass
+class DEFit:
+    fit: DataFrame           # per-gene fit table (checkpointed)
+    names: list[str]         # model-matrix column names
+    trend: dict
+    prior: dict
+    disp: DataFrame          # gene-wise dispersions (checkpointed)
+
+
+def deseq(ctx: ExpressionInputs, factors: list[str], ref: dict | None = None) -> DEFit:
+    """D3 -> D4 -> D5 -> D6/D7 -> D8 for one design.
+
+    The two model tables are checkpointed to the shared checkpoint folder
+    (lineage cut, so a lost executor recomputes from the written table,
+    not from the raw scans); the trend and the prior are a few Spark
+    aggregates whose scalars drive the next job.
+    """
+    from helixframe.operators import glm as G
+    X, names = G.design_matrix(ctx.design, factors, ref)
+    disp = G.genewise_dispersion(ctx.gene_vec, X, ctx.sf_array).checkpoint()
+    trend = G.dispersion_trend(disp)
+    prior = G.dispersion_prior(disp, trend, X.shape[0], X.shape[1])
+    fit = G.fit_genes(disp, X, ctx.sf_array, trend, prior).checkpoint()
+    return DEFit(fit, names, trend, prior, disp)
+
+
+def de_table(spark: SparkSession, d: str, factors: list[str], contrast: tuple[str, str, str],
+             ref: dict | None = None, name: str | None = None, ctx: ExpressionInputs | None = None):
+    """Full DE table for one design and contrast: Wald + independent filtering + BH + symbols."""
+    from helixframe.operators import glm as G
+    from helixframe.operators import results as RS
+    ctx = ctx or expression_inputs(spark, d)
+    m = deseq(ctx, factors, ref)
+    c = G.contrast_vector(m.names, *contrast)
+    res = G.wald(m.fit, c, name or "_".join(factors))
+    res, theta = G.independent_filter(res)
+    res = RS.annotate(res, RS.first_per_key(A.symbol_hits(spark, d)))
+    return res, m, theta
