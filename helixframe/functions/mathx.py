@@ -90,7 +90,7 @@ def digamma_np(x: np.ndarray) -> np.ndarray:
 def trigamma(x: float) -> float:
     """psi_1(x) by recurrence + asymptotic series."""
     acc = 0.0
-    while x < 6:
+    while x < 12:
         acc += 1.0 / (x * x)
         x += 1.0
     inv = 1.0 / x
