@@ -179,7 +179,7 @@ def genewise_dispersion(gene_vec: DataFrame, X: np.ndarray, sf: list[float]) ->
 
 # ------------------------------------------------------------------ D4: trend
 
-def dispersion_trend(disp: DataFrame, max_loops: int = 10) -> dict:
+def dispersion_trend(disp: DataFrame, max_loops: int = 6) -> dict:
     """Parametric trend alpha(mu) = a1 / mu + a0, gamma-family GLM with identity link.
 
     Fitted by IRLS whose weighted normal equations are one Spark aggregate
@@ -189,12 +189,12 @@ def dispersion_trend(disp: DataFrame, max_loops: int = 10) -> dict:
     positive. Returns {a0, a1, n_genes, parametric}.
     """
     base = disp.where((F.col("alpha_gw") >= 100 * MIN_DISP) & (F.col("base_mean") > 0)) \
-        .select((F.lit(1.0) / F.col("base_mean")).alias("x"), F.col("alpha_gw").alias("a"))
+        .select((F.lit(1.0) / F.col("base_mean")).alias("x"), F.col("alpha_gw").alias("a")).checkpoint()
     a0, a1 = 0.1, 1.0
     cur = base
     for _ in range(max_loops):
         prev = (a0, a1)
-        for _ in range(25):
+        for _ in range(12):
             fit = F.lit(a0) + F.lit(a1) * F.col("x")
             w = F.lit(1.0) / (fit * fit)
             r = cur.where(fit > 0).agg(F.sum(w).alias("sw"), F.sum(w * F.col("x")).alias("swx"),
@@ -209,7 +209,7 @@ def dispersion_trend(disp: DataFrame, max_loops: int = 10) -> dict:
                 n0, n1 = np.linalg.solve(A, b)
             except np.linalg.LinAlgError:
                 break
-            done = abs(n0 - a0) < 1e-8 * max(1, abs(a0)) and abs(n1 - a1) < 1e-8 * max(1, abs(a1))
+            done = abs(n0 - a0) < 1e-6 * max(1, abs(a0)) and abs(n1 - a1) < 1e-6 * max(1, abs(a1))
             a0, a1 = float(n0), float(n1)
             if done or a0 <= 0 or a1 <= 0:
                 break

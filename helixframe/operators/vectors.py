@@ -31,17 +31,18 @@ def embed_hashed(df: DataFrame, text_col: str, key: str, dim: int = VF.HASH_DIM,
                  out: str = "embedding") -> DataFrame:
     """V1 default encoder: L2-normalised bag of hashed word tokens, array<double>(dim).
 
-    JVM-only: tokens are exploded, bucketed by md5, and counted with ``dim``
-    conditional counts in one hash aggregate keyed by ``key`` (partial
-    aggregation leaves at most one row per key and partition before the
-    single shuffle). The vectors are joined back on ``key`` without the
+    JVM-only: tokens are exploded and bucketed by md5, counted by a
+    (key, bucket) hash aggregate whose map-side partial step leaves at
+    most ``dim`` rows per key and partition, then gathered into one dense
+    array per key. The vectors are joined back on ``key`` without the
     text column; a text with no token gets NULL.
     """
     tok = df.select(F.col(key).alias("__k"), F.explode(T.word_tokens_nolambda(F.col(text_col))).alias("__t"))
-    tok = tok.select("__k", VF.token_bucket(F.col("__t"), dim).alias("__b"))
-    agg = tok.groupBy("__k").agg(*[F.count_if(F.col("__b") == i).alias(f"__c{i}") for i in range(dim)])
-    vec = agg.select(F.col("__k"), VF.l2_normalize(F.array(*[F.col(f"__c{i}").cast("double") for i in range(dim)]))
-                     .alias(out))
+    cnt = tok.groupBy("__k", VF.token_bucket(F.col("__t"), dim).alias("__b")).agg(F.count(F.lit(1)).alias("__n"))
+    per = cnt.groupBy("__k").agg(F.map_from_entries(F.collect_list(F.struct("__b", "__n"))).alias("__m"))
+    dense = F.transform(F.sequence(F.lit(0), F.lit(dim - 1)),
+                        lambda i: F.coalesce(F.try_element_at("__m", i), F.lit(0)).cast("double"))
+    vec = per.select("__k", dense.alias("__v")).select("__k", VF.l2_normalize("__v").alias(out))
     rest = df.drop(text_col)
     return rest.join(vec, rest[key] == vec["__k"], "left").drop("__k")
 

@@ -56,9 +56,17 @@ def count_cells(spark: SparkSession, d: str) -> DataFrame:
             .agg(F.sum("l_quantity").alias("qty")))
 
 
-def counts_long(spark: SparkSession, d: str) -> DataFrame:
+def study_cells(spark: SparkSession, d: str) -> DataFrame:
+    """The aggregated (part, region, flag) cells, written once to the shared
+    checkpoint folder: every later action of a query (sample count, size
+    checks, size factors, fits) reads this small table instead of re-running
+    the lineitem x orders x customer join."""
+    return count_cells(spark, d).checkpoint()
+
+
+def counts_long(spark: SparkSession, d: str, cells: DataFrame | None = None) -> DataFrame:
     """(gene_id, sample_id, count bigint); cells with no line are absent (sparse)."""
-    cells = count_cells(spark, d)
+    cells = count_cells(spark, d) if cells is None else cells
     p = read_table(spark, d, "part", "p_partkey", "p_size")
     return (cells.join(p, cells.l_partkey == p.p_partkey)
             .select(gene_id_col(F.col("p_partkey"), F.col("p_size")).alias("gene_id"),
@@ -281,7 +289,7 @@ def vector_rows(spark: SparkSession, d: str) -> DataFrame:
                     F.col("embedding"))
 
 
-def samples(spark: SparkSession, d: str, counts: DataFrame | None = None) -> DataFrame:
+def samples(spark: SparkSession, d: str, counts: DataFrame | None = None) -> DataFrame:  # counts = cells
     """Design table (sample_id, sample_idx, patient, condition) parsed from the
     study metadata with P3 (attributes), P5 (condition) and P6 (patient)."""
     from helixframe.functions import text as T

@@ -29,8 +29,9 @@ def expression_inputs(spark: SparkSession, d: str, min_total: int = 10) -> Expre
     Driver-side values are per-sample only (m of them). The gene arrays
     are the unit every model job consumes: one row per gene.
     """
-    counts = A.counts_long(spark, d)
-    samples = A.samples(spark, d)
+    cells = A.study_cells(spark, d)
+    counts = A.counts_long(spark, d, cells)
+    samples = A.samples(spark, d, cells)
     design = [r.asDict() for r in samples.orderBy("sample_idx").collect()]
     n = len(design)
     counts, samples = R.keep_samples(counts, samples, "condition")

@@ -28,6 +28,11 @@ def _n_samples(counts):
     return counts.select("sample_id").distinct().count()
 
 
+def _counts(spark, d):
+    """Long counts over the checkpointed cells (one join per query)."""
+    return A.counts_long(spark, d, A.study_cells(spark, d))
+
+
 # ------------------------------------------------------------- D1 / D2
 
 @register("size_factors", cte("counts_long", extra="""
@@ -37,7 +42,8 @@ lgm AS (SELECT gene_id, avg(lv) AS lgm FROM pos GROUP BY gene_id
 SELECT sample_id, round(exp(quantile_cont(lv - lgm, 0.5)), 6) AS size_factor
 FROM pos JOIN lgm USING (gene_id) GROUP BY sample_id""")
 def q_size_factors(spark, d):
-    c = A.counts_long(spark, d)
+    cells = A.study_cells(spark, d)
+    c = A.counts_long(spark, d, cells)
     sf = N.size_factors(c, _n_samples(c))
     return sf.select("sample_id", F.round("size_factor", 6).alias("size_factor"))
 
@@ -54,7 +60,8 @@ ns AS (SELECT CAST(count(DISTINCT sample_id) AS DOUBLE) AS n FROM counts_long)""
 SELECT gene_id, round(sum(count / size_factor) / (SELECT n FROM ns), 6) AS base_mean
 FROM counts_long JOIN sf USING (sample_id) GROUP BY gene_id""")
 def q_base_mean(spark, d):
-    c = A.counts_long(spark, d)
+    cells = A.study_cells(spark, d)
+    c = A.counts_long(spark, d, cells)
     n = _n_samples(c)
     sf = N.size_factors(c, n)
     return N.base_mean(c, sf, n).select("gene_id", F.round("base_mean", 6).alias("base_mean"))
@@ -71,9 +78,10 @@ FROM m t LEFT JOIN m n ON t.gene_id = n.gene_id AND n.condition = 'normal'
 WHERE t.condition = 'tumor' AND t.gene_id IN (SELECT gene_id FROM keep)""")
 def q_group_mean_ratio(spark, d):
     """Minimum slice: F2 -> D1 -> D2 -> log2 ratio of tumor / normal mean normalised counts."""
-    c = A.counts_long(spark, d)
+    cells = A.study_cells(spark, d)
+    c = A.counts_long(spark, d, cells)
     n = _n_samples(c)
-    s = A.samples(spark, d)
+    s = A.samples(spark, d, cells)
     kept = R.keep_genes(c, 10)
     sf = N.size_factors(c, n)
     gm = N.group_means(kept, sf, s, "condition")

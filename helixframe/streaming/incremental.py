@@ -24,7 +24,7 @@ from helixframe.sources import collection as COL
 from helixframe.sources import xml_corpus as X
 
 
-def corpus_stream(spark: SparkSession, drop_dir: str, max_files_per_trigger: int = 1) -> DataFrame:
+def corpus_stream(spark: SparkSession, drop_dir: str, max_files_per_trigger: int = 1000) -> DataFrame:
     """Streaming records from Parquet drops holding one citation XML string per row.
 
     Each row is parsed with ``from_xml`` under the declared article schema
