@@ -265,3 +265,39 @@ def q_knn_lsh_recall(spark, d):
     ex = V.knn_exact(vr, cen, 5)
     ap = V.knn_approx(vr, cen, 5, threshold=1.5)
     return V.recall_at_k(ex, ap)
+
+
+@register("hit_labels", cte("vectors", extra=_CENTROIDS + """,
+sl AS (SELECT id AS key, dim, CAST(x AS DOUBLE) AS x FROM vlong),
+ql AS (SELECT gene AS key, dim, x FROM cen)""") + """
+SELECT k.query_id, k.rank, k.id || ' | ' || coalesce(v.gene, '?') || ' | d=' || printf('%.3f', k.distance) AS label
+FROM """ + _knn_sql("ql", "sl") + """ k JOIN vectors v ON v.id = k.id""")
+def q_hit_labels(spark, d):
+    """``id | gene | d=0.123`` labels of the k-NN hits of each gene centroid."""
+    vr = A.vector_rows(spark, d)
+    cen = V.centroids(vr).select(F.col("gene").alias("query_id"), F.col("centroid").alias("embedding"))
+    k = V.knn_exact(vr, cen, 5, extra=["gene"])
+    return k.select("query_id", "rank", T.hit_label("id", "gene", "distance").alias("label"))
+
+
+def _trigram_encoder(texts):
+    """A small stand-in encoder for the plug-in path: hashed character trigrams (numpy only)."""
+    import numpy as np
+    import zlib
+    out = np.zeros((len(texts), 32), dtype=np.float32)
+    for r, t in enumerate(texts):
+        s = f"  {t.lower()}  "
+        for i in range(len(s) - 2):
+            out[r, zlib.crc32(s[i:i + 3].encode()) % 32] += 1.0
+    return out
+
+
+@register("embed_plugin")
+def q_embed_plugin(spark, d):
+    """A caller-supplied encoder run as an iterator pandas UDF (batches of 32 texts),
+    rows L2-normalised float32; here over every benchmark text (rows-only check)."""
+    from helixframe.sources.tables import read_table
+    b = read_table(spark, d, "benchmark", "item_id", "text")
+    e = V.embed_with(b, "text", _trigram_encoder)
+    return e.select("item_id", F.size("embedding").alias("dim"),
+                    F.round(F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x * x), 6).alias("norm2"))
