@@ -9,6 +9,7 @@ batch; a final ``row_number() <= k`` merges the per-batch candidates.
 
 from __future__ import annotations
 
+import math
 from typing import Callable, Iterator
 
 import numpy as np
@@ -133,11 +134,21 @@ def knn_exact(stored: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "
 
     (query_id, rank, id, distance, extra...), rank 1-based, ties by id;
     fewer than k rows when the collection is smaller. The query side is
-    bounded (MAX_QUERIES) and shipped to every task; above that, run the
-    queries in chunks of MAX_QUERIES.
+    bounded (MAX_QUERIES) and shipped to every task; a larger query set is
+    split into hash chunks below that bound, each searched exactly.
     """
     extra = extra or []
-    require_small(queries, MAX_QUERIES, "query set")
+    n_q = queries.count()
+    if n_q > MAX_QUERIES:
+        # queries in hash chunks, each bounded, each an independent exact search
+        n_chunks = int(math.ceil(n_q / (0.8 * MAX_QUERIES)))
+        keyed = queries.withColumn("__chunk", F.pmod(F.xxhash64(F.col(query_id).cast("string")), F.lit(n_chunks)))
+        parts = [knn_exact(stored, keyed.where(F.col("__chunk") == c).drop("__chunk"), k, id_col, vec_col,
+                           query_id, query_vec, extra) for c in range(n_chunks)]
+        out = parts[0]
+        for p_ in parts[1:]:
+            out = out.unionByName(p_)
+        return out
     q = queries.select(F.col(query_id).cast("string").alias("qid"), F.col(query_vec).alias("v")).where("v IS NOT NULL").collect()
     if not q:
         return stored.sparkSession.createDataFrame([], "query_id string, rank int, id string, distance double")

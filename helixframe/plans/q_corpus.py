@@ -193,3 +193,17 @@ def q_record_cache_roundtrip(spark, d):
     return back.select("pmid", F.md5(F.concat_ws("|", "title", "abstract")).alias("text_md5"),
                        F.array_join("authors", "; ").alias("authors"), "year", "doi", "journal",
                        F.array_join("mesh_major_topics", "; ").alias("mesh_major_topics"))
+
+
+@register("corpus_from_xml_files", cte("corpus") + """
+SELECT pmid, title, abstract, array_to_string(authors, '; ') AS authors, year, doi, journal,
+       array_to_string(mesh_major_topics, '; ') AS mesh_major_topics FROM corpus""")
+def q_corpus_from_xml_files(spark, d):
+    """S5 file path: the corpus written as XML documents (one per partition) and read
+    with the XML data source under the declared schema."""
+    from helixframe.session import scratch_path
+    path = scratch_path(spark, "corpus_xml")
+    X.write_xml_documents(A.corpus_xml(spark, d), path)
+    r = X.read_pubmed_xml(spark, path)
+    return r.select("pmid", "title", "abstract", F.array_join("authors", "; ").alias("authors"), "year", "doi",
+                    "journal", F.array_join("mesh_major_topics", "; ").alias("mesh_major_topics"))

@@ -130,3 +130,18 @@ def read_pubmed_xml(spark: SparkSession, path: str) -> DataFrame:
     raw = spark.read.format("xml").options(**XML_OPTIONS).schema(ARTICLE_SCHEMA).load(path)
     a = F.struct(*[F.col(c) for c in raw.columns])
     return raw.where(F.col("MedlineCitation.PMID._VALUE").isNotNull()).select(*records_from_struct(a))
+
+
+def write_xml_documents(df: DataFrame, path: str, col: str = "xml", root: str = "PubmedArticleSet") -> None:
+    """Write one article string per row as well-formed XML files: each output
+    file (one per partition) is ``<root> ... </root>``. The XML reader needs
+    the document root; without it the first element is taken as the root."""
+    import pandas as pd
+
+    def wrap(it):
+        yield pd.DataFrame({"line": [f"<{root}>"]})
+        for pdf in it:
+            yield pd.DataFrame({"line": pdf[col].astype(str)})
+        yield pd.DataFrame({"line": [f"</{root}>"]})
+
+    df.select(col).mapInPandas(wrap, "line string").write.text(path)
