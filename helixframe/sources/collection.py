@@ -1,9 +1,20 @@
-"""Named vector collections as versioned Parquet directories.
+"""Named vector collections as hash-bucketed, versioned Parquet.
+
+Layout under ``<root>/<name>/``::
+
+    v=<n>/bucket=<b>/part-*.parquet   rows of bucket b written by version n
+    manifest-<n>.txt                  one line per bucket: the path that holds it
+    _CURRENT                          the live version number
+
+Rows are assigned to ``bucket = pmod(xxhash64(id), n_buckets)``. An upsert
+touches only the buckets its ids hash to: for those it anti-joins the old
+bucket rows against the new ids, unions the new rows and writes them under
+``v=<n+1>``; untouched buckets keep pointing at their older files. The new
+manifest is written next to the old one and ``_CURRENT`` is swapped last,
+so readers never see a half-written version and a failed job leaves the
+live version intact. Cost per upsert is proportional to the touched
+buckets, not to the whole collection.
 
-Layout: ``<root>/<name>/v=<n>/`` holds a full version; ``<root>/<name>/_CURRENT``
-names the live version. An upsert writes version n+1 next to the live
-one and then moves the pointer, so readers never see a half-written
-collection and a failed job leaves the live version untouched.
 Rows: id, document, embedding, metadata struct<year, journal, gene>.
 """
 
@@ -16,6 +27,7 @@ from pyspark.sql import functions as F
 
 COLLECTION_SCHEMA = ("id string, document string, embedding array<double>, "
                      "metadata struct<year:int, journal:string, gene:string>")
+DEFAULT_BUCKETS = 64
 
 
 def _fs(spark: SparkSession, path: str):
@@ -24,60 +36,116 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
-def _read_pointer(spark: SparkSession, base: str) -> int | None:
-    fs, p = _fs(spark, os.path.join(base, "_CURRENT"))
+def _read_text(spark: SparkSession, path: str) -> str | None:
+    fs, p = _fs(spark, path)
     if not fs.exists(p):
         return None
+    jvm = spark.sparkContext._jvm
     stream = fs.open(p)
     try:
-        reader = spark.sparkContext._jvm.java.io.BufferedReader(
-            spark.sparkContext._jvm.java.io.InputStreamReader(stream))
-        return int(reader.readLine().strip())
+        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
+        lines = []
+        while True:
+            line = reader.readLine()
+            if line is None:
+                break
+            lines.append(line)
+        return "\n".join(lines)
     finally:
         stream.close()
 
 
-def _write_pointer(spark: SparkSession, base: str, version: int) -> None:
-    fs, p = _fs(spark, os.path.join(base, "_CURRENT.tmp"))
-    out = fs.create(p, True)
-    out.write(bytearray(str(version).encode()))
+def _write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write ``text`` to ``path`` via a temp file and rename (atomic on HDFS-like stores)."""
+    fs, tmp = _fs(spark, path + ".tmp")
+    out = fs.create(tmp, True)
+    out.write(bytearray(text.encode("utf-8")))
     out.close()
-    _, final = _fs(spark, os.path.join(base, "_CURRENT"))
+    _, final = _fs(spark, path)
     if fs.exists(final):
         fs.delete(final, False)
-    fs.rename(p, final)
+    fs.rename(tmp, final)
+
+
+def bucket_of(id_col="id", n_buckets: int = DEFAULT_BUCKETS):
+    c = F.col(id_col) if isinstance(id_col, str) else id_col
+    return F.pmod(F.xxhash64(c), F.lit(n_buckets)).cast("int")
+
+
+def _manifest(spark: SparkSession, base: str) -> tuple[int | None, dict[int, str]]:
+    cur = _read_text(spark, os.path.join(base, "_CURRENT"))
+    if cur is None:
+        return None, {}
+    v = int(cur.strip())
+    text = _read_text(spark, os.path.join(base, f"manifest-{v}.txt")) or ""
+    m = {}
+    for line in text.splitlines():
+        if line.strip():
+            b, path = line.split("\t", 1)
+            m[int(b)] = path
+    return v, m
 
 
 def open_collection(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """The live version of a collection; a new name is created empty."""
+    """The live rows of a collection; an unknown name is created empty."""
     base = os.path.join(root, name)
-    v = _read_pointer(spark, base)
+    v, m = _manifest(spark, base)
     if v is None:
-        empty = spark.createDataFrame([], COLLECTION_SCHEMA)
-        empty.write.mode("overwrite").parquet(os.path.join(base, "v=0"))
-        _write_pointer(spark, base, 0)
-        v = 0
-    return spark.read.parquet(os.path.join(base, f"v={v}"))
+        _write_text(spark, os.path.join(base, "manifest-0.txt"), "")
+        _write_text(spark, os.path.join(base, "_CURRENT"), "0")
+        m = {}
+    if not m:
+        return spark.createDataFrame([], COLLECTION_SCHEMA)
+    return spark.read.schema(COLLECTION_SCHEMA).parquet(*sorted(set(m.values())))
 
 
-def upsert(spark: SparkSession, root: str, name: str, rows: DataFrame, order_col: str | None = None) -> DataFrame:
-    """Insert-or-replace by id; returns the new live version.
+def upsert(spark: SparkSession, root: str, name: str, rows: DataFrame, order_col: str | None = None,
+           n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+    """Insert-or-replace by id, rewriting only the touched buckets; returns the live rows.
 
-    Within the batch the last row per id wins (by ``order_col`` when given);
-    old rows with a new id are dropped by an anti-join; the union is
-    written as the next version and the pointer moved.
+    Within the batch the last row per id wins (by ``order_col`` when given,
+    else an arbitrary one of the duplicates).
     """
     base = os.path.join(root, name)
-    old = open_collection(spark, root, name)
-    cur = _read_pointer(spark, base)
+    open_collection(spark, root, name)  # creates an empty collection if needed
+    v, m = _manifest(spark, base)
     if order_col:
         w = Window.partitionBy("id").orderBy(F.col(order_col).desc())
         rows = rows.withColumn("__rn", F.row_number().over(w)).where("__rn = 1").drop("__rn", order_col)
     else:
         rows = rows.dropDuplicates(["id"])
-    rows = rows.select(*old.columns)
-    new = old.join(rows.select("id"), "id", "left_anti").unionByName(rows)
-    nxt = cur + 1
-    new.write.mode("overwrite").parquet(os.path.join(base, f"v={nxt}"))
-    _write_pointer(spark, base, nxt)
-    return spark.read.parquet(os.path.join(base, f"v={nxt}"))
+    new = rows.select("id", "document", F.col("embedding").cast("array<double>").alias("embedding"), "metadata") \
+        .withColumn("bucket", bucket_of("id", n_buckets))
+    touched = sorted(r[0] for r in new.select("bucket").distinct().collect())  # at most n_buckets ints
+    if not touched:
+        return open_collection(spark, root, name)
+    old_paths = sorted({m[b] for b in touched if b in m})
+    if old_paths:
+        old = spark.read.schema(COLLECTION_SCHEMA).parquet(*old_paths) \
+            .withColumn("bucket", bucket_of("id", n_buckets)).where(F.col("bucket").isin(touched))
+        kept = old.join(new.select("id"), "id", "left_anti")
+        out = kept.unionByName(new)
+    else:
+        out = new
+    nxt = v + 1
+    vdir = os.path.join(base, f"v={nxt}")
+    out.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(vdir)
+    for b in touched:
+        m[b] = os.path.join(vdir, f"bucket={b}")
+    _write_text(spark, os.path.join(base, f"manifest-{nxt}.txt"),
+                "\n".join(f"{b}\t{p}" for b, p in sorted(m.items())))
+    _write_text(spark, os.path.join(base, "_CURRENT"), str(nxt))
+    return open_collection(spark, root, name)
+
+
+def live_ids(spark: SparkSession, root: str, name: str, ids: DataFrame, id_col: str = "id",
+             n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+    """Ids of ``ids`` already in the collection, reading only the buckets they hash to."""
+    base = os.path.join(root, name)
+    _, m = _manifest(spark, base)
+    b = ids.select(bucket_of(id_col, n_buckets).alias("b")).distinct()
+    touched = sorted(r[0] for r in b.collect())
+    paths = sorted({m[x] for x in touched if x in m})
+    if not paths:
+        return spark.createDataFrame([], "id string")
+    return spark.read.schema(COLLECTION_SCHEMA).parquet(*paths).select("id")

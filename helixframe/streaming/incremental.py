@@ -40,8 +40,10 @@ def corpus_stream(spark: SparkSession, drop_dir: str, max_files_per_trigger: int
 def upsert_batch(spark: SparkSession, root: str, name: str, text_builder=T.text_base):
     """foreachBatch body: only unseen pmids are embedded and upserted."""
     def run(batch: DataFrame, batch_id: int) -> None:
-        live = COL.open_collection(spark, root, name)
-        fresh = batch.dropDuplicates(["pmid"]).join(live.select(F.col("id").alias("pmid")), "pmid", "left_anti")
+        COL.open_collection(spark, root, name)
+        batch = batch.dropDuplicates(["pmid"])
+        seen = COL.live_ids(spark, root, name, batch, "pmid")   # only the buckets this batch touches
+        fresh = batch.join(seen.select(F.col("id").alias("pmid")), "pmid", "left_anti")
         if fresh.limit(1).count() == 0:
             return
         recs = fresh.select("pmid", "title", "abstract", "year", "journal", "mesh_major_topics",
