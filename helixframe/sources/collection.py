@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 COLLECTION_SCHEMA = ("id string, document string, embedding array<double>, "
                      "metadata struct<year:int, journal:string, gene:string>")
-DEFAULT_BUCKETS = 64
+DEFAULT_BUCKETS = 256
 
 
 def _fs(spark: SparkSession, path: str):
@@ -129,7 +129,9 @@ def upsert(spark: SparkSession, root: str, name: str, rows: DataFrame, order_col
         out = new
     nxt = v + 1
     vdir = os.path.join(base, f"v={nxt}")
-    out.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(vdir)
+    # no repartition by bucket: one hot bucket must not become one writer task;
+    # rows stay spread by id and each task writes its share of every bucket
+    out.write.mode("overwrite").partitionBy("bucket").parquet(vdir)
     for b in touched:
         m[b] = os.path.join(vdir, f"bucket={b}")
     _write_text(spark, os.path.join(base, f"manifest-{nxt}.txt"),
