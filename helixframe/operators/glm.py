@@ -238,8 +238,9 @@ def dispersion_prior(disp: DataFrame, trend: dict, m: int, p: int) -> dict:
     trigamma((m - p) / 2); floored at 0.25."""
     r = disp.where(F.col("alpha_gw") >= 100 * MIN_DISP).select(
         (F.log("alpha_gw") - F.log(trend_col(trend))).alias("r"))
-    med = r.agg(F.percentile("r", 0.5)).first()[0]
-    mad = r.agg(F.percentile(F.abs(F.col("r") - F.lit(med)), 0.5)).first()[0]
+    from helixframe.operators.stats import exact_median
+    med = exact_median(r, "r").first()[0]
+    mad = exact_median(r.select(F.abs(F.col("r") - F.lit(med)).alias("d")), "d").first()[0]
     s_lr = 1.4826 * mad
     var = max(s_lr ** 2 - (trigamma((m - p) / 2.0) if m > p else 0.0), 0.25)
     return {"s_lr": s_lr, "prior_var": var}
@@ -362,15 +363,16 @@ def wald(fit: DataFrame, c: list[float], contrast: str = "contrast") -> DataFram
 def independent_filter(res: DataFrame, alpha: float = 0.05, n_theta: int = 50) -> tuple[DataFrame, float]:
     """Choose a baseMean cut maximising BH rejections, padj NULL below it.
 
-    The theta grid (n_theta quantiles of baseMean) comes from one exact
-    percentile aggregate; every gene row is replicated once per theta it
+    The theta grid (n_theta quantiles of baseMean) comes from one
+    distributed exact-quantile job; every gene row is replicated once per theta it
     passes (explode of the grid, at most n_theta copies), BH runs as one
     window per theta (n_theta-way parallel), and the driver picks theta
     from n_theta counts. Fewer than 10 rejections everywhere -> no filter.
     """
     from helixframe.operators.results import bh_adjust
     qs = [i / n_theta for i in range(n_theta)]
-    thetas = res.agg(F.percentile("base_mean", qs)).first()[0]
+    from helixframe.operators.stats import exact_quantiles
+    thetas = [r["base_mean"] for r in exact_quantiles(res, "base_mean", qs).orderBy("q").collect()]
     grid = F.array(*[F.lit(float(t)) for t in thetas])
     rep = res.where(F.col("pvalue").isNotNull()).select("gene_id", "base_mean", "pvalue",
                                                         F.explode(grid).alias("theta")) \
@@ -385,7 +387,10 @@ def independent_filter(res: DataFrame, alpha: float = 0.05, n_theta: int = 50) -
     if best_n < 10:
         best_theta = float(thetas[0])
     kept = res.where((F.col("base_mean") >= best_theta) & F.col("pvalue").isNotNull())
-    adjusted = bh_adjust(kept, "pvalue", None, "padj").select("gene_id", "padj")
+    # one list of all genes: the range-partitioned BH (no single-task window)
+    from helixframe.operators.results import bh_adjust_ranged
+    n_parts = int(res.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    adjusted = bh_adjust_ranged(kept, "pvalue", "padj", n_parts).select("gene_id", "padj")
     return res.join(adjusted, "gene_id", "left"), best_theta
 
 

@@ -21,18 +21,20 @@ def size_factors(counts: DataFrame, n_samples: int, gene: str = "gene_id", sampl
     Reference genes are those with a positive count in every sample. For a
     gene, ``r_ij = ln y_ij - mean_j ln y_ij``; ``s_j = exp(median_i r_ij)``.
     The per-gene geometric mean is one aggregate keyed by gene; the median
-    is one aggregate keyed by sample (exact ``percentile``; ``exact=False``
-    switches to ``percentile_approx`` when one sample's gene list is too
-    long for one task's memory).
+    is exact and distributed (range-partitioned ranks, see
+    ``operators.stats``), so no task holds a whole sample's gene list;
+    ``exact=False`` uses ``percentile_approx`` instead.
     Raises when no gene is positive in every sample.
     """
     pos = counts.where(F.col(value) > 0).select(gene, sample, F.ln(F.col(value).cast("double")).alias("lv"))
     lgm = (pos.groupBy(gene).agg(F.count(F.lit(1)).alias("n"), F.avg("lv").alias("lgm"))
            .where(F.col("n") == n_samples).select(gene, "lgm"))
     ratios = pos.join(lgm, gene).select(sample, (F.col("lv") - F.col("lgm")).alias("r"))
-    med = F.percentile("r", 0.5) if exact else F.percentile_approx("r", 0.5, 100_000)
-    sf = ratios.groupBy(sample).agg(F.exp(med).alias("size_factor"))
-    return sf
+    if exact:
+        from helixframe.operators.stats import exact_median
+        med = exact_median(ratios, "r", sample)
+        return med.select(sample, F.exp("r").alias("size_factor"))
+    return ratios.groupBy(sample).agg(F.exp(F.percentile_approx("r", 0.5, 100_000)).alias("size_factor"))
 
 
 def assert_size_factors(sf: DataFrame, n_samples: int) -> None:

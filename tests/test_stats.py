@@ -134,3 +134,19 @@ def test_shrinkage_pulls_toward_zero(spark):
     for r in out.collect():
         assert abs(r.lfc_shrunk) <= abs(r.log2_fold_change) + 1e-12
         assert r.lfc_shrunk * r.log2_fold_change >= 0
+
+
+def test_exact_quantiles_match_numpy(spark):
+    from helixframe.operators.stats import exact_quantiles, exact_median
+    rng = np.random.default_rng(2)
+    vals = {"a": rng.integers(0, 20, 101).astype(float), "b": rng.normal(size=50), "c": np.array([3.0])}
+    rows = [(g, float(v)) for g, arr in vals.items() for v in arr] + [("a", None)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    med = {r.g: r.v for r in exact_median(df, "v", "g").collect()}
+    for g, arr in vals.items():
+        assert abs(med[g] - np.median(arr)) < 1e-12
+    qs = [0.0, 0.1, 0.25, 0.9, 1.0]
+    got = {round(r.q, 6): r.v for r in exact_quantiles(df, "v", qs).collect()}
+    allv = np.concatenate(list(vals.values()))
+    for q in qs:
+        assert abs(got[round(q, 6)] - np.quantile(allv, q)) < 1e-12
