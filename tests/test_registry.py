@@ -36,3 +36,13 @@ def _compare(spark, name):
                                   "dedup_records", "knn_exact", "ora", "heatmap_z"])
 def test_oracle_sample(spark, name):
     _compare(spark, name)
+
+
+def test_entry_smoke(spark):
+    df = E.entry(spark)
+    assert df.columns == ["contrast", "gene_id", "base_mean", "log2_fold_change", "lfc_se", "stat", "pvalue",
+                          "padj", "symbol"]
+    rows = df.collect()
+    assert len(rows) > 0
+    assert all(r.pvalue is None or 0.0 <= r.pvalue <= 1.0 for r in rows)
+    assert all(r.padj is None or r.padj >= r.pvalue - 1e-12 for r in rows)
