@@ -272,13 +272,12 @@ def corpus_xml(spark: SparkSession, d: str) -> DataFrame:
 
 def search_terms(spark: SparkSession, d: str) -> DataFrame:
     """Query genes for corpus search: the first word of each benchmark item,
-    lower-cased, in order of first appearance (gene, gene_ord)."""
+    lower-cased (gene, gene_ord); gene_ord = the first item id using the word,
+    an order key that needs no global ranking window."""
     b = read_table(spark, d, "benchmark", "item_id", "text")
     w = b.select(F.regexp_extract(F.lower("text"), r"^([\p{L}\p{N}]+)", 1).alias("gene"), "item_id") \
         .where(F.length("gene") > 0)
-    first = w.groupBy("gene").agg(F.min("item_id").alias("first_item"))
-    from pyspark.sql import Window
-    return first.select("gene", F.row_number().over(Window.orderBy("first_item", "gene")).alias("gene_ord"))
+    return w.groupBy("gene").agg(F.min("item_id").alias("gene_ord"))
 
 
 def vector_rows(spark: SparkSession, d: str) -> DataFrame:

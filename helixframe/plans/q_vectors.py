@@ -111,6 +111,8 @@ def q_cosine_pairs(spark, d):
     r = v.withColumn("r", F.row_number().over(Window.partitionBy("gene").orderBy(F.col("id").cast("bigint"))))
     firsts = r.where("r = 1").select("gene", "gi", F.col("u").alias("ua"))
     seconds = r.where("r = 2").select("gene", F.col("u").alias("ub"))
+    from helixframe.session import require_small
+    require_small(firsts, V.MAX_CENTROIDS, "label list")   # the ordering window below spans all labels
     nxt = firsts.select(F.col("gene").alias("cg"), F.col("gi").alias("cgi"), F.col("ua").alias("uc"))
     # control gene = next label id, wrapping to the smallest (labels form a short, bounded list)
     order = nxt.withColumn("pos", F.row_number().over(Window.orderBy("cgi")))
