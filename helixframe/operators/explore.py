@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from helixframe.session import checked_broadcast, require_small
 
-MAX_HEATMAP = 100_000
+MAX_HEATMAP = 5_000   # heatmap rows: a top-k gene set; distances are all pairs
+MAX_PCA_SAMPLES = 5_000  # each task emits at most m(m+1)/2 Gram cells
 
 
 def rows_for(vst_long: DataFrame, genes: DataFrame, gene: str = "gene_id") -> DataFrame:
@@ -74,7 +75,8 @@ def pca(vst_vec: DataFrame, n_samples: int, k: int = 2, vec: str = "v") -> tuple
     explained ratio = l / trace. Sign: each component's largest absolute
     score is positive. Returns (scores long: sample_idx, pc, score), ratios.
     """
-    require_small(vst_vec.sparkSession.range(n_samples), 20_000, "samples")
+    if n_samples > MAX_PCA_SAMPLES:
+        raise ValueError(f"PCA via the sample Gram matrix is bounded to {MAX_PCA_SAMPLES} samples")
     parts = vst_vec.select(F.col(vec).alias("v")).mapInPandas(_gram_kernel(n_samples), "i int, j int, g double")
     cells = parts.groupBy("i", "j").agg(F.sum("g").alias("g")).collect()
     G = np.zeros((n_samples, n_samples))

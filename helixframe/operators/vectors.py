@@ -23,7 +23,7 @@ from helixframe.functions import vectors as VF
 from helixframe.session import require_small
 
 MAX_QUERIES = 50_000        # query vectors held by every k-NN task
-MAX_CENTROIDS = 20_000      # similarity-matrix side (output is n^2 rows)
+MAX_CENTROIDS = 5_000       # similarity-matrix side (output is n^2 rows)
 
 
 # ------------------------------------------------------------- V1
@@ -85,14 +85,28 @@ def centroids(df: DataFrame, group: str = "gene", vec: str = "embedding") -> Dat
 def similarity_matrix(c: DataFrame, key: str = "gene", vec: str = "centroid") -> DataFrame:
     """V5 + J9: all pairs of a bounded set of centroids, long form (a, b, sim).
 
-    The output is n^2 rows by definition, so n is checked first; pairs are
-    formed by an equi-join on the vector dimension of the long form.
+    The output is n^2 rows by definition, so n is checked first. The
+    n x d matrix (bounded) goes to every task of a ``mapInPandas`` that
+    scores one Arrow batch of rows against it with a matmul, so the pair
+    rows are produced in parallel over the row side, never by a join.
     """
     require_small(c, MAX_CENTROIDS, "centroid table")
-    long = c.select(F.col(key).alias("k"), F.posexplode(vec).alias("dim", "x"))
-    a = long.select(F.col("k").alias("a"), "dim", F.col("x").alias("xa"))
-    b = long.select(F.col("k").alias("b"), "dim", F.col("x").alias("xb"))
-    return a.join(b, "dim").groupBy("a", "b").agg(F.sum(F.col("xa") * F.col("xb")).alias("sim"))
+    rows = c.select(F.col(key).cast("string").alias("k"), F.col(vec).alias("v")).where("v IS NOT NULL").collect()
+    keys = np.array([r["k"] for r in rows], dtype=object)
+    mat = np.array([np.asarray(r["v"], dtype=np.float64) for r in rows]) if rows else np.zeros((0, 0))
+
+    def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in it:
+            pdf = pdf[pdf["v"].notna()]
+            if pdf.empty or not len(keys):
+                continue
+            x = np.stack(pdf["v"].to_numpy()).astype(np.float64)
+            sim = x @ mat.T
+            ia, ib = np.meshgrid(np.arange(len(x)), np.arange(len(keys)), indexing="ij")
+            yield pd.DataFrame({"a": pdf["k"].to_numpy()[ia.ravel()], "b": keys[ib.ravel()], "sim": sim.ravel()})
+
+    return c.select(F.col(key).cast("string").alias("k"), F.col(vec).alias("v")) \
+        .mapInPandas(run, "a string, b string, sim double")
 
 
 def cosine_pairs(pairs: DataFrame, a: str, b: str) -> Column:

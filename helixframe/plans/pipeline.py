@@ -64,6 +64,9 @@ def deseq(ctx: ExpressionInputs, factors: list[str], ref: dict | None = None) ->
     """
     from helixframe.operators import glm as G
     X, names = G.design_matrix(ctx.design, factors, ref)
+    # keep one Arrow batch of gene arrays around 2M cells, however many samples
+    spark = ctx.gene_vec.sparkSession
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(max(64, min(10_000, 2_000_000 // X.shape[0]))))
     disp = G.genewise_dispersion(ctx.gene_vec, X, ctx.sf_array).checkpoint()
     trend = G.dispersion_trend(disp)
     prior = G.dispersion_prior(disp, trend, X.shape[0], X.shape[1])
