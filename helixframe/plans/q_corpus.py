@@ -43,7 +43,7 @@ def q_corpus_from_xml(spark, d):
 
 
 @register("record_authors", cte("corpus") + """
-SELECT pmid, array_to_string(authors, '; ') AS authors, len(authors) AS n_authors FROM corpus""")
+SELECT pmid, array_to_string(authors, '; ') AS authors, CAST(len(authors) AS INTEGER) AS n_authors FROM corpus""")
 def q_record_authors(spark, d):
     r = parsed_records(spark, d)
     return r.select("pmid", F.array_join("authors", "; ").alias("authors"), F.size("authors").alias("n_authors"))
@@ -64,7 +64,7 @@ def q_record_core(spark, d):
     return parsed_records(spark, d).select("pmid", "title", "journal")
 
 
-@register("record_abstract", cte("corpus") + "SELECT pmid, abstract, length(abstract) AS n_chars FROM corpus")
+@register("record_abstract", cte("corpus") + "SELECT pmid, abstract, CAST(length(abstract) AS INTEGER) AS n_chars FROM corpus")
 def q_record_abstract(spark, d):
     return parsed_records(spark, d).select("pmid", "abstract", F.length("abstract").alias("n_chars"))
 
@@ -83,7 +83,7 @@ def q_build_query_text(spark, d):
 
 
 @register("embed_text_base", cte("corpus") + """
-SELECT pmid, md5(title || chr(10) || chr(10) || abstract) AS text_md5, length(title || chr(10) || chr(10) || abstract) AS n_chars
+SELECT pmid, md5(title || chr(10) || chr(10) || abstract) AS text_md5, CAST(length(title || chr(10) || chr(10) || abstract) AS INTEGER) AS n_chars
 FROM corpus""")
 def q_embed_text_base(spark, d):
     """P12 over every record (text compared through md5 + length)."""
@@ -96,7 +96,7 @@ _MESH_TEXT = """title || chr(10) || chr(10) || abstract ||
 
 
 @register("embed_text_mesh", cte("corpus") + f"""
-SELECT pmid, md5({_MESH_TEXT}) AS text_md5, length({_MESH_TEXT}) AS n_chars FROM corpus""")
+SELECT pmid, md5({_MESH_TEXT}) AS text_md5, CAST(length({_MESH_TEXT}) AS INTEGER) AS n_chars FROM corpus""")
 def q_embed_text_mesh(spark, d):
     t = A.corpus_records(spark, d).select("pmid", T.text_with_mesh().alias("t"))
     return t.select("pmid", F.md5("t").alias("text_md5"), F.length("t").alias("n_chars"))
@@ -153,7 +153,7 @@ def q_retrieval_summary(spark, d):
 
 @register("dedup_records", cte("flat") + """
 SELECT pmid, arg_min(gene, (gene_ord, hit_ord)) AS first_gene, arg_min(title, (gene_ord, hit_ord)) AS title,
-       string_agg(gene, '; ' ORDER BY gene_ord, hit_ord) AS genes, count(*) AS n_genes
+       string_agg(gene, '; ' ORDER BY gene_ord, hit_ord) AS genes, CAST(count(*) AS INTEGER) AS n_genes
 FROM flat GROUP BY pmid""")
 def q_dedup_records(spark, d):
     r = C.dedup_records(_flat(spark, d))

@@ -150,7 +150,7 @@ def q_ora(spark, d):
 
 @register("top_terms", cte("de_results", "gene_sets", extra=_ora_sql("single")) + """
 SELECT direction, term, rank FROM (
-  SELECT direction, term, row_number() OVER (PARTITION BY direction ORDER BY padj ASC NULLS LAST, term) AS rank
+  SELECT direction, term, CAST(row_number() OVER (PARTITION BY direction ORDER BY padj ASC NULLS LAST, term) AS INTEGER) AS rank
   FROM ora_single) WHERE rank <= 10""")
 def q_top_terms(spark, d):
     return E.top_terms(_ora(spark, d, "single"), 10).select("direction", "term", "rank")

@@ -96,10 +96,10 @@ def q_de_gene_lists(spark, d):
 
 _TOP_UD_SQL = """
 SELECT contrast, gene_id, symbol, round(log2_fold_change, 6) AS log2_fold_change, direction, rank FROM (
-  SELECT *, 'up' AS direction, row_number() OVER (PARTITION BY contrast ORDER BY log2_fold_change DESC, gene_id) AS rank
+  SELECT *, 'up' AS direction, CAST(row_number() OVER (PARTITION BY contrast ORDER BY log2_fold_change DESC, gene_id) AS INTEGER) AS rank
   FROM de_results WHERE padj < 0.05 AND log2_fold_change IS NOT NULL {sym}
   UNION ALL
-  SELECT *, 'down', row_number() OVER (PARTITION BY contrast ORDER BY log2_fold_change ASC, gene_id)
+  SELECT *, 'down', CAST(row_number() OVER (PARTITION BY contrast ORDER BY log2_fold_change ASC, gene_id) AS INTEGER)
   FROM de_results WHERE padj < 0.05 AND log2_fold_change IS NOT NULL {sym}) WHERE rank <= {n}"""
 
 
@@ -164,7 +164,7 @@ def q_category_sizes(spark, d):
 @register("top_by_padj", cte("de_results") + """
 SELECT contrast, gene_id, padj, rank FROM (
   SELECT contrast, gene_id, round(padj, 6) AS padj,
-         row_number() OVER (PARTITION BY contrast ORDER BY padj ASC NULLS LAST, gene_id) AS rank
+         CAST(row_number() OVER (PARTITION BY contrast ORDER BY padj ASC NULLS LAST, gene_id) AS INTEGER) AS rank
   FROM de_results) WHERE rank <= 20""")
 def q_top_by_padj(spark, d):
     t = RS.top_by_padj(de_results(spark, d), 20)
@@ -174,7 +174,7 @@ def q_top_by_padj(spark, d):
 @register("heatmap_genes", cte("de_results") + """
 SELECT contrast, gene_id, symbol, rank FROM (
   SELECT contrast, gene_id, symbol,
-         row_number() OVER (PARTITION BY contrast ORDER BY padj ASC NULLS LAST, gene_id) AS rank
+         CAST(row_number() OVER (PARTITION BY contrast ORDER BY padj ASC NULLS LAST, gene_id) AS INTEGER) AS rank
   FROM de_results WHERE symbol IS NOT NULL) WHERE rank <= 20""")
 def q_heatmap_genes(spark, d):
     return RS.heatmap_genes(de_results(spark, d), 20).select("contrast", "gene_id", "symbol", "rank")

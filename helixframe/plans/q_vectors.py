@@ -34,7 +34,7 @@ vlong AS (SELECT id, gene, CAST(i - 1 AS INTEGER) AS dim, CAST(embedding[i] AS D
 vnorm AS (SELECT id, gene, dim, x / sqrt(sum(x * x) OVER (PARTITION BY id)) AS x FROM vlong)"""
 
 _CENTROIDS = _VEC_LONG + """,
-cm AS (SELECT gene, dim, avg(CAST(embedding[dim + 1] AS DOUBLE)) AS x
+cm AS (SELECT gene, CAST(dim AS INTEGER) AS dim, avg(CAST(embedding[dim + 1] AS DOUBLE)) AS x
        FROM vectors, range(0, 64) t(dim) GROUP BY gene, dim),
 cen AS (SELECT gene, dim, x / sqrt(sum(x * x) OVER (PARTITION BY gene)) AS x FROM cm)"""
 
@@ -58,7 +58,7 @@ def _knn_sql(q: str, s: str, k: int = 5) -> str:
     return f"""(SELECT query_id, rank, id, distance FROM (
    SELECT qq.key AS query_id, ss.key AS id,
           greatest(qq.n + ss.n - 2 * coalesce(dd.dot, 0), 0) AS distance,
-          row_number() OVER (PARTITION BY qq.key ORDER BY round(greatest(qq.n + ss.n - 2 * coalesce(dd.dot, 0), 0), 9), ss.key) AS rank
+          CAST(row_number() OVER (PARTITION BY qq.key ORDER BY round(greatest(qq.n + ss.n - 2 * coalesce(dd.dot, 0), 0), 9), ss.key) AS INTEGER) AS rank
    FROM (SELECT key, sum(x * x) AS n FROM {q} GROUP BY key) qq
    CROSS JOIN (SELECT key, sum(x * x) AS n FROM {s} GROUP BY key) ss
    LEFT JOIN (SELECT a.key AS qk, b.key AS sk, sum(a.x * b.x) AS dot FROM {q} a JOIN {s} b USING (dim) GROUP BY ALL) dd
