@@ -114,3 +114,41 @@ def q_pca_scores(spark, d):
     r = spark.createDataFrame([(i + 1, float(x)) for i, x in enumerate(ratios)], "pc int, explained double")
     ids = ctx.samples.select("sample_idx", "sample_id", "condition")
     return scores.join(ids, "sample_idx").join(r, "pc")
+
+
+def _fit_table(spark, d):
+    """Deterministic 3-coefficient fit table (beta, row-major covariance) from ``part``."""
+    from helixframe.sources.tables import read_table
+    p = read_table(spark, d, "part", "p_partkey", "p_size", "p_retailprice")
+    k, s = F.col("p_partkey"), F.col("p_size")
+    b1 = ((k * 37) % 81 - 40).cast("double") / 10.0
+    b2 = ((k * 13) % 41 - 20).cast("double") / 10.0
+    v1 = F.lit(0.01) + (k % 10).cast("double") / 100.0
+    v2 = F.lit(0.02) + (s % 7).cast("double") / 100.0
+    c12 = F.lit(0.005) * ((k % 3) - 1).cast("double")
+    z = F.lit(0.0)
+    return p.select(F.concat(F.lit("ENSG"), F.lpad(k.cast("string"), 11, "0")).alias("gene_id"),
+                    F.col("p_retailprice").alias("base_mean"),
+                    F.array(F.ln("p_retailprice"), b1, b2).alias("beta"),
+                    F.array(F.lit(0.05), z, z, z, v1, c12, z, c12, v2).alias("cov"),
+                    F.lit(0).alias("n_cook_outliers"))
+
+
+@register("wald_z", """
+SELECT 'ENSG' || lpad(CAST(p_partkey AS VARCHAR), 11, '0') AS gene_id,
+       round((b1 - b2) / ln(2), 6) AS log2_fold_change,
+       round(sqrt(v1 + v2 - 2 * c12) / ln(2), 6) AS lfc_se,
+       round((b1 - b2) / sqrt(v1 + v2 - 2 * c12), 6) AS stat
+FROM (SELECT p_partkey,
+             CAST((p_partkey * 37) % 81 - 40 AS DOUBLE) / 10.0 AS b1,
+             CAST((p_partkey * 13) % 41 - 20 AS DOUBLE) / 10.0 AS b2,
+             0.01 + CAST(p_partkey % 10 AS DOUBLE) / 100.0 AS v1,
+             0.02 + CAST(p_size % 7 AS DOUBLE) / 100.0 AS v2,
+             0.005 * CAST((p_partkey % 3) - 1 AS DOUBLE) AS c12
+      FROM part)""")
+def q_wald_z(spark, d):
+    """D9 arithmetic: contrast of two non-reference levels, c = (0, 1, -1), on stored
+    beta / covariance arrays: LFC, SE (log2) and z."""
+    w = G.wald(_fit_table(spark, d), [0.0, 1.0, -1.0], "c")
+    return w.select("gene_id", F.round("log2_fold_change", 6).alias("log2_fold_change"),
+                    F.round("lfc_se", 6).alias("lfc_se"), F.round("stat", 6).alias("stat"))
