@@ -6,8 +6,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+# Largest group a single task may hold for the one-aggregate path.
+MAX_GROUP_IN_TASK = 2_000_000
+
+
 def exact_quantiles(df: DataFrame, value: str, qs: list[float], group: str | None = None,
-                    n_parts: int | None = None) -> DataFrame:
+                    n_parts: int | None = None, max_group: int = MAX_GROUP_IN_TASK) -> DataFrame:
     """Exact quantiles with linear interpolation (same as ``percentile`` / ``quantile_cont``).
 
     Returns (group?, q, value). The rows are range-partitioned by
@@ -16,7 +20,18 @@ def exact_quantiles(df: DataFrame, value: str, qs: list[float], group: str | Non
     gives each partition's rank offset; rows then know their exact rank
     inside the group and only the (at most 2 per q) target ranks are kept.
     No task ever holds a whole group, however large the group is.
+
+    Size check first (one small aggregate): when every group has at most
+    ``max_group`` values, the plain ``percentile`` aggregate is used (one
+    task per group is then provably bounded and cheaper to plan).
     """
+    keys_ = [group] if group else []
+    biggest = df.where(F.col(value).isNotNull()).groupBy(*keys_).count().agg(F.max("count")).first()[0]
+    if biggest is not None and biggest <= max_group:
+        qa = F.array(*[F.lit(float(q)) for q in qs])
+        agg = df.groupBy(*keys_).agg(F.percentile(F.col(value).cast("double"), qa).alias("__vals"))
+        return agg.select(*keys_, F.explode(F.arrays_zip(qa.alias("q"), F.col("__vals").alias("v"))).alias("__z")) \
+            .select(*keys_, F.col("__z.q").alias("q"), F.col("__z.v").alias(value))
     keys = [group] if group else ["__g"]
     src = df if group else df.withColumn("__g", F.lit(0))   # one group: a constant key
     d = src.select(*[F.col(k) for k in keys], F.col(value).cast("double").alias("__v")).where(F.col("__v").isNotNull())

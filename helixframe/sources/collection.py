@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 COLLECTION_SCHEMA = ("id string, document string, embedding array<double>, "
                      "metadata struct<year:int, journal:string, gene:string>")
-DEFAULT_BUCKETS = 256
+DEFAULT_BUCKETS = 32   # fixed per collection at creation (stored in the manifest)
 
 
 def _fs(spark: SparkSession, path: str):
@@ -73,6 +73,7 @@ def bucket_of(id_col="id", n_buckets: int = DEFAULT_BUCKETS):
 
 
 def _manifest(spark: SparkSession, base: str) -> tuple[int | None, dict[int, str]]:
+    """(live version, bucket -> path); the bucket count is entry -1."""
     cur = _read_text(spark, os.path.join(base, "_CURRENT"))
     if cur is None:
         return None, {}
@@ -86,17 +87,27 @@ def _manifest(spark: SparkSession, base: str) -> tuple[int | None, dict[int, str
     return v, m
 
 
-def open_collection(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """The live rows of a collection; an unknown name is created empty."""
+def _n_buckets(m: dict, default: int) -> int:
+    return int(m[-1]) if -1 in m else default
+
+
+def _manifest_text(m: dict) -> str:
+    return "\n".join(f"{b}\t{p}" for b, p in sorted(m.items()))
+
+
+def open_collection(spark: SparkSession, root: str, name: str, n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+    """The live rows of a collection; an unknown name is created empty
+    with ``n_buckets`` hash buckets (fixed for the collection's lifetime)."""
     base = os.path.join(root, name)
     v, m = _manifest(spark, base)
     if v is None:
-        _write_text(spark, os.path.join(base, "manifest-0.txt"), "")
+        m = {-1: str(n_buckets)}
+        _write_text(spark, os.path.join(base, "manifest-0.txt"), _manifest_text(m))
         _write_text(spark, os.path.join(base, "_CURRENT"), "0")
-        m = {}
-    if not m:
+    paths = sorted({p for b, p in m.items() if b >= 0})
+    if not paths:
         return spark.createDataFrame([], COLLECTION_SCHEMA)
-    return spark.read.schema(COLLECTION_SCHEMA).parquet(*sorted(set(m.values())))
+    return spark.read.schema(COLLECTION_SCHEMA).parquet(*paths)
 
 
 def upsert(spark: SparkSession, root: str, name: str, rows: DataFrame, order_col: str | None = None,
@@ -107,8 +118,9 @@ def upsert(spark: SparkSession, root: str, name: str, rows: DataFrame, order_col
     else an arbitrary one of the duplicates).
     """
     base = os.path.join(root, name)
-    open_collection(spark, root, name)  # creates an empty collection if needed
+    open_collection(spark, root, name, n_buckets)  # creates an empty collection if needed
     v, m = _manifest(spark, base)
+    n_buckets = _n_buckets(m, n_buckets)
     if order_col:
         w = Window.partitionBy("id").orderBy(F.col(order_col).desc())
         rows = rows.withColumn("__rn", F.row_number().over(w)).where("__rn = 1").drop("__rn", order_col)
@@ -119,7 +131,7 @@ def upsert(spark: SparkSession, root: str, name: str, rows: DataFrame, order_col
     touched = sorted(r[0] for r in new.select("bucket").distinct().collect())  # at most n_buckets ints
     if not touched:
         return open_collection(spark, root, name)
-    old_paths = sorted({m[b] for b in touched if b in m})
+    old_paths = sorted({m[b] for b in touched if b in m and b >= 0})
     if old_paths:
         old = spark.read.schema(COLLECTION_SCHEMA).parquet(*old_paths) \
             .withColumn("bucket", bucket_of("id", n_buckets)).where(F.col("bucket").isin(touched))
@@ -134,8 +146,7 @@ def upsert(spark: SparkSession, root: str, name: str, rows: DataFrame, order_col
     out.write.mode("overwrite").partitionBy("bucket").parquet(vdir)
     for b in touched:
         m[b] = os.path.join(vdir, f"bucket={b}")
-    _write_text(spark, os.path.join(base, f"manifest-{nxt}.txt"),
-                "\n".join(f"{b}\t{p}" for b, p in sorted(m.items())))
+    _write_text(spark, os.path.join(base, f"manifest-{nxt}.txt"), _manifest_text(m))
     _write_text(spark, os.path.join(base, "_CURRENT"), str(nxt))
     return open_collection(spark, root, name)
 
@@ -145,6 +156,7 @@ def live_ids(spark: SparkSession, root: str, name: str, ids: DataFrame, id_col:
     """Ids of ``ids`` already in the collection, reading only the buckets they hash to."""
     base = os.path.join(root, name)
     _, m = _manifest(spark, base)
+    n_buckets = _n_buckets(m, n_buckets)
     b = ids.select(bucket_of(id_col, n_buckets).alias("b")).distinct()
     touched = sorted(r[0] for r in b.collect())
     paths = sorted({m[x] for x in touched if x in m})

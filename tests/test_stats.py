@@ -150,3 +150,15 @@ def test_exact_quantiles_match_numpy(spark):
     allv = np.concatenate(list(vals.values()))
     for q in qs:
         assert abs(got[round(q, 6)] - np.quantile(allv, q)) < 1e-12
+
+
+def test_exact_quantiles_both_paths_agree(spark):
+    from helixframe.operators.stats import exact_quantiles
+    rng = np.random.default_rng(9)
+    rows = [(g, float(v)) for g in "xyz" for v in rng.normal(size=77)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    small = {(r.g, r.q): r.v for r in exact_quantiles(df, "v", [0.3, 0.5], "g").collect()}
+    big = {(r.g, r.q): r.v for r in exact_quantiles(df, "v", [0.3, 0.5], "g", max_group=10).collect()}
+    assert small.keys() == big.keys()
+    for k in small:
+        assert abs(small[k] - big[k]) < 1e-12
