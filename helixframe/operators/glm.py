@@ -189,7 +189,9 @@ def dispersion_trend(disp: DataFrame, max_loops: int = 6) -> dict:
     positive. Returns {a0, a1, n_genes, parametric}.
     """
     base = disp.where((F.col("alpha_gw") >= 100 * MIN_DISP) & (F.col("base_mean") > 0)) \
-        .select((F.lit(1.0) / F.col("base_mean")).alias("x"), F.col("alpha_gw").alias("a")).checkpoint()
+        .select((F.lit(1.0) / F.col("base_mean")).alias("x"), F.col("alpha_gw").alias("a"))
+    from helixframe.session import cut_lineage
+    base = cut_lineage(base)
     a0, a1 = 0.1, 1.0
     cur = base
     for _ in range(max_loops):

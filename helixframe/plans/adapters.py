@@ -61,7 +61,8 @@ def study_cells(spark: SparkSession, d: str) -> DataFrame:
     checkpoint folder: every later action of a query (sample count, size
     checks, size factors, fits) reads this small table instead of re-running
     the lineitem x orders x customer join."""
-    return count_cells(spark, d).checkpoint()
+    from helixframe.session import cut_lineage
+    return cut_lineage(count_cells(spark, d))
 
 
 def counts_long(spark: SparkSession, d: str, cells: DataFrame | None = None) -> DataFrame:

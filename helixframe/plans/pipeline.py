@@ -67,10 +67,11 @@ def deseq(ctx: ExpressionInputs, factors: list[str], ref: dict | None = None) ->
     # keep one Arrow batch of gene arrays around 2M cells, however many samples
     spark = ctx.gene_vec.sparkSession
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(max(64, min(10_000, 2_000_000 // X.shape[0]))))
-    disp = G.genewise_dispersion(ctx.gene_vec, X, ctx.sf_array).checkpoint()
+    from helixframe.session import cut_lineage
+    disp = cut_lineage(G.genewise_dispersion(ctx.gene_vec, X, ctx.sf_array))
     trend = G.dispersion_trend(disp)
     prior = G.dispersion_prior(disp, trend, X.shape[0], X.shape[1])
-    fit = G.fit_genes(disp, X, ctx.sf_array, trend, prior).checkpoint()
+    fit = cut_lineage(G.fit_genes(disp, X, ctx.sf_array, trend, prior))
     return DEFit(fit, names, trend, prior, disp)
 
 

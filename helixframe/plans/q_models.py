@@ -35,7 +35,8 @@ def q_dispersion_trend(spark, d):
     """Parametric trend coefficients (one row)."""
     ctx = expression_inputs(spark, d)
     Xm, _ = G.design_matrix(ctx.design, ["condition"], REF)
-    disp = G.genewise_dispersion(ctx.gene_vec, Xm, ctx.sf_array).checkpoint()
+    from helixframe.session import cut_lineage
+    disp = cut_lineage(G.genewise_dispersion(ctx.gene_vec, Xm, ctx.sf_array))
     t = G.dispersion_trend(disp)
     return spark.createDataFrame([(t["a0"], t["a1"], t["n_genes"], t["parametric"])],
                                  "a0 double, a1 double, n_genes long, parametric boolean")
@@ -105,7 +106,8 @@ def q_pca_scores(spark, d):
     """Two principal components of the VST matrix (trend from D4), samples as rows."""
     ctx = expression_inputs(spark, d)
     Xm, _ = G.design_matrix(ctx.design, ["condition"], REF)
-    disp = G.genewise_dispersion(ctx.gene_vec, Xm, ctx.sf_array).checkpoint()
+    from helixframe.session import cut_lineage
+    disp = cut_lineage(G.genewise_dispersion(ctx.gene_vec, Xm, ctx.sf_array))
     t = G.dispersion_trend(disp)
     a0, a1 = (t["a0"], t["a1"]) if t["parametric"] else (t["a0"], 0.0)
     sfa = F.array(*[F.lit(float(s)) for s in ctx.sf_array])

@@ -89,3 +89,15 @@ def require_small(df: DataFrame, max_rows: int, what: str) -> int:
     if n > max_rows:
         raise ValueError(f"{what} has more than {max_rows} rows; this operator needs a bounded side")
     return n
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Eager reliable checkpoint into the shared folder (``spark.checkpoint.dir``).
+
+    The one place where lineage is cut: later actions and any recomputation
+    after an executor loss read the written files, not the upstream scans.
+    (``Dataset.checkpoint(eager=True)`` writes in a single job; persisting
+    first only added a cache round trip when measured.)
+    """
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
