@@ -66,12 +66,20 @@ def deseq(ctx: ExpressionInputs, factors: list[str], ref: dict | None = None) ->
     X, names = G.design_matrix(ctx.design, factors, ref)
     # keep one Arrow batch of gene arrays around 2M cells, however many samples
     spark = ctx.gene_vec.sparkSession
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(max(64, min(10_000, 2_000_000 // X.shape[0]))))
-    from helixframe.session import cut_lineage
-    disp = cut_lineage(G.genewise_dispersion(ctx.gene_vec, X, ctx.sf_array))
-    trend = G.dispersion_trend(disp)
-    prior = G.dispersion_prior(disp, trend, X.shape[0], X.shape[1])
-    fit = cut_lineage(G.fit_genes(disp, X, ctx.sf_array, trend, prior))
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, str(max(64, min(10_000, 2_000_000 // X.shape[0]))))
+    try:
+        from helixframe.session import cut_lineage
+        disp = cut_lineage(G.genewise_dispersion(ctx.gene_vec, X, ctx.sf_array))
+        trend = G.dispersion_trend(disp)
+        prior = G.dispersion_prior(disp, trend, X.shape[0], X.shape[1])
+        fit = cut_lineage(G.fit_genes(disp, X, ctx.sf_array, trend, prior))
+    finally:  # both kernels ran inside the eager checkpoints
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
     return DEFit(fit, names, trend, prior, disp)
 
 
