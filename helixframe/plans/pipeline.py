@@ -34,6 +34,9 @@ def expression_inputs(spark: SparkSession, d: str, min_total: int = 10) -> Expre
     samples = A.samples(spark, d, cells)
     design = [r.asDict() for r in samples.orderBy("sample_idx").collect()]
     n = len(design)
+    # the design is m rows already on the driver: reuse it as a local relation
+    # instead of re-deriving it from the cells in every later join / size check
+    samples = spark.createDataFrame([tuple(r[c] for c in samples.columns) for r in design], samples.schema)
     counts, samples = R.keep_samples(counts, samples, "condition")
     kept = R.keep_genes(counts, min_total)
     sf = N.size_factors(kept, n)
