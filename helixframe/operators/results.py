@@ -72,7 +72,8 @@ def merge_cache(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
 def neg_log10(col) -> Column:
     """-log10(p); p == 0 gives +inf (Spark's log of 0 is NULL)."""
     c = F.col(col) if isinstance(col, str) else col
-    return F.when(c == 0, F.lit(float("inf"))).otherwise(-F.log10(c))
+    # 0 - log10(p), not -log10(p): p = 1 gives +0.0 rather than -0.0
+    return F.when(c == 0, F.lit(float("inf"))).otherwise(F.lit(0.0) - F.log10(c))
 
 
 def volcano_category(lfc="log2_fold_change", padj="padj", lfc_thr: float = LFC_THRESHOLD,

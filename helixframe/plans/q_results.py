@@ -66,7 +66,7 @@ def q_symbol_cache_merge(spark, d):
 
 @register("volcano_points", cte("de_results") + """
 SELECT contrast, gene_id,
-       CASE WHEN padj = 0 THEN CAST('Infinity' AS DOUBLE) ELSE round(-log10(padj), 6) END AS neg_log10_padj,
+       CASE WHEN padj = 0 THEN CAST('Infinity' AS DOUBLE) ELSE round(0.0 - log10(padj), 6) END AS neg_log10_padj,
        CASE WHEN padj < 0.05 AND log2_fold_change > 1 THEN 'up'
             WHEN padj < 0.05 AND log2_fold_change < -1 THEN 'down' ELSE 'ns' END AS category
 FROM de_results WHERE padj IS NOT NULL""")
