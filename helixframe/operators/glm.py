@@ -424,3 +424,71 @@ def shrink_lfc(res: DataFrame, n_iter: int = 30) -> tuple[DataFrame, float]:
     post = F.lit(1.0) / v + F.lit(2.0) * (F.lit(S2) - F.col("lfc_shrunk") ** 2) / ((F.lit(S2) + F.col("lfc_shrunk") ** 2) ** 2)
     out = out.withColumn("lfc_shrunk_se", F.when(post > 0, F.lit(1.0) / F.sqrt(post)))
     return out, math.sqrt(S2)
+
+
+# ------------------------------------------------------------------ D6 without Python
+
+def fit_single_factor(gene_vec: DataFrame, design: list[dict], factor: str, ref: str, sf: list[float],
+                      alpha_col: str = "alpha", n_iter: int = 30) -> DataFrame:
+    """D6 as Catalyst expressions only: one-factor NB fit in cell-means form.
+
+    For each level L the MLE solves sum_{j in L} (y_j - mu_j) / (1 + a mu_j) = 0
+    with mu_j = s_j exp(b_L) (floored at 0.5); Newton steps
+    b += sum (y - mu)/(1 + a mu) / sum mu/(1 + a mu) run as an ``aggregate``
+    over a step sequence on the gene's own array slice (JVM only, no Arrow
+    round trip). Returns the same (beta, cov) arrays as :func:`fit_genes` in
+    treatment coding (intercept = reference level), so :func:`wald` applies.
+    """
+    levels = sorted({r[factor] for r in design})
+    if ref not in levels:
+        raise ValueError(f"reference level {ref!r} not in {factor}")
+    order = [ref] + [lv for lv in levels if lv != ref]
+    a = F.col(alpha_col)
+
+    def level_fit(lv):
+        idx = [i for i, r in enumerate(design) if r[factor] == lv]
+        ys = F.array(*[F.col("y")[i] for i in idx])
+        ss = F.array(*[F.lit(float(sf[i])) for i in idx])
+        pairs = F.arrays_zip(ys.alias("y"), ss.alias("s"))
+        tot_y = F.aggregate(ys, F.lit(0.0), lambda acc, v: acc + v)
+        b0 = F.log(F.greatest(tot_y, F.lit(0.5)) / F.lit(float(sum(sf[i] for i in idx))))
+
+        def mu(p, b):
+            return F.greatest(p["s"] * F.exp(b), F.lit(MIN_MU))
+
+        def step(b, _):
+            num = F.aggregate(pairs, F.lit(0.0), lambda acc, p: acc + (p["y"] - mu(p, b)) / (F.lit(1.0) + a * mu(p, b)))
+            den = F.aggregate(pairs, F.lit(0.0), lambda acc, p: acc + mu(p, b) / (F.lit(1.0) + a * mu(p, b)))
+            return F.least(F.greatest(b + num / den, F.lit(-30.0)), F.lit(30.0))
+
+        b = F.aggregate(F.sequence(F.lit(1), F.lit(n_iter)), b0, step)
+        return b, pairs
+
+    cols, bs = [], []
+    for k, lv in enumerate(order):
+        b, pairs = level_fit(lv)
+        cols.append(b.alias(f"__b{k}"))
+    out = gene_vec.select("gene_id", alpha_col, "y", *cols)
+    vs = []
+    for k, lv in enumerate(order):
+        idx = [i for i, r in enumerate(design) if r[factor] == lv]
+        w = sum((F.greatest(F.lit(float(sf[i])) * F.exp(F.col(f"__b{k}")), F.lit(MIN_MU)) /
+                 (F.lit(1.0) + a * F.greatest(F.lit(float(sf[i])) * F.exp(F.col(f"__b{k}")), F.lit(MIN_MU)))
+                 for i in idx), F.lit(0.0))
+        vs.append(F.lit(1.0) / w)
+    p = len(order)
+    beta = F.array(F.col("__b0"), *[F.col(f"__b{k}") - F.col("__b0") for k in range(1, p)])
+    # treatment-coded covariance from independent cell means: var(int) = v0,
+    # var(c_k) = v_k + v0, cov(int, c_k) = -v0, cov(c_k, c_l) = v0
+    cells = []
+    for i in range(p):
+        for j in range(p):
+            if i == 0 and j == 0:
+                cells.append(vs[0])
+            elif i == 0 or j == 0:
+                cells.append(-vs[0])
+            elif i == j:
+                cells.append(vs[i] + vs[0])
+            else:
+                cells.append(vs[0])
+    return out.select("gene_id", beta.alias("beta"), F.array(*cells).alias("cov"))
