@@ -37,6 +37,9 @@ def expression_inputs(spark: SparkSession, d: str, min_total: int = 10) -> Expre
     # the design is m rows already on the driver: reuse it as a local relation
     # instead of re-deriving it from the cells in every later join / size check
     samples = spark.createDataFrame([tuple(r[c] for c in samples.columns) for r in design], samples.schema)
+    # Counts, metadata and QC must describe the same samples (fails fast)
+    qc = A.qc_table(spark, d, cells).withColumnRenamed("external_id", "sample_id")
+    R.assert_aligned(R.check_alignment(counts, samples, qc))
     counts, samples = R.keep_samples(counts, samples, "condition")
     kept = R.keep_genes(counts, min_total)
     sf = N.size_factors(kept, n)

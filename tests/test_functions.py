@@ -78,3 +78,15 @@ def test_build_query(spark):
     df = spark.createDataFrame([("BEST4",)], "g string")
     q = df.select(T.build_query("g")).first()[0]
     assert q == '"BEST4"[Title/Abstract] AND "Colorectal Neoplasms"[MeSH Major Topic] AND hasabstract[text]'
+
+
+def test_alignment_check_raises_on_missing_sample(spark):
+    import pytest
+    from helixframe.operators import reshape as R
+    counts = spark.createDataFrame([("g", "s1", 1), ("g", "s2", 2)], "gene_id string, sample_id string, count long")
+    samples = spark.createDataFrame([("s1",), ("s2",)], "sample_id string")
+    qc = spark.createDataFrame([("s1",)], "sample_id string")
+    al = R.check_alignment(counts, samples, qc)
+    assert {r.sample_id: r.in_qc for r in al.collect()} == {"s1": True, "s2": False}
+    with pytest.raises(ValueError):
+        R.assert_aligned(al)
