@@ -90,3 +90,27 @@ def test_alignment_check_raises_on_missing_sample(spark):
     assert {r.sample_id: r.in_qc for r in al.collect()} == {"s1": True, "s2": False}
     with pytest.raises(ValueError):
         R.assert_aligned(al)
+
+
+def test_gzip_tsv_counts_with_comments(spark, tmp_path):
+    """Gzip TSV, '#' comment lines skipped, a mid-line '#' kept, wide -> long with zeros."""
+    import gzip
+    from helixframe.sources import tabular as TB
+    p = tmp_path / "counts.tsv.gz"
+    with gzip.open(p, "wt") as f:
+        f.write("# exported counts\ngene_id\tS1\tS2\n# note\nG1.3\t5\t0\nG2\t7\t9\n")
+    long = {(r.gene_id, r.sample_id): r["count"] for r in TB.read_counts(spark, str(p), sep="\t", comment="#").collect()}
+    assert long == {("G1.3", "S1"): 5, ("G1.3", "S2"): 0, ("G2", "S1"): 7, ("G2", "S2"): 9}
+    m = tmp_path / "meta.tsv"
+    m.write_text("# header comment\nexternal_id\ttitle\nS1\tAMC_01 #run1\n")
+    row = TB.read_tsv(spark, str(m)).first()
+    assert row.title == "AMC_01 #run1"
+
+
+def test_coverage_to_counts_half_even(spark):
+    from helixframe.operators.reshape import coverage_to_counts
+    cov = spark.createDataFrame([("g", "s", 2.5), ("g", "t", 3.5), ("g", "u", 7.0)],
+                                "gene_id string, sample_id string, coverage double")
+    qc = spark.createDataFrame([("s", 1.0), ("t", 1.0), ("u", 2.0)], "external_id string, avg_len double")
+    got = {r.sample_id: r["count"] for r in coverage_to_counts(cov, qc).collect()}
+    assert got == {"s": 2, "t": 4, "u": 4}   # half to even: 2.5 -> 2, 3.5 -> 4, 3.5 -> 4
