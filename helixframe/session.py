@@ -42,11 +42,41 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 
 
 def configure(spark: SparkSession) -> None:
-    """Apply the defaults the operators rely on, where the session left them unset."""
+    """Apply the defaults the operators rely on, where the session left them unset,
+    and ship this package to the Python workers."""
     for k, v in _DEFAULTS.items():
         if spark.conf.get(k, None) is None:
             spark.conf.set(k, v)
     checkpoint_dir(spark)
+    ship_package(spark)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``helixframe`` importable in every Python worker (pandas UDFs, mapInPandas).
+
+    The package is zipped once per application and added with ``addPyFile``
+    (the programmatic ``--py-files``); executors then import it no matter
+    where the driver was started from.
+    """
+    import zipfile
+
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg_dir)
+    zpath = os.path.join(tempfile.mkdtemp(prefix="helix-pyfiles-"), "helixframe.zip")
+    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
+        for dirpath, _, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(zpath)
+    _SHIPPED.add(sc.applicationId)
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
