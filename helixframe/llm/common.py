@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -108,3 +109,34 @@ def fit_logistic(X: np.ndarray, y: np.ndarray, l2: float = 1e-2, steps: int = 60
         if np.abs(d).max() < 1e-7:
             break
     return w
+
+
+class Words:
+    """White-space words of a slice of texts, as codes into their distinct strings."""
+
+    def __init__(self, arr: pa.Array, lower: bool = False):
+        arr = pc.fill_null(arr, "")
+        lists = pc.ascii_split_whitespace(pc.ascii_trim_whitespace(pc.utf8_lower(arr) if lower else arr))
+        coded = pc.dictionary_encode(lists.flatten())
+        self.names: list[str] = coded.dictionary.to_pylist()
+        codes = coded.indices.to_numpy(zero_copy_only=False)
+        counts = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+        if "" in self.names:                       # a text without words comes as one empty word
+            gone = codes == self.names.index("")
+            counts -= np.bincount(np.repeat(np.arange(len(counts)), counts)[gone], minlength=len(counts))
+            codes = codes[~gone]
+        self.codes, self.counts = codes, counts
+        self.ends = np.cumsum(counts)
+        self.starts = self.ends - counts
+
+    def owner(self) -> np.ndarray:
+        """The text of each word."""
+        return np.repeat(np.arange(len(self.counts)), self.counts)
+
+    def per_text(self, ufunc, values: np.ndarray, empty: float = 0.0) -> np.ndarray:
+        """``ufunc`` (add, maximum) of the words' values, rows of a 1- or 2-d array, per text."""
+        out = np.full((len(self.counts), *values.shape[1:]), empty, values.dtype)
+        some = self.counts > 0
+        if some.any():
+            out[some] = ufunc.reduceat(values, self.starts[some], axis=0)
+        return out

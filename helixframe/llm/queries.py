@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from helixframe.llm import fixity, packing, quality_rules, token_index, url_filter
+from helixframe.llm import decontaminate, fixity, jaccard_join, langid, packing, quality, quality_rules, token_index, toxicity, url_filter
 from helixframe.session import scratch_path
 from helixframe.sources.tables import read_table
 
@@ -36,12 +36,38 @@ hit AS (
 SELECT page_id, host, path, rule, coalesce(rv, 'allow') AS verdict FROM hit WHERE k = 1"""
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contained_items(read_table(spark, sf_dir, "documents", "doc_id", "text"),
+                                         read_table(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
+_SHINGLES = r"""
+{d}_words AS (SELECT {key} AS k, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{{L}}\p{{N}}]+'), lambda x: x <> '') AS w FROM {d}),
+{d}_sh AS (SELECT DISTINCT k, unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' '))) AS sh FROM {d}_words)"""
+
+_DECONTAMINATION_SQL = "WITH " + _SHINGLES.format(d="documents", key="doc_id") + "," + _SHINGLES.format(d="benchmark", key="item_id") + """,
+size AS (SELECT k, count(*) AS n FROM benchmark_sh GROUP BY k)
+SELECT d.k AS doc_id, b.k AS item_id, count(*) AS n_shared, any_value(size.n) AS n_item, count(*) / any_value(size.n) AS containment
+FROM documents_sh d JOIN benchmark_sh b USING (sh) JOIN size ON size.k = b.k
+GROUP BY d.k, b.k HAVING count(*) >= 0.8 * any_value(size.n) - 1e-6"""
+
+
 def op3_token_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
     docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
     return token_index.token_file_digest(docs, scratch_path(spark, "token_ids"), shards)
 
 
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_scores(read_table(spark, sf_dir, "documents", "doc_id", "text"),
+                                  read_table(spark, sf_dir, "labels", "doc_id", "quality"))
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_scores(read_table(spark, sf_dir, "documents", "doc_id", "text"),
+                                    read_table(spark, sf_dir, "labels", "doc_id", "toxic"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read_table(spark, sf_dir, "documents", "doc_id", "text"))
 
@@ -50,6 +76,34 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(read_table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.language_predictions(read_table(spark, sf_dir, "documents", "doc_id", "text", "lang"))
+
+
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_join(read_table(spark, sf_dir, "documents", "doc_id", "text")).drop("uid", "keeper")
+
+
+_JACCARD_SQL = r"""
+WITH RECURSIVE doc_words AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w FROM documents),
+gram AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' '))
+                                      WHEN len(w) > 0 THEN ['short ' || array_to_string(w, ' ')] ELSE [] END) AS g FROM doc_words),
+size AS (SELECT doc_id, count(*) AS n, md5(string_agg(g, '|' ORDER BY g)) AS same FROM gram GROUP BY doc_id),
+rep AS (SELECT same, min(doc_id) AS copy_of, count(*) AS copies, any_value(n) AS n FROM size GROUP BY same),
+rep_gram AS (SELECT copy_of AS r, g FROM rep JOIN gram ON gram.doc_id = rep.copy_of),
+pair AS (SELECT a.r AS a, b.r AS b, count(*) AS c FROM rep_gram a JOIN rep_gram b ON a.g = b.g AND a.r <> b.r GROUP BY a.r, b.r),
+link AS (SELECT a, b, y.copies AS m FROM pair JOIN rep x ON x.copy_of = a JOIN rep y ON y.copy_of = b WHERE 5 * c >= 4 * (x.n + y.n - c)),
+walk AS (SELECT copy_of AS r, copy_of AS root FROM rep UNION SELECT link.b, walk.root FROM walk JOIN link ON link.a = walk.r),
+named AS (SELECT r, min(root) AS class_id FROM walk GROUP BY r),
+degree AS (SELECT a AS r, sum(m) AS k FROM link GROUP BY a)
+SELECT d.doc_id, coalesce(named.class_id, d.doc_id) AS class_id, coalesce(rep.copy_of, d.doc_id) AS copy_of,
+       CAST(coalesce(rep.copies - 1 + coalesce(degree.k, 0), 0) AS BIGINT) AS n_links
+FROM documents d LEFT JOIN size USING (doc_id) LEFT JOIN rep ON rep.same = size.same
+LEFT JOIN named ON named.r = rep.copy_of LEFT JOIN degree ON degree.r = rep.copy_of"""
+
+
 #: Which records of the second replica are damaged: by their id's checksum, about one in forty.
 FAULT_MODULUS = 40
 
@@ -61,9 +115,14 @@ def op10_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 Q = {
     "op1_url_filter": (op1_url_filter, _url_sql()),
+    "op2_decontamination": (op2_decontamination, _DECONTAMINATION_SQL),
     "op3_token_index": (op3_token_index, None),
+    "op4_quality_classifier": (op4_quality_classifier, None),
+    "op5_toxicity": (op5_toxicity, None),
     "op6_packing": (op6_packing, None),
     "op7_quality_rules": (op7_quality_rules, None),
+    "op8_language_id": (op8_language_id, None),
+    "op9_jaccard_join": (op9_jaccard_join, _JACCARD_SQL),
     "op10_fixity": (op10_fixity, None),
 }
 
