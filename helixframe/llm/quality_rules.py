@@ -5,7 +5,8 @@ Then two histograms of each document are compared with its language's reference
 Jensen-Shannon distance (base 2, square root of the divergence, 0 to 1): character classes, and common words
 (each listed word, and all others together). References are the mean histograms of the corpus's
 own documents that pass the base rules and are long enough; a document's language is the list
-whose words it holds most. Documents below the minimum lengths are not judged by distance.
+whose words it holds most. A document is rejected if either distance, or the mean of both, exceeds its
+limit. Documents below the minimum lengths are not judged by distance.
 
 Defined results: null or empty text has no words, so it fails the base rules; no rows give no
 rows; a document whose language has no reference is judged by the base rules alone.
@@ -132,7 +133,8 @@ def js_distance(p: np.ndarray, q: np.ndarray) -> np.ndarray:
 
 def quality_rules(docs: DataFrame, common: dict[str, list[str]] | None = None, min_words: int = 20, max_repeat_pct: int = 30,
                   min_chars_divergence: int = 200, min_words_divergence: int = 50,
-                  max_char_distance: float = 0.25, max_word_distance: float = 0.6) -> DataFrame:
+                  max_char_distance: float = 0.25, max_word_distance: float = 0.6,
+                  max_mean_distance: float = 0.23) -> DataFrame:
     """doc_id, the base counts, base_failed, kept, char_distance, word_distance (null: not judged)."""
     common = common or COMMON_WORDS
     spark = docs.sparkSession
@@ -169,7 +171,7 @@ def quality_rules(docs: DataFrame, common: dict[str, list[str]] | None = None, m
             dc = js_distance(c / np.maximum(total, 1)[:, None], ref_c[at])
             dw = js_distance(p / np.maximum(p.sum(1), 1)[:, None], ref_w[at])
             jc, jw = judged & (total >= min_chars_divergence), judged & (n >= min_words_divergence)
-            bad = (jc & (dc > max_char_distance)) | (jw & (dw > max_word_distance))
+            bad = (jc & (dc > max_char_distance)) | (jw & (dw > max_word_distance)) | (jc & jw & ((dc + dw) / 2 > max_mean_distance))
             return {"char_distance": pa.array(dc, mask=~jc), "word_distance": pa.array(dw, mask=~jw), "diverges": pa.array(bad)}
         return one
 

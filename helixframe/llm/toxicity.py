@@ -83,6 +83,8 @@ def _triples(c: np.ndarray, a: int, b: int) -> np.ndarray | None:
 
 
 def _norms(n: np.ndarray) -> np.ndarray:
+    """Norm of a word's subsequence weights by its length, each subsequence counted as a feature of its own (a word
+    that repeats one is a little longer than its norm says)."""
     return np.sqrt(np.maximum(sum(w * w * np.maximum(n - a - b, 0) for a, b, w in SHAPES), 1e-9))
 
 
