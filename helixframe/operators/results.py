@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as Ty
 
 from helixframe.functions import text as T
-from helixframe.session import checked_broadcast
+from helixframe.session import checked_broadcast, cut_lineage
 
 LFC_THRESHOLD = 1.0
 ALPHA = 0.05
@@ -210,58 +210,54 @@ def compare_models(df: DataFrame, a: str, b: str, alpha: float = ALPHA) -> DataF
 
 # ------------------------------------------------------------- D10
 
-def bh_adjust(df: DataFrame, p: str = "pvalue", by: str | None = "contrast", out: str = "padj_bh") -> DataFrame:
+def ranged(df: DataFrame, keys: list[str], n_parts: int | None = None) -> DataFrame:
+    """``df`` dealt into ranges of ``keys`` and stored with its range number ``__part``.
+
+    Stored, because every plan that reads the ranges must see the same ones: a range exchange that is
+    planned twice samples its borders twice. Equal keys share a range; number order is key order.
+    """
+    n = n_parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return cut_lineage(df.repartitionByRange(n, *[F.col(k) for k in keys]).withColumn("__part", F.spark_partition_id()))
+
+
+def bh_adjust(df: DataFrame, p: str = "pvalue", by: str | None = "contrast", out: str = "padj_bh",
+              n_parts: int | None = None) -> DataFrame:
     """Benjamini-Hochberg adjusted p per group; NULL p stays NULL.
 
-    ``padj_i = min(1, min_{j >= i} p_(j) * m / j)`` over p sorted ascending.
-    Two windows on the group key: rank by p, then the running minimum from
-    the largest p down. Ties in p take the same (tied) adjusted value
-    because the suffix minimum runs over whole tie groups.
-    Parallelism is one task per group; for one huge group use
-    :func:`bh_adjust_ranged`.
+    ``padj_i = min(1, min_{j >= i} p_(j) * m / j)`` over p sorted ascending; ties share a value.
+    Rows are first counted by distinct p (so ties of any number are one row), then
+    dealt into ranges of (group, p); one-row-per-range summaries give each range its rank
+    offset and the least value of the ranges after it. No task holds a whole group.
     """
     keys = [by] if by else []
-    base = df.where(F.col(p).isNotNull())
-    wn = Window.partitionBy(*keys) if keys else Window.partitionBy()
-    wr = wn.orderBy(F.col(p).asc())
-    # rank = number of rows with p <= this p, i.e. the last position of a tie group
-    ranked = base.withColumn("__m", F.count(F.lit(1)).over(wn)) \
-        .withColumn("__r", F.count(F.lit(1)).over(wr.rangeBetween(Window.unboundedPreceding, 0)))
-    ranked = ranked.withColumn("__q", F.col(p) * F.col("__m") / F.col("__r"))
-    suffix = wn.orderBy(F.col(p).desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    adj = ranked.withColumn(out, F.least(F.lit(1.0), F.min("__q").over(suffix))).drop("__m", "__r", "__q")
-    missing = df.where(F.col(p).isNull()).withColumn(out, F.lit(None).cast("double"))
-    return adj.unionByName(missing)
+    counted = df.where(F.col(p).isNotNull()).groupBy(*keys, F.col(p).alias("__p")).agg(F.count(F.lit(1)).alias("__c"))
+    d = ranged(counted, [*keys, "__p"], n_parts)
+    # one row per range and group that meets it
+    sizes = d.groupBy("__part", *keys).agg(F.sum("__c").alias("__n"))
+    over = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
+    up = over.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.withColumn("__off", F.coalesce(F.sum("__n").over(up), F.lit(0))).withColumn("__m", F.sum("__n").over(over))
+    local = Window.partitionBy("__part", *keys)
+    same = [F.col(f"d.{k}").eqNullSafe(F.col(f"s.{k}")) for k in ["__part", *keys]]
+    on = same[0]
+    for c in same[1:]:
+        on = on & c
+    q = (d.alias("d").join(sizes.alias("s"), on).select("d.*", "s.__off", "s.__m")
+         .withColumn("__r", F.col("__off") + F.sum("__c").over(local.orderBy("__p").rowsBetween(Window.unboundedPreceding, 0)))
+         .withColumn("__q", F.col("__p") * F.col("__m") / F.col("__r")))
+    least = q.groupBy("__part", *keys).agg(F.min("__q").alias("__least"))
+    down = over.orderBy(F.col("__part").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    least = least.withColumn("__after", F.min("__least").over(down)).drop("__least")
+    adj = (q.alias("d").join(least.alias("s"), on).select("d.*", "s.__after")
+           .withColumn(out, F.least(F.lit(1.0), F.min("__q").over(local.orderBy(F.col("__p").desc())
+                                                                  .rowsBetween(Window.unboundedPreceding, 0)), F.coalesce("__after", F.lit(1.0)))))
+    adj = adj.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], "__p", out)
+    on = df[p] == adj["__p"]
+    for i, k in enumerate(keys):
+        on = on & df[k].eqNullSafe(adj[f"__k{i}"])
+    return df.join(adj, on, "left").select(*[df[c] for c in df.columns], adj[out])
 
 
 def bh_adjust_ranged(df: DataFrame, p: str = "pvalue", out: str = "padj_bh", n_parts: int = 64) -> DataFrame:
-    """D10 for one very large p-value list, without a single-task window.
-
-    Range-partition by p; per partition compute (count, min q) summaries on
-    the small side (one row per partition), turn them into global rank
-    offsets and suffix minima, then finish each partition locally. Every
-    shuffle is keyed by a p range, never one partition.
-    """
-    base = df.where(F.col(p).isNotNull()).repartitionByRange(n_parts, F.col(p)) \
-        .withColumn("__part", F.spark_partition_id())
-    m = base.count()
-    part_sizes = base.groupBy("__part").agg(F.count(F.lit(1)).alias("__n"), F.min(p).alias("__pmin"))
-    w_all = Window.orderBy("__pmin")
-    offsets = part_sizes.withColumn("__off", F.sum("__n").over(w_all.rowsBetween(Window.unboundedPreceding, -1)))
-    offsets = offsets.fillna(0, subset=["__off"]).select("__part", "__off")
-    # ranks inside a partition: tie groups never span partitions (range partitioning keeps equal keys together)
-    wl = Window.partitionBy("__part").orderBy(F.col(p).asc())
-    loc = base.join(F.broadcast(offsets), "__part")
-    loc = loc.withColumn("__r", F.col("__off") + F.count(F.lit(1)).over(wl.rangeBetween(Window.unboundedPreceding, 0)))
-    loc = loc.withColumn("__q", F.col(p) * F.lit(float(m)) / F.col("__r"))
-    # suffix minimum: local suffix min, then the min over later partitions
-    local_min = loc.groupBy("__part").agg(F.min("__q").alias("__pm"))
-    later = local_min.join(F.broadcast(part_sizes.select("__part", "__pmin")), "__part")
-    later = later.withColumn("__after", F.min("__pm").over(
-        Window.orderBy(F.col("__pmin").desc()).rowsBetween(Window.unboundedPreceding, -1))).select("__part", "__after")
-    sw = Window.partitionBy("__part").orderBy(F.col(p).desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    res = loc.join(F.broadcast(later), "__part").withColumn(
-        out, F.least(F.lit(1.0), F.least(F.min("__q").over(sw), F.coalesce("__after", F.lit(1.0)))))
-    res = res.drop("__part", "__off", "__r", "__q", "__after")
-    missing = df.where(F.col(p).isNull()).withColumn(out, F.lit(None).cast("double"))
-    return res.unionByName(missing)
+    """D10 for one list of p-values: :func:`bh_adjust` without a group."""
+    return bh_adjust(df, p, None, out, n_parts)

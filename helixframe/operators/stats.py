@@ -6,59 +6,41 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-# Largest group a single task may hold for the one-aggregate path.
-MAX_GROUP_IN_TASK = 2_000_000
-
-
 def exact_quantiles(df: DataFrame, value: str, qs: list[float], group: str | None = None,
-                    n_parts: int | None = None, max_group: int = MAX_GROUP_IN_TASK) -> DataFrame:
+                    n_parts: int | None = None) -> DataFrame:
     """Exact quantiles with linear interpolation (same as ``percentile`` / ``quantile_cont``).
 
-    Returns (group?, q, value). The rows are range-partitioned by
-    (group, value), so equal keys share a partition and partition order is
-    value order inside a group; a one-row-per-(partition, group) summary
-    gives each partition's rank offset; rows then know their exact rank
-    inside the group and only the (at most 2 per q) target ranks are kept.
-    No task ever holds a whole group, however large the group is.
-
-    Size check first (one small aggregate): when every group has at most
-    ``max_group`` values, the plain ``percentile`` aggregate is used (one
-    task per group is then provably bounded and cheaper to plan).
+    Returns (group?, q, value). Rows are counted by distinct (group, value), so a
+    value held by any number of rows is one row; these are dealt into stored ranges of (group, value), a
+    one-row-per-(range, group) summary gives each range its rank offset, and only the (at
+    most 2 per q) target ranks are kept. No task holds a whole group, however large it is.
     """
-    keys_ = [group] if group else []
-    biggest = df.where(F.col(value).isNotNull()).groupBy(*keys_).count().agg(F.max("count")).first()[0]
-    if biggest is not None and biggest <= max_group:
-        qa = F.array(*[F.lit(float(q)) for q in qs])
-        agg = df.groupBy(*keys_).agg(F.percentile(F.col(value).cast("double"), qa).alias("__vals"))
-        return agg.select(*keys_, F.explode(F.arrays_zip(qa.alias("q"), F.col("__vals").alias("v"))).alias("__z")) \
-            .select(*keys_, F.col("__z.q").alias("q"), F.col("__z.v").alias(value))
-    keys = [group] if group else ["__g"]
-    src = df if group else df.withColumn("__g", F.lit(0))   # one group: a constant key
-    d = src.select(*[F.col(k) for k in keys], F.col(value).cast("double").alias("__v")).where(F.col("__v").isNotNull())
-    n_parts = n_parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    r = d.repartitionByRange(n_parts, *[F.col(k) for k in keys], F.col("__v")) \
-        .withColumn("__p", F.spark_partition_id())
-    summ = r.groupBy("__p", *keys).agg(F.count(F.lit(1)).alias("__c"))
-    wk = Window.partitionBy(*keys)
-    summ = summ.withColumn("__off", F.coalesce(
-        F.sum("__c").over(wk.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    sizes = summ.groupBy(*keys).agg(F.sum("__c").alias("__n"))
-    # small tables: one row per (partition, group) and per group
-    loc = r.join(F.broadcast(summ.select("__p", *keys, "__off")), ["__p", *keys])
-    loc = loc.withColumn("__rank", F.col("__off") - 1 +
-                         F.row_number().over(Window.partitionBy("__p", *keys).orderBy("__v")))
+    from helixframe.operators.results import ranged
+    g = F.col(group) if group else F.lit(0)
+    counted = (df.select(g.alias("__g"), F.col(value).cast("double").alias("__v")).where(F.col("__v").isNotNull())
+               .groupBy("__g", "__v").agg(F.count(F.lit(1)).alias("__c")))
+    r = ranged(counted, ["__g", "__v"], n_parts)
+    summ = r.groupBy("__part", "__g").agg(F.sum("__c").alias("__n"))
+    wg = Window.partitionBy("__g")
+    before = wg.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    summ = summ.select(F.col("__part").alias("__sp"), F.col("__g").alias("__sg"),
+                       F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"), F.sum("__n").over(wg).alias("__all"))
+    local = Window.partitionBy("__part", "__g").orderBy("__v").rowsBetween(Window.unboundedPreceding, 0)
+    # ranks [__first, __next) of the group hold this value
+    loc = (r.withColumn("__run", F.sum("__c").over(local))
+           .join(summ, (F.col("__part") == F.col("__sp")) & F.col("__g").eqNullSafe(F.col("__sg")))
+           .withColumn("__next", F.col("__off") + F.col("__run")).withColumn("__first", F.col("__next") - F.col("__c")))
     qa = F.array(*[F.lit(float(q)) for q in qs])
-    tgt = sizes.select(*keys, "__n", F.explode(qa).alias("q")) \
-        .withColumn("__pos", F.col("q") * (F.col("__n") - 1)) \
-        .withColumn("__lo", F.floor("__pos")).withColumn("__hi", F.ceil("__pos"))
-    hit = loc.join(F.broadcast(tgt), keys, "inner")
-    hit = hit.where((F.col("__rank") == F.col("__lo")) | (F.col("__rank") == F.col("__hi")))
-    agg = hit.groupBy(*keys, "q", "__pos", "__lo").agg(
-        F.max(F.when(F.col("__rank") == F.col("__lo"), F.col("__v"))).alias("__vlo"),
-        F.max(F.when(F.col("__rank") == F.col("__hi"), F.col("__v"))).alias("__vhi"))
-    out = agg.select(*keys, "q", (F.col("__vlo") + (F.col("__pos") - F.col("__lo")) *
-                                  (F.col("__vhi") - F.col("__vlo"))).alias(value))
-    return out if group else out.drop("__g")
+    hit = (loc.withColumn("__t", F.filter(qa, lambda q: (F.ceil(q * (F.col("__all") - 1)) >= F.col("__first"))
+                                          & (F.floor(q * (F.col("__all") - 1)) < F.col("__next"))))
+           .select("__g", "__v", "__first", "__next", "__all", F.explode("__t").alias("q")))
+    pos = F.col("q") * (F.col("__all") - 1)
+    holds = lambda rank: (rank >= F.col("__first")) & (rank < F.col("__next"))
+    out = (hit.withColumn("__pos", pos)
+           .groupBy("__g", "q", "__pos").agg(F.max(F.when(holds(F.floor("__pos")), F.col("__v"))).alias("__lo"),
+                                             F.max(F.when(holds(F.ceil("__pos")), F.col("__v"))).alias("__hi")))
+    out = out.select(F.col("__g"), "q", (F.col("__lo") + (F.col("__pos") - F.floor("__pos")) * (F.col("__hi") - F.col("__lo"))).alias(value))
+    return out.withColumnRenamed("__g", group) if group else out.drop("__g")
 
 
 def exact_median(df: DataFrame, value: str, group: str | None = None) -> DataFrame:

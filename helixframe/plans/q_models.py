@@ -156,6 +156,29 @@ def q_wald_z(spark, d):
                     F.round("lfc_se", 6).alias("lfc_se"), F.round("stat", 6).alias("stat"))
 
 
+_SHRINK_SQL = """
+WITH w AS (
+  SELECT 'ENSG' || lpad(CAST(p_partkey AS VARCHAR), 11, '0') AS gene_id, (b1 - b2) / ln(2) AS lfc, sqrt(v1 + v2 - 2 * c12) / ln(2) AS se
+  FROM (SELECT p_partkey, CAST((p_partkey * 37) % 81 - 40 AS DOUBLE) / 10.0 AS b1, CAST((p_partkey * 13) % 41 - 20 AS DOUBLE) / 10.0 AS b2,
+               0.01 + CAST(p_partkey % 10 AS DOUBLE) / 100.0 AS v1, 0.02 + CAST(p_size % 7 AS DOUBLE) / 100.0 AS v2,
+               0.005 * CAST((p_partkey % 3) - 1 AS DOUBLE) AS c12 FROM part)),
+prior AS (SELECT greatest(avg(lfc * lfc - se * se), 1e-4) AS s2 FROM w),
+-- the mode is bracketed by a grid between 0 and the raw value, then twice by finer ones
+g1 AS (SELECT gene_id, lfc, se, s2, arg_min(lfc * i / 200.0, power(lfc * i / 200.0 - lfc, 2) / (2 * se * se) + ln(s2 + power(lfc * i / 200.0, 2))) AS b
+       FROM w, prior, range(0, 201) t(i) GROUP BY ALL),
+g2 AS (SELECT gene_id, lfc, se, s2, arg_min(b + lfc * i / 20000.0, power(b + lfc * i / 20000.0 - lfc, 2) / (2 * se * se) + ln(s2 + power(b + lfc * i / 20000.0, 2))) AS b
+       FROM (SELECT gene_id, lfc, se, s2, b FROM g1), range(-100, 101) t(i) GROUP BY gene_id, lfc, se, s2, b)
+SELECT gene_id, round(lfc, 6) AS log2_fold_change, round(b, 2) + 0.0 AS lfc_shrunk FROM g2"""
+
+
+@register("lfc_shrink_z", _SHRINK_SQL)
+def q_lfc_shrink_z(spark, d):
+    """D11 on the Wald table of stored coefficients; the SQL twin finds the mode by a dense search."""
+    out, _ = G.shrink_lfc(G.wald(_fit_table(spark, d), [0.0, 1.0, -1.0], "c"))
+    return out.select("gene_id", F.round("log2_fold_change", 6).alias("log2_fold_change"),
+                      (F.round("lfc_shrunk", 2) + F.lit(0.0)).alias("lfc_shrunk"))
+
+
 @register("nb_fit_single_catalyst")
 def q_nb_fit_single_catalyst(spark, d):
     """D6 without a Python worker: moment dispersions (Catalyst) and the cell-means

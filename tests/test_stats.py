@@ -4,6 +4,7 @@ import math
 import random
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F
 
 from helixframe.functions import mathx as M
@@ -152,16 +153,123 @@ def test_exact_quantiles_match_numpy(spark):
         assert abs(got[round(q, 6)] - np.quantile(allv, q)) < 1e-12
 
 
-def test_exact_quantiles_both_paths_agree(spark):
+def test_exact_quantiles_with_many_ranges_and_ties(spark):
     from helixframe.operators.stats import exact_quantiles
     rng = np.random.default_rng(9)
-    rows = [(g, float(v)) for g in "xyz" for v in rng.normal(size=77)]
-    df = spark.createDataFrame(rows, "g string, v double")
-    small = {(r.g, r.q): r.v for r in exact_quantiles(df, "v", [0.3, 0.5], "g").collect()}
-    big = {(r.g, r.q): r.v for r in exact_quantiles(df, "v", [0.3, 0.5], "g", max_group=10).collect()}
-    assert small.keys() == big.keys()
-    for k in small:
-        assert abs(small[k] - big[k]) < 1e-12
+    vals = {"x": rng.normal(size=20_000), "y": np.r_[np.full(9000, 2.5), rng.normal(size=500)], "z": np.array([1.0, 1.0])}
+    df = spark.createDataFrame([(g, float(v)) for g, a in vals.items() for v in a] + [(None, 4.0), (None, 6.0)], "g string, v double")
+    for parts in (3, 40):
+        got = {(r.g, round(r.q, 6)): r.v for r in exact_quantiles(df, "v", [0.0, 0.3, 0.5, 1.0], "g", n_parts=parts).collect()}
+        for g, a in (*vals.items(), (None, np.array([4.0, 6.0]))):
+            for q in (0.0, 0.3, 0.5, 1.0):
+                assert abs(got[g, q] - np.quantile(a, q)) < 1e-12
+
+
+def _bh(p):
+    o = np.argsort(p, kind="stable")
+    q = p[o] * len(p) / np.arange(1, len(p) + 1)
+    out = np.empty(len(p))
+    out[o] = np.minimum(1.0, np.minimum.accumulate(q[::-1])[::-1])
+    return out
+
+
+def test_bh_matches_numpy_on_many_rows(spark):
+    from pyspark.sql import functions as F
+    rng = np.random.default_rng(3)
+    p = np.r_[rng.random(120_000), rng.random(30_000) ** 4, np.full(50_000, 0.75)]      # a quarter tied
+    rng.shuffle(p)
+    df = spark.createDataFrame(pd.DataFrame({"i": np.arange(len(p)), "pvalue": p}))
+    want = _bh(p)
+    for parts in (8, 64):
+        got = RS.bh_adjust_ranged(df, n_parts=parts).toPandas().sort_values("i")["padj_bh"].to_numpy()
+        assert np.abs(got - want).max() < 1e-12
+    two = df.withColumn("contrast", F.when(F.col("i") < 50_000, "a"))                   # a null group too
+    got = RS.bh_adjust(two, n_parts=16).toPandas().sort_values("i")["padj_bh"].to_numpy()
+    assert np.abs(got - np.r_[_bh(p[:50_000]), _bh(p[50_000:])]).max() < 1e-12
+
+
+def test_independent_filter_matches_a_loop_over_thresholds(spark):
+    rng = np.random.default_rng(5)
+    n = 3000
+    bm = rng.lognormal(3, 2, n)
+    p = np.where((rng.random(n) < 0.1) & (bm > 20), rng.random(n) * 1e-4, rng.random(n))
+    pdf = pd.DataFrame({"gene_id": [f"g{i}" for i in range(n)], "base_mean": bm, "pvalue": p})
+    res, theta = G.independent_filter(spark.createDataFrame(pdf), 0.05)
+    grid = np.quantile(bm, np.arange(50) / 50)
+    n_rej = [(_bh(p[bm >= t]) < 0.05).sum() for t in grid]
+    assert abs(theta - grid[int(np.argmax(n_rej))]) < 1e-9
+    got = res.toPandas().set_index("gene_id").loc[pdf["gene_id"], "padj"].to_numpy()
+    keep = bm >= theta
+    assert np.isnan(got[~keep]).all() and np.abs(got[keep] - _bh(p[keep])).max() < 1e-12
+
+
+def test_shrinkage_is_the_mode_between_zero_and_the_raw_value(spark):
+    rng = np.random.default_rng(8)
+    lfc = np.r_[rng.normal(0, 2, 300), 0.0, 4.0, -4.0, 30.0, 1e-9]
+    se = np.r_[rng.lognormal(-0.5, 1, 300), 1.0, 5.0, 5.0, 0.01, 2.0]
+    df = spark.createDataFrame(pd.DataFrame({"gene_id": [f"g{i}" for i in range(len(lfc))], "log2_fold_change": lfc, "lfc_se": se}))
+    out, S = G.shrink_lfc(df)
+    got = out.toPandas().set_index("gene_id")["lfc_shrunk"]
+    for i, (b, s) in enumerate(zip(lfc, se, strict=True)):
+        x = np.linspace(0, b, 20_001)
+        cost = (x - b) ** 2 / (2 * s * s) + np.log(S * S + x * x)
+        g = got[f"g{i}"]
+        assert min(0, b) - 1e-9 <= g <= max(0, b) + 1e-9
+        assert (g - b) ** 2 / (2 * s * s) + np.log(S * S + g * g) <= cost.min() + 1e-7
+
+
+def test_shrinkage_by_coefficient_name(spark):
+    import pytest
+    fit = spark.createDataFrame([("g", 10.0, [1.0, 0.7], [0.04, 0.0, 0.0, 0.09], 0)],
+                                "gene_id string, base_mean double, beta array<double>, cov array<double>, n_cook_outliers int")
+    r = G.shrink_coefficient(fit, ["Intercept", "c[T.b]"], "c[T.b]")[0].first()
+    assert abs(r.log2_fold_change - 0.7 / math.log(2)) < 1e-12 and 0 <= r.lfc_shrunk <= r.log2_fold_change
+    with pytest.raises(ValueError):
+        G.shrink_coefficient(fit, ["Intercept"], "c[T.b]")
+
+
+def _cook_case(spark, reps, factor):
+    rng = np.random.default_rng(1)
+    design = [{"c": "a"}] * reps + [{"c": "b"}] * reps
+    X, names = G.design_matrix(design, ["c"])
+    s = [1.0] * (2 * reps)
+    Y = rng.negative_binomial(10, 10 / (10 + 100), size=(200, 2 * reps)).astype(float)
+    Y[:5, 0] = np.floor(Y[:5, 1:reps].mean(1) * factor)                  # five genes with one outlier
+    gv = spark.createDataFrame([(f"g{i}", list(map(float, y))) for i, y in enumerate(Y)], "gene_id string, y array<double>")
+    from helixframe.session import cut_lineage
+    disp = cut_lineage(G.genewise_dispersion(gv, X, s))
+    trend = {"a0": 0.1, "a1": 1.0, "n_genes": 200, "parametric": True}
+    fit = cut_lineage(G.fit_genes(disp, X, s, trend, {"prior_var": 0.25, "s_lr": 1.0}))
+    w = {r.gene_id: r for r in G.wald(fit, [0.0, 1.0]).collect()}
+    return {r.gene_id: r for r in fit.collect()}, w
+
+
+def test_outliers_in_large_cells_are_replaced_and_refitted(spark):
+    fit, w = _cook_case(spark, 8, 200)
+    for i in range(5):
+        r = fit[f"g{i}"]
+        assert r.n_replaced == 1 and r.n_cook_outliers == 0
+        assert w[f"g{i}"].pvalue is not None and abs(w[f"g{i}"].log2_fold_change) < 1.5
+        assert r.alpha < 2.0                                          # the dispersion was fitted without the outlier
+    assert sum(r.n_replaced > 0 for r in fit.values()) <= 15
+
+
+def test_outliers_in_small_cells_lose_their_p_value(spark):
+    fit, w = _cook_case(spark, 4, 400)
+    for i in range(5):
+        assert fit[f"g{i}"].n_cook_outliers >= 1 and fit[f"g{i}"].n_replaced == 0 and w[f"g{i}"].pvalue is None
+    assert sum(r.pvalue is None for r in w.values()) <= 25
+
+
+def test_dispersion_search_matches_a_dense_grid():
+    rng = np.random.default_rng(6)
+    X = np.column_stack([np.ones(12), np.repeat([0.0, 1.0], 6)])
+    Y = rng.negative_binomial(4, 4 / (4 + 60), size=(220, 12)).astype(float)
+    mu = np.maximum(np.tile(Y.mean(1, keepdims=True), (1, 12)), 0.5)
+    got = np.log(G._maximise(Y, mu, X, math.log(1e-8), math.log(12)))
+    grid = np.linspace(math.log(1e-8), math.log(12), 3000)
+    best = grid[np.argmax(np.stack([G._cr_loglik(Y, mu, X, np.full(220, g)) for g in grid], 1), 1)]
+    assert np.abs(got - best).max() < 0.01
 
 
 def test_single_factor_catalyst_fit_matches_numpy_irls(spark):
