@@ -448,31 +448,37 @@ def shrink_lfc(res: DataFrame) -> tuple[DataFrame, float]:
     r = res.where(F.col("log2_fold_change").isNotNull() & (F.col("lfc_se") > 0))
     s2 = r.agg(F.avg(F.col("log2_fold_change") ** 2 - F.col("lfc_se") ** 2)).first()[0]
     S2 = max(float(s2 or 0.0), 1e-4)
-    out = res.withColumn("lfc_shrunk", F.when(F.col("lfc_se") > 0, cauchy_mode("log2_fold_change", "lfc_se", S2)))
+    out = cauchy_mode(res, "log2_fold_change", "lfc_se", S2, "lfc_shrunk")
     v, b2 = F.col("lfc_se") ** 2, F.col("lfc_shrunk") ** 2
     post = F.lit(1.0) / v + F.lit(2.0) * (F.lit(S2) - b2) / ((F.lit(S2) + b2) ** 2)
     out = out.withColumn("lfc_shrunk_se", F.when(post > 0, F.lit(1.0) / F.sqrt(post)))
     return out, math.sqrt(S2)
 
 
-def cauchy_mode(lfc: str, se: str, S2: float):
-    """Posterior mode of one effect: normal likelihood (lfc, se), Cauchy prior of squared scale ``S2``."""
-    sign, bh, v = F.signum(lfc), F.abs(F.col(lfc)), F.col(se) * F.col(se)
+def cauchy_mode(df: DataFrame, lfc: str, se: str, S2: float, out: str) -> DataFrame:
+    """``df`` with the posterior mode of each effect in ``out``: normal likelihood (lfc, se), Cauchy prior of
+    squared scale ``S2``; null where the error is not positive. Column by column, so that no expression repeats another."""
+    bh, v, p, q, disc = (F.col(f"__{x}") for x in ("bh", "v", "p", "q", "disc"))
     third = bh / 3
-    p = F.lit(S2) + 2 * v - bh * bh / 3                     # depressed cubic t^3 + p t + q, b = t + b_hat / 3
-    q = -2 * third ** 3 + third * (F.lit(S2) + 2 * v) - bh * F.lit(S2)
-    disc = (q / 2) ** 2 + (p / 3) ** 3
-    root = F.sqrt(F.greatest(disc, F.lit(0.0)))
-    # of the two cube roots take the one without cancellation; the other is -p / 3 over it
-    big = F.cbrt(F.abs(q) / 2 + root) * F.when(q > 0, -1.0).otherwise(1.0)
-    single = F.when(big == 0, F.lit(0.0)).otherwise(big - p / (3 * big))
+    d = df.withColumns({"__bh": F.abs(F.col(lfc)), "__v": F.col(se) * F.col(se)})
+    # depressed cubic t^3 + p t + q, b = t + b_hat / 3
+    d = d.withColumns({"__p": F.lit(S2) + 2 * v - bh * bh / 3, "__q": -2 * third ** 3 + third * (F.lit(S2) + 2 * v) - bh * F.lit(S2)})
+    d = d.withColumn("__disc", (q / 2) ** 2 + (p / 3) ** 3)
+    # one real root: of the two cube roots take the one without cancellation; the other is -p / 3 over it
+    big = F.cbrt(F.abs(q) / 2 + F.sqrt(F.greatest(disc, F.lit(0.0)))) * F.when(q > 0, -1.0).otherwise(1.0)
     radius = 2 * F.sqrt(F.greatest(-p / 3, F.lit(0.0)))
-    angle = F.acos(F.greatest(F.least(F.when(radius > 0, 3 * q / (p * radius)).otherwise(F.lit(0.0)), F.lit(1.0)), F.lit(-1.0)))
-    roots = [F.when(disc >= 0, single).otherwise(radius * F.cos(angle / 3 - F.lit(2 * math.pi * k / 3))) + third for k in range(3)]
-    inside = [F.greatest(F.least(t, bh), F.lit(0.0)) for t in roots]
-    cost = lambda b: (b - bh) ** 2 / (2 * v) + F.ln(F.lit(S2) + b * b)
-    ranked = F.array_min(F.array(*[F.struct(cost(b).alias("c"), b.alias("b")) for b in inside]))
-    return sign * ranked["b"]
+    d = d.withColumns({"__big": big, "__radius": radius})
+    cosine = F.when(F.col("__radius") > 0, 3 * q / (p * F.col("__radius"))).otherwise(F.lit(0.0))
+    d = d.withColumn("__angle", F.acos(F.greatest(F.least(cosine, F.lit(1.0)), F.lit(-1.0))) / 3)
+    single = F.when(F.col("__big") == 0, F.lit(0.0)).otherwise(F.col("__big") - p / (3 * F.col("__big")))
+    for k in range(3):
+        t = F.when(disc >= 0, single).otherwise(F.col("__radius") * F.cos(F.col("__angle") - F.lit(2 * math.pi * k / 3)))
+        d = d.withColumn(f"__b{k}", F.greatest(F.least(t + third, bh), F.lit(0.0)))
+    for k in range(3):
+        b = F.col(f"__b{k}")
+        d = d.withColumn(f"__c{k}", (b - bh) ** 2 / (2 * v) + F.ln(F.lit(S2) + b * b))
+    best = F.array_min(F.array(*[F.struct(F.col(f"__c{k}").alias("c"), F.col(f"__b{k}").alias("b")) for k in range(3)]))["b"]
+    return d.withColumn(out, F.when(F.col(se) > 0, F.signum(lfc) * best)).select(*df.columns, out)
 
 
 def shrink_coefficient(fit: DataFrame, names: list[str], coefficient: str) -> tuple[DataFrame, float]:

@@ -163,20 +163,23 @@ WITH w AS (
                0.01 + CAST(p_partkey % 10 AS DOUBLE) / 100.0 AS v1, 0.02 + CAST(p_size % 7 AS DOUBLE) / 100.0 AS v2,
                0.005 * CAST((p_partkey % 3) - 1 AS DOUBLE) AS c12 FROM part)),
 prior AS (SELECT greatest(avg(lfc * lfc - se * se), 1e-4) AS s2 FROM w),
--- the mode is bracketed by a grid between 0 and the raw value, then twice by finer ones
-g1 AS (SELECT gene_id, lfc, se, s2, arg_min(lfc * i / 200.0, power(lfc * i / 200.0 - lfc, 2) / (2 * se * se) + ln(s2 + power(lfc * i / 200.0, 2))) AS b
-       FROM w, prior, range(0, 201) t(i) GROUP BY ALL),
-g2 AS (SELECT gene_id, lfc, se, s2, arg_min(b + lfc * i / 20000.0, power(b + lfc * i / 20000.0 - lfc, 2) / (2 * se * se) + ln(s2 + power(b + lfc * i / 20000.0, 2))) AS b
-       FROM (SELECT gene_id, lfc, se, s2, b FROM g1), range(-100, 101) t(i) GROUP BY gene_id, lfc, se, s2, b)
-SELECT gene_id, round(lfc, 6) AS log2_fold_change, round(b, 2) + 0.0 AS lfc_shrunk FROM g2"""
+-- the best of a dense grid between 0 and the raw value, then Newton steps from there
+g1 AS (SELECT gene_id, lfc, se, s2, arg_min(lfc * i / 1000.0, power(lfc * i / 1000.0 - lfc, 2) / (2 * se * se) + ln(s2 + power(lfc * i / 1000.0, 2))) AS b
+       FROM w, prior, range(0, 1001) t(i) GROUP BY gene_id, lfc, se, s2),
+""" + "\n".join(
+    f"n{k} AS (SELECT gene_id, lfc, se, s2, b - ((b - lfc) / (se * se) + 2 * b / (s2 + b * b))"
+    f" / (1 / (se * se) + 2 * (s2 - b * b) / power(s2 + b * b, 2)) AS b FROM {'g1' if k == 1 else f'n{k - 1}'}),"
+    for k in range(1, 6)) + """
+done AS (SELECT 1)
+SELECT gene_id, round(lfc, 6) AS log2_fold_change, round(b, 6) + 0.0 AS lfc_shrunk FROM n5"""
 
 
 @register("lfc_shrink_z", _SHRINK_SQL)
 def q_lfc_shrink_z(spark, d):
-    """D11 on the Wald table of stored coefficients; the SQL twin finds the mode by a dense search."""
+    """D11 on the Wald table of stored coefficients; the SQL twin finds the mode by a dense search and Newton steps."""
     out, _ = G.shrink_lfc(G.wald(_fit_table(spark, d), [0.0, 1.0, -1.0], "c"))
     return out.select("gene_id", F.round("log2_fold_change", 6).alias("log2_fold_change"),
-                      (F.round("lfc_shrunk", 2) + F.lit(0.0)).alias("lfc_shrunk"))
+                      (F.round("lfc_shrunk", 6) + F.lit(0.0)).alias("lfc_shrunk"))
 
 
 @register("nb_fit_single_catalyst")
