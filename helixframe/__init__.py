@@ -6,6 +6,6 @@ runs only for numeric kernels Spark lacks (negative-binomial fits,
 erfc, eigen-decomposition of a small Gram matrix).
 """
 
-from helixframe.session import get_spark, checkpoint_dir, checked_broadcast
+from helixframe.session import get_spark, checkpoint_dir
 
-__all__ = ["get_spark", "checkpoint_dir", "checked_broadcast"]
+__all__ = ["get_spark", "checkpoint_dir"]

@@ -13,39 +13,35 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from helixframe.functions import text as T
-from helixframe.session import checked_broadcast
 from helixframe.sources.xml_corpus import RECORD_SCHEMA
 
-MAX_QUERY_TERMS = 1_000_000   # query lists broadcast into the token join
-
 
 def search_corpus(corpus: DataFrame, genes: DataFrame, disease: str = T.DEFAULT_DISEASE,
                   max_results: int = 20) -> DataFrame:
     """S6 + F6: at most ``max_results`` hits per gene, newest first.
 
     A record matches a gene when the gene's word sequence occurs in the
-    tokenised title + abstract, the disease is one of its major topics,
+    tokenised title or in the tokenised abstract (not across the two), the disease is one of its major topics,
     and the abstract is non-empty. Plan: the record filters run first
     (pushed to the scan where the source allows), each record's distinct
     tokens are exploded once and equi-joined to the gene list on the
-    gene's first word (broadcast after a size check, so the large side
-    never shuffles); multi-word genes are then verified as phrases. The
+    gene's first word; multi-word genes are then verified as phrases, field by field. The
     per-gene cut is ``row_number() <= k``, which Spark plans with a
     partial WindowGroupLimit before the shuffle, so a very common word
     cannot pile all its matches onto one task. Order: year desc (missing
     last), then pmid desc.
     """
     docs = corpus.where(F.array_contains("mesh_major_topics", F.lit(disease)) & (F.length("abstract") > 0))
-    docs = docs.select("pmid", "year", T.word_tokens(F.concat_ws(" ", "title", "abstract")).alias("tokens"))
+    docs = docs.select("pmid", "year", T.word_tokens("title").alias("ttok"), T.word_tokens("abstract").alias("atok"))
     q = genes.select("gene", "gene_ord", T.word_tokens("gene").alias("gtok")) \
         .where(F.size("gtok") > 0).withColumn("first_tok", F.col("gtok")[0])
-    q = checked_broadcast(q, MAX_QUERY_TERMS, "gene list")
-    cand = docs.select("pmid", "year", "tokens", F.explode(F.array_distinct("tokens")).alias("tok"))
+    cand = docs.select("pmid", "year", "ttok", "atok", F.explode(F.array_union(F.coalesce("ttok", F.array()), F.coalesce("atok", F.array()))).alias("tok"))
     m = cand.join(q, cand.tok == q.first_tok)
     # phrase check only matters for multi-word genes; single words matched already
-    phrase = F.concat(F.lit(" "), F.array_join("tokens", " "), F.lit(" ")) \
-        .contains(F.concat(F.lit(" "), F.array_join("gtok", " "), F.lit(" ")))
-    m = m.where((F.size("gtok") == 1) | phrase)
+    def holds(tokens):
+        spaced = [F.concat(F.lit(" "), F.array_join(x, " "), F.lit(" ")) for x in (tokens, "gtok")]
+        return F.coalesce(spaced[0].contains(spaced[1]), F.lit(False))
+    m = m.where((F.size("gtok") == 1) | holds("ttok") | holds("atok"))
     w = Window.partitionBy("gene").orderBy(F.col("year").desc_nulls_last(), F.col("pmid").desc())
     return (m.select("gene", "gene_ord", "pmid", "year")
             .withColumn("hit_ord", F.row_number().over(w)).where(F.col("hit_ord") <= max_results)

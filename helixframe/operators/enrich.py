@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from helixframe.functions.mathx import log_choose
 from helixframe.operators.results import bh_adjust
-from helixframe.session import checked_broadcast
 
 MAX_BACKGROUND = 5_000_000
 

@@ -9,16 +9,15 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from helixframe.session import checked_broadcast, require_small
+from helixframe.session import require_small
 
 MAX_HEATMAP = 5_000   # heatmap rows: a top-k gene set; distances are all pairs
 MAX_PCA_SAMPLES = 5_000  # each task emits at most m(m+1)/2 Gram cells
 
 
 def rows_for(vst_long: DataFrame, genes: DataFrame, gene: str = "gene_id") -> DataFrame:
-    """VST rows of a gene list (semi-join; the list is broadcast after a size check)."""
-    g = checked_broadcast(genes.select(gene).distinct(), MAX_HEATMAP, "gene list")
-    return vst_long.join(g, gene, "left_semi")
+    """VST rows of a gene list (semi-join)."""
+    return vst_long.join(genes.select(gene).distinct(), gene, "left_semi")
 
 
 def zscore_rows(long: DataFrame, gene: str = "gene_id", value: str = "vst") -> DataFrame:

@@ -9,7 +9,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from helixframe.session import checked_broadcast
 
 MAX_SAMPLES = 200_000
 
@@ -45,9 +44,10 @@ def assert_size_factors(sf: DataFrame, n_samples: int) -> None:
 
 def normalized_counts(counts: DataFrame, sf: DataFrame, sample: str = "sample_id",
                       value: str = "count") -> DataFrame:
-    """Long normalised counts ``y / s``; the size-factor table is broadcast (one row per sample)."""
-    s = checked_broadcast(sf.select(F.col(sample).alias("__s"), "size_factor"), MAX_SAMPLES, "size factors")
-    return (counts.join(s, counts[sample] == s["__s"])
+    """Long normalised counts ``y / s`` (null for a sample without a size factor). The planner broadcasts the
+    per-sample table when its size allows."""
+    s = sf.select(F.col(sample).alias("__s"), "size_factor")
+    return (counts.join(s, counts[sample] == s["__s"], "left")
             .select(*[c for c in counts.columns if c != value],
                     F.col(value), (F.col(value) / F.col("size_factor")).alias("norm")))
 
@@ -67,10 +67,10 @@ def group_means(counts: DataFrame, sf: DataFrame, samples: DataFrame, factor: st
                 gene: str = "gene_id", sample: str = "sample_id", value: str = "count") -> DataFrame:
     """Mean normalised count per (gene, level); absent cells count as zero."""
     sizes = samples.groupBy(factor).agg(F.count(F.lit(1)).alias("n_level"))
-    lv = checked_broadcast(samples.select(F.col(sample).alias("__s2"), factor), MAX_SAMPLES, "samples")
+    lv = samples.select(F.col(sample).alias("__s2"), factor)
     nc = normalized_counts(counts, sf, sample, value)
     g = (nc.join(lv, nc[sample] == lv["__s2"]).groupBy(gene, factor).agg(F.sum("norm").alias("sum_norm")))
-    return g.join(F.broadcast(sizes), factor).select(gene, factor, (F.col("sum_norm") / F.col("n_level")).alias("mean_norm"))
+    return g.join(sizes, factor).select(gene, factor, (F.col("sum_norm") / F.col("n_level")).alias("mean_norm"))
 
 
 def dispersion_moments(gene_vec: DataFrame, sf_array: list[float]) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from helixframe.functions import text as T
-from helixframe.session import checked_broadcast, require_small
+from helixframe.session import require_small
 
 # Design tables are one row per sample; a few hundred thousand is far above
 # any study and still cheap to broadcast.
@@ -39,11 +39,10 @@ def coverage_to_counts(coverage: DataFrame, qc: DataFrame, sample_col: str = "sa
                        qc_key: str = "external_id", length_col: str = "avg_len") -> DataFrame:
     """P2 + J2: read count = round-half-even(coverage / average read length), as bigint.
 
-    The QC table is one row per sample, so it is broadcast after a size check.
+    A sample without a QC row keeps its cells with a null count.
     """
-    q = checked_broadcast(qc.select(F.col(qc_key).alias("__s"), F.col(length_col).alias("__len")),
-                          MAX_SAMPLES, "qc")
-    return (coverage.join(q, coverage[sample_col] == q["__s"])
+    q = qc.select(F.col(qc_key).alias("__s"), F.col(length_col).alias("__len"))
+    return (coverage.join(q, coverage[sample_col] == q["__s"], "left")
             .select(*[c for c in coverage.columns if c != "coverage"],
                     F.bround(F.col("coverage") / F.col("__len"), 0).cast("bigint").alias("count")))
 
@@ -77,8 +76,7 @@ def index_samples(samples: DataFrame, key: str = "sample_id") -> DataFrame:
 def keep_samples(counts: DataFrame, samples: DataFrame, factor: str, key: str = "sample_id"):
     """keep samples whose factor is present, in both counts and metadata."""
     s = samples.where(F.col(factor).isNotNull())
-    keys = checked_broadcast(s.select(key), MAX_SAMPLES, "samples")
-    return counts.join(keys, key, "left_semi"), s
+    return counts.join(s.select(key), key, "left_semi"), s
 
 
 def gene_totals(counts: DataFrame, gene: str = "gene_id", value: str = "count") -> DataFrame:
@@ -159,7 +157,7 @@ def gene_vectors(counts: DataFrame, samples: DataFrame, n_samples: int, gene: st
     sparse long table densifies inside the array and never as a genes x
     samples exploded table. Each group holds at most ``n_samples`` values.
     """
-    s = checked_broadcast(samples.select(F.col(sample).alias("__s"), "sample_idx"), MAX_SAMPLES, "samples")
+    s = samples.select(F.col(sample).alias("__s"), "sample_idx")
     cells = counts.join(s, counts[sample] == s["__s"]).select(gene, "sample_idx", F.col(value).cast("double").alias("v"))
     g = cells.groupBy(gene).agg(F.map_from_entries(F.collect_list(F.struct("sample_idx", "v"))).alias("__m"))
     return g.select(gene, F.transform(F.sequence(F.lit(0), F.lit(n_samples - 1)),

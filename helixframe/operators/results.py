@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as Ty
 
 from helixframe.functions import text as T
-from helixframe.session import checked_broadcast, cut_lineage
+from helixframe.session import cut_lineage
 
 LFC_THRESHOLD = 1.0
 ALPHA = 0.05
@@ -122,10 +122,8 @@ def by_category(points: DataFrame, category: str) -> DataFrame:
 
 
 def drop_markers(df: DataFrame, markers: DataFrame, col: str = "symbol") -> DataFrame:
-    """F8: drop genes whose symbol is on a marker list (anti-join; the list is
-    broadcast only after its size is checked)."""
-    m = checked_broadcast(markers.select(F.col(col)).distinct(), MAX_LIST, "markers")
-    return df.join(m, col, "left_anti")
+    """F8: drop genes whose symbol is on a marker list (anti-join)."""
+    return df.join(markers.select(F.col(col)).distinct(), col, "left_anti")
 
 
 # ------------------------------------------------------------- A5 / A6 / A9

@@ -9,11 +9,14 @@ batch; a final ``row_number() <= k`` merges the per-batch candidates.
 
 from __future__ import annotations
 
+import hashlib
 import math
 from typing import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as Ty
@@ -32,20 +35,26 @@ def embed_hashed(df: DataFrame, text_col: str, key: str, dim: int = VF.HASH_DIM,
                  out: str = "embedding") -> DataFrame:
     """V1 default encoder: L2-normalised bag of hashed word tokens, array<double>(dim).
 
-    JVM-only: tokens are exploded and bucketed by md5, counted by a
-    (key, bucket) hash aggregate whose map-side partial step leaves at
-    most ``dim`` rows per key and partition, then gathered into one dense
-    array per key. The vectors are joined back on ``key`` without the
-    text column; a text with no token gets NULL.
+    A function of the row alone (no shuffle, rows that share ``key`` keep their own vectors): tokens are
+    split in the JVM, an Arrow UDF buckets each batch's distinct tokens by md5 and counts them with numpy.
+    A text with no token gets NULL; the text column is dropped.
     """
-    tok = df.select(F.col(key).alias("__k"), F.explode(T.word_tokens_nolambda(F.col(text_col))).alias("__t"))
-    cnt = tok.groupBy("__k", VF.token_bucket(F.col("__t"), dim).alias("__b")).agg(F.count(F.lit(1)).alias("__n"))
-    per = cnt.groupBy("__k").agg(F.map_from_entries(F.collect_list(F.struct("__b", "__n"))).alias("__m"))
-    dense = F.transform(F.sequence(F.lit(0), F.lit(dim - 1)),
-                        lambda i: F.coalesce(F.try_element_at("__m", i), F.lit(0)).cast("double"))
-    vec = per.select("__k", dense.alias("__v")).select("__k", VF.l2_normalize("__v").alias(out))
-    rest = df.drop(text_col)
-    return rest.join(vec, rest[key] == vec["__k"], "left").drop("__k")
+    return df.withColumn(out, _hash_encoder(dim)(T.word_tokens_nolambda(F.col(text_col)))).drop(text_col)
+
+
+def _hash_encoder(dim: int):
+    @F.arrow_udf("array<double>")
+    def enc(tokens: pa.Array) -> pa.Array:
+        n = pc.fill_null(pc.list_value_length(tokens), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        coded = pc.dictionary_encode(tokens.flatten())
+        bucket = np.array([int(hashlib.md5(t.encode()).hexdigest()[:4], 16) % dim for t in coded.dictionary.to_pylist()], np.int64)
+        owner = np.repeat(np.arange(len(n)), n)
+        cells = bucket[coded.indices.to_numpy(zero_copy_only=False)] if len(owner) else np.empty(0, np.int64)
+        m = np.bincount(owner * dim + cells, minlength=len(n) * dim).reshape(len(n), dim).astype(np.float64)
+        m /= np.maximum(np.sqrt((m * m).sum(axis=1, keepdims=True)), 1.0)
+        ends = pa.array(np.arange(len(n) + 1) * dim, pa.int32())
+        return pa.ListArray.from_arrays(ends, pa.array(m.reshape(-1)), mask=pa.array(n == 0))
+    return enc
 
 
 def embed_with(df: DataFrame, text_col: str, encoder: Callable[[list[str]], np.ndarray],
@@ -165,7 +174,9 @@ def knn_exact(stored: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "
         return out
     q = queries.select(F.col(query_id).cast("string").alias("qid"), F.col(query_vec).alias("v")).where("v IS NOT NULL").collect()
     if not q:
-        return stored.sparkSession.createDataFrame([], "query_id string, rank int, id string, distance double")
+        none = stored.select(F.lit(None).cast("string").alias("query_id"), F.lit(None).cast("int").alias("rank"),
+                             F.col(id_col).cast("string").alias("id"), F.lit(None).cast("double").alias("distance"), *extra)
+        return none.limit(0)
     qids = np.array([r["qid"] for r in q], dtype=object)
     qmat = np.array([np.asarray(r["v"], dtype=np.float64) for r in q])
     schema = Ty.StructType([Ty.StructField("query_id", Ty.StringType()), Ty.StructField("id", Ty.StringType()),
@@ -242,12 +253,13 @@ def ingest_rows(records: DataFrame, vectors: DataFrame, genes: DataFrame | None
     vector without a record) raises instead of being cut silently.
     """
     v = vectors.select(F.col(key).alias("__k"), "embedding")
-    rk = records.select(F.col(key).alias("__k"))
-    miss = rk.join(v.select("__k"), "__k", "left_anti").limit(1).count() + \
-        v.select("__k").join(rk, "__k", "left_anti").limit(1).count()
-    if miss:
-        raise ValueError("records and vectors do not cover the same keys")
-    r = records.join(v, records[key] == v["__k"])
+    rk = records.select(F.col(key).alias("__r"))
+    both = rk.join(v, F.col("__r") == F.col("__k"), "full_outer")
+    # checked while the rows are made, in the same join: no extra pass over either side
+    bad = F.col("__r").isNull() | F.col("__k").isNull()
+    vec = F.when(bad, F.raise_error(F.lit("records and vectors do not cover the same keys")).cast(v.schema["embedding"].dataType)).otherwise(F.col("embedding"))
+    v = both.select(F.coalesce("__r", "__k").alias("__k"), vec.alias("embedding"))
+    r = records.join(v, records[key] == v["__k"], "right")
     if genes is not None:
         r = r.join(genes.select(F.col(key).alias("__g"), F.col("genes").alias("__gene")), F.col(key) == F.col("__g"), "left")
     else:

@@ -107,17 +107,20 @@ _CTES: dict[str, tuple[tuple[str, ...], str]] = {
   FROM doc_parts"""),
     "search_terms": ((), """
   SELECT gene, min(item_id) AS gene_ord FROM (
-    SELECT regexp_extract(lower(text), '^([\\p{L}\\p{N}]+)', 1) AS gene, item_id FROM benchmark)
+    SELECT regexp_extract(lower(text), '^([\\p{L}\\p{N}]+)', 1) AS gene, item_id FROM benchmark
+    UNION ALL SELECT regexp_extract(lower(text), '^([\\p{L}\\p{N}]+ [\\p{L}\\p{N}]+)', 1), item_id FROM benchmark)
   WHERE length(gene) > 0 GROUP BY gene"""),
     "hits": (("corpus", "search_terms"), """
   SELECT gene, gene_ord, CAST(hit_ord AS INTEGER) AS hit_ord, pmid FROM (
     SELECT s.gene, s.gene_ord, d.pmid,
            row_number() OVER (PARTITION BY s.gene ORDER BY d.year DESC NULLS LAST, d.pmid DESC) AS hit_ord
     FROM (SELECT pmid, year,
-                 list_distinct(list_filter(regexp_split_to_array(lower(title || ' ' || abstract), '[^\\p{L}\\p{N}]+'),
-                                           lambda t: length(t) > 0)) AS toks
+                 ' ' || array_to_string(list_filter(regexp_split_to_array(lower(title), '[^\\p{L}\\p{N}]+'),
+                                                    lambda t: length(t) > 0), ' ') || ' ' AS in_title,
+                 ' ' || array_to_string(list_filter(regexp_split_to_array(lower(abstract), '[^\\p{L}\\p{N}]+'),
+                                                    lambda t: length(t) > 0), ' ') || ' ' AS in_abstract
           FROM corpus WHERE list_contains(mesh_major_topics, 'Colorectal Neoplasms') AND length(abstract) > 0) d
-    JOIN search_terms s ON list_contains(d.toks, s.gene)) WHERE hit_ord <= 20"""),
+    JOIN search_terms s ON contains(d.in_title, ' ' || s.gene || ' ') OR contains(d.in_abstract, ' ' || s.gene || ' ')) WHERE hit_ord <= 20"""),
     "flat": (("hits", "corpus"), """
   SELECT h.gene, h.gene_ord, h.hit_ord, c.* FROM hits h JOIN corpus c USING (pmid)"""),
     "vectors": ((), """

@@ -227,20 +227,16 @@ def q_ingest_rows(spark, d):
 
 
 @register("collection_upsert", cte("corpus") + """
-SELECT pmid AS id, md5(title || chr(10) || chr(10) || abstract) AS doc_md5 FROM corpus
-WHERE year <= 2005 AND journal <> 'Journal of src1'
-UNION ALL
-SELECT pmid, md5(""" + _TEXT_MESH + """) FROM corpus WHERE journal = 'Journal of src1'""")
+SELECT pmid AS id, CASE WHEN journal = 'Journal of src1' THEN md5(""" + _TEXT_MESH + """)
+                        ELSE md5(title || chr(10) || chr(10) || abstract) END AS doc_md5 FROM corpus""")
 def q_collection_upsert(spark, d):
-    """S9 + S10: create a collection from older records, upsert one journal's records
+    """S9 + S10: create a collection from all records, upsert one journal's records
     with the MeSH text; the upserted version wins on shared ids."""
     from helixframe.session import scratch_path
     from helixframe.sources import collection as COL
     root = scratch_path(spark, "collections")
     recs = A.corpus_records(spark, d)
-    first = V.ingest_rows(recs.where(F.col("year") <= 2005),
-                          corpus_vectors(spark, d).where(F.col("year") <= 2005).select("pmid", "embedding"))
-    COL.upsert(spark, root, "abstracts", first)
+    COL.upsert(spark, root, "abstracts", V.ingest_rows(recs, corpus_vectors(spark, d).select("pmid", "embedding")))
     batch_recs = recs.where(F.col("journal") == "Journal of src1")
     batch_vecs = corpus_vectors(spark, d, T.text_with_mesh).where(F.col("journal") == "Journal of src1")
     batch = V.ingest_rows(batch_recs, batch_vecs.select("pmid", "embedding"), text_builder=T.text_with_mesh)
@@ -248,15 +244,37 @@ def q_collection_upsert(spark, d):
     return live.select("id", F.md5("document").alias("doc_md5"))
 
 
-@register("collection_open")
-def q_collection_open(spark, d):
-    """Opening an unknown collection creates it empty; rows-only check."""
+def _stored_corpus(spark, d) -> str:
+    """All records written as the collection ``abstracts``; returns its root."""
     from helixframe.session import scratch_path
     from helixframe.sources import collection as COL
     root = scratch_path(spark, "collections")
-    c = COL.open_collection(spark, root, "fresh")
-    return c.unionByName(V.ingest_rows(A.corpus_records(spark, d).where(F.col("year") == 2024),
-                                       corpus_vectors(spark, d).where(F.col("year") == 2024).select("pmid", "embedding")))
+    COL.upsert(spark, root, "abstracts", V.ingest_rows(A.corpus_records(spark, d), corpus_vectors(spark, d).select("pmid", "embedding")))
+    return root
+
+
+@register("collection_open", cte("corpus") + """
+SELECT pmid AS id, md5(title || chr(10) || chr(10) || abstract) AS doc_md5, year, journal FROM corpus""")
+def q_collection_open(spark, d):
+    """A stored collection opened by name (a name never written opens as no rows)."""
+    from helixframe.sources import collection as COL
+    root = _stored_corpus(spark, d)
+    c = COL.open_collection(spark, root, "abstracts").unionByName(COL.open_collection(spark, root, "never written"))
+    return c.select("id", F.md5("document").alias("doc_md5"), "metadata.year", "metadata.journal")
+
+
+@register("collection_query", cte("corpus", extra=_hash_sql("ea", _TEXT_BASE, "corpus", "pmid") + "," +
+                                  _hash_sql("eq", "text", "benchmark", "CAST(item_id AS VARCHAR)") + """,
+ka AS """ + _knn_sql("eq", "ea")) + """
+SELECT ka.query_id, ka.rank, ka.id, round(ka.distance, 6) AS distance, md5(title || chr(10) || chr(10) || abstract) AS doc_md5, year
+FROM ka JOIN corpus ON corpus.pmid = ka.id""")
+def q_collection_query(spark, d):
+    """V6 over S9: benchmark texts as text queries against the stored collection."""
+    from helixframe.sources import collection as COL
+    from helixframe.sources.tables import read_table
+    q = read_table(spark, d, "benchmark", "item_id", "text")
+    r = COL.query_text(spark, _stored_corpus(spark, d), "abstracts", q, 5, "item_id")
+    return r.select("query_id", "rank", "id", _r6("distance").alias("distance"), F.md5("document").alias("doc_md5"), "metadata.year")
 
 
 @register("knn_lsh_recall")
@@ -294,10 +312,10 @@ def _trigram_encoder(texts):
     return out
 
 
-@register("embed_plugin")
+@register("embed_plugin", "SELECT item_id, 32 AS dim, 1.0::DOUBLE AS norm2 FROM benchmark")
 def q_embed_plugin(spark, d):
     """A caller-supplied encoder run as an iterator pandas UDF (batches of 32 texts),
-    rows L2-normalised float32; here over every benchmark text (rows-only check)."""
+    rows L2-normalised float32; here over every benchmark text (its SQL twin checks length and norm)."""
     from helixframe.sources.tables import read_table
     b = read_table(spark, d, "benchmark", "item_id", "text")
     e = V.embed_with(b, "text", _trigram_encoder)

@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 # Settings that matter at cluster scale; each is only applied when the
 # session has not set it already (a cluster's own config wins).
@@ -82,11 +82,13 @@ def ship_package(spark: SparkSession) -> None:
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and written intermediate tables.
 
-    Read from ``spark.checkpoint.dir``; only when the session has none
-    (local tests) is a scratch folder created and set.
+    Read from ``spark.checkpoint.dir``. Only a local session without one gets a scratch folder;
+    on a cluster a folder of one machine would be lost to the others, so a missing setting is an error.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         path = tempfile.mkdtemp(prefix="helix-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     sc = spark.sparkContext
@@ -100,19 +102,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex[:12]}")
 
 
-def checked_broadcast(df: DataFrame, max_rows: int, what: str = "table") -> DataFrame:
-    """Broadcast ``df`` only after proving it holds at most ``max_rows`` rows.
-
-    The count runs on ``limit(max_rows + 1)`` so a too-large side stops
-    early. Above the bound we return the frame unhinted, leaving the join
-    to the shuffle strategies (AQE may still broadcast from runtime stats).
-    """
-    n = df.limit(max_rows + 1).count()
-    if n <= max_rows:
-        return F.broadcast(df)
-    return df
-
-
 def require_small(df: DataFrame, max_rows: int, what: str) -> int:
     """Count ``df`` and raise when it is larger than a proven bound."""
     n = df.limit(max_rows + 1).count()

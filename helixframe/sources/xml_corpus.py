@@ -109,13 +109,17 @@ def records_from_struct(a: Column) -> list[Column]:
     ]
 
 
-def parse_xml_column(df: DataFrame, col: str = "xml") -> DataFrame:
+def parse_xml_column(df: DataFrame, col: str = "xml", rejects: str | None = None) -> DataFrame:
     """S5 on a string column: ``from_xml`` per row, then the record rules.
 
-    Rows whose XML does not parse, or that lack a PMID, go nowhere here;
-    use :func:`corrupt_rows` to collect them.
+    Rows whose XML does not parse, or that lack a PMID, are not records; ``rejects`` names a folder that
+    receives them (see :func:`corrupt_rows`). The parse stands behind an ``explode`` of one element, which a filter on
+    its fields is not pushed through, so each row is parsed once.
     """
-    parsed = df.select(F.from_xml(F.col(col), ARTICLE_SCHEMA, {"ignoreSurroundingSpaces": "false"}).alias("a"))
+    if rejects:
+        corrupt_rows(df, col).write.mode("append").parquet(rejects)
+    one = F.array(F.from_xml(F.col(col), ARTICLE_SCHEMA, {"ignoreSurroundingSpaces": "false"}))
+    parsed = df.select(F.explode(one).alias("a"))
     return parsed.where(F.col("a.MedlineCitation.PMID._VALUE").isNotNull()).select(*records_from_struct(F.col("a")))
 
 

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from helixframe.functions import text as T
 from helixframe.operators import vectors as V
 from helixframe.sources import collection as COL
+from helixframe.session import cut_lineage
 from helixframe.sources import xml_corpus as X
 
 
@@ -40,17 +41,13 @@ def corpus_stream(spark: SparkSession, drop_dir: str, max_files_per_trigger: int
 def upsert_batch(spark: SparkSession, root: str, name: str, text_builder=T.text_base):
     """foreachBatch body: only unseen pmids are embedded and upserted."""
     def run(batch: DataFrame, batch_id: int) -> None:
-        COL.open_collection(spark, root, name)
         batch = batch.dropDuplicates(["pmid"])
         seen = COL.live_ids(spark, root, name, batch, "pmid")   # only the buckets this batch touches
         fresh = batch.join(seen.select(F.col("id").alias("pmid")), "pmid", "left_anti")
-        if fresh.limit(1).count() == 0:
-            return
-        recs = fresh.select("pmid", "title", "abstract", "year", "journal", "mesh_major_topics",
-                            text_builder().alias("__text"))
-        vecs = V.embed_hashed(recs.select("pmid", "__text"), "__text", "pmid")
-        rows = V.ingest_rows(recs.drop("__text"), vecs, text_builder=text_builder)
-        COL.upsert(spark, root, name, rows)
+        meta = F.struct(F.col("year"), F.col("journal"), F.lit(None).cast("string").alias("gene")).alias("metadata")
+        rows = fresh.select(F.col("pmid").alias("id"), text_builder().alias("document"), text_builder().alias("__text"), meta)
+        # parsed and embedded once; the merge reads the written rows
+        COL.upsert(spark, root, name, cut_lineage(V.embed_hashed(rows, "__text", "id")))
     return run
 
 

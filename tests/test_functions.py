@@ -10,9 +10,9 @@ from helixframe.operators import results as RS
 
 def test_parse_attrs_rules(spark):
     df = spark.createDataFrame(
-        [("tissue;;primary colorectal cancer|source name;; x |junk|a;;b;;c|a;;d",), (None,)], "s string")
+        [("organ;;left lung sample|kit name;; x |junk|a;;b;;c|a;;d",), (None,)], "s string")
     rows = df.select(T.parse_attrs("s").alias("m")).collect()
-    assert rows[0].m == {"tissue": "primary colorectal cancer", "source name": "x", "a": "d"}
+    assert rows[0].m == {"organ": "left lung sample", "kit name": "x", "a": "d"}
     assert rows[1].m == {}
 
 
@@ -32,19 +32,19 @@ def test_standardize_condition_order(spark):
 
 
 def test_extract_patient_and_strip_version(spark):
-    df = spark.createDataFrame([("AMC_12-1 RNA", "ENSG00000103196.10"), ("other", "ENSG00000103196")], "t string, g string")
+    df = spark.createDataFrame([("AMC_12-1 RNA", "GENE77001234567.3"), ("other", "GENE77001234567")], "t string, g string")
     got = df.select(T.extract_patient("t").alias("p"), T.strip_version("g").alias("k")).collect()
     assert [r.p for r in got] == ["P12", None]
-    assert [r.k for r in got] == ["ENSG00000103196", "ENSG00000103196"]
+    assert [r.k for r in got] == ["GENE77001234567", "GENE77001234567"]
 
 
 def test_gene_label_and_hit_label(spark):
-    df = spark.createDataFrame([(None, "ENSG00000103196.10", "1", 0.12345), ("BEST4", "x", "2", None)],
+    df = spark.createDataFrame([(None, "GENE77001234567.3", "1", 0.12345), ("QZX9", "x", "2", None)],
                                "symbol string, gene_id string, id string, distance double")
     got = df.select(T.gene_label("symbol", "gene_id").alias("l"),
                     T.hit_label("id", "symbol", F.coalesce("distance", F.lit(1.0))).alias("h")).collect()
-    assert got[0].l == "000103196.10"[-15:] or got[0].l == "ENSG00000103196.10"[-15:]
-    assert got[1].l == "BEST4"
+    assert got[0].l == "1234567.3"[-15:] or got[0].l == "GENE77001234567.3"[-15:]
+    assert got[1].l == "QZX9"
     assert got[0].h == "1 | ? | d=0.123"
 
 
@@ -75,9 +75,9 @@ def test_render_citation_and_texts(spark):
 
 
 def test_build_query(spark):
-    df = spark.createDataFrame([("BEST4",)], "g string")
+    df = spark.createDataFrame([("QZX9",)], "g string")
     q = df.select(T.build_query("g")).first()[0]
-    assert q == '"BEST4"[Title/Abstract] AND "Colorectal Neoplasms"[MeSH Major Topic] AND hasabstract[text]'
+    assert q == '"QZX9"[Title/Abstract] AND "Colorectal Neoplasms"[MeSH Major Topic] AND hasabstract[text]'
 
 
 def test_alignment_check_raises_on_missing_sample(spark):
@@ -114,3 +114,32 @@ def test_coverage_to_counts_half_even(spark):
     qc = spark.createDataFrame([("s", 1.0), ("t", 1.0), ("u", 2.0)], "external_id string, avg_len double")
     got = {r.sample_id: r["count"] for r in coverage_to_counts(cov, qc).collect()}
     assert got == {"s": 2, "t": 4, "u": 4}   # half to even: 2.5 -> 2, 3.5 -> 4, 3.5 -> 4
+
+
+def test_counts_with_a_quoted_header(spark, tmp_path):
+    from helixframe.sources import tabular as TB
+    p = tmp_path / "quoted.csv"
+    p.write_text('"","SRR1","SRR 2"\n"G1",5,0\n"G2",7,9\n')
+    got = {(r.gene_id, r.sample_id): r["count"] for r in TB.read_counts(spark, str(p)).collect()}
+    assert got == {("G1", "SRR1"): 5, ("G1", "SRR 2"): 0, ("G2", "SRR1"): 7, ("G2", "SRR 2"): 9}
+
+
+def test_phrases_do_not_cross_title_and_abstract(spark):
+    from helixframe.operators.corpus import search_corpus
+    corpus = spark.createDataFrame([("1", 2000, "About tumor", "necrosis in cells", ["Colorectal Neoplasms"]),
+                                    ("2", 2001, "Tumor necrosis", "text", ["Colorectal Neoplasms"]),
+                                    ("3", 2002, None, "of Tumor-necrosis type", ["Colorectal Neoplasms"]),
+                                    ("4", 2003, "tumor necrosis", "x", ["Other"])],
+                                   "pmid string, year int, title string, abstract string, mesh_major_topics array<string>")
+    genes = spark.createDataFrame([("tumor necrosis", 0), ("cells", 1)], "gene string, gene_ord int")
+    got = [(r.gene, r.hit_ord, r.pmid) for r in search_corpus(corpus, genes).orderBy("gene", "hit_ord").collect()]
+    assert got == [("cells", 1, "1"), ("tumor necrosis", 1, "3"), ("tumor necrosis", 2, "2")]
+
+
+def test_missing_checkpoint_folder_is_an_error_on_a_cluster():
+    import pytest
+    from types import SimpleNamespace
+    from helixframe.session import checkpoint_dir
+    fake = SimpleNamespace(conf=SimpleNamespace(get=lambda *a: None), sparkContext=SimpleNamespace(master="spark://host:7077"))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        checkpoint_dir(fake)

@@ -56,7 +56,7 @@ def test_collection_upsert_semantics(spark, tmp_path):
     from helixframe.sources import collection as COL
     root = str(tmp_path)
     empty = COL.open_collection(spark, root, "c")
-    assert empty.count() == 0
+    assert empty.count() == 0 and not (tmp_path / "c").exists()          # reading creates nothing
     meta = F.struct(F.lit(2020).alias("year"), F.lit("J").alias("journal"), F.lit(None).cast("string").alias("gene"))
     rows1 = spark.createDataFrame([("1", "a", [1.0]), ("2", "b", [2.0])], "id string, document string, embedding array<double>") \
         .withColumn("metadata", meta)
@@ -82,3 +82,73 @@ def test_stream_batch_replay_is_idempotent(spark, tmp_path):
     run(recs, 0)
     again = sorted((r.id, r.document) for r in COL.open_collection(spark, str(tmp_path), "c").collect())
     assert first == again == [("1", "T one\n\nalpha beta"), ("2", "T two\n\ngamma")]
+
+
+def test_hashed_vectors_belong_to_rows_not_keys(spark):
+    df = spark.createDataFrame([("1", "alpha"), ("1", "beta gamma"), ("2", None)], "k string, t string")
+    rows = V.embed_hashed(df, "t", "k")
+    assert "Exchange" not in rows._jdf.queryExecution().executedPlan().toString()
+    got = [r.embedding for r in rows.collect()]
+    assert got[0] != got[1] and got[2] is None
+    assert all(abs(np.linalg.norm(v) - 1) < 1e-12 for v in got[:2])
+
+
+def _rows(spark, n, tag):
+    meta = F.struct(F.lit(2020).alias("year"), F.lit("J").alias("journal"), F.lit(None).cast("string").alias("gene"))
+    return spark.range(n).select(F.col("id").cast("string").alias("id"), F.concat(F.lit(tag), F.col("id").cast("string")).alias("document"),
+                                 F.array(F.col("id").cast("double")).alias("embedding"), meta.alias("metadata"))
+
+
+def test_collection_survives_a_dead_writer(spark, tmp_path):
+    """Whatever a job that dies leaves behind, the version before it stays live and the next upsert works."""
+    from helixframe.sources import collection as COL
+    root = str(tmp_path)
+    COL.upsert(spark, root, "c", _rows(spark, 50, "a"))
+    base = tmp_path / "c"
+    (base / "v=1-dead" / "bucket=0").mkdir(parents=True)                 # data written, manifest missing
+    (base / "manifest-1.txt.abc.tmp").write_text("half")                 # manifest not yet renamed
+    assert COL.open_collection(spark, root, "c").count() == 50
+    live = COL.upsert(spark, root, "c", _rows(spark, 10, "b"))
+    docs = {r.id: r.document for r in live.collect()}
+    assert len(docs) == 50 and docs["3"] == "b3" and docs["30"] == "a30"
+    import pytest
+    with pytest.raises(RuntimeError):                                     # a version is never replaced
+        COL._add_text(spark, str(base / "manifest-1.txt"), "x")
+
+
+def test_collection_is_dealt_anew_when_it_outgrows_its_buckets(spark, tmp_path, monkeypatch):
+    from helixframe.sources import collection as COL
+    monkeypatch.setattr(COL, "BUCKET_ROWS", 10)
+    root = str(tmp_path)
+    COL.upsert(spark, root, "c", _rows(spark, 10, "a"))
+    assert COL._manifest(spark, str(tmp_path / "c"))[1][-1] == "1"
+    live = COL.upsert(spark, root, "c", _rows(spark, 120, "b"))
+    assert int(COL._manifest(spark, str(tmp_path / "c"))[1][-1]) == 13
+    assert live.count() == 120 and {r.document[0] for r in live.collect()} == {"b"}
+
+
+def test_knn_of_no_queries_has_the_same_columns(spark):
+    stored = spark.createDataFrame([("a", [1.0], "g")], "id string, embedding array<double>, gene string")
+    none = spark.createDataFrame([], "query_id string, embedding array<double>")
+    some = spark.createDataFrame([("q", [1.0])], "query_id string, embedding array<double>")
+    assert V.knn_exact(stored, none, 3, extra=["gene"]).columns == V.knn_exact(stored, some, 3, extra=["gene"]).columns
+    assert V.knn_exact(stored, none, 3, extra=["gene"]).count() == 0
+
+
+def test_ingest_rows_raises_on_unmatched_keys(spark):
+    import pytest
+    recs = spark.createDataFrame([("1", "T", "A", 2000, "J")], "pmid string, title string, abstract string, year int, journal string")
+    vecs = spark.createDataFrame([("2", [1.0])], "pmid string, embedding array<double>")
+    with pytest.raises(Exception, match="same keys"):
+        V.ingest_rows(recs, vecs).collect()
+
+
+def test_lsh_neighbours_are_mostly_the_exact_ones(spark):
+    rng = np.random.default_rng(3)
+    base = rng.normal(size=(200, 16))
+    base /= np.linalg.norm(base, axis=1, keepdims=True)
+    qs = base[:20] + 0.02 * rng.normal(size=(20, 16))
+    stored = spark.createDataFrame([(f"{i:03d}", list(map(float, v))) for i, v in enumerate(base)], "id string, embedding array<double>")
+    q = spark.createDataFrame([(f"q{i}", list(map(float, v))) for i, v in enumerate(qs)], "query_id string, embedding array<double>")
+    got = V.knn_approx(stored, q, 1, num_tables=16)
+    assert sum(r.id == f"{int(r.query_id[1:]):03d}" for r in got.collect()) >= 18
