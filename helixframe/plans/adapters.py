@@ -273,13 +273,13 @@ def corpus_xml(spark: SparkSession, d: str) -> DataFrame:
 
 def search_terms(spark: SparkSession, d: str) -> DataFrame:
     """Query genes for corpus search: the first word and the first two words of each benchmark
-    item, lower-cased (gene, gene_ord); gene_ord = the first item id using the term,
-    an order key that needs no global ranking window."""
+    item, lower-cased (gene, gene_ord); gene_ord follows the first item id using the term (one word before
+    two), an order key that needs no global ranking window."""
     b = read_table(spark, d, "benchmark", "item_id", "text")
     low = F.lower("text")
     terms = F.array(F.regexp_extract(low, r"^([\p{L}\p{N}]+)", 1), F.regexp_extract(low, r"^([\p{L}\p{N}]+ [\p{L}\p{N}]+)", 1))
-    w = b.select(F.explode(terms).alias("gene"), "item_id").where(F.length("gene") > 0)
-    return w.groupBy("gene").agg(F.min("item_id").alias("gene_ord"))
+    w = b.select(F.posexplode(terms).alias("words", "gene"), "item_id").where(F.length("gene") > 0)
+    return w.groupBy("gene").agg(F.min(F.col("item_id") * 2 + F.col("words")).alias("gene_ord"))
 
 
 def vector_rows(spark: SparkSession, d: str) -> DataFrame:

@@ -106,9 +106,9 @@ _CTES: dict[str, tuple[tuple[str, ...], str]] = {
                        CASE WHEN doc_id % 3 = 0 THEN 'Humans' END ], lambda x: x IS NOT NULL) AS mesh_major_topics
   FROM doc_parts"""),
     "search_terms": ((), """
-  SELECT gene, min(item_id) AS gene_ord FROM (
-    SELECT regexp_extract(lower(text), '^([\\p{L}\\p{N}]+)', 1) AS gene, item_id FROM benchmark
-    UNION ALL SELECT regexp_extract(lower(text), '^([\\p{L}\\p{N}]+ [\\p{L}\\p{N}]+)', 1), item_id FROM benchmark)
+  SELECT gene, min(ord) AS gene_ord FROM (
+    SELECT regexp_extract(lower(text), '^([\\p{L}\\p{N}]+)', 1) AS gene, item_id * 2 AS ord FROM benchmark
+    UNION ALL SELECT regexp_extract(lower(text), '^([\\p{L}\\p{N}]+ [\\p{L}\\p{N}]+)', 1), item_id * 2 + 1 FROM benchmark)
   WHERE length(gene) > 0 GROUP BY gene"""),
     "hits": (("corpus", "search_terms"), """
   SELECT gene, gene_ord, CAST(hit_ord AS INTEGER) AS hit_ord, pmid FROM (
