@@ -2,9 +2,9 @@
 
 Vectors are ``array<float>`` (or double) columns, one per row. Exact k-NN
 never materialises query x stored pairs as rows: the bounded query set
-is broadcast to a ``mapInPandas`` kernel that scores one Arrow batch of
-stored vectors at a time and keeps each query's k best inside the
-batch; a final ``row_number() <= k`` merges the per-batch candidates.
+goes to a ``mapInPandas`` kernel that scores blocks of stored vectors against blocks of
+queries and keeps each query's k best of its whole task; a final
+``row_number() <= k`` merges the tasks' candidates.
 """
 
 from __future__ import annotations
@@ -125,29 +125,43 @@ def cosine_pairs(pairs: DataFrame, a: str, b: str) -> Column:
 
 # ------------------------------------------------------------- V6 / J7 / W7
 
+ROW_BLOCK, QUERY_BLOCK = 4_096, 2_048     # a distance block of 64 MB
+
+
 def _topk_kernel(qids: np.ndarray, qmat: np.ndarray, k: int, id_col: str, vec_col: str, extra: list[str]):
     qn = (qmat * qmat).sum(axis=1)
 
     def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        # the k best so far of each query, ties in distance by id; emitted once, at the task's end
+        best = None
+        limit = np.full(len(qids), np.inf)
         for pdf in it:
-            pdf = pdf[pdf[vec_col].notna()]
-            if pdf.empty:
-                continue
-            x = np.stack(pdf[vec_col].to_numpy()).astype(np.float64)
-            if x.shape[1] != qmat.shape[1]:
-                raise ValueError(f"vector length {x.shape[1]} != query length {qmat.shape[1]}")
-            d = (x * x).sum(axis=1)[:, None] + qn[None, :] - 2.0 * (x @ qmat.T)
-            d = np.maximum(d, 0.0)
-            kk = min(k, d.shape[0])
-            # per query: everything up to the k-th smallest distance of this
-            # batch, ties included, so the final (distance, id) order is exact
-            kth = np.partition(d, kk - 1, axis=0)[kk - 1]
-            rows, cols = np.nonzero(np.round(d, 9) <= np.round(kth, 9)[None, :])
-            out = pd.DataFrame({"query_id": qids[cols], "id": pdf[id_col].to_numpy()[rows],
-                                "distance": d[rows, cols]})
-            for e in extra:
-                out[e] = pdf[e].to_numpy()[rows]
-            yield out
+            pdf = pdf[pdf[vec_col].notna()].reset_index(drop=True)
+            for lo in range(0, len(pdf), ROW_BLOCK):
+                part = pdf.iloc[lo:lo + ROW_BLOCK].reset_index(drop=True)
+                x = np.stack(part[vec_col].to_numpy()).astype(np.float64)
+                if x.shape[1] != qmat.shape[1]:
+                    raise ValueError(f"vector length {x.shape[1]} != query length {qmat.shape[1]}")
+                xn, found = (x * x).sum(axis=1)[:, None], []
+                for q in range(0, len(qids), QUERY_BLOCK):
+                    d = np.maximum(xn + qn[None, q:q + QUERY_BLOCK] - 2.0 * (x @ qmat[q:q + QUERY_BLOCK].T), 0.0)
+                    r = np.round(d, 9)
+                    kk = min(k, len(d))
+                    bar = np.minimum(np.partition(r, kk - 1, axis=0)[kk - 1], limit[q:q + QUERY_BLOCK])
+                    rows, cols = np.nonzero(r <= bar[None, :])
+                    if len(rows):
+                        new = part.loc[rows, [id_col, *extra]].reset_index(drop=True).rename(columns={id_col: "id"})
+                        new["__q"], new["distance"], new["__r"] = cols + q, d[rows, cols], r[rows, cols]
+                        found.append(new)
+                if found:
+                    best = pd.concat(found if best is None else [best, *found], ignore_index=True)
+                    best = best.sort_values(["__q", "__r", "id"], kind="stable").groupby("__q", sort=False).head(k).reset_index(drop=True)
+                    full = best.groupby("__q")["__r"].agg(["size", "max"])
+                    full = full[full["size"] >= k]
+                    limit[full.index.to_numpy()] = full["max"].to_numpy()
+        if best is not None:
+            best["query_id"] = qids[best["__q"].to_numpy()]
+            yield best[["query_id", "id", "distance", *extra]]
     return run
 
 

@@ -26,6 +26,27 @@ def test_knn_exact_matches_brute_force_with_ties(spark):
         assert [x[1] for x in sorted(got[f"q{i}"])] == [f"{j:03d}" for j in order]
 
 
+def test_knn_blocks_and_many_batches_agree_with_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(V, "ROW_BLOCK", 7)
+    monkeypatch.setattr(V, "QUERY_BLOCK", 3)
+    rng = np.random.default_rng(6)
+    base = rng.integers(0, 3, size=(150, 4)).astype(float)                # many ties
+    qs = rng.integers(0, 3, size=(10, 4)).astype(float)
+    stored = spark.createDataFrame([(f"{i:03d}", list(map(float, v)), f"x{i}") for i, v in enumerate(base)] + [("nul", None, "x")],
+                                   "id string, embedding array<double>, e string").coalesce(2)
+    q = spark.createDataFrame([(f"q{i}", list(map(float, v))) for i, v in enumerate(qs)], "query_id string, embedding array<double>")
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "20")
+    try:
+        got = {(r.query_id, r["rank"]): (r.id, r.e) for r in V.knn_exact(stored, q, 6, extra=["e"]).collect()}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    for i, qv in enumerate(qs):
+        d = ((base - qv) ** 2).sum(1)
+        for n, j in enumerate(sorted(range(150), key=lambda j: (round(d[j], 9), j))[:6]):
+            assert got[f"q{i}", n + 1] == (f"{j:03d}", f"x{j}")
+
+
 def test_knn_smaller_collection_returns_fewer(spark):
     stored = spark.createDataFrame([("a", [1.0, 0.0]), ("b", [0.0, 1.0])], "id string, embedding array<double>")
     q = spark.createDataFrame([("q", [1.0, 0.0])], "query_id string, embedding array<double>")
