@@ -7,12 +7,15 @@ mesh_major_topics. Gene query lists: (gene, gene_ord). Hits:
 
 from __future__ import annotations
 
-import os
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from helixframe.functions import text as T
+from helixframe.operators.results import cache_misses
+from helixframe.session import cut_lineage
+from helixframe.sources import versioned
 from helixframe.sources.xml_corpus import RECORD_SCHEMA
 
 
@@ -111,19 +114,22 @@ def merge_records(old: DataFrame, new: DataFrame, key: str = "pmid") -> DataFram
 
 
 def save_records(records: DataFrame, path: str, fmt: str = "json") -> None:
-    """Persist the record cache (JSON lines by default, keyed by pmid)."""
-    records.write.mode("overwrite").format(fmt).save(path)
+    """Persist the record cache (JSON lines by default, keyed by pmid) as its next version; ``records`` may
+    have been merged from the version before."""
+    versioned.save(records, path, fmt)
 
 
 def load_records(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
-    """Load the record cache; a missing path gives an empty typed frame."""
-    if not _exists(spark, path):
-        return spark.createDataFrame([], RECORD_SCHEMA)
-    return spark.read.format(fmt).schema(RECORD_SCHEMA).load(path)
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return bool(fs.exists(p))
+    """Load the record cache; one never saved gives an empty typed frame."""
+    return versioned.load(spark, path, RECORD_SCHEMA, fmt)
+
+
+def cached_fetch(spark: SparkSession, hits: DataFrame, path: str, fetch: Callable[[DataFrame], DataFrame], fmt: str = "json") -> DataFrame:
+    """Records of ``hits`` in search order, through the cache: load it, fetch only the pmids it lacks (``fetch``
+    takes a one-column frame of them), merge, save, and join. Nothing missing: nothing fetched or saved."""
+    cache = load_records(spark, path, fmt)
+    missing = cut_lineage(cache_misses(hits, cache, "pmid"))
+    if missing.limit(1).count():
+        save_records(merge_records(cache, fetch(missing).select(*cache.columns)), path, fmt)
+        cache = load_records(spark, path, fmt)
+    return ordered_fetch(hits, cache)

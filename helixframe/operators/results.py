@@ -16,6 +16,7 @@ from pyspark.sql import types as Ty
 
 from helixframe.functions import text as T
 from helixframe.session import cut_lineage
+from helixframe.sources import versioned
 
 LFC_THRESHOLD = 1.0
 ALPHA = 0.05
@@ -67,6 +68,26 @@ def merge_cache(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
     return old.join(new.select(key), key, "left_anti").unionByName(new)
 
 
+SYMBOL_SCHEMA = "gene_id string, symbol string"
+
+
+def load_symbols(spark, path: str) -> DataFrame:
+    """The stored symbol cache (gene_id, symbol; a null symbol is a known miss); empty if never saved."""
+    return versioned.load(spark, path, SYMBOL_SCHEMA)
+
+
+def update_symbols(spark, path: str, requested: DataFrame, look_up) -> DataFrame:
+    """Answer ``requested`` (gene_id) through the stored cache: only ids it lacks go to ``look_up`` (a one-column
+    frame in, gene_id and symbol out); ids without an answer are stored as known misses."""
+    cache = load_symbols(spark, path)
+    missing = cut_lineage(cache_misses(requested, cache, "gene_id"))
+    if missing.limit(1).count():
+        answers = missing.join(look_up(missing).select("gene_id", "symbol"), "gene_id", "left")
+        versioned.save(merge_cache(cache, first_per_key(answers, order="symbol"), "gene_id"), path)
+        cache = load_symbols(spark, path)
+    return cache.join(requested.select("gene_id").distinct(), "gene_id", "left_semi")
+
+
 # ------------------------------------------------------------- P8 / P9 / P10
 
 def neg_log10(col) -> Column:

@@ -56,12 +56,16 @@ SELECT gene_id, symbol FROM symbol_map WHERE size <= 25 AND NOT size > 20
 UNION ALL
 SELECT gene_id, lower(symbol) FROM symbol_map WHERE size > 20""")
 def q_symbol_cache_merge(spark, d):
-    """Old cache (parts of size <= 25) merged with a fresh answer for sizes > 20
-    (lower-cased symbols, NULL entries kept); the fresh answer wins on the overlap."""
+    """Old cache (parts of size <= 25), stored; merged with a fresh answer for sizes > 20
+    (lower-cased symbols, NULL entries kept), stored as the next version and loaded back; the fresh answer wins."""
+    from helixframe.session import scratch_path
+    from helixframe.sources import versioned
+    path = scratch_path(spark, "symbol_cache")
     m = RS.first_per_key(A.symbol_hits(spark, d))
-    old = m.where(F.col("size") <= 25).select("gene_id", "symbol")
+    versioned.save(m.where(F.col("size") <= 25).select("gene_id", "symbol"), path)
     new = m.where(F.col("size") > 20).select("gene_id", F.lower("symbol").alias("symbol"))
-    return RS.merge_cache(old, new, "gene_id")
+    versioned.save(RS.merge_cache(RS.load_symbols(spark, path), new, "gene_id"), path)
+    return RS.load_symbols(spark, path)
 
 
 @register("volcano_points", cte("de_results") + """

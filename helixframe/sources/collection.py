@@ -20,55 +20,19 @@ Rows: id, document, embedding, metadata struct<year, journal, gene>.
 from __future__ import annotations
 
 import os
-import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from helixframe.session import cut_lineage
+from helixframe.sources.versioned import add_text, highest, hadoop_path, read_text
 
 COLLECTION_SCHEMA = ("id string, document string, embedding array<double>, "
                      "metadata struct<year:int, journal:string, gene:string>")
 BUCKET_ROWS = 50_000   # rows per bucket to start with; four times as many before the rows are dealt anew
 
 
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
-
-
-def _read_text(spark: SparkSession, path: str) -> str | None:
-    fs, p = _fs(spark, path)
-    if not fs.exists(p):
-        return None
-    jvm = spark.sparkContext._jvm
-    stream = fs.open(p)
-    try:
-        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
-        lines = []
-        while True:
-            line = reader.readLine()
-            if line is None:
-                break
-            lines.append(line)
-        return "\n".join(lines)
-    finally:
-        stream.close()
-
-
-def _add_text(spark: SparkSession, path: str, text: str) -> None:
-    """Add a file that appears whole or not at all; an existing one is never replaced."""
-    fs, tmp = _fs(spark, f"{path}.{uuid.uuid4().hex}.tmp")
-    out = fs.create(tmp, False)
-    out.write(bytearray(text.encode("utf-8")))
-    out.close()
-    _, final = _fs(spark, path)
-    if fs.exists(final) or not fs.rename(tmp, final):
-        raise RuntimeError(f"{path} was added by another writer")
-
-
 def bucket_of(id_col, n_buckets: int):
     c = F.col(id_col) if isinstance(id_col, str) else id_col
     return F.pmod(F.xxhash64(c), F.lit(n_buckets)).cast("int")
@@ -76,12 +40,8 @@ def bucket_of(id_col, n_buckets: int):
 
 def _manifest(spark: SparkSession, base: str) -> tuple[int, dict[int, str]]:
     """(live version, bucket -> path); version -1 and no buckets for a name never written. The bucket count is entry -1."""
-    fs, p = _fs(spark, base)
-    if not fs.exists(p):
-        return -1, {}
-    found = [re.fullmatch(r"manifest-(\d+)\.txt", f.getPath().getName()) for f in fs.listStatus(p)]
-    v = max((int(x[1]) for x in found if x), default=-1)
-    text = _read_text(spark, os.path.join(base, f"manifest-{v}.txt")) if v >= 0 else None
+    v = highest(spark, base)
+    text = read_text(spark, os.path.join(base, f"manifest-{v}.txt")) if v >= 0 else None
     m = {}
     for line in (text or "").splitlines():
         if line.strip():
@@ -139,13 +99,13 @@ def upsert(spark: SparkSession, root: str, name: str, rows: DataFrame, order_col
     # rows stay spread by id and each task writes its share of every bucket
     out.write.partitionBy("bucket").parquet(vdir)
     if anew:
-        fs, p = _fs(spark, vdir)
+        fs, p = hadoop_path(spark, vdir)
         names = [f.getPath().getName() for f in fs.listStatus(p)]
         m = {int(x.split("=")[1]): os.path.join(vdir, x) for x in names if x.startswith("bucket=")}
     else:
         m |= {b: os.path.join(vdir, f"bucket={b}") for b in touched}
     m[-1] = str(count)
-    _add_text(spark, os.path.join(base, f"manifest-{v + 1}.txt"), "\n".join(f"{b}\t{p}" for b, p in sorted(m.items())))
+    add_text(spark, os.path.join(base, f"manifest-{v + 1}.txt"), "\n".join(f"{b}\t{p}" for b, p in sorted(m.items())))
     return open_collection(spark, root, name)
 
 

@@ -133,8 +133,9 @@ def test_collection_survives_a_dead_writer(spark, tmp_path):
     docs = {r.id: r.document for r in live.collect()}
     assert len(docs) == 50 and docs["3"] == "b3" and docs["30"] == "a30"
     import pytest
+    from helixframe.sources import versioned
     with pytest.raises(RuntimeError):                                     # a version is never replaced
-        COL._add_text(spark, str(base / "manifest-1.txt"), "x")
+        versioned.add_text(spark, str(base / "manifest-1.txt"), "x")
 
 
 def test_collection_is_dealt_anew_when_it_outgrows_its_buckets(spark, tmp_path, monkeypatch):

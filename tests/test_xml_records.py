@@ -84,3 +84,38 @@ def test_unparsed_rows_go_to_the_side_table(spark, tmp_path):
     assert spark.read.parquet(side).count() == 2
     plan = X.parse_xml_column(df)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("from_xml") + plan.count("xmltostructs") + plan.count("XmlToStructs") <= 1
+
+
+def test_cached_fetch_asks_only_for_what_is_missing(spark, tmp_path):
+    from helixframe.operators import corpus as C
+    path, asked = str(tmp_path / "cache"), []
+
+    def fetch(missing):
+        ids = sorted(r.pmid for r in missing.collect())
+        asked.append(ids)
+        return spark.createDataFrame([(i, f"T{i}", "", [], None, None, "J", []) for i in ids if i != "9"], X.RECORD_SCHEMA)
+
+    hits = spark.createDataFrame([("g", 0, 1, "2"), ("g", 0, 2, "1"), ("h", 1, 1, "2"), ("h", 1, 2, "9")],
+                                 "gene string, gene_ord int, hit_ord int, pmid string")
+    one = C.cached_fetch(spark, hits, path, fetch)
+    assert [(r.gene, r.pmid, r.title) for r in one.orderBy("gene_ord", "hit_ord").collect()] == [("g", "2", "T2"), ("g", "1", "T1"), ("h", "2", "T2")]
+    more = hits.unionByName(spark.createDataFrame([("k", 2, 1, "3")], hits.schema))
+    assert C.cached_fetch(spark, more, path, fetch).count() == 4
+    assert asked == [["1", "2", "9"], ["3", "9"]]
+    assert sorted(r.pmid for r in C.load_records(spark, path).collect()) == ["1", "2", "3"]
+
+
+def test_symbol_cache_is_kept_with_its_misses(spark, tmp_path):
+    from helixframe.operators import results as RS
+    path, asked = str(tmp_path / "symbols"), []
+
+    def look_up(missing):
+        ids = sorted(r.gene_id for r in missing.collect())
+        asked.append(ids)
+        return spark.createDataFrame([(i, i.upper()) for i in ids if i != "none"], "gene_id string, symbol string")
+
+    ask = lambda *ids: {r.gene_id: r.symbol for r in RS.update_symbols(spark, path, spark.createDataFrame([(i,) for i in ids], "gene_id string"), look_up).collect()}
+    assert RS.load_symbols(spark, path).count() == 0
+    assert ask("a", "none", "a") == {"a": "A", "none": None}
+    assert ask("none", "b") == {"none": None, "b": "B"}                    # a known miss is not asked again
+    assert asked == [["a", "none"], ["b"]] and RS.load_symbols(spark, path).count() == 3
