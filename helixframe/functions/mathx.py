@@ -75,18 +75,6 @@ def lgamma_np(x: np.ndarray) -> np.ndarray:
     return st - prod
 
 
-def digamma_np(x: np.ndarray) -> np.ndarray:
-    x = np.asarray(x, dtype=np.float64)
-    acc = np.zeros_like(x)
-    z = x.copy()
-    for _ in range(6):
-        m = z < 6
-        acc = np.where(m, acc - 1.0 / z, acc)
-        z = np.where(m, z + 1, z)
-    inv2 = 1.0 / (z * z)
-    return acc + np.log(z) - 0.5 / z - inv2 * (1 / 12 - inv2 * (1 / 120 - inv2 / 252))
-
-
 def trigamma(x: float) -> float:
     """psi_1(x) by recurrence + asymptotic series."""
     acc = 0.0

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from helixframe.functions.mathx import log_choose
 from helixframe.operators.results import bh_adjust
 
-MAX_BACKGROUND = 5_000_000
 
 
 def ora(gene_lists: DataFrame, gene_sets: DataFrame, background: DataFrame,

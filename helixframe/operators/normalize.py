@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-MAX_SAMPLES = 200_000
 
 
 def size_factors(counts: DataFrame, n_samples: int, gene: str = "gene_id", sample: str = "sample_id",
@@ -36,12 +35,6 @@ def size_factors(counts: DataFrame, n_samples: int, gene: str = "gene_id", sampl
     return ratios.groupBy(sample).agg(F.exp(F.percentile_approx("r", 0.5, 100_000)).alias("size_factor"))
 
 
-def assert_size_factors(sf: DataFrame, n_samples: int) -> None:
-    n = sf.count()
-    if n != n_samples:
-        raise ValueError("size factors need at least one gene with a positive count in every sample")
-
-
 def normalized_counts(counts: DataFrame, sf: DataFrame, sample: str = "sample_id",
                       value: str = "count") -> DataFrame:
     """Long normalised counts ``y / s`` (null for a sample without a size factor). The planner broadcasts the

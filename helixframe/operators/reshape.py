@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from helixframe.functions import text as T
-from helixframe.session import require_small
 
 # Design tables are one row per sample; a few hundred thousand is far above
 # any study and still cheap to broadcast.
@@ -164,5 +163,9 @@ def gene_vectors(counts: DataFrame, samples: DataFrame, n_samples: int, gene: st
                                       lambda i: F.coalesce(F.try_element_at("__m", i), F.lit(0.0))).alias("y"))
 
 
-def design_size(samples: DataFrame) -> int:
-    return require_small(samples, MAX_SAMPLES, "sample table")
+def collect_design(samples: DataFrame) -> list[dict]:
+    """The design on the driver, in sample order: one small row per sample, at most MAX_SAMPLES."""
+    rows = samples.orderBy("sample_idx").limit(MAX_SAMPLES + 1).collect()
+    if len(rows) > MAX_SAMPLES:
+        raise ValueError(f"the design has more than {MAX_SAMPLES} samples")
+    return [r.asDict() for r in rows]

@@ -20,7 +20,6 @@ from helixframe.sources import versioned
 
 LFC_THRESHOLD = 1.0
 ALPHA = 0.05
-MAX_LIST = 1_000_000   # gene / marker lists broadcast as join sides
 
 
 def nan_to_null(df: DataFrame) -> DataFrame:

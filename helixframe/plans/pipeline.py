@@ -32,7 +32,7 @@ def expression_inputs(spark: SparkSession, d: str, min_total: int = 10) -> Expre
     cells = A.study_cells(spark, d)
     counts = A.counts_long(spark, d, cells)
     samples = A.samples(spark, d, cells)
-    design = [r.asDict() for r in samples.orderBy("sample_idx").collect()]
+    design = R.collect_design(samples)
     n = len(design)
     # the design is m rows already on the driver: reuse it as a local relation
     # instead of re-deriving it from the cells in every later join / size check
