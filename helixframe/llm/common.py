@@ -31,8 +31,9 @@ def map_arrow(df: DataFrame, new: dict[str, str], make: Callable[[], Callable[[p
     """Append columns computed from each Arrow batch.
 
     ``new`` maps added column names to DDL types; ``make`` runs once per task and returns the
-    batch function (so that caches and models live as long as the task). Kept columns of the
-    same name as a new one are replaced.
+    batch function; if that has a ``done`` attribute it is called when the task ends, to free what a
+    shared model keeps (worker processes live on into later stages). Kept columns of the same name as a
+    new one are replaced.
     """
     keep = [c for c in (df.columns if keep is None else keep) if c not in new]
     schema = T.StructType([df.schema[c] for c in keep])
@@ -41,12 +42,15 @@ def map_arrow(df: DataFrame, new: dict[str, str], make: Callable[[], Callable[[p
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         f = make()
-        for b in batches:
-            if b.num_rows == 0:
-                continue
-            out = f(b)
-            cols = [b.column(b.schema.get_field_index(c)) for c in keep] + [_arrow(out[c]) for c in new]
-            yield pa.RecordBatch.from_arrays(cols, names=[*keep, *new])
+        try:
+            for b in batches:
+                if b.num_rows == 0:
+                    continue
+                out = f(b)
+                cols = [b.column(b.schema.get_field_index(c)) for c in keep] + [_arrow(out[c]) for c in new]
+                yield pa.RecordBatch.from_arrays(cols, names=[*keep, *new])
+        finally:
+            getattr(f, "done", lambda: None)()
 
     return df.mapInArrow(run, schema)
 

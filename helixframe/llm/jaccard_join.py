@@ -119,7 +119,7 @@ def signatures(docs: DataFrame, n: int, bands: int, rows: int) -> DataFrame:
         mh = MinHash(bands, rows)
         for b in batches:
             at = 0
-            for part in in_slices(b.column("text"), 4_000_000):
+            for part in in_slices(b.column("text"), 2_000_000):
                 sets = gram_hashes(part, n)
                 digest = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
                 yield pa.RecordBatch.from_arrays(
@@ -263,7 +263,7 @@ def jaccard_links(docs: DataFrame, threshold: float = 0.8, n: int = 5, recall: f
         for b in batches:
             keep = [c for c in b.schema.names if c != "text"]
             at = 0
-            for piece in in_slices(b.column("text"), 4_000_000):
+            for piece in in_slices(b.column("text"), 2_000_000):
                 got = pa.array([s.astype("<u8").tobytes() for s in gram_hashes(piece, n)], pa.binary())
                 yield pa.RecordBatch.from_arrays([b.column(c).slice(at, len(piece)) for c in keep] + [got], names=[*keep, "grams"])
                 at += len(piece)

@@ -28,6 +28,8 @@ from helixframe.llm.tokens import in_slices
 
 DIM, SHAPE_DIM, NONZERO, WINDOW = 48, 32, 6, 2
 SLICE = 1_500_000
+#: Word pairs whose vectors are held at a time in training.
+PAIRS = 100_000
 
 
 def index_vector(word: str, dim: int) -> np.ndarray:
@@ -55,13 +57,13 @@ def shape(word: str) -> str:
 class WordVectors:
     """Context vectors of the words seen often enough in training; shape vectors of any word."""
 
-    MAX_KEPT = 1_000_000
+    MAX_KEPT = 500_000
 
     def __init__(self, vocabulary: dict[str, int], context: np.ndarray):
         self.vocabulary, self.context = vocabulary, context          # row 0: no context known
-        self._clear()
+        self.clear()
 
-    def _clear(self):
+    def clear(self):
         self.kept: dict[str, int] = {}
         self.shapes: dict[str, int] = {}
         self.shape_rows: list[np.ndarray] = []
@@ -88,8 +90,10 @@ class WordVectors:
         for gap in range(1, WINDOW + 1):
             same = owner[gap:] == owner[:-gap]
             a, b = rows[:-gap][same], rows[gap:][same]
-            np.add.at(context, a, index[b])
-            np.add.at(context, b, index[a])
+            for i in range(0, len(a), PAIRS):
+                x, y = a[i: i + PAIRS], b[i: i + PAIRS]
+                np.add.at(context, x, index[y])
+                np.add.at(context, y, index[x])
         context[0] = 0
         norm = np.linalg.norm(context, axis=1, keepdims=True)
         context = np.where(norm > 0, context / np.maximum(norm, 1e-9), 0).astype(np.float32)
@@ -98,7 +102,7 @@ class WordVectors:
     def rows(self, names: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(context row, shape row) of each word."""
         if len(self.kept) > self.MAX_KEPT:
-            self._clear()
+            self.clear()
         get, known = self.kept.get, self.kept
         for x in names:
             if get(x) is None:
@@ -222,7 +226,7 @@ def train(sample: list[tuple[str, int]], prior: float) -> Quality:
     return Quality(vectors, net, prior)
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", k: int = 3, held_out: int = 1, per_class: int = 2000) -> Quality:
+def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", k: int = 3, held_out: int = 1, per_class: int = 1500) -> Quality:
     """Fit on at most ``per_class`` labelled documents of each class outside the held-out fold."""
     outside = fold("doc_id", k) != held_out
     share = labels.filter(outside & F.col(label).isin(0, 1)).agg(F.avg(label).alias("p")).first()["p"]
@@ -239,6 +243,8 @@ def score_texts(docs: DataFrame, model: Quality, text_col: str = "text", score_c
         def one(b):
             got = [m.scores(s) for s in in_slices(b.column(b.schema.get_field_index(text_col)), SLICE)]
             return {score_col: np.concatenate(got)}
+        if m.vectors is not None:
+            one.done = m.vectors.clear
         return one
 
     return map_arrow(docs, {score_col: "double"}, make)

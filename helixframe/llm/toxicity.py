@@ -33,6 +33,8 @@ from helixframe.llm.common import Words, fit_logistic, fold, id_text, label_samp
 from helixframe.llm.tokens import in_slices
 
 BASE, SPAN, DECAY, LONGEST = 32, 5, 0.6, 32
+#: Words whose subsequences are held at a time.
+BLOCK = 20_000
 #: (first gap, second gap, weight) of each shape of subsequence.
 SHAPES = [(a, s - a, DECAY ** (s - 2)) for s in range(2, SPAN + 1) for a in range(1, s)]
 #: Digits and signs that stand for letters.
@@ -94,9 +96,10 @@ def apply_weights(words: list[str], betas: np.ndarray) -> np.ndarray:
     out = np.zeros((len(words), len(betas)))
     size = np.array([len(w) for w in words])
     for lo, hi in ((0, 6), (6, 10), (10, 14), (14, 20), (20, LONGEST + 1)):
-        pick = np.flatnonzero((size >= lo) & (size < hi))
-        if len(pick):
-            c, n = _codes([words[i] for i in pick])
+        like = np.flatnonzero((size >= lo) & (size < hi))
+        for i in range(0, len(like), BLOCK):
+            pick = like[i: i + BLOCK]
+            c, n = _codes([words[j] for j in pick])
             norm = _norms(n)
             shapes = [(w, t) for a, b, w in SHAPES if (t := _triples(c, a, b)) is not None]
             for k, beta in enumerate(betas):
@@ -180,12 +183,12 @@ def sentence_words(text: str) -> list[set[str]]:
     return [{f for f in map(fold_word, s.split()) if f} for s in _SENTENCE(text.lower()) if s.strip()]
 
 
-def train_machine(docs: list[list[set[str]]], y: np.ndarray, seed: int, n_witness: int = 80, n_plain: int = 32, rounds: int = 3) -> WordMachine:
-    """``docs``: the word sets of each document's sentences, ``y`` 0/1."""
+def train_machine(docs: list[set[str]], y: np.ndarray, seed: int, n_witness: int = 80, n_plain: int = 32, rounds: int = 3) -> WordMachine:
+    """``docs``: the words of each document's sentences, ``y`` 0/1."""
     rng = np.random.default_rng(seed)
     tox, cln = {}, {}
     for d, lab in zip(docs, y, strict=True):
-        for w in set().union(*d) if d else ():
+        for w in d:
             t = tox if lab else cln
             t[w] = t.get(w, 0) + 1
     nt, nc = max(1, int((y == 1).sum())), max(1, int((y == 0).sum()))
@@ -249,7 +252,7 @@ def _summary(top: np.ndarray, second: np.ndarray, over: np.ndarray, n: np.ndarra
 class Toxicity:
     """A fitted model: ``scores(Words)`` of a slice of texts. Word margins are kept up to a bound."""
 
-    MAX_KEPT = 1_000_000
+    MAX_KEPT = 500_000
 
     def __init__(self, machine: WordMachine | None, calibrator: np.ndarray | None, prior: float):
         self.machine, self.calibrator, self.prior = machine, calibrator, prior
@@ -260,7 +263,7 @@ class Toxicity:
 
     def word_margins(self, names: list[str]) -> np.ndarray:
         if len(self.kept) > self.MAX_KEPT:
-            self.kept = {}
+            self.kept.clear()
         new = [w for w in names if w not in self.kept]
         folded = [fold_word(w) for w in new]
         has = [i for i, f in enumerate(folded) if len(f) >= 3]
@@ -308,7 +311,9 @@ def train(sample: list[tuple[str, int]], prior: float, folds: int = 4) -> Toxici
         return Toxicity(None, None, prior)
     sample = sorted(dict(sample).items())             # copies of a text would count as independent evidence
     y = np.array([lab for _, lab in sample])
-    docs = [sentence_words(t) for t, _ in sample]
+    names: dict[str, str] = {}                        # one string per word
+    docs = [{names.setdefault(w, w) for s in sentence_words(t) for w in s} for t, _ in sample]
+    del names
     part = np.arange(len(y)) % folds
     X = np.zeros((len(y), 6))
     for f in range(folds):
@@ -322,7 +327,7 @@ def train(sample: list[tuple[str, int]], prior: float, folds: int = 4) -> Toxici
     return Toxicity(train_machine(docs, y, folds), fit_logistic(X, y.astype(float), 1e-3, weight=weight), prior)
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", k: int = 5, held_out: int = 0, per_class: int = 2000) -> Toxicity:
+def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", k: int = 5, held_out: int = 0, per_class: int = 1500) -> Toxicity:
     """Fit on at most ``per_class`` labelled documents of each class outside the held-out fold."""
     outside = fold("doc_id", k) != held_out
     share = labels.filter(outside & F.col(label).isin(0, 1)).agg(F.avg(label).alias("p")).first()["p"]
@@ -339,6 +344,7 @@ def score_texts(docs: DataFrame, model: Toxicity, text_col: str = "text", score_
         def one(b):
             got = [m.scores(Words(s, lower=True)) for s in in_slices(b.column(b.schema.get_field_index(text_col)))]
             return {score_col: np.concatenate(got)}
+        one.done = m.kept.clear
         return one
 
     return map_arrow(docs, {score_col: "double"}, make)
