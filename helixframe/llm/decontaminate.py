@@ -15,8 +15,9 @@ the full shingle sets, as text.
 Documents stream past the sketch; only matches are shuffled. The sketch is broadcast if its counted rows
 stay within ``broadcast_rows`` (16 bytes each), otherwise both sides are shuffled by shingle.
 
-Defined results: rows that share an id are one document (one item), null ids included for documents; items
-with a null id, null texts and texts of fewer than 5 words have no shingles and are never reported.
+Defined results: in the report rows that share an id are one document (one item), null ids included for
+documents; the filter judges each row by its own text. Items with a null id, null texts and texts of
+fewer than 5 words have no shingles and are never reported.
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from helixframe.llm.jaccard_join import numbered
 from helixframe.session import scratch_path
 
 WORD_BREAK = r"[^\p{L}\p{N}]+"
@@ -101,13 +103,18 @@ def contained_items(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.
                     (F.col("n_shared") / F.col("n_item")).alias("containment")))
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, doc_col: str = "doc_id", text_col: str = "text",
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
                       broadcast_rows: int = 2_000_000, **kw) -> DataFrame:
-    """``docs`` without the documents that hold a benchmark item; columns unchanged."""
+    """``docs`` without the rows that hold a benchmark item; columns unchanged. Every row is judged by its own
+    text, whatever its id: rows are numbered and searched by their numbers."""
     spark = docs.sparkSession
+    uid = "uid"
+    while uid in docs.columns:
+        uid += "_"
+    d = numbered(docs, uid)
     path = scratch_path(spark, "contaminated")
-    (contained_items(docs, benchmark, doc_col=doc_col, text_col=text_col, broadcast_rows=broadcast_rows, **kw)
-     .select(F.col("doc_id").alias("contaminated_id")).distinct().write.parquet(path))
+    (contained_items(d, benchmark, doc_col=uid, text_col=text_col, broadcast_rows=broadcast_rows, **kw)
+     .select(F.col("doc_id").alias(uid)).distinct().write.parquet(path))
     bad = spark.read.parquet(path)
     bad = F.broadcast(bad) if bad.count() <= broadcast_rows else bad
-    return docs.join(bad, docs[doc_col].eqNullSafe(bad["contaminated_id"]), "left_anti")
+    return d.join(bad, uid, "left_anti").select(*docs.columns)

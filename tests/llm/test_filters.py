@@ -84,6 +84,20 @@ def test_containment_matches_brute_force(spark):
     assert decontaminate.contained_items(df, bench.limit(0)).collect() == []
 
 
+def test_rows_that_share_an_id_are_dropped_one_by_one(spark):
+    item = "one two three four five six seven eight nine ten eleven twelve"
+    first, last = "one two three four five six seven eight", "five six seven eight nine ten eleven twelve"
+    rows = [(None, item), (None, "a clean text of some words"), (None, None), (7, "x " + item.upper()), (7, "another clean text of words"),
+            (8, first), (8, last)]                                # 8: only both texts together hold the item
+    docs = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, uid int")
+    bench = spark.createDataFrame([(0, item)], "item_id long, text string")
+    for bound in (2_000_000, 0):
+        kept = decontaminate.drop_contaminated(docs, bench, broadcast_rows=bound)
+        assert kept.columns == docs.columns
+        assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr) == sorted(
+            (x for i, x in enumerate(rows) if i not in (0, 3)), key=repr)
+
+
 def test_sketch_misses_nothing_at_the_threshold(spark):
     # an item may lack (1 - t) of its shingles; more minima than that are kept for every size
     items = spark.createDataFrame([(n, i, i, n) for n in range(1, 70) for i in range(n)], "item_id long, sh long, h long, size int")
