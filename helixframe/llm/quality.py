@@ -57,7 +57,7 @@ def shape(word: str) -> str:
 class WordVectors:
     """Context vectors of the words seen often enough in training; shape vectors of any word."""
 
-    MAX_KEPT = 500_000
+    MAX_KEPT, MAX_SHAPES = 500_000, 50_000
 
     def __init__(self, vocabulary: dict[str, int], context: np.ndarray):
         self.vocabulary, self.context = vocabulary, context          # row 0: no context known
@@ -100,22 +100,20 @@ class WordVectors:
         return cls({w.names[i]: k for k, i in enumerate(chosen, 1)}, context)
 
     def rows(self, names: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(context row, shape row) of each word."""
-        if len(self.kept) > self.MAX_KEPT:
+        """(context row, shape row) of each word. Full caches are emptied between slices, so a word's vector never
+        depends on what was met before."""
+        if len(self.kept) > self.MAX_KEPT or len(self.shapes) > self.MAX_SHAPES:
             self.clear()
         get, known = self.kept.get, self.kept
         for x in names:
             if get(x) is None:
                 s = shape(x)
                 if s not in self.shapes:
-                    if len(self.shapes) >= 50_000:       # odd signs without end: one shape for what follows
-                        s = "other"
-                    if s not in self.shapes:
-                        self.shapes[s] = len(self.shape_rows)
-                        self.shape_rows.append(index_vector(s, SHAPE_DIM))
-                known[x] = self.vocabulary.get(x, 0) << 20 | self.shapes[s]
+                    self.shapes[s] = len(self.shape_rows)
+                    self.shape_rows.append(index_vector(s, SHAPE_DIM))
+                known[x] = self.vocabulary.get(x, 0) << 32 | self.shapes[s]
         got = np.fromiter(map(known.__getitem__, names), np.int64, len(names))
-        return got >> 20, got & (1 << 20) - 1
+        return got >> 32, got & (1 << 32) - 1
 
     def pool(self, arr: pa.Array) -> np.ndarray:
         """Inputs of the network, one row per text."""

@@ -108,6 +108,22 @@ def test_quality_odd_cases(spark, quality_rows):
     assert quality.quality_scores(docs.limit(0), labels.limit(0)).collect() == []
 
 
+def test_quality_scores_do_not_depend_on_the_rows_before(quality_rows):
+    import numpy as np
+    import pyarrow as pa
+    signs = "!#$%&*+,-./:;<=>?@^~"
+    noise = pa.array([" ".join(f"w{a}{b}{c}{d}" for c in signs for d in signs) for a in signs for b in signs])   # over 100,000 shapes
+    probe = pa.array(["the house (]}) and river {)( stone |)} light", "people walking |({ home ])| again"])
+    model = quality.train([(t, y) for _, t, y in quality_rows], 0.6)
+    alone = model.scores(probe)
+    model.vectors.clear()
+    model.scores(noise)
+    assert np.array_equal(model.scores(probe), alone)
+    model.vectors.clear()
+    together = model.scores(pa.concat_arrays([noise, probe]))
+    assert np.allclose(together[-2:], alone, rtol=1e-9, atol=1e-12)
+
+
 def test_temperature_and_repeats():
     import numpy as np
     import pyarrow as pa
