@@ -33,6 +33,8 @@ from helixframe.llm.common import Words, fit_logistic, fold, id_text, label_samp
 from helixframe.llm.tokens import in_slices
 
 BASE, SPAN, DECAY, LONGEST = 32, 5, 0.6, 32
+#: Places of subsequences: those of a to z and the end marks have one each, all others share the rest by a hash.
+OWN, TABLE = BASE ** 3, 1 << 18
 #: Words whose subsequences are held at a time.
 BLOCK = 20_000
 #: (first gap, second gap, weight) of each shape of subsequence.
@@ -41,13 +43,19 @@ SHAPES = [(a, s - a, DECAY ** (s - 2)) for s in range(2, SPAN + 1) for a in rang
 LOOKS_LIKE = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a"}
 
 
+def _letter(c: str) -> bool:
+    """Letters, and the signs without which other scripts' words are not told apart (vowel signs, voicing
+    marks); accents and points are none."""
+    return c.isalpha() or unicodedata.category(c) in ("Mn", "Mc") and unicodedata.combining(c) in (0, 8, 9) and not (
+        c == "\u034f" or "\ufe00" <= c <= "\ufe0f" or c >= "\U000e0000")
+
+
 class _Fold(dict):
-    """Character table: letters without accents, look-alikes as letters, all else deleted."""
+    """Character table: letters of any script without accents, look-alikes as letters, all else deleted."""
 
     def __missing__(self, code):
         c = chr(code)
-        base = unicodedata.normalize("NFKD", c)[0].lower()
-        out = LOOKS_LIKE.get(c) or (base if "a" <= base <= "z" else "{" if c.isalpha() else None)
+        out = LOOKS_LIKE.get(c) or "".join(filter(_letter, unicodedata.normalize("NFKD", c).lower())) or None
         self[code] = out
         return out
 
@@ -62,11 +70,17 @@ def fold_word(w: str) -> str:
     return w.translate(_FOLD)
 
 
+def scored(w: str) -> bool:
+    """Whether a folded word is long enough to be judged; two signs are a word in other scripts."""
+    return len(w) >= (3 if w.isascii() else 2)
+
+
 def _codes(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Letter codes with a mark at either end, zero-padded, and lengths."""
     n = np.array([len(w) for w in words], np.int64) + 2
     out = np.zeros((len(words), int(n.max(initial=2))), np.int32)
-    flat = np.frombuffer("".join(words).encode("ascii"), np.uint8).astype(np.int32) - 96     # a..z: 1..26, {: 27
+    flat = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int32)
+    flat = np.where(flat < 128, flat - 96, flat)      # a..z: 1..26, other scripts: the code point
     at = np.cumsum(n - 2) - (n - 2)
     for k in range(out.shape[1] - 2):
         has = n - 2 > k
@@ -81,7 +95,14 @@ def _triples(c: np.ndarray, a: int, b: int) -> np.ndarray | None:
     if m <= 0:
         return None
     x, y, z = c[:, :m], c[:, a: a + m], c[:, a + b: a + b + m]
-    return np.where(z > 0, x * (BASE * BASE) + y * BASE + z, 0)
+    t = np.where(z > 0, x * (BASE * BASE) + y * BASE + z, 0)
+    far = (z > 0) & ((x >= BASE) | (y >= BASE) | (z >= BASE))
+    if far.any():
+        u = [v[far].astype(np.uint64) for v in (x, y, z)]
+        h = u[0] * np.uint64(0x9E3779B97F4A7C15) + u[1] * np.uint64(0xC2B2AE3D27D4EB4F) + u[2] * np.uint64(0x165667B19E3779F9)
+        h = (h ^ h >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(32)
+        t[far] = OWN + (h % np.uint64(TABLE - OWN)).astype(np.int32)
+    return t
 
 
 def _norms(n: np.ndarray) -> np.ndarray:
@@ -90,9 +111,10 @@ def _norms(n: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(sum(w * w * np.maximum(n - a - b, 0) for a, b, w in SHAPES), 1e-9))
 
 
-def apply_weights(words: list[str], betas: np.ndarray) -> np.ndarray:
+def apply_weights(words: list[str], betas: np.ndarray, place: np.ndarray | None = None) -> np.ndarray:
     """Per word (row) and weight vector (column): the sum of the vector over the word's subsequences, by the
-    word's norm. Words of like length go together."""
+    word's norm. Words of like length go together. ``place``: the vectors' entry of each table place, if they
+    are not over the whole table."""
     out = np.zeros((len(words), len(betas)))
     size = np.array([len(w) for w in words])
     for lo, hi in ((0, 6), (6, 10), (10, 14), (14, 20), (20, LONGEST + 1)):
@@ -101,7 +123,7 @@ def apply_weights(words: list[str], betas: np.ndarray) -> np.ndarray:
             pick = like[i: i + BLOCK]
             c, n = _codes([words[j] for j in pick])
             norm = _norms(n)
-            shapes = [(w, t) for a, b, w in SHAPES if (t := _triples(c, a, b)) is not None]
+            shapes = [(w, t if place is None else place[t]) for a, b, w in SHAPES if (t := _triples(c, a, b)) is not None]
             for k, beta in enumerate(betas):
                 s = np.zeros(len(pick))
                 for w, t in shapes:
@@ -110,20 +132,23 @@ def apply_weights(words: list[str], betas: np.ndarray) -> np.ndarray:
     return out
 
 
-def features(word: str) -> np.ndarray:
-    """The normed subsequence vector of one word."""
-    out = np.zeros(BASE ** 3, np.float32)
-    c, n = _codes([word])
-    for a, b, w in SHAPES:
-        t = _triples(c, a, b)
-        if t is not None:
-            np.add.at(out, t[0], w)
-    out[0] = 0
-    return out / _norms(n)[0]
+def features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The table places that the words hold (the first is padding), and each word's normed vector over them."""
+    c, n = _codes(words)
+    shapes = [(w, t) for a, b, w in SHAPES if (t := _triples(c, a, b)) is not None]
+    used = np.unique(np.concatenate([np.zeros(1, np.int32), *(t.ravel() for _, t in shapes)]))
+    out = np.zeros((len(words), len(used)), np.float32)
+    for w, t in shapes:
+        np.add.at(out, (np.arange(len(words))[:, None], np.searchsorted(used, t)), w)
+    out[:, 0] = 0
+    return used, out / _norms(n)[:, None].astype(np.float32)
 
 
 def kernel(words: list[str], landmarks: list[str]) -> np.ndarray:
-    return apply_weights(words, np.stack([features(x) for x in landmarks]))
+    used, phi = features(landmarks)
+    place = np.zeros(TABLE, np.int32)
+    place[used] = np.arange(len(used))
+    return apply_weights(words, phi, place)
 
 
 def pieces(word: str) -> list[str]:
@@ -202,14 +227,14 @@ def train_machine(docs: list[set[str]], y: np.ndarray, seed: int, n_witness: int
             return 0.0
         return n * (x * np.log(x / share) + ((1 - x) * np.log((1 - x) / (1 - share)) if x < 1 else 0.0))
 
-    found = {w: evidence(w, k) for w, k in tox.items() if k >= 2 and 3 <= len(w)}
+    found = {w: evidence(w, k) for w, k in tox.items() if k >= 2 and scored(w)}
     strong: list[str] = []
     for least in (14.0, 10.0, 7.0, 4.0):              # enough that chance among all words hardly reaches it; less only in tiny samples
         strong = sorted((w for w, g in found.items() if g >= least), key=lambda w: (-found[w], w))
         if strong:
             break
     if not strong:
-        return WordMachine(np.zeros(BASE ** 3, np.float32), -1.0)
+        return WordMachine(np.zeros(TABLE, np.float32), -1.0)
     positive = strong[: 20 * n_witness]
     weight = {w: float(np.sqrt(tox[w])) for w in positive}
     plain = sorted(cln)
@@ -218,7 +243,7 @@ def train_machine(docs: list[set[str]], y: np.ndarray, seed: int, n_witness: int
     negative = sorted(set(few) | set(common))
     landmarks = [*positive[:n_witness], *(w[:LONGEST] for w in rng.choice(negative, min(len(negative), n_plain), replace=False))] if negative else positive[:n_witness]
     landmarks = [str(w)[:LONGEST] for w in dict.fromkeys(landmarks)]
-    phi = np.stack([features(x) for x in landmarks])
+    used, phi = features(landmarks)
     val, vec = np.linalg.eigh(phi @ phi.T)
     keep = val > 1e-6 * val.max()
     root = vec[:, keep] / np.sqrt(val[keep])          # K_LL^(-1/2)
@@ -232,7 +257,9 @@ def train_machine(docs: list[set[str]], y: np.ndarray, seed: int, n_witness: int
         lab = np.r_[np.ones(len(pos)), -np.ones(len(neg))]
         wt = np.r_[pw / pw.sum(), np.ones(len(neg)) / len(neg) * 2] * len(lab) / 3
         w, bias = fit_svm(X, lab, wt)
-        machine = WordMachine((phi.T @ (root @ w)).astype(np.float32), float(bias))
+        beta = np.zeros(TABLE, np.float32)
+        beta[used] = phi.T @ (root @ w)
+        machine = WordMachine(beta, float(bias))
         if r + 1 < rounds:                             # clean words that it takes for insults
             rest = [x for x in plain if x not in known]
             m = machine.margins(rest) if rest else np.empty(0)
@@ -266,7 +293,7 @@ class Toxicity:
             self.kept.clear()
         new = [w for w in names if w not in self.kept]
         folded = [fold_word(w) for w in new]
-        has = [i for i, f in enumerate(folded) if len(f) >= 3]
+        has = [i for i, f in enumerate(folded) if scored(f)]
         m = np.full(len(new), -2.0)
         m[has] = self.machine.margins([folded[i] for i in has])
         self.kept.update(zip(new, m.tolist(), strict=True))

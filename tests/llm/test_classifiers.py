@@ -57,6 +57,22 @@ def test_kernel_tolerates_gaps_and_insertions():
     assert near[0] == near[2] == near[4] and near.min() > 0.6 > 0.45 > far.max()
 
 
+def test_words_of_other_scripts_are_told_apart():
+    fold_word = toxicity.fold_word
+    groups = [("идиот", "домик", "мороз"), ("ηλίθιος", "άνθρωπος"[:7]), ("バカ", "ハナ"), ("바보", "나무"), ("हत्यारा", "हत्यारी"), ("احمق", "بيوت"), ("笨蛋", "房子")]
+    assert all(len(set(map(fold_word, g))) == len(g) for g in groups)
+    assert fold_word("идио́т") == fold_word("идиот") and fold_word("ИДИОТ!".lower()) == "идиот" and fold_word("ídïót") == "idiot"
+    k = toxicity.kernel([fold_word(x) for x in ("идиот", "ид-иот", "идиxот", "домик", "мороз", "петух")], ["идиот"])[:, 0]
+    assert k[0] == k[1] > 0.9 and k[2] > 0.6 and k[3:].max() < 0.3
+    rng = random.Random(4)
+    plain, bad = "домик река камень город свет вода поле книга песня зима лето мост".split(), ["идиот", "тупица"]
+    rows = [(f"{i} " + " ".join(rng.choices(plain, k=12) + ([bad[i // 2 % 2]] if i % 2 else [])), i % 2) for i in range(200)]
+    import pyarrow as pa
+    from helixframe.llm.common import Words
+    got = toxicity.train(rows, 0.5).scores(Words(pa.array(["река и тупица", "город идиот зима", "город мост зима", "река вечер"])))
+    assert got[:2].min() > 0.5 > got[2:].max()
+
+
 def odd_rows(extra=()):
     return [(1000, None), (1001, ""), (1002, " \n "), (1003, "y" * 200_000), (1004, "漢字 😀"), (None, "the house"), (1005, "i d i o t you"), (1005, "again"), *extra]
 
