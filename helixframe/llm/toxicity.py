@@ -7,7 +7,8 @@ vector machine (squared hinge) separates insults from other words.
 
 Labels are of documents, so training is by instances: a sentence of a labelled document carries
 its document's label, the words of clean sentences are negatives, and the witnesses of a
-toxic sentence are the words that set toxic documents apart; words the machine wrongly accepts
+toxic sentence are the words that set toxic documents apart, all those above one level of false discovery,
+each weighted by its evidence (the level with the least out-of-fold loss is taken); words the machine wrongly accepts
 in clean sentences are added as negatives and it is fitted again. Inserted-character variants of the witnesses join
 the positives. The document's score is a logistic function of its highest word margins,
 fitted on margins from machines that did not see the document.
@@ -208,9 +209,13 @@ def sentence_words(text: str) -> list[set[str]]:
     return [{f for f in map(fold_word, s.split()) if f} for s in _SENTENCE(text.lower()) if s.strip()]
 
 
-def train_machine(docs: list[set[str]], y: np.ndarray, seed: int, n_witness: int = 80, n_plain: int = 32, rounds: int = 3) -> WordMachine:
-    """``docs``: the words of each document's sentences, ``y`` 0/1."""
-    rng = np.random.default_rng(seed)
+#: Shares of false witnesses to choose from; the out-of-fold loss on the training documents decides.
+LEVELS = (0.001, 0.01, 0.1, 0.3)
+
+
+def witnesses(docs: list[set[str]], y: np.ndarray) -> tuple[dict[str, float], int, dict[str, int]]:
+    """Evidence in nats of each word of toxic documents, the number of words tested, and the words of clean
+    documents with their counts."""
     tox, cln = {}, {}
     for d, lab in zip(docs, y, strict=True):
         for w in d:
@@ -227,16 +232,27 @@ def train_machine(docs: list[set[str]], y: np.ndarray, seed: int, n_witness: int
             return 0.0
         return n * (x * np.log(x / share) + ((1 - x) * np.log((1 - x) / (1 - share)) if x < 1 else 0.0))
 
-    found = {w: evidence(w, k) for w, k in tox.items() if k >= 2 and scored(w)}
-    strong: list[str] = []
-    for least in (14.0, 10.0, 7.0, 4.0):              # enough that chance among all words hardly reaches it; less only in tiny samples
-        strong = sorted((w for w, g in found.items() if g >= least), key=lambda w: (-found[w], w))
-        if strong:
-            break
-    if not strong:
+    # words in one document alone can show nothing, whatever its label
+    tested = sum(scored(w) and k + cln.get(w, 0) >= 2 for w, k in tox.items()) + sum(scored(w) and k >= 2 and w not in tox for w, k in cln.items())
+    return {w: evidence(w, k) for w, k in tox.items() if k >= 2 and scored(w)}, tested, cln
+
+
+def above(found: dict[str, float], tested: int, level: float) -> list[str]:
+    """The words, strongest first, among which a share of ``level`` is expected to be chance (Benjamini-Hochberg;
+    exp(-evidence) bounds a word's binomial tail)."""
+    order = sorted(found, key=lambda w: (-found[w], w))
+    g = np.array([found[w] for w in order])
+    ok = np.flatnonzero(g >= -np.log(level * np.arange(1, len(g) + 1) / max(tested, 1)))
+    return order[: ok[-1] + 1] if len(ok) else []
+
+
+def train_machine(learned: tuple[dict[str, float], int, dict[str, int]], level: float, seed: int, n_witness: int = 80, n_plain: int = 32, rounds: int = 3) -> WordMachine:
+    """``learned``: what ``witnesses`` gives; all words above ``level`` are positives, weighted by their evidence."""
+    rng = np.random.default_rng(seed)
+    found, tested, cln = learned
+    positive = above(found, tested, level)
+    if not positive:
         return WordMachine(np.zeros(TABLE, np.float32), -1.0)
-    positive = strong[: 20 * n_witness]
-    weight = {w: float(np.sqrt(tox[w])) for w in positive}
     plain = sorted(cln)
     few = [plain[i] for i in rng.choice(len(plain), min(len(plain), 5000), replace=False)] if plain else []
     common = sorted(cln, key=lambda w: (-cln[w], w))[:1000]
@@ -249,7 +265,8 @@ def train_machine(docs: list[set[str]], y: np.ndarray, seed: int, n_witness: int
     root = vec[:, keep] / np.sqrt(val[keep])          # K_LL^(-1/2)
     extra = _variants(positive[:n_witness], rng)
     pos = [w[:LONGEST] for w in [*positive, *extra]]
-    pw = np.array([weight.get(w, 1.0) for w in [*positive, *extra]])
+    # a variant counts as its word: _variants gives two of each word that is long enough
+    pw = np.array([found[w] for w in positive] + [found[w] for w in positive[:n_witness] if len(w) >= 5 for _ in range(2)])
     known = set(negative)
     for r in range(rounds):
         neg = [w[:LONGEST] for w in negative]
@@ -283,6 +300,7 @@ class Toxicity:
 
     def __init__(self, machine: WordMachine | None, calibrator: np.ndarray | None, prior: float):
         self.machine, self.calibrator, self.prior = machine, calibrator, prior
+        self.level: float | None = None           # of the witnesses, chosen in training
         self.kept: dict[str, float] = {}
 
     def __getstate__(self):
@@ -342,16 +360,30 @@ def train(sample: list[tuple[str, int]], prior: float, folds: int = 4) -> Toxici
     docs = [{names.setdefault(w, w) for s in sentence_words(t) for w in s} for t, _ in sample]
     del names
     part = np.arange(len(y)) % folds
-    X = np.zeros((len(y), 6))
+    share = y.mean()
+    weight = np.where(y == 1, prior / share, (1 - prior) / (1 - share))
+    X = {q: np.zeros((len(y), 6)) for q in LEVELS}
     for f in range(folds):
         seen = part != f
         if len(set(y[seen].tolist())) < 2:
             return Toxicity(None, None, prior)
-        model = Toxicity(train_machine([docs[i] for i in np.flatnonzero(seen)], y[seen], f), None, prior)
-        X[~seen] = model.summary(Words(pa.array([sample[i][0] for i in np.flatnonzero(~seen)], pa.string()), lower=True))
-    share = y.mean()
-    weight = np.where(y == 1, prior / share, (1 - prior) / (1 - share))
-    return Toxicity(train_machine(docs, y, folds), fit_logistic(X, y.astype(float), 1e-3, weight=weight), prior)
+        learned = witnesses([docs[i] for i in np.flatnonzero(seen)], y[seen])
+        apart = Words(pa.array([sample[i][0] for i in np.flatnonzero(~seen)], pa.string()), lower=True)
+        last = None
+        for q in LEVELS:
+            if (now := above(*learned[:2], q)) != last:
+                last, summary = now, Toxicity(train_machine(learned, q, f), None, prior).summary(apart)
+            X[q][~seen] = summary
+    best = None
+    for q in LEVELS:
+        c = fit_logistic(X[q], y.astype(float), 1e-3, weight=weight)
+        p = np.clip(sigmoid(X[q] @ c[:-1] + c[-1]), 1e-9, 1 - 1e-9)
+        loss = -(weight * (y * np.log(p) + (1 - y) * np.log(1 - p))).mean()
+        if best is None or loss < best[0]:
+            best = loss, q, c
+    model = Toxicity(train_machine(witnesses(docs, y), best[1], folds), best[2], prior)
+    model.level = best[1]
+    return model
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", k: int = 5, held_out: int = 0, per_class: int = 1500) -> Toxicity:

@@ -73,6 +73,23 @@ def test_words_of_other_scripts_are_told_apart():
     assert got[:2].min() > 0.5 > got[2:].max()
 
 
+def test_rare_insults_are_learned_beside_frequent_ones():
+    import numpy as np
+    import pyarrow as pa
+    from helixframe.llm.common import Words
+    rng, rare = random.Random(6), ["scumbag", "cretino", "gilipollas"]
+    rows = []
+    for i in range(600):
+        bad = [] if i % 2 else ["idiot" if i % 10 else rare[i // 10 % 3]]         # 240 of one word, 20 of each rare one
+        rows.append((f"{i} " + " ".join(rng.choices(WORDS, k=20) + bad), 1 - i % 2))
+    learned = toxicity.witnesses([set(t.split()) for t, _ in rows], np.array([y for _, y in rows]))
+    got = [toxicity.above(*learned[:2], q) for q in toxicity.LEVELS]
+    assert {"idiot", *rare} <= set(got[0]) and all(set(a) <= set(b) for a, b in zip(got, got[1:]))
+    model = toxicity.train(rows, 0.5)
+    p = model.scores(Words(pa.array([" ".join(rng.choices(WORDS, k=20) + [w]) for w in ["idiot", *rare]] + [" ".join(rng.choices(WORDS, k=20)) for _ in range(20)])))
+    assert p[:4].min() > 0.5 > p[4:].max()
+
+
 def odd_rows(extra=()):
     return [(1000, None), (1001, ""), (1002, " \n "), (1003, "y" * 200_000), (1004, "漢字 😀"), (None, "the house"), (1005, "i d i o t you"), (1005, "again"), *extra]
 
