@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -26,6 +28,16 @@ def fold(id_col: str, k: int) -> Column:
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % F.lit(k)
 
 
+def release_memory() -> None:
+    """Give freed memory back to the system: worker processes live on into later stages."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):                # another C library
+        pass
+
+
 def map_arrow(df: DataFrame, new: dict[str, str], make: Callable[[], Callable[[pa.RecordBatch], dict]],
               keep: list[str] | None = None) -> DataFrame:
     """Append columns computed from each Arrow batch.
@@ -51,6 +63,7 @@ def map_arrow(df: DataFrame, new: dict[str, str], make: Callable[[], Callable[[p
                 yield pa.RecordBatch.from_arrays(cols, names=[*keep, *new])
         finally:
             getattr(f, "done", lambda: None)()
+            release_memory()
 
     return df.mapInArrow(run, schema)
 

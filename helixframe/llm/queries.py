@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from helixframe.llm import decontaminate, fixity, jaccard_join, langid, packing, quality, quality_rules, token_index, toxicity, url_filter
+from helixframe.llm import (bpe, centroid_clustering, decontaminate, fixity, jaccard_join, langid, packing, prefix_trie, quality, quality_rules,
+                            token_index, toxicity, url_filter)
 from helixframe.session import scratch_path
 from helixframe.sources.tables import read_table
 
@@ -123,6 +124,81 @@ SELECT page_id, CAST(strlen(r) AS BIGINT) AS length, sha256(r) AS sha256,
        NOT coalesce(substr(md5(CAST(page_id AS VARCHAR)), 1, 2) < '{FAULT_BELOW}', false) AS intact FROM record"""
 
 
+def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroid_clustering.centroid_clusters(read_table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+
+
+def _cluster_sql(k: int = 40, rounds: int = 5, dim: int = 64) -> str:
+    parts = [f"""
+kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda e: CAST(floor(256 * CAST(e AS DOUBLE)) AS BIGINT)) AS x
+  FROM embeddings WHERE len(embedding) = {dim} AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0),
+cell AS MATERIALIZED (SELECT r, unnest(range(1, {dim + 1})) AS i, unnest(x) AS v FROM kept),
+c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY sha256('2:' || coalesce(CAST(vec_id AS VARCHAR), '')), x) - 1 AS c, x FROM kept
+  ORDER BY c LIMIT {k})"""]
+    for t in range(rounds + 1):
+        parts.append(f"""
+a{t} AS MATERIALIZED (
+  SELECT r, c, d FROM (
+    SELECT r, c, d, row_number() OVER (PARTITION BY r ORDER BY d, c) AS place FROM (
+      SELECT r, c, list_sum(list_transform(list_zip(kept.x, c{t}.x), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT AS d FROM kept, c{t}))
+  WHERE place = 1)""")
+        if t < rounds:
+            parts.append(f"""
+c{t + 1} AS MATERIALIZED (
+  SELECT c{t}.c, coalesce(m.x, c{t}.x) AS x FROM c{t} LEFT JOIN (
+    SELECT c, list((s - ((s % n) + n) % n) // n ORDER BY i) AS x FROM (
+      SELECT c, i, sum(v)::BIGINT AS s, count(*)::BIGINT AS n FROM a{t} JOIN cell USING (r) GROUP BY c, i) GROUP BY c) m USING (c))""")
+    return "WITH" + ",".join(parts) + f"""
+SELECT vec_id, CAST(a.c AS INTEGER) AS cluster, d AS distance, (sum(d) OVER (PARTITION BY a.c))::BIGINT AS cluster_inertia,
+       (sum(d) OVER ())::BIGINT AS inertia, sha256(array_to_string(z.x, ',')) AS centroid_sha256
+FROM a{rounds} a JOIN kept USING (r) JOIN c{rounds} z ON z.c = a.c"""
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    keys = prefix_trie.turn_keys(read_table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
+    own = F.col("conv_id")
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return prefix_trie.prefix_trie(prefix_trie.paths(keys, parts, own - own % 5, prefix_trie.borrowed_head))
+
+
+# unsigned crc32 of a short ASCII text, bit by bit
+_CRC = """list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda ch: ascii(ch)::BIGINT)),
+  lambda c, b: list_reduce(list_prepend(xor(c, b), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+    lambda v, z: CASE WHEN v % 2 = 1 THEN xor(v // 2, 3988292384::BIGINT) ELSE v // 2 END))"""
+
+_TRIE_SQL = f"""
+WITH turns AS (
+  SELECT conv_id, turn, strlen(coalesce(text, '')) AS bytes, sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS k
+  FROM conversations WHERE conv_id IS NOT NULL),
+own AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, k) AS p FROM turns),
+ids AS (SELECT conv_id, conv_id - conv_id % 5 AS base, xor({_CRC}, 4294967295::BIGINT) % 9 AS h FROM (SELECT DISTINCT conv_id FROM turns)),
+rebuilt AS MATERIALIZED (
+  SELECT c, row_number() OVER (PARTITION BY c ORDER BY part, p) AS p, k, bytes FROM (
+    SELECT ids.conv_id AS c, 0 AS part, own.p, k, bytes FROM ids JOIN own ON own.conv_id = base AND own.p <= h
+    UNION ALL SELECT ids.conv_id, 1, own.p, k, bytes FROM ids JOIN own ON own.conv_id = ids.conv_id AND own.p > h)),
+seq AS (SELECT ids.conv_id AS c, coalesce(list(k ORDER BY p) FILTER (WHERE k IS NOT NULL), []) AS ks, coalesce(list(bytes ORDER BY p) FILTER (WHERE k IS NOT NULL), []) AS bs
+        FROM ids LEFT JOIN rebuilt ON rebuilt.c = ids.conv_id GROUP BY ids.conv_id),
+prefix AS MATERIALIZED (SELECT c, len(ks) AS n, d, ks[1:d] AS path, CASE WHEN d = 0 THEN 0 ELSE bs[d] END AS bytes FROM seq, LATERAL (SELECT unnest(range(0, len(ks) + 1)) AS d)),
+node AS MATERIALIZED (
+  SELECT d, path, min(c) AS conv_id, count(*) AS n_convs, any_value(bytes) AS bytes,
+         sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (WHERE n = d), '')) AS ends_sha256
+  FROM prefix GROUP BY d, path),
+kids AS (SELECT d - 1 AS d, path[1:d - 1] AS path, count(*) AS n_children FROM node WHERE d > 0 GROUP BY ALL),
+full_node AS MATERIALIZED (SELECT node.*, coalesce(n_children, 0) AS n_children FROM node LEFT JOIN kids USING (d, path)),
+subtree AS (
+  SELECT up AS d, path[1:up] AS path, sum(CASE WHEN n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum((n_convs - 1) * bytes) AS saved
+  FROM full_node, LATERAL (SELECT unnest(range(0, d + 1)) AS up) GROUP BY ALL)
+SELECT x.conv_id, x.d AS depth, parent.conv_id AS parent_conv_id, x.n_convs, x.n_children::BIGINT AS n_children, n_leaves::BIGINT AS n_leaves,
+       saved::BIGINT AS saved_tokens, x.ends_sha256
+FROM full_node x JOIN subtree USING (d, path) LEFT JOIN node parent ON parent.d = x.d - 1 AND parent.path = x.path[1:x.d - 1]"""
+
+
+def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip_digests(read_table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 Q = {
     "op1_url_filter": (op1_url_filter, _url_sql()),
     "op2_decontamination": (op2_decontamination, _DECONTAMINATION_SQL),
@@ -134,6 +210,9 @@ Q = {
     "op8_language_id": (op8_language_id, None),
     "op9_jaccard_join": (op9_jaccard_join, _JACCARD_SQL),
     "op10_fixity": (op10_fixity, _FIXITY_SQL),
+    "op11_centroid_clustering": (op11_centroid_clustering, _cluster_sql()),
+    "op12_prefix_trie": (op12_prefix_trie, _TRIE_SQL),
+    "op13_bpe": (op13_bpe, None),
 }
 
 
