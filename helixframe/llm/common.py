@@ -20,7 +20,21 @@ ASCII_SPACE = b" \t\n\r\x0b\x0c"
 def id_text(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Only the two columns an operator reads, under fixed names, so that other columns of the
     input (whatever their names) are neither scanned nor able to clash."""
-    return df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    # by the frame's own spelling: an alias that differs from it in case alone would be dropped as redundant
+    return df.select(F.col(own_name(df, id_col)).cast("long").alias("doc_id"), F.col(own_name(df, text_col)).cast("string").alias("text"))
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or that with underscores added until no column has it in any letter case (Spark's names ignore case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def own_name(df: DataFrame, name: str) -> str:
+    """The column's name as the frame writes it; Arrow batches are asked by that."""
+    return name if name in df.columns else next((c for c in df.columns if c.lower() == name.lower()), name)
 
 
 def fold(id_col: str, k: int) -> Column:
@@ -45,9 +59,10 @@ def map_arrow(df: DataFrame, new: dict[str, str], make: Callable[[], Callable[[p
     ``new`` maps added column names to DDL types; ``make`` runs once per task and returns the
     batch function; if that has a ``done`` attribute it is called when the task ends, to free what a
     shared model keeps (worker processes live on into later stages). Kept columns of the same name as a
-    new one are replaced.
+    new one, in any letter case, are replaced.
     """
-    keep = [c for c in (df.columns if keep is None else keep) if c not in new]
+    taken = {c.lower() for c in new}
+    keep = [c for c in (df.columns if keep is None else keep) if c.lower() not in taken]
     schema = T.StructType([df.schema[c] for c in keep])
     for name, ddl in new.items():
         schema = schema.add(T.StructType.fromDDL(f"`{name}` {ddl}")[0])

@@ -25,6 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from helixframe.llm.common import free_name
 from helixframe.llm.jaccard_join import numbered
 from helixframe.session import scratch_path
 
@@ -108,9 +109,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "te
     """``docs`` without the rows that hold a benchmark item; columns unchanged. Every row is judged by its own
     text, whatever its id: rows are numbered and searched by their numbers."""
     spark = docs.sparkSession
-    uid = "uid"
-    while uid in docs.columns:
-        uid += "_"
+    uid = free_name(docs, "uid")
     d = numbered(docs, uid)
     path = scratch_path(spark, "contaminated")
     (contained_items(d, benchmark, doc_col=uid, text_col=text_col, broadcast_rows=broadcast_rows, **kw)

@@ -29,6 +29,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from helixframe.llm.common import free_name, id_text, own_name, release_memory
 from helixframe.llm.components import components
 from helixframe.llm.tokens import in_slices
 from helixframe.session import scratch_path
@@ -128,6 +129,7 @@ def signatures(docs: DataFrame, n: int, bands: int, rows: int) -> DataFrame:
                      pa.array([mh(s) if len(s) else None for s in sets], pa.list_(pa.int64()))],
                     names=["uid", "doc_id", "grams", "digest", "bands"])
                 at += len(part)
+        release_memory()
     return docs.select("uid", "doc_id", "text").mapInArrow(run, "uid long, doc_id long, grams long, digest binary, bands array<long>")
 
 
@@ -218,6 +220,8 @@ def verify(members: DataFrame, num: int, den: int, parts: int) -> DataFrame:
             out += unit.compare(num, den)
         if out:
             yield batch()
+        del unit, out
+        release_memory()
 
     return (members.repartition(parts, "part", "first", "second").sortWithinPartitions("part", "first", "second", "block", "uid")
             .select("part", "first", "second", "block", "uid", "copies", "bands", "grams")
@@ -267,6 +271,7 @@ def jaccard_links(docs: DataFrame, threshold: float = 0.8, n: int = 5, recall: f
                 got = pa.array([s.astype("<u8").tobytes() for s in gram_hashes(piece, n)], pa.binary())
                 yield pa.RecordBatch.from_arrays([b.column(c).slice(at, len(piece)) for c in keep] + [got], names=[*keep, "grams"])
                 at += len(piece)
+        release_memory()
 
     held = docs.select(F.col("uid"), "text").join(dealt.select(F.col("rep").alias("uid"), "part", "block", "blocks", "copies", "bands"), "uid")
     held = held.mapInArrow(sets, "uid long, part long, block int, blocks int, copies long, bands array<long>, grams binary")
@@ -302,18 +307,16 @@ def numbered(docs: DataFrame, uid: str = "uid") -> DataFrame:
 
 
 def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:
-    d = numbered(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")))
+    d = numbered(id_text(docs, id_col, text_col))
     return jaccard_links(d, **kw)
 
 
 def keep_one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:
     """``docs`` without all but one document of each group; columns unchanged."""
-    uid = "uid"
-    while uid in docs.columns:
-        uid += "_"
+    uid = free_name(docs, "uid")
     d = numbered(docs, uid)
-    report = jaccard_links(d.select(F.col(uid).alias("uid"), F.col(id_col).cast("long").alias("doc_id"),
-                                    F.col(text_col).cast("string").alias("text")), **kw)
+    report = jaccard_links(d.select(F.col(uid).alias("uid"), F.col(own_name(docs, id_col)).cast("long").alias("doc_id"),
+                                    F.col(own_name(docs, text_col)).cast("string").alias("text")), **kw)
     path = scratch_path(docs.sparkSession, "dropped")
     report.filter(~F.col("keeper")).select(F.col("uid").alias(uid)).write.parquet(path)
     dropped = docs.sparkSession.read.parquet(path)

@@ -20,11 +20,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from helixframe.llm.common import id_text
+from helixframe.llm.common import free_name, id_text, own_name, release_memory
 from helixframe.llm.tokens import default_tokenizer, encoder, in_slices
 from helixframe.session import scratch_path
 
 
+#: Bytes of text that are encoded at a time.
+SLICE = 3_000_000
+
+
 def token_pieces(docs: DataFrame, capacity: int = 4096, tokenizer: str | None = None, end_id: int = 1) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32 of every piece of at most ``capacity`` ids."""
     path = tokenizer or default_tokenizer()
@@ -33,7 +37,7 @@ def token_pieces(docs: DataFrame, capacity: int = 4096, tokenizer: str | None =
         enc = encoder(path)
         for b in batches:
             keys, at = b.column("doc_id"), 0
-            for part in in_slices(b.column("text")):
+            for part in in_slices(b.column("text"), SLICE):
                 ids, sizes = enc.encode(part)
                 ids = np.insert(ids, np.cumsum(sizes), end_id).astype("<u4")
                 sizes = sizes + 1
@@ -49,6 +53,7 @@ def token_pieces(docs: DataFrame, capacity: int = 4096, tokenizer: str | None =
                     [keys.slice(at, len(part)).take(pa.array(own)), pa.array(piece.astype(np.int32)), pa.array(start),
                      pa.array(length), pa.array(crc, pa.int64())], names=["doc_id", "piece", "start", "length", "ids_crc32"])
                 at += len(part)
+        release_memory()
 
     return id_text(docs).mapInArrow(run, "doc_id long, piece int, start long, length long, ids_crc32 long")
 
@@ -101,6 +106,9 @@ def best_fit_decreasing(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray,
     return seq, off, n
 
 
+RESULTS = ("sequence_id", "offset", "part_sequences", "part_bound")
+
+
 def pack(pieces: DataFrame, capacity: int = 4096, part_rows: int = 8000, growth: int = 2, rounds: int = 3) -> DataFrame:
     """``pieces`` (any columns, ``length`` from 1 to ``capacity``) with sequence_id, offset, and
     per partition the certificate: part_sequences, part_bound.
@@ -111,24 +119,28 @@ def pack(pieces: DataFrame, capacity: int = 4096, part_rows: int = 8000, growth:
     """
     spark = pieces.sparkSession
     cols = pieces.columns
+    own = {x: free_name(pieces, x) for x in ("pack_uid", "pack_part")}
+    uid, deal = own.values()
+    # results replace columns of their names
+    given = [c for c in cols if c.lower() not in RESULTS]
+    size = own_name(pieces, "length")
     base = scratch_path(spark, "pack")
     # the row's number is written with it: later rounds read it, they don't number rows again
-    pieces.withColumn("pack_uid", F.monotonically_increasing_id()).write.parquet(f"{base}/rows")
+    pieces.select(*given).withColumn(uid, F.monotonically_increasing_id()).write.parquet(f"{base}/rows")
     todo = spark.read.parquet(f"{base}/rows")
     n = todo.count()
     parts = max(1, -(-n // part_rows))
     schema = todo.schema
-    for name, kind in (("pack_part", "long"), ("sequence_id", "long"), ("offset", "long"), ("part_sequences", "long"),
-                       ("part_bound", "long")):
-        schema = schema.add(name, kind)
+    for name in (deal, *RESULTS):
+        schema = schema.add(name, "long")
     done, tag = [], 0
 
     def packer(tag):
         def run(pdf: pd.DataFrame) -> pd.DataFrame:
-            pdf = pdf.sort_values("pack_uid", kind="stable").reset_index(drop=True)
-            lengths = pdf["length"].to_numpy(np.int64)
+            pdf = pdf.sort_values(uid, kind="stable").reset_index(drop=True)
+            lengths = pdf[size].to_numpy(np.int64)
             seq, off, used = best_fit_decreasing(lengths, capacity)
-            part = int(pdf["pack_part"].iloc[0])
+            part = int(pdf[deal].iloc[0])
             pdf["sequence_id"] = ((tag << 24 | part) << 32) + seq
             pdf["offset"], pdf["part_sequences"], pdf["part_bound"] = off, used, lower_bound(lengths, capacity)
             return pdf[schema.names]
@@ -136,12 +148,12 @@ def pack(pieces: DataFrame, capacity: int = 4096, part_rows: int = 8000, growth:
 
     frame, path = todo, None
     for r in range(rounds + 1):
-        dealt = frame.withColumn("pack_part", F.pmod(F.xxhash64("pack_uid", F.lit(r)), F.lit(parts)))
+        dealt = frame.withColumn(deal, F.pmod(F.xxhash64(uid, F.lit(r)), F.lit(parts)))
         path = f"{base}/round{r}"
-        dealt.groupBy("pack_part").applyInPandas(packer(r), schema).write.parquet(path)
+        dealt.groupBy(deal).applyInPandas(packer(r), schema).write.parquet(path)
         out = spark.read.parquet(path)
         # one row per partition, summed in Spark: sequences now, and of which the ones with a gap
-        head = (out.groupBy("pack_part").agg(F.first("part_sequences").alias("s"), F.first("part_bound").alias("b"))
+        head = (out.groupBy(deal).agg(F.first("part_sequences").alias("s"), F.first("part_bound").alias("b"))
                 .agg(F.sum("s").alias("used"), F.sum(F.when(F.col("s") > F.col("b"), 1)).alias("gaps"),
                      F.sum(F.when(F.col("s") > F.col("b"), F.col("s"))).alias("gap_used")).first())
         used, gaps, gap_used = head["used"] or 0, head["gaps"] or 0, head["gap_used"] or 0
@@ -159,7 +171,7 @@ def pack(pieces: DataFrame, capacity: int = 4096, part_rows: int = 8000, growth:
     result = done[0]
     for d in done[1:]:
         result = result.unionByName(d)
-    return result.select(*cols, "sequence_id", "offset", "part_sequences", "part_bound")
+    return result.select(*given, *RESULTS)
 
 
 def pack_documents(docs: DataFrame, capacity: int = 4096, tokenizer: str | None = None) -> DataFrame:

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from helixframe.llm.common import Words, fold, id_text, label_sample, map_arrow, sigmoid
+from helixframe.llm.common import Words, fold, free_name, id_text, label_sample, map_arrow, own_name, sigmoid
 from helixframe.llm.tokens import in_slices
 
 DIM, SHAPE_DIM, NONZERO, WINDOW = 48, 32, 6, 2
@@ -234,6 +234,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", k: int = 3,
 def score_texts(docs: DataFrame, model: Quality, text_col: str = "text", score_col: str = "score") -> DataFrame:
     """All columns of ``docs`` and the score of each row's whole text."""
     shared = docs.sparkSession.sparkContext.broadcast(model)        # a fixed number of weights
+    text_col = own_name(docs, text_col)
 
     def make():
         m = shared.value
@@ -258,8 +259,6 @@ def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def drop_low_quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, text_col: str = "text") -> DataFrame:
     """``docs`` without the documents that score below ``threshold``; columns unchanged."""
-    name = "score"
-    while name in docs.columns:
-        name += "_"
-    scored = score_texts(docs, fit(docs.withColumnRenamed(text_col, "text"), labels), text_col, name)
+    name = free_name(docs, "score")
+    scored = score_texts(docs, fit(id_text(docs, text_col=text_col), labels), text_col, name)
     return scored.filter(F.col(name) >= threshold).select(*docs.columns)

@@ -4,8 +4,10 @@ Base rules count words, symbols, repeated lines and repeated 8-word windows of e
 Then two histograms of each document are compared with its language's reference by the
 Jensen-Shannon distance (base 2, square root of the divergence, 0 to 1): character classes, and common words
 (each listed word, and all others together). References are the mean histograms of the corpus's
-own documents that pass the base rules and are long enough; a document's language is the list
-whose words it holds most. A document is rejected if either distance, or the mean of both, exceeds its
+own documents that pass the base rules and are long enough. A document's nearest list is the one whose words it holds
+most, signs around a word apart; that is its language only if the list's share of its words, and the lead over the second
+list, reach half of what is usual among long documents nearest to the list (the median of the corpus), so that a few listed
+words in a text of another language assign none. A document is rejected if either distance, or the mean of both, exceeds its
 limit. Documents below the minimum lengths are not judged by distance.
 
 Defined results: null or empty text has no words, so it fails the base rules; no rows give no
@@ -31,6 +33,7 @@ COMMON_WORDS = {
 }
 SYMBOLS = "#*$%&|<>"
 WINDOW = 8
+_SIGNS = (SYMBOLS + ".,;:!?'\"()-").encode()
 CLASSES = ("lower", "upper", "digit", "space", "line end", "punctuation", "symbol", "beyond ASCII")
 
 
@@ -98,28 +101,37 @@ def profile(docs: DataFrame, common: dict[str, list[str]]) -> DataFrame:
         get = table.get
 
         def one(b: pa.RecordBatch) -> dict:
-            base, lang, chars, words_ = [], [], [], []
+            base, lang, chars, words_, listed, lead = [], [], [], [], [], []
             for t in b.column("text").to_pylist():
                 t = t or ""
                 base.append(document_stats(t))
                 low = t.lower().encode("utf-8", "replace")
                 chars.append(np.bincount(_CLASS[np.frombuffer(t.encode("utf-8", "replace"), np.uint8)], minlength=9)[:8])
                 seen = np.zeros((len(langs), width), np.int64)
-                for places in filter(None, map(get, low.split())):
-                    for i, j in places:
-                        seen[i, j] += 1
-                best = int(seen.sum(1).argmax()) if seen.any() else -1
+                held = np.zeros(len(langs), np.int64)             # by list, signs around a word apart
+                for w in low.split():
+                    places = get(w)
+                    if places is not None:
+                        for i, j in places:
+                            seen[i, j] += 1
+                            held[i] += 1
+                    elif w[-1] < 97 or w[0] < 97:
+                        for i, _ in get(w.strip(_SIGNS), ()):
+                            held[i] += 1
+                best = int(held.argmax()) if held.any() else -1
                 lang.append(best)
+                listed.append(int(held.max()))
+                lead.append(int(held.max() - np.delete(held, best).max(initial=0)) if best >= 0 else 0)
                 words_.append(seen[max(best, 0)])
             cols = list(zip(*base, strict=True))
             out = {k: pa.array(v, pa.int64()) for k, v in zip(
                 ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"), cols, strict=True)}
-            return out | {"lang_index": pa.array(lang, pa.int32()), "char_hist": pa.array([x.tolist() for x in chars], pa.list_(pa.int64())),
+            return out | {"lang_index": pa.array(lang, pa.int32()), "listed": pa.array(listed, pa.int64()), "lead": pa.array(lead, pa.int64()), "char_hist": pa.array([x.tolist() for x in chars], pa.list_(pa.int64())),
                           "word_hist": pa.array([x.tolist() for x in words_], pa.list_(pa.int64()))}
         return one
 
     new = {k: "long" for k in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")}
-    return map_arrow(docs, new | {"lang_index": "int", "char_hist": "array<long>", "word_hist": "array<long>"}, make, keep=["doc_id"])
+    return map_arrow(docs, new | {"lang_index": "int", "listed": "long", "lead": "long", "char_hist": "array<long>", "word_hist": "array<long>"}, make, keep=["doc_id"])
 
 
 def js_distance(p: np.ndarray, q: np.ndarray) -> np.ndarray:
@@ -144,7 +156,15 @@ def quality_rules(docs: DataFrame, common: dict[str, list[str]] | None = None, m
     failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeat_pct * F.col("n_words"))
     langs, width = len(common), max(map(len, common.values()))
     n_chars = F.expr("aggregate(char_hist, 0L, (a, x) -> a + x)")
-    good = stats.filter(~failed & (F.col("lang_index") >= 0) & (n_chars >= min_chars_divergence) & (F.col("n_words") >= min_words_divergence))
+    long_ones = stats.filter(~failed & (F.col("lang_index") >= 0) & (n_chars >= min_chars_divergence) & (F.col("n_words") >= min_words_divergence))
+    # two numbers per list: the usual share of its words and the usual lead (in thousandths, so that few values are counted)
+    usual = {r["lang_index"]: (r["share"], r["lead"]) for r in long_ones.groupBy("lang_index").agg(
+        *[F.median(F.round(F.col(c) / F.col("n_words"), 3)).alias(name) for name, c in (("share", "listed"), ("lead", "lead"))]).collect()}
+    sure = F.lit(False)
+    for i, (share, lead) in sorted(usual.items()):
+        sure = sure | ((F.col("lang_index") == i) & (F.col("listed") >= F.lit(share / 2) * F.col("n_words")) & (F.col("lead") >= F.lit(lead / 2) * F.col("n_words")))
+    stats = stats.withColumn("lang_index", F.when(sure, F.col("lang_index")).otherwise(F.lit(-1)))
+    good = long_ones.filter(sure)
     # mean histograms per language: a fixed number of rows (languages), whatever the corpus
     means = good.groupBy("lang_index").agg(
         *[F.avg(F.col("char_hist")[i] / n_chars).alias(f"c{i}") for i in range(8)],

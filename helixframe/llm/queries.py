@@ -111,7 +111,7 @@ FAULT_BELOW = "06"
 
 def op10_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
     fault = F.substring(F.md5(F.col("record_id").cast("string").cast("binary")), 1, 2) < FAULT_BELOW
-    return fixity.fixity_report(read_table(spark, sf_dir, "pages", "page_id", "url", "html"), fault).drop("segment", "offset")
+    return fixity.fixity_report(read_table(spark, sf_dir, "pages", "page_id", "url", "html"), fault)
 
 
 _FIXITY_SQL = f"""
@@ -119,9 +119,16 @@ WITH body AS (SELECT page_id, coalesce(url, '') AS url, coalesce(html, '') AS ht
 record AS (
   SELECT page_id, 'WARC/1.1' || nl || 'WARC-Type: resource' || nl || 'WARC-Record-ID: <urn:record:' || coalesce(CAST(page_id AS VARCHAR), '')
          || '>' || nl || 'WARC-Target-URI: ' || url || nl || 'Content-Type: text/html' || nl || 'Content-Length: '
-         || CAST(strlen(html) AS VARCHAR) || nl || nl || html || nl || nl AS r FROM body)
-SELECT page_id, CAST(strlen(r) AS BIGINT) AS length, sha256(r) AS sha256,
-       NOT coalesce(substr(md5(CAST(page_id AS VARCHAR)), 1, 2) < '{FAULT_BELOW}', false) AS intact FROM record"""
+         || CAST(strlen(html) AS VARCHAR) || nl || nl || html || nl || nl AS r FROM body),
+leaf AS (
+  SELECT page_id, CAST(strlen(r) AS BIGINT) AS length, sha256(r) AS sha256, count(*) AS copies,
+         ('0x' || substr(md5(coalesce(CAST(page_id AS VARCHAR), 'null') || ':' || sha256(r)), 1, 15))::BIGINT AS place
+  FROM record GROUP BY ALL),
+tree AS (SELECT (SELECT min(l) FROM range(0, 15) t(l) WHERE CAST(pow(16, l + 1) AS HUGEINT) >= (SELECT count(*) FROM leaf)) AS levels),
+placed AS (SELECT leaf.*, CASE WHEN levels <= 2 THEN 0 ELSE place >> CAST(60 - 4 * (levels - 2) AS BIGINT) END AS segment FROM leaf, tree)
+SELECT page_id, length, sha256, copies, NOT coalesce(substr(md5(CAST(page_id AS VARCHAR)), 1, 2) < '{FAULT_BELOW}', false) AS intact, segment,
+       CAST(sum(length * copies) OVER (PARTITION BY segment ORDER BY place, page_id NULLS FIRST, sha256) - length * copies AS BIGINT) AS segment_offset
+FROM placed"""
 
 
 def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -36,13 +36,13 @@ class _Chunks(dict):
 class ChunkEncoder:
     """``encode(texts)`` -> (ids of all texts in a row, ids per text).
 
-    ``max_chunks`` bounds the table kept between batches (it is emptied when full); it changes
+    ``kept_bytes`` bounds the table kept between batches (it is emptied when full); it changes
     speed only.
     """
 
     JOIN = 2000
 
-    def __init__(self, path: str, max_chunks: int = 900_000):
+    def __init__(self, path: str, kept_bytes: int = 72_000_000):
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as f:
@@ -53,12 +53,13 @@ class ChunkEncoder:
         self.ends = np.zeros(self.vocab_size, bool)
         if suffix:
             self.ends[[v for k, v in vocab.items() if k.endswith(suffix)]] = True
-        self.max_chunks = max_chunks
+        self.kept_bytes = kept_bytes
         self._clear()
 
     def _clear(self):
         self.chunks = _Chunks()
         self.pieces: dict[str, int] = {"": 0}
+        self.bytes = 0
         self.flat = np.empty(1 << 16, np.int32)
         self.used = 0
         self.start = np.zeros(1 << 12, np.int64)
@@ -87,6 +88,8 @@ class ChunkEncoder:
         fresh, self.chunks.fresh = self.chunks.fresh, []
         if not fresh:
             return
+        # a chunk and its piece: two strings in two tables, and their ids
+        self.bytes += 200 * len(fresh) + 4 * sum(map(len, fresh))
         plain: list[str] = []
         other: list[str] = []
         pairs: list[tuple[str, str]] = []
@@ -125,7 +128,7 @@ class ChunkEncoder:
 
     def encode(self, texts) -> tuple[np.ndarray, np.ndarray]:
         """``texts``: an Arrow string array or a list; null counts as empty."""
-        if len(self.chunks) > self.max_chunks:
+        if self.bytes > self.kept_bytes:
             self._clear()
         arr = pc.fill_null(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string()), "")
         words = pc.ascii_split_whitespace(arr)

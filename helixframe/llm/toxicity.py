@@ -5,11 +5,11 @@ span of ``SPAN`` count with a weight that decays with the gaps, so ``id.iot``, `
 close to ``idiot``. The kernel against a set of landmark words gives Nyström features, in which a linear support
 vector machine (squared hinge) separates insults from other words.
 
-Labels are of documents, so training is by instances: a sentence of a labelled document carries
-its document's label, the words of clean sentences are negatives, and the witnesses of a
-toxic sentence are the words that set toxic documents apart, all those above one level of false discovery,
+Labels are of documents, so training is by instances, which are single words (not sentences: a phrase of
+ordinary words is not learned): the words of clean documents are negatives, and the witnesses of
+toxic documents are the words that set them apart, all those above one level of false discovery,
 each weighted by its evidence (the level with the least out-of-fold loss is taken); words the machine wrongly accepts
-in clean sentences are added as negatives and it is fitted again. Inserted-character variants of the witnesses join
+in clean documents are added as negatives and it is fitted again. Inserted-character variants of the witnesses join
 the positives. The document's score is a logistic function of its highest word margins,
 fitted on margins from machines that did not see the document.
 
@@ -30,7 +30,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from helixframe.llm.common import Words, fit_logistic, fold, id_text, label_sample, map_arrow, sigmoid
+from helixframe.llm.common import Words, fit_logistic, fold, free_name, id_text, label_sample, map_arrow, own_name, sigmoid
 from helixframe.llm.tokens import in_slices
 
 BASE, SPAN, DECAY, LONGEST = 32, 5, 0.6, 32
@@ -38,6 +38,8 @@ BASE, SPAN, DECAY, LONGEST = 32, 5, 0.6, 32
 OWN, TABLE = BASE ** 3, 1 << 18
 #: Words whose subsequences are held at a time.
 BLOCK = 20_000
+#: Bytes of text that are scored at a time.
+SLICE = 3_000_000
 #: (first gap, second gap, weight) of each shape of subsequence.
 SHAPES = [(a, s - a, DECAY ** (s - 2)) for s in range(2, SPAN + 1) for a in range(1, s)]
 #: Digits and signs that stand for letters.
@@ -396,12 +398,13 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", k: int = 5, he
 def score_texts(docs: DataFrame, model: Toxicity, text_col: str = "text", score_col: str = "score") -> DataFrame:
     """All columns of ``docs`` and the score of each row's whole text."""
     shared = docs.sparkSession.sparkContext.broadcast(model)        # a fixed number of weights
+    text_col = own_name(docs, text_col)
 
     def make():
         m = shared.value
 
         def one(b):
-            got = [m.scores(Words(s, lower=True)) for s in in_slices(b.column(b.schema.get_field_index(text_col)))]
+            got = [m.scores(Words(s, lower=True)) for s in in_slices(b.column(b.schema.get_field_index(text_col)), SLICE)]
             return {score_col: np.concatenate(got)}
         one.done = m.kept.clear
         return one
@@ -419,8 +422,6 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, text_col: str = "text") -> DataFrame:
     """``docs`` without the documents whose score reaches ``threshold``; columns unchanged."""
-    name = "score"
-    while name in docs.columns:
-        name += "_"
-    scored = score_texts(docs, fit(docs.withColumnRenamed(text_col, "text"), labels), text_col, name)
+    name = free_name(docs, "score")
+    scored = score_texts(docs, fit(id_text(docs, text_col=text_col), labels), text_col, name)
     return scored.filter(F.col(name) < threshold).select(*docs.columns)

@@ -149,3 +149,50 @@ def test_js_distance():
     import numpy as np
     p, q = np.array([[1.0, 0.0], [0.5, 0.5]]), np.array([[0.0, 1.0], [0.5, 0.5]])
     assert np.allclose(quality_rules.js_distance(p, q), [1, 0])
+
+
+LISTED = quality_rules.COMMON_WORDS["en"]
+
+
+def _prose(rng, words, listed, n):
+    return " ".join(rng.choice(listed) if rng.random() < 0.3 else rng.choice(words) + str(rng.randrange(1000)) for _ in range(n))
+
+
+def test_divergence_verdict_matches_brute_force_and_spares_other_languages(spark):
+    import math
+    import random
+    rng = random.Random(9)
+    english = ["river", "house", "window", "Winter", "paper", "stone,", "garden."]
+    russian = ["река", "дом", "окно", "зима", "бумага", "камень,", "сад."]
+    rows = [(i, _prose(rng, english, LISTED, 120)) for i in range(60)]
+    rows += [(100 + i, _prose(rng, russian, ["лес"], 120) + " the") for i in range(8)]
+    rows += [(200 + i, " ".join(w.upper() + "!?#" for w in _prose(rng, english, LISTED, 120).split())) for i in range(6)]
+    rows += [(300, _prose(rng, english, LISTED, 30)), (301, None), (302, "")]
+    df = spark.createDataFrame([(i, t, 1) for i, t in rows], "doc_id long, text string, lead int")
+    got = {r.doc_id: r for r in quality_rules.quality_rules(df).collect()}
+    assert all(got[i].kept and got[i].char_distance is None for i in range(100, 108))            # no language: base rules alone
+    assert not any(got[i].kept for i in range(200, 206)) and not any(got[i].base_failed for i in range(200, 206))
+
+    def hists(t):
+        raw, c = t.encode(), [0] * 8
+        for ch in t:
+            k = (0 if ch.islower() and ch.isascii() else 1 if ch.isupper() and ch.isascii() else 2 if ch.isdigit() else 3 if ch in " \t" else
+                 4 if ch == "\n" else 7 if not ch.isascii() else 5 if ch in ".,;:!?'\"()-" else 6)
+            c[k] += 1
+        words = t.lower().split()
+        w = [words.count(x) for x in LISTED]
+        assert len(raw.split()) == len(words)
+        return [x / sum(c) for x in c], [x / len(words) for x in w] + [1 - sum(w) / len(words)]
+
+    def js(p, q):
+        return math.sqrt(sum((a * math.log2(2 * a / (a + b)) if a else 0) + (b * math.log2(2 * b / (a + b)) if b else 0) for a, b in zip(p, q, strict=True)) / 2)
+
+    # all shouted texts hold listed words as well, so they are English and in its reference
+    own = [i for i in got if got[i].char_distance is not None and got[i].n_words >= 50 and not got[i].base_failed]
+    texts = dict(rows)
+    parts = {i: hists(texts[i]) for i in own}
+    mean = [[sum(parts[i][k][j] for i in own) / len(own) for j in range(len(parts[own[0]][k]))] for k in (0, 1)]
+    for i in own:
+        dc, dw = js(parts[i][0], mean[0]), js(parts[i][1], mean[1])
+        assert abs(dc - got[i].char_distance) < 1e-9 and abs(dw - got[i].word_distance) < 1e-9
+        assert got[i].kept == (dc <= 0.25 and dw <= 0.6 and (dc + dw) / 2 <= 0.23)

@@ -91,21 +91,21 @@ def test_components_of_a_long_chain_and_a_star(spark):
 
 
 def test_fixity_finds_exactly_the_damage(spark):
-    rows = [(i, f"http://h/{i}", "x" * (i % 50)) for i in range(300)] + [(7, "http://h/7", "x" * 7), (None, None, None), (900, None, "é" * 2000)]
-    df = spark.createDataFrame([(*r, 0) for r in rows], "page_id long, url string, html string, seq int")
+    rows = [(i, f"http://h/{i}", "x" * (i % 50)) for i in range(600)] + [(7, "http://h/7", "x" * 7)] * 90 + [(None, None, None), (900, None, "é" * 2000), (7, "http://h/7", "other")]
+    df = spark.createDataFrame([(*r, 0, "x") for r in rows], "page_id long, url string, html string, place int, Digest string")
     fault = F.col("record_id").isin(13, 200, 900)
-    got = fixity.fixity_report(df, fault, segment_records=64, fanout=4).collect()
+    got = fixity.fixity_report(df, fault).collect()
 
     def record(i, u, h):
         body = (h or "").encode()
         return (f"WARC/1.1\r\nWARC-Type: resource\r\nWARC-Record-ID: <urn:record:{'' if i is None else i}>\r\nWARC-Target-URI: {u or ''}\r\n"
                 f"Content-Type: text/html\r\nContent-Length: {len(body)}\r\n\r\n").encode() + body + b"\r\n\r\n"
 
-    want = [(i, len(r := record(i, u, h)), hashlib.sha256(r).hexdigest(), i not in (13, 200, 900)) for i, u, h in rows]
-    assert sorted(((r.page_id, r.length, r.sha256, r.intact) for r in got), key=repr) == sorted(want, key=repr)
+    want = [(i, len(r := record(i, u, h)), hashlib.sha256(r).hexdigest(), rows.count((i, u, h)), i not in (13, 200, 900)) for i, u, h in set(rows)]
+    assert sorted(((r.page_id, r.length, r.sha256, r.copies, r.intact) for r in got), key=repr) == sorted(want, key=repr)
     spans = {}
     for r in got:
-        spans.setdefault(r.segment, []).append((r.offset, r.length))
+        spans.setdefault(r.segment, []).append((r.segment_offset, r.length * r.copies))
     for s in spans.values():                                       # records lie side by side
         at = 0
         for off, n in sorted(s):
@@ -114,27 +114,31 @@ def test_fixity_finds_exactly_the_damage(spark):
     assert fixity.fixity_report(df.limit(0), fault).collect() == []
 
 
-def test_audit_descends_only_where_it_differs(spark):
+def test_audit_of_replicas_written_on_their_own(spark):
     base = scratch_path(spark, "audit_test")
-    df = spark.range(4096).select(F.col("id").alias("page_id"), F.lit("u").alias("url"), F.col("id").cast("string").alias("html"))
+    df = spark.range(6000).select(F.col("id").alias("page_id"), F.lit("u").alias("url"), F.col("id").cast("string").alias("html"))
     a = fixity.write_replica(df, f"{base}/a")
-    b = fixity.damage(a, F.col("record_id") == 77)
-    tops = [fixity.build_trees(fixity.lay_out(r, 2), f"{base}/{n}") for r, n in ((a, "ta"), (b, "tb"))]
-    bad, trail = fixity.audit(spark, f"{base}/ta", tops[0], f"{base}/tb", tops[1])
-    assert bad.count() == 1 and all(t["differ"] == 1 for t in trail)
-    assert all(t["compared"] <= 16 for t in trail)
-    same, trail = fixity.audit(spark, f"{base}/ta", tops[0], f"{base}/ta", tops[0])
-    assert same.count() == 0 and len(trail) == 1
-    short = fixity.lay_out(a.filter("record_id < 40 or record_id > 50"), 2)     # records missing
-    top = fixity.build_trees(short, f"{base}/ts")
-    assert fixity.audit(spark, f"{base}/ta", tops[0], f"{base}/ts", top)[0].count() > 0
+    again = fixity.write_replica(df.orderBy(F.xxhash64("page_id")).repartition(7), f"{base}/b")
+    _, none, trail = fixity.compare_replicas(a, again)
+    assert none.count() == 0 and trail == [{"level": 3, "compared": 1, "differ": 0}]
+    # one missing, one extra, one changed, one stored twice
+    other = (df.filter("page_id <> 40").union(df.filter("page_id = 99")).union(spark.sql("select 7000L, 'u', 'new'"))
+             .withColumn("html", F.when(F.col("page_id") == 77, "changed").otherwise(F.col("html"))).repartition(5))
+    _, bad, trail = fixity.compare_replicas(a, fixity.write_replica(other, f"{base}/c"))
+    got = sorted((r.record_id, r.copies_a, r.copies_b) for r in bad.select("record_id", F.coalesce("copies_a", F.lit(0)).alias("copies_a"),
+                                                                          F.coalesce("copies_b", F.lit(0)).alias("copies_b")).collect())
+    assert got == [(40, 1, 0), (77, 0, 1), (77, 1, 0), (99, 1, 2), (7000, 0, 1)]
+    assert [t["differ"] for t in trail][0] == 1 and all(t["differ"] <= 5 and t["compared"] <= 80 for t in trail)
+    # one missing record touches one node a level
+    _, bad, trail = fixity.compare_replicas(a, a.filter("record_id <> 5"))
+    assert bad.count() == 1 and [t["differ"] for t in trail] == [1] * len(trail)
 
 
 @pytest.mark.parametrize("name", [k for k, (_, sql) in registry().items() if sql])
 def test_queries_match_their_sql(spark, name):
     fn, sql = registry()[name]
     con = duckdb.connect()
-    for t in ("documents", "pages", "benchmark", "labels"):
+    for t in ("documents", "pages", "benchmark", "labels", "embeddings", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{os.path.join(SF001, t)}.parquet')")
     df = fn(spark, SF001)
     cols = sorted(df.columns)

@@ -5,6 +5,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from helixframe.session import scratch_path
@@ -92,3 +93,21 @@ def test_run_gives_the_rows_of_the_last_stage_and_takes_empty_tables(spark, corp
         spark.read.parquet(os.path.join(folder, f"{t}.parquet")).limit(0).write.parquet(os.path.join(empty, f"{t}.parquet"))
     assert corpus_pipeline.run(spark, empty).collect() == []
     assert corpus_pipeline.ORACLE_SQL is None
+
+
+def test_columns_of_clashing_names_come_back_unchanged(spark, corpus):
+    folder, _, _ = corpus
+    names = ["UID", "Score", "uid_", "PACK_UID", "Doc", "Sequence_ID_", "rep", "digest", "item_id", "need"]
+    docs = spark.read.parquet(os.path.join(folder, "documents.parquet")).filter("n_chars < 5000")
+    docs = docs.withColumnRenamed("text", "Text")
+    for k, n in enumerate(names):
+        docs = docs.withColumn(n, F.concat(F.lit(f"{k}-"), F.coalesce(F.col("doc_id").cast("string"), F.lit("none"))))
+    path = scratch_path(spark, "clash")
+    docs.write.parquet(path)
+    docs = spark.read.parquet(path)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, folder)
+        assert out.columns == docs.columns
+        rows = out.collect()
+        assert rows and all(r[n] == f"{k}-{'none' if r.doc_id is None else r.doc_id}" for r in rows for k, n in enumerate(names)), name
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, folder).count() >= docs.count()

@@ -25,11 +25,11 @@ def crc(ids):
     return zlib.crc32(np.array(ids, "<u4").tobytes())
 
 
-@pytest.mark.parametrize("kept", [900_000, 5])
+@pytest.mark.parametrize("kept", [10**8, 5])
 def test_cached_encoding_is_the_tokenizers_own(plain, kept):
     import duckdb
     texts = [r[0] for r in duckdb.sql(f"select text from read_parquet('{SF001}/documents.parquet')").fetchall()]
-    enc = ChunkEncoder(default_tokenizer(), max_chunks=kept)
+    enc = ChunkEncoder(default_tokenizer(), kept_bytes=kept)
     for part in (ODD, [None], texts[:60], texts[60:], []):
         ids, n = enc.encode(pa.array(part, pa.string()))
         ends = np.cumsum(n)
