@@ -1,16 +1,14 @@
 """Embedding, similarity and nearest-neighbour operators.
 
-Vectors are ``array<float>`` (or double) columns, one per row. Exact k-NN
-never materialises query x stored pairs as rows: the bounded query set
-goes to a ``mapInPandas`` kernel that scores blocks of stored vectors against blocks of
-queries and keeps each query's k best of its whole task; a final
-``row_number() <= k`` merges the tasks' candidates.
+Vectors are ``array<float>`` (or double) columns, one per row. Exact k-NN is a block join: stored rows and
+queries are dealt into blocks, shuffled by pair of blocks, and a kernel keeps each query's k best of a pair, so
+query x stored pairs never become rows and neither side is collected. A final ``row_number() <= k`` (partial before its
+exchange) merges the pairs' candidates. Similarities and distances of all rows are tiles of the same kind.
 """
 
 from __future__ import annotations
 
 import hashlib
-import math
 from typing import Callable, Iterator
 
 import numpy as np
@@ -23,10 +21,9 @@ from pyspark.sql import types as Ty
 
 from helixframe.functions import text as T
 from helixframe.functions import vectors as VF
-from helixframe.session import require_small
+from helixframe.session import scratch_path
 
-MAX_QUERIES = 50_000        # query vectors held by every k-NN task
-MAX_CENTROIDS = 5_000       # similarity-matrix side (output is n^2 rows)
+MAX_CENTROIDS = 5_000       # labels of the related/control comparison (one ordering window)
 
 
 # ------------------------------------------------------------- V1
@@ -91,31 +88,44 @@ def centroids(df: DataFrame, group: str = "gene", vec: str = "embedding") -> Dat
     return arr.select(group, VF.l2_normalize(F.transform("__p", lambda s: s["x"])).alias("centroid"))
 
 
-def similarity_matrix(c: DataFrame, key: str = "gene", vec: str = "centroid") -> DataFrame:
-    """V5 + J9: all pairs of a bounded set of centroids, long form (a, b, sim).
+TILE = 512      # rows of one side of a tile
+
 
-    The output is n^2 rows by definition, so n is checked first. The
-    n x d matrix (bounded) goes to every task of a ``mapInPandas`` that
-    scores one Arrow batch of rows against it with a matmul, so the pair
-    rows are produced in parallel over the row side, never by a join.
+def tiled_pairs(rows: DataFrame, tile: Callable[[pd.DataFrame, pd.DataFrame], tuple[np.ndarray, np.ndarray]], value: str, size: int | None = None) -> DataFrame:
+    """All pairs of rows (key ``k`` and any columns) in long form (a, b, value), by tiles of a row-block grid.
+
+    Rows are dealt into blocks of about ``size``; only tiles of the upper triangle are computed, each from two blocks, and
+    mirrored on output. ``tile`` gives (values, which pairs to report). The output is n^2 rows by definition; nothing is
+    collected, and a row is shuffled once per block.
     """
-    require_small(c, MAX_CENTROIDS, "centroid table")
-    rows = c.select(F.col(key).cast("string").alias("k"), F.col(vec).alias("v")).where("v IS NOT NULL").collect()
-    keys = np.array([r["k"] for r in rows], dtype=object)
-    mat = np.array([np.asarray(r["v"], dtype=np.float64) for r in rows]) if rows else np.zeros((0, 0))
+    blocks = max(1, -(-rows.count() // (size or TILE)))
+    dealt = rows.withColumn("__own", F.pmod(F.monotonically_increasing_id(), F.lit(blocks)).cast("int"))
+    grid = (dealt.withColumn("__other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+            .withColumn("__i", F.least("__own", "__other")).withColumn("__j", F.greatest("__own", "__other")))
+
+    def run(key, pdf: pd.DataFrame) -> pd.DataFrame:
+        i, j = key
+        left, right = pdf[pdf["__own"] == i], pdf[pdf["__own"] == j]
+        if left.empty or right.empty:
+            return pd.DataFrame({"a": [], "b": [], value: []})
+        got, keep = tile(left, right)
+        r, c = np.nonzero(keep)
+        a, b, v = left["k"].to_numpy()[r], right["k"].to_numpy()[c], got[r, c]
+        if i != j:
+            a, b, v = np.concatenate([a, b]), np.concatenate([b, a]), np.concatenate([v, v])
+        return pd.DataFrame({"a": a, "b": b, value: v})
+
+    return grid.groupBy("__i", "__j").applyInPandas(run, f"a string, b string, {value} double")
 
-    def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in it:
-            pdf = pdf[pdf["v"].notna()]
-            if pdf.empty or not len(keys):
-                continue
-            x = np.stack(pdf["v"].to_numpy()).astype(np.float64)
-            sim = x @ mat.T
-            ia, ib = np.meshgrid(np.arange(len(x)), np.arange(len(keys)), indexing="ij")
-            yield pd.DataFrame({"a": pdf["k"].to_numpy()[ia.ravel()], "b": keys[ib.ravel()], "sim": sim.ravel()})
 
-    return c.select(F.col(key).cast("string").alias("k"), F.col(vec).alias("v")) \
-        .mapInPandas(run, "a string, b string, sim double")
+def similarity_matrix(c: DataFrame, key: str = "gene", vec: str = "centroid") -> DataFrame:
+    """V5 + J9: similarities (dot products) of all rows with a vector, long form (a, b, sim)."""
+    def tile(left, right):
+        sim = np.stack(left["v"].to_numpy()).astype(np.float64) @ np.stack(right["v"].to_numpy()).astype(np.float64).T
+        return sim, np.ones(sim.shape, bool)
+
+    rows = c.select(F.col(key).cast("string").alias("k"), VF.as_double(vec).alias("v")).where("v IS NOT NULL")
+    return tiled_pairs(rows, tile, "sim")
 
 
 def cosine_pairs(pairs: DataFrame, a: str, b: str) -> Column:
@@ -125,7 +135,8 @@ def cosine_pairs(pairs: DataFrame, a: str, b: str) -> Column:
 
 # ------------------------------------------------------------- V6 / J7 / W7
 
-ROW_BLOCK, QUERY_BLOCK = 4_096, 2_048     # a distance block of 64 MB
+ROW_BLOCK = 4_096                              # stored rows scored at a time
+STORED_BLOCK, QUERY_BLOCK = 32_768, 2_048      # rows and queries of one unit of work
 
 
 def _topk_kernel(qids: np.ndarray, qmat: np.ndarray, k: int, id_col: str, vec_col: str, extra: list[str]):
@@ -161,54 +172,198 @@ def _topk_kernel(qids: np.ndarray, qmat: np.ndarray, k: int, id_col: str, vec_co
                     limit[full.index.to_numpy()] = full["max"].to_numpy()
         if best is not None:
             best["query_id"] = qids[best["__q"].to_numpy()]
+            # joined string columns may hold several Arrow chunks, which a batch cannot
+            best = best.astype({c: object for c in best.columns if not pd.api.types.is_numeric_dtype(best[c])})
             yield best[["query_id", "id", "distance", *extra]]
     return run
 
 
+def _sides(stored: DataFrame, queries: DataFrame, id_col: str, vec_col: str, query_id: str, query_vec: str, extra: list[str]):
+    """(id, vector, extras) of the stored rows and (query, vector) of the queries that have a vector."""
+    s = stored.select(F.col(id_col).cast("string").alias("__id"), VF.as_double(vec_col).alias("__v"), *extra).where("__v IS NOT NULL")
+    q = queries.select(F.col(query_id).cast("string").alias("__q"), VF.as_double(query_vec).alias("__qv")).where("__qv IS NOT NULL")
+    return s, q
+
+
+def _score_units(s: DataFrame, q: DataFrame, unit: list[str], k: int, extra: list[str]) -> DataFrame:
+    """query_id, id, distance, extras: each query's k best of every unit that both sides have rows of."""
+    schema = Ty.StructType([Ty.StructField("query_id", Ty.StringType()), Ty.StructField("id", Ty.StringType()),
+                            Ty.StructField("distance", Ty.DoubleType())] + [s.schema[e] for e in extra])
+
+    def run(rows: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
+        got = []
+        if len(rows) and len(asked):
+            # a unit may have more queries than a block: the kernel takes these in turn
+            kernel = _topk_kernel(asked["__q"].to_numpy(), np.stack(asked["__qv"].to_numpy()), k, "__id", "__v", extra)
+            got = list(kernel(iter([rows])))
+        return got[0] if got else pd.DataFrame({f.name: [] for f in schema})
+
+    return s.groupBy(*unit).cogroup(q.groupBy(*unit)).applyInPandas(run, schema)
+
+
+def _ranked(cand: DataFrame, k: int, extra: list[str]) -> DataFrame:
+    w = Window.partitionBy("query_id").orderBy(F.round("distance", 9), F.col("id"))
+    return cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("query_id", "rank", "id", "distance", *extra)
+
+
 def knn_exact(stored: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "id", vec_col: str = "embedding",
               query_id: str = "query_id", query_vec: str = "embedding", extra: list[str] | None = None) -> DataFrame:
-    """V6: exact k nearest stored rows per query by squared L2 distance.
+    """V6: exact k nearest stored rows per query by squared L2 distance, for any number of queries.
 
-    (query_id, rank, id, distance, extra...), rank 1-based, ties by id;
-    fewer than k rows when the collection is smaller. The query side is
-    bounded (MAX_QUERIES) and shipped to every task; a larger query set is
-    split into hash chunks below that bound, each searched exactly.
+    (query_id, rank, id, distance, extra...), rank 1-based, ties by id; fewer than k rows when the collection is
+    smaller. A block join in one plan: every block of stored rows meets every block of queries once. Rows are dealt by their
+    number, so repeated ids or vectors fill no block.
     """
     extra = extra or []
-    n_q = queries.count()
-    if n_q > MAX_QUERIES:
-        # queries in hash chunks, each bounded, each an independent exact search
-        n_chunks = int(math.ceil(n_q / (0.8 * MAX_QUERIES)))
-        keyed = queries.withColumn("__chunk", F.pmod(F.xxhash64(F.col(query_id).cast("string")), F.lit(n_chunks)))
-        parts = [knn_exact(stored, keyed.where(F.col("__chunk") == c).drop("__chunk"), k, id_col, vec_col,
-                           query_id, query_vec, extra) for c in range(n_chunks)]
-        out = parts[0]
-        for p_ in parts[1:]:
-            out = out.unionByName(p_)
-        return out
-    q = queries.select(F.col(query_id).cast("string").alias("qid"), F.col(query_vec).alias("v")).where("v IS NOT NULL").collect()
-    if not q:
-        none = stored.select(F.lit(None).cast("string").alias("query_id"), F.lit(None).cast("int").alias("rank"),
-                             F.col(id_col).cast("string").alias("id"), F.lit(None).cast("double").alias("distance"), *extra)
-        return none.limit(0)
-    qids = np.array([r["qid"] for r in q], dtype=object)
-    qmat = np.array([np.asarray(r["v"], dtype=np.float64) for r in q])
-    schema = Ty.StructType([Ty.StructField("query_id", Ty.StringType()), Ty.StructField("id", Ty.StringType()),
-                            Ty.StructField("distance", Ty.DoubleType())] +
-                           [stored.schema[e] for e in extra])
-    cand = stored.select(F.col(id_col).cast("string").alias(id_col), vec_col, *extra) \
-        .mapInPandas(_topk_kernel(qids, qmat, k, id_col, vec_col, extra), schema)
-    w = Window.partitionBy("query_id").orderBy(F.round("distance", 9), F.col("id"))
-    return cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k) \
-        .select("query_id", "rank", "id", "distance", *extra)
+    s, q = _sides(stored, queries, id_col, vec_col, query_id, query_vec, extra)
+    spark = stored.sparkSession
+    n_rows, n_queries = s.count(), q.count()
+    blocks = max(1, -(-n_rows // STORED_BLOCK), min(spark.sparkContext.defaultParallelism, n_rows // ROW_BLOCK))
+    asked = max(1, -(-n_queries // QUERY_BLOCK))
+    number = F.monotonically_increasing_id()
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    s = s.withColumn("__r", F.pmod(number, F.lit(blocks)).cast("int")).withColumn("__b", every(asked))
+    q = q.withColumn("__b", F.pmod(number, F.lit(asked)).cast("int")).withColumn("__r", every(blocks))
+    return _ranked(_score_units(s, q, ["__r", "__b"], k, extra), k, extra)
 
 
 # ------------------------------------------------------------- V7
 
-def knn_approx(stored: DataFrame, queries: DataFrame, k: int = 5, threshold: float = 1.0,
+MAX_CELLS = 4_096        # centres shipped to tasks; with their radii, the only facts the driver holds
+
+
+def _cell_distances(x: np.ndarray, centers: np.ndarray) -> np.ndarray:
+    d = (x * x).sum(1)[:, None] + (centers * centers).sum(1)[None, :] - 2.0 * (x @ centers.T)
+    return np.sqrt(np.maximum(d, 0.0))
+
+
+class InvertedFile:
+    """V7: stored rows in cells of a distributed k-means, searched exactly from few cells.
+
+    Built once: Lloyd rounds over the rows (tasks send sums per cell, Spark adds them up), every row written with its cell and its
+    distance to the centre, and per cell its radius and size (at most ``MAX_CELLS`` facts on the driver).
+    """
+
+    def __init__(self, stored: DataFrame, cells: int | None = None, id_col: str = "id", vec_col: str = "embedding",
+                 extra: list[str] | None = None, seed: int = 7, iterations: int = 5):
+        spark, self.extra = stored.sparkSession, extra or []
+        s = stored.select(F.col(id_col).cast("string").alias("__id"), VF.as_double(vec_col).alias("__v"), *self.extra).where("__v IS NOT NULL")
+        path = scratch_path(spark, "inverted-file")
+        s.write.parquet(f"{path}/rows")
+        s = spark.read.parquet(f"{path}/rows")
+        self.n = s.count()
+        k = max(1, min(MAX_CELLS, cells or round(self.n ** 0.5)))
+        # the first centres: the different vectors among the k rows with the smallest hash
+        picked = s.orderBy(F.xxhash64("__id", "__v", F.lit(seed))).limit(k).select("__v").collect()
+        self.centers = np.unique(np.array([r["__v"] for r in picked], np.float64), axis=0) if picked else np.zeros((1, 0))
+        for _ in range(iterations if len(self.centers) > 1 else 0):
+            self._move(s)
+        shared = spark.sparkContext.broadcast(self.centers)
+        schema = Ty.StructType([*s.schema.fields, Ty.StructField("__cell", Ty.IntegerType()), Ty.StructField("__far", Ty.DoubleType())])
+
+        def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for pdf in batches:
+                if len(pdf):
+                    d = _cell_distances(np.stack(pdf["__v"].to_numpy()), shared.value)
+                    own = d.argmin(1)
+                    yield pdf.assign(__cell=own.astype(np.int32), __far=d[np.arange(len(own)), own])
+
+        s.mapInPandas(place, schema).write.parquet(f"{path}/cells")
+        self.rows = spark.read.parquet(f"{path}/cells")
+        self.size, self.radius = np.zeros(len(self.centers), np.int64), np.zeros(len(self.centers))
+        for r in self.rows.groupBy("__cell").agg(F.count("*").alias("n"), F.max("__far").alias("far")).collect():
+            self.size[r["__cell"]], self.radius[r["__cell"]] = r["n"], r["far"]
+
+    def _move(self, rows: DataFrame) -> None:
+        """One round: every centre that has rows becomes their mean."""
+        shared = rows.sparkSession.sparkContext.broadcast(self.centers)
+
+        def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            centers = shared.value
+            total, count = np.zeros(centers.shape), np.zeros(len(centers), np.int64)
+            for pdf in batches:
+                if len(pdf):
+                    x = np.stack(pdf["__v"].to_numpy())
+                    own = _cell_distances(x, centers).argmin(1)
+                    np.add.at(total, own, x)
+                    count += np.bincount(own, minlength=len(centers))
+            c = np.flatnonzero(count)
+            yield pd.DataFrame({"cell": c.astype(np.int32), "n": count[c], "s": list(total[c])})
+
+        per = (rows.select("__v").mapInPandas(sums, "cell int, n long, s array<double>")
+               .select("cell", "n", F.posexplode("s").alias("dim", "x")).groupBy("cell", "dim").agg(F.sum("n").alias("n"), F.sum("x").alias("x")))
+        moved = self.centers.copy()
+        for r in per.collect():                             # cells x dimensions
+            moved[r["cell"], r["dim"]] = r["x"] / r["n"]
+        self.centers = moved
+
+    def _route(self, queries: DataFrame, least: int, bounded: bool) -> DataFrame:
+        """(query, vector, cell) of the nearest cells that hold ``least`` rows together; with ``bounded`` instead the other cells
+        that may hold a row within the query's distance ``__t`` so far (triangle inequality: centre distance less radius)."""
+        shared = self.rows.sparkSession.sparkContext.broadcast((self.centers, self.size, self.radius))
+
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            centers, size, radius = shared.value
+            for pdf in batches:
+                if not len(pdf) or not size.any():
+                    continue
+                d = _cell_distances(np.stack(pdf["__qv"].to_numpy()), centers)
+                order = np.argsort(d, axis=1, kind="stable")
+                held = np.cumsum(size[order], axis=1)
+                first = np.zeros(d.shape, bool)
+                np.put_along_axis(first, order, (held - size[order] < least) & (size[order] > 0), axis=1)
+                take = first
+                if bounded:
+                    reach = np.sqrt(np.nan_to_num(pdf["__t"].to_numpy(np.float64), nan=np.inf, posinf=np.inf)) + 1e-7
+                    take = ~first & (size > 0)[None, :] & (d - radius[None, :] <= reach[:, None])
+                row, cell = np.nonzero(take)
+                yield pd.DataFrame({"__q": pdf["__q"].to_numpy()[row], "__qv": pdf["__qv"].to_numpy()[row], "__cell": cell.astype(np.int32)})
+
+        return queries.mapInPandas(run, "__q string, __qv array<double>, __cell int")
+
+    def _search(self, routed: DataFrame, k: int) -> tuple[DataFrame, int]:
+        """Each query's k best of its cells, and the number of pairs scored. Big cells and many queries are split."""
+        spark = self.rows.sparkSession
+        path = scratch_path(spark, "routed")
+        routed.write.parquet(path)
+        routed = spark.read.parquet(path)
+        asked = {r["__cell"]: r["n"] for r in routed.groupBy("__cell").agg(F.count("*").alias("n")).collect()}      # one number a cell
+        plan = spark.createDataFrame([(c, int(-(-int(self.size[c]) // STORED_BLOCK)), int(-(-n // QUERY_BLOCK))) for c, n in asked.items()],
+                                     "__cell int, __subs int, __asks int")
+        number, every = F.monotonically_increasing_id(), lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
+        s = (self.rows.join(F.broadcast(plan), "__cell").withColumn("__r", F.pmod(number, F.col("__subs")).cast("int"))     # at most MAX_CELLS rows
+             .withColumn("__b", every("__asks")).drop("__subs", "__asks"))
+        q = (routed.join(F.broadcast(plan), "__cell").withColumn("__b", F.pmod(number, F.col("__asks")).cast("int"))
+             .withColumn("__r", every("__subs")).drop("__subs", "__asks"))
+        return _score_units(s, q, ["__cell", "__r", "__b"], k, self.extra), sum(int(self.size[c]) * n for c, n in asked.items())
+
+    def search(self, queries: DataFrame, k: int = 5, query_id: str = "query_id", query_vec: str = "embedding") -> tuple[DataFrame, dict]:
+        """The k nearest rows of every query as :func:`knn_exact` ranks them (all k whenever so many rows exist), and
+        {pairs, all_pairs}: distances computed here and by the block join.
+
+        First the nearest cells that hold k rows or more; the k-th distance then bounds which other cells can hold a nearer row,
+        and these are searched in a second pass.
+        """
+        spark = self.rows.sparkSession
+        q = queries.select(F.col(query_id).cast("string").alias("__q"), VF.as_double(query_vec).alias("__qv")).where("__qv IS NOT NULL")
+        path = scratch_path(spark, "first-cells")
+        near, pairs = self._search(self._route(q, k, False), k)
+        near.write.parquet(path)
+        near = spark.read.parquet(path)
+        worst = _ranked(near, k, []).where(F.col("rank") == k).select(F.col("query_id").alias("__q"), F.col("distance").alias("__t"))
+        far, more = self._search(self._route(q.join(worst, "__q", "left"), k, True), k)
+        return _ranked(near.unionByName(far), k, self.extra), {"pairs": pairs + more, "all_pairs": self.n * q.count()}
+
+
+def knn_ivf(stored: DataFrame, queries: DataFrame, k: int = 5, cells: int | None = None, **kw) -> DataFrame:
+    """V7 in one call: :class:`InvertedFile` over ``stored``, searched for ``queries``."""
+    return InvertedFile(stored, cells, **kw).search(queries, k)[0]
+
+
+def knn_lsh(stored: DataFrame, queries: DataFrame, k: int = 5, threshold: float = 1.0,
                bucket_length: float = 0.5, num_tables: int = 8, id_col: str = "id", vec_col: str = "embedding",
                query_id: str = "query_id", seed: int = 7) -> DataFrame:
-    """V7: approximate k-NN via random-projection LSH, exact re-rank of the candidates.
+    """Random-projection LSH, exact re-rank of the candidates (may find fewer than k; :func:`knn_ivf` does not).
 
     Candidates are pairs sharing an LSH bucket within ``threshold`` (L2);
     only those are scored, then the same rank rule as V6 applies.

@@ -169,14 +169,11 @@ def q_dedup_stats(spark, d):
 
 
 @register("record_merge", cte("corpus") + """
-SELECT pmid, title, year FROM corpus WHERE year IS NOT NULL AND year <= 2005
-  AND pmid NOT IN (SELECT pmid FROM corpus WHERE journal = 'Journal of src1')
-UNION ALL SELECT pmid, '[rev] ' || title, year FROM corpus WHERE journal = 'Journal of src1'""")
+SELECT pmid, CASE WHEN journal = 'Journal of src1' THEN '[rev] ' || title ELSE title END AS title, year FROM corpus""")
 def q_record_merge(spark, d):
-    """Cached records (years up to 2005) merged with a fresh batch (one journal,
+    """All records as the cache, merged with a fresh batch (one journal,
     titles marked revised); the fresh batch wins on shared pmids."""
-    r = A.corpus_records(spark, d)
-    old = r.where(F.col("year") <= 2005)
+    old = r = A.corpus_records(spark, d)
     new = r.where(F.col("journal") == "Journal of src1").withColumn("title", F.concat(F.lit("[rev] "), "title"))
     return C.merge_records(old, new).select("pmid", "title", "year")
 

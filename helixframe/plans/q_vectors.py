@@ -283,10 +283,22 @@ def q_knn_lsh_recall(spark, d):
     vr = A.vector_rows(spark, d)
     cen = V.centroids(vr).select(F.col("gene").alias("query_id"), F.col("centroid").alias("embedding"))
     ex = V.knn_exact(vr, cen, 5)
-    ap = V.knn_approx(vr, cen, 5, threshold=1.5)
+    ap = V.knn_lsh(vr, cen, 5, threshold=1.5)
     return V.recall_at_k(ex, ap)
 
 
+@register("knn_ivf", cte("vectors", extra=_CENTROIDS + """,
+sl AS (SELECT id AS key, dim, CAST(x AS DOUBLE) AS x FROM vlong),
+ql AS (SELECT gene AS key, dim, x FROM cen)""") + """
+SELECT query_id, rank, id, round(distance, 6) AS distance FROM """ + _knn_sql("ql", "sl"))
+def q_knn_ivf(spark, d):
+    """V7: the 5 stored vectors nearest to each gene centroid from an inverted file; cells are added until the triangle
+    inequality leaves none, so the rows are those of the exact search."""
+    vr = A.vector_rows(spark, d)
+    cen = V.centroids(vr).select(F.col("gene").alias("query_id"), F.col("centroid").alias("embedding"))
+    return V.knn_ivf(vr, cen, 5).select("query_id", "rank", "id", _r6("distance").alias("distance"))
+
+
 @register("hit_labels", cte("vectors", extra=_CENTROIDS + """,
 sl AS (SELECT id AS key, dim, CAST(x AS DOUBLE) AS x FROM vlong),
 ql AS (SELECT gene AS key, dim, x FROM cen)""") + """

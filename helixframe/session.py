@@ -17,6 +17,8 @@ _DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # batches to Python are bounded in bytes: 10,000 long texts are no small batch
+    "spark.sql.execution.arrow.maxBytesPerBatch": "8m",
 }
 
 

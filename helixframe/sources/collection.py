@@ -122,9 +122,11 @@ def live_ids(spark: SparkSession, root: str, name: str, ids: DataFrame, id_col:
 
 
 def query_text(spark: SparkSession, root: str, name: str, queries: DataFrame, k: int = 5, query_id: str = "query_id",
-               text_col: str = "text") -> DataFrame:
-    """Text queries against a stored collection: each text is embedded like the stored documents and answered by
-    the exact nearest rows: query_id, rank, id, distance, document, metadata."""
+               text_col: str = "text", encoder=None) -> DataFrame:
+    """Text queries against a stored collection: each text is embedded like the stored documents (by the hashed encoder, or by
+    the ``encoder`` that the collection's vectors were made with) and answered by the exact nearest rows: query_id, rank, id,
+    distance, document, metadata."""
     from helixframe.operators import vectors as V
-    vectors = V.embed_hashed(queries.select(F.col(query_id).cast("string").alias("query_id"), F.col(text_col).alias("__text")), "__text", "query_id")
+    texts = queries.select(F.col(query_id).cast("string").alias("query_id"), F.col(text_col).alias("__text"))
+    vectors = V.embed_hashed(texts, "__text", "query_id") if encoder is None else V.embed_with(texts, "__text", encoder)
     return V.knn_exact(open_collection(spark, root, name), vectors, k, extra=["document", "metadata"])

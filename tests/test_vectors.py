@@ -29,6 +29,7 @@ def test_knn_exact_matches_brute_force_with_ties(spark):
 def test_knn_blocks_and_many_batches_agree_with_brute_force(spark, monkeypatch):
     monkeypatch.setattr(V, "ROW_BLOCK", 7)
     monkeypatch.setattr(V, "QUERY_BLOCK", 3)
+    monkeypatch.setattr(V, "STORED_BLOCK", 40)
     rng = np.random.default_rng(6)
     base = rng.integers(0, 3, size=(150, 4)).astype(float)                # many ties
     qs = rng.integers(0, 3, size=(10, 4)).astype(float)
@@ -172,5 +173,5 @@ def test_lsh_neighbours_are_mostly_the_exact_ones(spark):
     qs = base[:20] + 0.02 * rng.normal(size=(20, 16))
     stored = spark.createDataFrame([(f"{i:03d}", list(map(float, v))) for i, v in enumerate(base)], "id string, embedding array<double>")
     q = spark.createDataFrame([(f"q{i}", list(map(float, v))) for i, v in enumerate(qs)], "query_id string, embedding array<double>")
-    got = V.knn_approx(stored, q, 1, num_tables=16)
+    got = V.knn_lsh(stored, q, 1, num_tables=16)
     assert sum(r.id == f"{int(r.query_id[1:]):03d}" for r in got.collect()) >= 18
