@@ -110,6 +110,8 @@ def tiled_pairs(rows: DataFrame, tile: Callable[[pd.DataFrame, pd.DataFrame], tu
             return pd.DataFrame({"a": [], "b": [], value: []})
         got, keep = tile(left, right)
         r, c = np.nonzero(keep)
+        if not len(r):
+            return pd.DataFrame({"a": [], "b": [], value: []})
         a, b, v = left["k"].to_numpy()[r], right["k"].to_numpy()[c], got[r, c]
         if i != j:
             a, b, v = np.concatenate([a, b]), np.concatenate([b, a]), np.concatenate([v, v])
@@ -172,8 +174,6 @@ def _topk_kernel(qids: np.ndarray, qmat: np.ndarray, k: int, id_col: str, vec_co
                     limit[full.index.to_numpy()] = full["max"].to_numpy()
         if best is not None:
             best["query_id"] = qids[best["__q"].to_numpy()]
-            # joined string columns may hold several Arrow chunks, which a batch cannot
-            best = best.astype({c: object for c in best.columns if not pd.api.types.is_numeric_dtype(best[c])})
             yield best[["query_id", "id", "distance", *extra]]
     return run
 
@@ -317,7 +317,8 @@ class InvertedFile:
                     reach = np.sqrt(np.nan_to_num(pdf["__t"].to_numpy(np.float64), nan=np.inf, posinf=np.inf)) + 1e-7
                     take = ~first & (size > 0)[None, :] & (d - radius[None, :] <= reach[:, None])
                 row, cell = np.nonzero(take)
-                yield pd.DataFrame({"__q": pdf["__q"].to_numpy()[row], "__qv": pdf["__qv"].to_numpy()[row], "__cell": cell.astype(np.int32)})
+                if len(row):
+                    yield pd.DataFrame({"__q": pdf["__q"].to_numpy()[row], "__qv": pdf["__qv"].to_numpy()[row], "__cell": cell.astype(np.int32)})
 
         return queries.mapInPandas(run, "__q string, __qv array<double>, __cell int")
 
