@@ -107,11 +107,11 @@ def tiled_pairs(rows: DataFrame, tile: Callable[[pd.DataFrame, pd.DataFrame], tu
         i, j = key
         left, right = pdf[pdf["__own"] == i], pdf[pdf["__own"] == j]
         if left.empty or right.empty:
-            return pd.DataFrame({"a": [], "b": [], value: []})
+            return pd.DataFrame()
         got, keep = tile(left, right)
         r, c = np.nonzero(keep)
         if not len(r):
-            return pd.DataFrame({"a": [], "b": [], value: []})
+            return pd.DataFrame()
         a, b, v = left["k"].to_numpy()[r], right["k"].to_numpy()[c], got[r, c]
         if i != j:
             a, b, v = np.concatenate([a, b]), np.concatenate([b, a]), np.concatenate([v, v])
@@ -196,7 +196,7 @@ def _score_units(s: DataFrame, q: DataFrame, unit: list[str], k: int, extra: lis
             # a unit may have more queries than a block: the kernel takes these in turn
             kernel = _topk_kernel(asked["__q"].to_numpy(), np.stack(asked["__qv"].to_numpy()), k, "__id", "__v", extra)
             got = list(kernel(iter([rows])))
-        return got[0] if got else pd.DataFrame({f.name: [] for f in schema})
+        return got[0] if got else pd.DataFrame()
 
     return s.groupBy(*unit).cogroup(q.groupBy(*unit)).applyInPandas(run, schema)
 
