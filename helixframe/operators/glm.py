@@ -57,35 +57,138 @@ def design_matrix(design: list[dict], factors: list[str], ref: dict | None = Non
     return X, names
 
 
+class Design:
+    """A model matrix with one factor's columns kept as a block number per sample.
+
+    ``A`` (m x q) holds the intercept and the columns of every other factor; sample j lies in block ``block[j]``
+    of ``n_blocks`` + 1, block 0 being the reference level, which has no column. The normal matrix is then
+    arrow-shaped (the blocks' part is diagonal), and everything a fit needs of it comes from the q x q Schur
+    complement: time and memory grow with the number of blocks, not with its cube. A plain matrix is a design
+    without blocks. Columns, coefficients and ``names`` are in the order of ``A``, then blocks.
+    """
+
+    def __init__(self, A: np.ndarray, block: np.ndarray | None = None, n_blocks: int = 0, names: list[str] | None = None):
+        self.A = np.asarray(A, dtype=np.float64)
+        self.block = np.zeros(len(self.A), dtype=np.int64) if block is None else np.asarray(block, dtype=np.int64)
+        self.n_blocks, self.names = n_blocks, names or []
+        self.order = np.argsort(self.block, kind="stable")
+        self.starts = np.searchsorted(self.block[self.order], np.arange(n_blocks + 1))
+        if n_blocks and len(np.unique(self.block)) != n_blocks + 1:
+            raise ValueError("a block without samples")
+
+    @property
+    def shape(self) -> tuple[int, int]:
+        return len(self.A), self.A.shape[1] + self.n_blocks
+
+    def by_block(self, v: np.ndarray) -> np.ndarray:
+        """Sums of the columns of ``v`` (G, m) over the samples of every block but the reference: (G, n_blocks)."""
+        if not self.n_blocks:
+            return np.zeros((len(v), 0))
+        return np.add.reduceat(v[:, self.order], self.starts, axis=1)[:, 1:]
+
+    def full_rank(self) -> bool:
+        """Whether all columns are independent: ``A`` less its mean over each block that has a column."""
+        B = self.A.copy()
+        for k in range(1, self.n_blocks + 1):
+            i = self.order[self.starts[k]:self.starts[k + 1] if k < self.n_blocks else None]
+            B[i] -= B[i].mean(axis=0)
+        return np.linalg.matrix_rank(B) == self.A.shape[1]
+
+    def cells(self) -> list[np.ndarray]:
+        """Samples with the same row of the model matrix, cell by cell."""
+        out: dict[tuple, list[int]] = {}
+        for i, r in enumerate(self.A):
+            out.setdefault((int(self.block[i]), *r), []).append(i)
+        return [np.array(c) for c in out.values()]
+
+
+def blocked_design(design: list[dict], factors: list[str], block: str, ref: dict | None = None) -> Design:
+    """Treatment-coded design whose factor ``block`` (patients, batches; any number of levels) is eliminated
+    by :class:`Design`. Raises when the columns are not independent."""
+    ref = ref or {}
+    A, names = design_matrix(design, [f for f in factors if f != block], ref)
+    levels = sorted({r[block] for r in design})
+    base = ref.get(block, levels[0])
+    if base not in levels:
+        raise ValueError(f"reference level {base!r} not in {block}")
+    number = {lv: i for i, lv in enumerate([base] + [lv for lv in levels if lv != base])}
+    out = Design(A, np.array([number[r[block]] for r in design]), len(levels) - 1,
+                 names + [f"{block}[T.{lv}]" for lv in levels if lv != base])
+    if not out.full_rank():
+        raise ValueError(f"design {factors} is rank deficient")
+    return out
+
+
+def as_design(X) -> Design:
+    return X if isinstance(X, Design) else Design(X)
+
+
 # ------------------------------------------------------------------ numpy kernels
 
-def _irls(Y: np.ndarray, X: np.ndarray, s: np.ndarray, alpha: np.ndarray):
-    """Batched IRLS: Y (G, m), X (m, p), s (m,), alpha (G,). Returns beta, XtWX, mu, converged."""
-    G, m = Y.shape
-    p = X.shape[1]
+class Normal:
+    """The normal matrix X'WX + ridge of a batch of genes, blocks eliminated: ``schur`` (G, q, q), ``inv``
+    (G, n_blocks) one over the diagonal of the blocks, ``pull`` (G, n_blocks, q) the blocks' rows times ``inv``."""
+
+    def __init__(self, w: np.ndarray, D: Design, ridge: float):
+        q = D.A.shape[1]
+        self.schur = _gram(w, D.A) + ridge * np.eye(q)[None]
+        self.diag = D.by_block(w) + ridge
+        self.inv = 1.0 / np.maximum(self.diag, 1e-300)
+        self.pull = np.zeros((len(w), D.n_blocks, q))
+        if D.n_blocks:
+            rows = np.stack([D.by_block(w * D.A[:, k]) for k in range(q)], axis=2)
+            self.pull = rows * self.inv[:, :, None]
+            self.schur = self.schur - np.einsum("gbk,gbl->gkl", rows, self.pull)
+
+    def solve(self, D: Design, v: np.ndarray) -> np.ndarray:
+        """Coefficients for the right-hand side X'v of every gene (v: G, m)."""
+        vb = D.by_block(v)
+        top = np.linalg.solve(self.schur, (v @ D.A - np.einsum("gb,gbk->gk", vb, self.pull))[..., None])[..., 0]
+        return np.concatenate([top, vb * self.inv - np.einsum("gbk,gk->gb", self.pull, top)], axis=1)
+
+    def logdet(self) -> np.ndarray:
+        return np.linalg.slogdet(self.schur)[1] + np.log(np.maximum(self.diag, 1e-300)).sum(axis=1)
+
+    def leverage(self, D: Design, cov: np.ndarray) -> np.ndarray:
+        """x_j' (X'WX)^-1 x_j of every gene and sample, ``cov`` being the inverse of ``schur``."""
+        zero = np.zeros((len(cov), 1))
+        u = D.A[None] - np.concatenate([np.zeros((len(cov), 1, D.A.shape[1])), self.pull], axis=1)[:, D.block]
+        return np.einsum("gmk,gkl,gml->gm", u, cov, u, optimize=True) + np.concatenate([zero, self.inv], axis=1)[:, D.block]
+
+
+def _predict(beta: np.ndarray, D: Design) -> np.ndarray:
+    q = D.A.shape[1]
+    eta = beta[:, :q] @ D.A.T
+    return eta + np.concatenate([np.zeros((len(beta), 1)), beta[:, q:]], axis=1)[:, D.block] if D.n_blocks else eta
+
+
+def _irls_normal(Y: np.ndarray, D: Design, s: np.ndarray, alpha: np.ndarray):
+    """Batched IRLS: Y (G, m), s (m,), alpha (G,). Returns beta, the :class:`Normal` at the end, mu, converged."""
     logs = np.log(s)[None, :]
     # start: least squares on log normalised counts
     z0 = np.log((Y + 0.5) / s[None, :])
-    beta = np.linalg.lstsq(X, z0.T, rcond=None)[0].T
-    dev_old = np.full(G, np.inf)
-    conv = np.zeros(G, bool)
+    beta = Normal(np.ones((1, Y.shape[1])), D, RIDGE).solve(D, z0)
+    dev_old = np.full(len(Y), np.inf)
+    conv = np.zeros(len(Y), bool)
     a = alpha[:, None]
     for _ in range(MAX_IT):
-        eta = np.clip(beta @ X.T + logs, -30, 30)
-        mu = np.maximum(np.exp(eta), MIN_MU)
+        mu = np.maximum(np.exp(np.clip(_predict(beta, D) + logs, -30, 30)), MIN_MU)
         w = mu / (1.0 + a * mu)
         z = np.log(mu) - logs + (Y - mu) / mu
-        XtWX = _gram(w, X) + RIDGE * np.eye(p)[None]
-        XtWz = (w * z) @ X
-        beta = np.linalg.solve(XtWX, XtWz[..., None])[..., 0]
-        mu = np.maximum(np.exp(np.clip(beta @ X.T + logs, -30, 30)), MIN_MU)
+        beta = Normal(w, D, RIDGE).solve(D, w * z)
+        mu = np.maximum(np.exp(np.clip(_predict(beta, D) + logs, -30, 30)), MIN_MU)
         dev = -2.0 * _nb_loglik(Y, mu, alpha)
         conv = np.abs(dev - dev_old) / (np.abs(dev) + 0.1) < 1e-8
         dev_old = dev
         if conv.all():
             break
-    w = mu / (1.0 + a * mu)
-    return beta, _gram(w, X) + RIDGE * np.eye(p)[None], mu, conv
+    return beta, Normal(mu / (1.0 + a * mu), D, RIDGE), mu, conv
+
+
+def _irls(Y: np.ndarray, X, s: np.ndarray, alpha: np.ndarray):
+    """As :func:`_irls_normal`, the second value being X'WX (of a blocked design: its Schur complement)."""
+    beta, normal, mu, conv = _irls_normal(Y, as_design(X), s, alpha)
+    return beta, normal.schur, mu, conv
 
 
 def _gram(w: np.ndarray, X: np.ndarray) -> np.ndarray:
@@ -108,7 +211,7 @@ def _cr_loglik(Y, mu, X, log_alpha):
     a = np.maximum(al, MIN_DISP)[:, None]
     r = 1.0 / a
     ll = (lgamma_np(Y + r) - lgamma_np(r) - (Y + r) * np.log1p(a * mu) + Y * np.log(a * mu)).sum(axis=1)
-    return ll - 0.5 * np.linalg.slogdet(_gram(mu / (1.0 + al[:, None] * mu), X))[1]
+    return ll - 0.5 * Normal(mu / (1.0 + al[:, None] * mu), as_design(X), 0.0).logdet()
 
 
 def _maximise(Y, mu, X, lo, hi, prior_mean=None, prior_var=None, coarse: int = 17, steps: int = 20):
@@ -141,13 +244,14 @@ def _stack(col: pd.Series) -> np.ndarray:
 
 # ------------------------------------------------------------------ D3: gene-wise dispersion
 
-def genewise_dispersion(gene_vec: DataFrame, X: np.ndarray, sf: list[float]) -> DataFrame:
+def genewise_dispersion(gene_vec: DataFrame, X: np.ndarray | Design, sf: list[float]) -> DataFrame:
     """D3: (gene_id, y, base_mean, disp_moment, mu0 fit, alpha_gw) per gene.
 
     Start: moment estimate; mu from an IRLS fit at that value; then the
     Cox-Reid adjusted likelihood is maximised in log alpha over
     [log 1e-8, log max(10, m)]. Genes with all-zero counts get NULL.
     """
+    X = as_design(X)
     s = np.asarray(sf, dtype=np.float64)
     m = len(s)
     inv_mean = float(np.mean(1.0 / s))
@@ -178,52 +282,39 @@ def genewise_dispersion(gene_vec: DataFrame, X: np.ndarray, sf: list[float]) ->
 
 # ------------------------------------------------------------------ D4: trend
 
-def dispersion_trend(disp: DataFrame, max_loops: int = 6) -> dict:
-    """Parametric trend alpha(mu) = a1 / mu + a0, gamma-family GLM with identity link.
+def dispersion_trend(disp: DataFrame, max_fits: int = 6) -> dict:
+    """Parametric trend alpha(mu) = a1 / mu + a0, a gamma GLM with identity link (Spark ML).
 
-    Fitted by IRLS whose weighted normal equations are one Spark aggregate
-    per iteration (2 x 2 on the driver); genes with alpha / trend outside
-    [1e-4, 15] are dropped and the fit repeated until the coefficients
-    settle. Falls back to the mean dispersion when a coefficient is not
-    positive. Returns {a0, a1, n_genes, parametric}.
+    At most ``max_fits`` fits: genes whose alpha lies outside [1e-4, 15] times the trend are left out and
+    the rest is fitted again, until the coefficients settle to 1e-6. Falls back to the mean dispersion when a
+    coefficient is not positive, when there is no gene to fit or when all have one base mean (no slope).
+    Returns {a0, a1, n_genes, parametric}; without any gene a0 is NaN.
     """
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import GeneralizedLinearRegression
+
+    from helixframe.session import cut_lineage
     base = disp.where((F.col("alpha_gw") >= 100 * MIN_DISP) & (F.col("base_mean") > 0)) \
         .select((F.lit(1.0) / F.col("base_mean")).alias("x"), F.col("alpha_gw").alias("a"))
-    from helixframe.session import cut_lineage
-    base = cut_lineage(base)
-    a0, a1 = 0.1, 1.0
-    cur = base
-    for _ in range(max_loops):
-        prev = (a0, a1)
-        for _ in range(12):
-            fit = F.lit(a0) + F.lit(a1) * F.col("x")
-            w = F.lit(1.0) / (fit * fit)
-            r = cur.where(fit > 0).agg(F.sum(w).alias("sw"), F.sum(w * F.col("x")).alias("swx"),
-                                       F.sum(w * F.col("x") * F.col("x")).alias("swxx"),
-                                       F.sum(w * F.col("a")).alias("swy"),
-                                       F.sum(w * F.col("x") * F.col("a")).alias("swxy")).first()
-            if r is None or r["sw"] is None:
-                break
-            A = np.array([[r["sw"], r["swx"]], [r["swx"], r["swxx"]]])
-            b = np.array([r["swy"], r["swxy"]])
-            try:
-                n0, n1 = np.linalg.solve(A, b)
-            except np.linalg.LinAlgError:
-                break
-            done = abs(n0 - a0) < 1e-6 * max(1, abs(a0)) and abs(n1 - a1) < 1e-6 * max(1, abs(a1))
-            a0, a1 = float(n0), float(n1)
-            if done or a0 <= 0 or a1 <= 0:
-                break
-        if a0 <= 0 or a1 <= 0:
+    base = cut_lineage(VectorAssembler(inputCols=["x"], outputCol="features").transform(base))
+    model = GeneralizedLinearRegression(family="gamma", link="identity", featuresCol="features", labelCol="a", tol=1e-9, maxIter=50)
+    size = base.agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi"), F.avg("a").alias("mean")).first()
+    flat = {"a0": float("nan") if size["mean"] is None else float(size["mean"]), "a1": 0.0, "n_genes": size["n"], "parametric": False}
+    if not size["n"] or size["lo"] == size["hi"]:
+        return flat
+    cur, n, before = base, size["n"], None
+    for _ in range(max_fits):
+        fit = model.fit(cur)
+        a0, a1 = float(fit.intercept), float(fit.coefficients[0])
+        if not (a0 > 0 and a1 > 0 and math.isfinite(a0 + a1)):
+            return flat
+        if before and abs(before[0] - a0) < 1e-6 * max(1, a0) and abs(before[1] - a1) < 1e-6 * max(1, a1):
             break
         ratio = F.col("a") / (F.lit(a0) + F.lit(a1) * F.col("x"))
-        cur = base.where((ratio >= 1e-4) & (ratio <= 15))
-        if abs(prev[0] - a0) < 1e-6 * max(1, abs(a0)) and abs(prev[1] - a1) < 1e-6 * max(1, abs(a1)):
-            break
-    n = cur.count()
-    if a0 <= 0 or a1 <= 0 or not np.isfinite([a0, a1]).all():
-        mean = base.agg(F.avg("a")).first()[0]
-        return {"a0": float(mean), "a1": 0.0, "n_genes": n, "parametric": False}
+        cur, before = base.where((ratio >= 1e-4) & (ratio <= 15)), (a0, a1)
+        kept, n = n, cur.count()
+        if kept == n == size["n"]:
+            break                                                            # nothing was left out: the fit stands
     return {"a0": a0, "a1": a1, "n_genes": n, "parametric": True}
 
 
@@ -250,7 +341,8 @@ def dispersion_prior(disp: DataFrame, trend: dict, m: int, p: int) -> dict:
 # ------------------------------------------------------------------ D5-D8 fit
 
 FIT_SCHEMA = ("gene_id string, base_mean double, alpha_gw double, alpha_trend double, alpha_map double, "
-              "alpha double, beta array<double>, cov array<double>, converged boolean, "
+              "alpha double, beta array<double>, cov array<double>, block_inv array<double>, "
+              "block_pull array<double>, converged boolean, "
               "max_cook double, n_cook_outliers int, n_replaced int")
 
 
@@ -278,14 +370,15 @@ def robust_dispersion(q: np.ndarray, cells: list[np.ndarray], min_replicates: in
     return np.maximum((v - mean) / mean ** 2, LEAST_ROBUST_DISPERSION)
 
 
-def fit_genes(disp: DataFrame, X: np.ndarray, sf: list[float], trend: dict, prior: dict,
+def fit_genes(disp: DataFrame, X: np.ndarray | Design, sf: list[float], trend: dict, prior: dict,
               cook_level: float = 0.99, min_replicates_replace: int = 7, min_replicates_cook: int = 3) -> DataFrame:
     """D5 MAP dispersion + D6/D7 IRLS fit + D8 Cook's distance, one pass per Arrow batch.
 
     * MAP alpha maximises CR-likelihood - (log a - log trend)^2 / (2 var);
       the gene-wise value is kept when it lies more than 2 s_lr above the trend.
     * Fit: IRLS with ridge 1e-6, mu floored at 0.5, eta clamped at +-30;
-      covariance (X'WX)^-1; beta in natural-log units.
+      covariance (X'WX)^-1; beta in natural-log units. Of a blocked design ``cov`` covers the columns
+      before the blocks; ``block_inv`` and ``block_pull`` (row by row) give the rest, see :func:`wald`.
     * Cook's distance per sample, with a dispersion from trimmed cell variances, which a single
       outlier does not inflate; cutoff = F(p, m - p) quantile ``cook_level``.
       Samples in design cells with >= 7 replicates are replaced by
@@ -293,27 +386,29 @@ def fit_genes(disp: DataFrame, X: np.ndarray, sf: list[float], trend: dict, prio
       coefficients are fitted again; outliers in cells of 3-6 replicates are counted in
       ``n_cook_outliers`` (their p-values are set missing by :func:`wald`).
     """
+    X = as_design(X)
     s = np.asarray(sf, dtype=np.float64)
     m, p = X.shape
     lo, hi = math.log(MIN_DISP), math.log(max(10.0, m))
     var, s_lr = prior["prior_var"], prior["s_lr"]
     cutoff = f_quantile(cook_level, p, m - p) if m > p else float("inf")
     # replicate count of each sample's design cell (identical model-matrix rows)
-    rows = [tuple(r) for r in X]
-    reps = np.array([rows.count(r) for r in rows])
+    cells = X.cells()
+    reps = np.zeros(m, dtype=int)
+    for c in cells:
+        reps[c] = len(c)
     replace_ok = reps >= min_replicates_replace
     cook_ok = reps >= min_replicates_cook
-    cells = [np.array([i for i, r in enumerate(rows) if r == c]) for c in dict.fromkeys(rows)]
     a0, a1 = trend["a0"], trend["a1"]
 
     def fit(Y, alpha):
-        beta, XtWX, mu, conv = _irls(Y, X, s, alpha)
-        cov = np.linalg.inv(XtWX)
+        beta, normal, mu, conv = _irls_normal(Y, X, s, alpha)
+        cov = np.linalg.inv(normal.schur)
         w = mu / (1.0 + alpha[:, None] * mu)
-        h = w * np.einsum("mp,gpq,mq->gm", X, cov, X)
+        h = w * normal.leverage(X, cov)
         robust = robust_dispersion(Y / s[None, :], cells, min_replicates_cook)[:, None]
         cook = (Y - mu) ** 2 / (mu + robust * mu ** 2) / p * h / np.maximum((1 - h) ** 2, 1e-12)
-        return beta, cov, conv, cook
+        return [beta, cov, normal.inv, normal.pull, conv, cook]
 
     def dispersion(Y, agw, atr):
         _, _, mu0, _ = _irls(Y, X, s, agw)
@@ -330,7 +425,7 @@ def fit_genes(disp: DataFrame, X: np.ndarray, sf: list[float], trend: dict, prio
             agw = pdf["alpha_gw"].to_numpy()
             atr = a0 + a1 / bm
             amap, alpha = dispersion(Y, agw, atr)
-            beta, cov, conv, cook = fit(Y, alpha)
+            beta, cov, inv, pull, conv, cook = fitted = fit(Y, alpha)
             out_mask = (cook > cutoff)
             n_out = (out_mask & (cook_ok & ~replace_ok)[None, :]).sum(axis=1)
             rep_mask = out_mask & replace_ok[None, :]
@@ -345,13 +440,13 @@ def fit_genes(disp: DataFrame, X: np.ndarray, sf: list[float], trend: dict, prio
                 start = np.clip(agw[g], MIN_DISP, math.exp(hi))
                 agw_r = _maximise(Yr, _irls(Yr, X, s, start)[2], X, lo, hi)
                 amap[g], alpha[g] = dispersion(Yr, agw_r, atr[g])
-                b2, c2, v2, k2 = fit(Yr, alpha[g])
-                beta[g], cov[g], conv[g], cook[g] = b2, c2, v2, k2
+                for whole, part in zip(fitted, fit(Yr, alpha[g])):
+                    whole[g] = part
             max_cook = np.where(cook_ok[None, :], cook, 0.0).max(axis=1)
             yield pd.DataFrame({
                 "gene_id": pdf["gene_id"].to_numpy(), "base_mean": bm, "alpha_gw": agw, "alpha_trend": atr,
                 "alpha_map": amap, "alpha": alpha, "beta": list(beta), "cov": list(cov.reshape(len(Y), -1)),
-                "converged": conv, "max_cook": max_cook, "n_cook_outliers": n_out.astype(np.int32),
+                "block_inv": list(inv), "block_pull": list(pull.reshape(len(Y), -1)), "converged": conv, "max_cook": max_cook, "n_cook_outliers": n_out.astype(np.int32),
                 "n_replaced": n_rep.astype(np.int32)})
 
     return disp.select("gene_id", "y", "base_mean", "alpha_gw").mapInPandas(run, FIT_SCHEMA)
@@ -373,17 +468,23 @@ def contrast_vector(names: list[str], factor: str, level: str, ref: str) -> list
     return c
 
 
-def wald(fit: DataFrame, c: list[float], contrast: str = "contrast") -> DataFrame:
+def wald(fit: DataFrame, c: list[float], contrast: str = "contrast", n_blocks: int = 0) -> DataFrame:
     """LFC = c'b / ln 2, SE = sqrt(c'Sc) / ln 2, z = LFC / SE, p = erfc(|z| / sqrt 2).
 
     Catalyst columns over the stored beta / covariance arrays (any contrast
     without a refit); only erfc runs in an Arrow-batched pandas UDF.
-    Genes with a Cook's outlier in a 3-6 replicate cell get p = NULL.
+    Genes with a Cook's outlier in a 3-6 replicate cell get p = NULL. The last ``n_blocks`` entries of ``c``
+    are a blocked design's; with u = c before them less ``block_pull``'c of them, the variance is
+    u' cov u + sum(c_b^2 block_inv_b), so only the blocks that ``c`` names are read.
     """
-    p = len(c)
-    cb = sum((F.lit(c[i]) * F.col("beta")[i] for i in range(p) if c[i]), F.lit(0.0))
-    csc = sum((F.lit(c[i] * c[j]) * F.col("cov")[i * p + j] for i in range(p) for j in range(p) if c[i] and c[j]),
-              F.lit(0.0))
+    p = len(c) - n_blocks
+    cb = sum((F.lit(c[i]) * F.col("beta")[i] for i in range(len(c)) if c[i]), F.lit(0.0))
+    named = [b for b in range(n_blocks) if c[p + b]]
+    u = [F.lit(c[i]) - sum((F.lit(c[p + b]) * F.col("block_pull")[b * p + i] for b in named), F.lit(0.0)) if named
+         else F.lit(c[i]) for i in range(p)]
+    used = [i for i in range(p) if c[i] or named]
+    csc = sum((u[i] * u[j] * F.col("cov")[i * p + j] for i in used for j in used), F.lit(0.0)) \
+        + sum((F.lit(c[p + b] ** 2) * F.col("block_inv")[b] for b in named), F.lit(0.0))
     se = F.sqrt(csc)
     out = fit.select(F.lit(contrast).alias("contrast"), "gene_id", "base_mean", (cb / F.lit(LN2)).alias("log2_fold_change"),
                      (se / F.lit(LN2)).alias("lfc_se"), (cb / se).alias("stat"), "n_cook_outliers")

@@ -54,7 +54,8 @@ def expression_inputs(spark: SparkSession, d: str, min_total: int = 10) -> Expre
 @dataclass
 class DEFit:
     fit: DataFrame           # per-gene fit table (checkpointed)
-    names: list[str]         # model-matrix column names
+    names: list[str]         # model-matrix column names, a blocked design's blocks last
+    n_blocks: int            # how many of them are blocks
     trend: dict
     prior: dict
     disp: DataFrame          # gene-wise dispersions (checkpointed)
@@ -69,7 +70,11 @@ def deseq(ctx: ExpressionInputs, factors: list[str], ref: dict | None = None) ->
     aggregates whose scalars drive the next job.
     """
     from helixframe.operators import glm as G
-    X, names = G.design_matrix(ctx.design, factors, ref)
+    if len(factors) > 1:   # the factor with most levels (patients) is eliminated, whatever their number
+        X = G.blocked_design(ctx.design, factors, max(factors, key=lambda f: len({r[f] for r in ctx.design})), ref)
+        names, n_blocks = X.names, X.n_blocks
+    else:
+        (X, names), n_blocks = G.design_matrix(ctx.design, factors, ref), 0
     # keep one Arrow batch of gene arrays around 2M cells, however many samples
     spark = ctx.gene_vec.sparkSession
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
@@ -86,7 +91,7 @@ def deseq(ctx: ExpressionInputs, factors: list[str], ref: dict | None = None) ->
             spark.conf.unset(key)
         else:
             spark.conf.set(key, before)
-    return DEFit(fit, names, trend, prior, disp)
+    return DEFit(fit, names, n_blocks, trend, prior, disp)
 
 
 def de_table(spark: SparkSession, d: str, factors: list[str], contrast: tuple[str, str, str],
@@ -97,7 +102,7 @@ def de_table(spark: SparkSession, d: str, factors: list[str], contrast: tuple[st
     ctx = ctx or expression_inputs(spark, d)
     m = deseq(ctx, factors, ref)
     c = G.contrast_vector(m.names, *contrast)
-    res = G.wald(m.fit, c, name or "_".join(factors))
+    res = G.wald(m.fit, c, name or "_".join(factors), m.n_blocks)
     res, theta = G.independent_filter(res)
     res = RS.annotate(res, RS.first_per_key(A.symbol_hits(spark, d)))
     return res, m, theta

@@ -59,10 +59,12 @@ def q_nb_fit_single(spark, d):
 
 @register("nb_fit_blocked")
 def q_nb_fit_blocked(spark, d):
-    """~patient + condition fit."""
+    """~patient + condition fit, patients eliminated; coefficients: intercept, patients, conditions."""
     m = deseq(expression_inputs(spark, d), ["patient", "condition"], REF)
+    p = len(m.names) - m.n_blocks
+    order = [0, *range(p, len(m.names)), *range(1, p)]
     return m.fit.select("gene_id", "converged",
-                        *[(F.col("beta")[i] / F.lit(G.LN2)).alias(f"b{i}") for i in range(len(m.names))])
+                        *[(F.col("beta")[i] / F.lit(G.LN2)).alias(f"b{k}") for k, i in enumerate(order)])
 
 
 @register("cooks_outliers")
