@@ -23,34 +23,54 @@ def search_corpus(corpus: DataFrame, genes: DataFrame, disease: str = T.DEFAULT_
                   max_results: int = 20) -> DataFrame:
     """S6 + F6: at most ``max_results`` hits per gene, newest first.
 
-    A record matches a gene when the gene's word sequence occurs in the
+    A record matches a gene when the gene's word sequence (any length) occurs in the
     tokenised title or in the tokenised abstract (not across the two), the disease is one of its major topics,
-    and the abstract is non-empty. Plan: the record filters run first
-    (pushed to the scan where the source allows), each record's distinct
-    tokens are exploded once and equi-joined to the gene list on the
-    gene's first word; multi-word genes are then verified as phrases, field by field. The
+    and the abstract is non-empty. A gene is cut into units: its word, or each pair of neighbouring words with its
+    offset. A record's distinct words and its pairs with their positions are equi-joined to the units; a
+    gene of one unit is found by that alone, a longer phrase where all its units meet at one start (position less
+    offset). No token array passes a shuffle. The
     per-gene cut is ``row_number() <= k``, which Spark plans with a
     partial WindowGroupLimit before the shuffle, so a very common word
     cannot pile all its matches onto one task. Order: year desc (missing
-    last), then pmid desc.
+    last), then pmid desc. A gene without words has no hit; a record
+    that is there twice is one hit, and texts that share an id are searched apart.
     """
     docs = corpus.where(F.array_contains("mesh_major_topics", F.lit(disease)) & (F.length("abstract") > 0))
-    docs = docs.select("pmid", "year", T.word_tokens("title").alias("ttok"), T.word_tokens("abstract").alias("atok"))
-    q = genes.select("gene", "gene_ord", T.word_tokens("gene").alias("gtok")) \
-        .where(F.size("gtok") > 0).withColumn("first_tok", F.col("gtok")[0])
-    cand = docs.select("pmid", "year", "ttok", "atok", F.explode(F.array_union(F.coalesce("ttok", F.array()), F.coalesce("atok", F.array()))).alias("tok"))
-    m = cand.join(q, cand.tok == q.first_tok)
-    # phrase check only matters for multi-word genes; single words matched already
-    def holds(tokens):
-        spaced = [F.concat(F.lit(" "), F.array_join(x, " "), F.lit(" ")) for x in (tokens, "gtok")]
-        return F.coalesce(spaced[0].contains(spaced[1]), F.lit(False))
-    m = m.where((F.size("gtok") == 1) | holds("ttok") | holds("atok"))
+    docs = docs.select("pmid", "year", F.xxhash64("title", "abstract").alias("rec"), *[F.coalesce(T.word_tokens(c), F.array()).alias(c) for c in ("title", "abstract")])
+    words = F.transform(F.array_distinct(F.concat("title", "abstract")), lambda t: _unit(t, -1, -1))
+    cand = docs.select("pmid", "year", "rec", F.explode(F.concat(words, *[_pairs(F.col(c), i) for i, c in enumerate(("title", "abstract"))])).alias("u"))
+    q = genes.select("gene", "gene_ord", T.word_tokens("gene").alias("gtok")).where(F.size("gtok") > 0)
+    one = F.size("gtok") == 1
+    q = q.select("gene", "gene_ord", F.greatest(F.size("gtok") - 1, F.lit(1)).alias("units"),
+                 F.explode(F.when(one, F.transform("gtok", lambda t: _unit(t, -1, 0))).otherwise(_pairs(F.col("gtok"), 0))).alias("q"))
+    m = cand.join(q, F.col("u.unit") == F.col("q.unit"))
+    # one unit: anywhere in the record; more: all of them from one start of one field
+    spot = [F.when(F.col("units") > 1, c).otherwise(F.lit(0)).alias(n)
+            for n, c in (("field", F.col("u.field")), ("start", F.col("u.pos") - F.col("q.pos")))]
+    m = m.select("gene", "gene_ord", "pmid", "year", "rec", "units", *spot, F.col("q.pos").alias("off"))
+    short = F.col("units") == 1
+    m = m.groupBy("gene", "gene_ord", "pmid", "year", "rec", "units", "field", "start") \
+        .agg(F.collect_set(F.when(~short, F.col("off"))).alias("offs")) \
+        .where(short | (F.size("offs") == F.col("units")))
+    m = m.select("gene", "gene_ord", "pmid", "year").distinct()
     w = Window.partitionBy("gene").orderBy(F.col("year").desc_nulls_last(), F.col("pmid").desc())
-    return (m.select("gene", "gene_ord", "pmid", "year")
-            .withColumn("hit_ord", F.row_number().over(w)).where(F.col("hit_ord") <= max_results)
+    return (m.withColumn("hit_ord", F.row_number().over(w)).where(F.col("hit_ord") <= max_results)
             .select("gene", "gene_ord", "hit_ord", "pmid"))
 
 
+def _unit(text: Column, field: int, pos) -> Column:
+    pos = F.lit(pos) if isinstance(pos, int) else pos
+    return F.struct(text.alias("unit"), F.lit(field).alias("field"), pos.cast("int").alias("pos"))
+
+
+def _pairs(tokens: Column, field: int) -> Column:
+    """Neighbouring words as units with their position (words hold no space, so a pair is never a word)."""
+    n = F.size(tokens) - 1
+    return F.zip_with(F.slice(tokens, 1, F.greatest(n, F.lit(0))), F.transform(F.slice(tokens, 2, F.greatest(n, F.lit(0))),
+                      lambda t, i: F.struct(t.alias("t"), i.alias("i"))),
+                      lambda a, b: _unit(F.concat(a, F.lit(" "), b["t"]), field, b["i"]))
+
+
 def ordered_fetch(hits: DataFrame, records: DataFrame) -> DataFrame:
     """Records in search order (gene_ord, hit_ord); hits without a record are dropped."""
     return hits.join(records, "pmid", "inner")

@@ -12,13 +12,15 @@ from pyspark.sql import functions as F
 from helixframe.operators.vectors import tiled_pairs
 
 
-def rows_for(vst_long: DataFrame, genes: DataFrame, gene: str = "gene_id") -> DataFrame:
-    """VST rows of a gene list (semi-join)."""
-    return vst_long.join(genes.select(gene).distinct(), gene, "left_semi")
+def rows_for(vst_long: DataFrame, genes: DataFrame, gene: str = "gene_id", by: str | None = None) -> DataFrame:
+    """VST rows of a gene list; with ``by`` (a contrast) of every list at once, the column leading."""
+    if by is None:
+        return vst_long.join(genes.select(gene).distinct(), gene, "left_semi")
+    return vst_long.join(genes.select(by, gene).distinct(), gene).select(by, *vst_long.columns)
 
 
-def zscore_rows(long: DataFrame, gene: str = "gene_id", value: str = "vst") -> DataFrame:
-    """Per-gene z-score over samples with the population sd; sd 0 gives NULL.
+def zscore_rows(long: DataFrame, gene: str | list[str] = "gene_id", value: str = "vst") -> DataFrame:
+    """Per-gene z-score over samples with the population sd; sd 0 gives NULL. ``gene``: the row's key columns.
 
     One window partitioned by gene: each group is one gene's samples.
     """

@@ -238,7 +238,7 @@ def ranged(df: DataFrame, keys: list[str], n_parts: int | None = None) -> DataFr
     return cut_lineage(df.repartitionByRange(n, *[F.col(k) for k in keys]).withColumn("__part", F.spark_partition_id()))
 
 
-def bh_adjust(df: DataFrame, p: str = "pvalue", by: str | None = "contrast", out: str = "padj_bh",
+def bh_adjust(df: DataFrame, p: str = "pvalue", by: str | list[str] | None = "contrast", out: str = "padj_bh",
               n_parts: int | None = None) -> DataFrame:
     """Benjamini-Hochberg adjusted p per group; NULL p stays NULL.
 
@@ -247,7 +247,7 @@ def bh_adjust(df: DataFrame, p: str = "pvalue", by: str | None = "contrast", out
     dealt into ranges of (group, p); one-row-per-range summaries give each range its rank
     offset and the least value of the ranges after it. No task holds a whole group.
     """
-    keys = [by] if by else []
+    keys = [by] if isinstance(by, str) else list(by or [])
     counted = df.where(F.col(p).isNotNull()).groupBy(*keys, F.col(p).alias("__p")).agg(F.count(F.lit(1)).alias("__c"))
     d = ranged(counted, [*keys, "__p"], n_parts)
     # one row per range and group that meets it

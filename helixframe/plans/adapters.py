@@ -282,6 +282,14 @@ def search_terms(spark: SparkSession, d: str) -> DataFrame:
     return w.groupBy("gene").agg(F.min(F.col("item_id") * 2 + F.col("words")).alias("gene_ord"))
 
 
+def phrases(spark: SparkSession, d: str) -> DataFrame:
+    """All words of every benchmark item as one search phrase (gene, gene_ord); equal phrases once, by first item."""
+    from helixframe.functions import text as T
+    b = read_table(spark, d, "benchmark", "item_id", "text")
+    p = b.select(F.array_join(T.word_tokens("text"), " ").alias("gene"), "item_id").where(F.length("gene") > 0)
+    return p.groupBy("gene").agg(F.min("item_id").alias("gene_ord"))
+
+
 def vector_rows(spark: SparkSession, d: str) -> DataFrame:
     """(id, gene, embedding array<float>) from ``embeddings`` (label = gene)."""
     e = read_table(spark, d, "embeddings", "vec_id", "embedding", "label")

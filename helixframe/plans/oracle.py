@@ -109,6 +109,11 @@ _CTES: dict[str, tuple[tuple[str, ...], str]] = {
   SELECT gene, min(ord) AS gene_ord FROM (
     SELECT regexp_extract(lower(text), '^([\\p{L}\\p{N}]+)', 1) AS gene, item_id * 2 AS ord FROM benchmark
     UNION ALL SELECT regexp_extract(lower(text), '^([\\p{L}\\p{N}]+ [\\p{L}\\p{N}]+)', 1), item_id * 2 + 1 FROM benchmark)
+  WHERE length(gene) > 0 GROUP BY gene"""),
+    "phrases": ((), """
+  SELECT gene, min(item_id) AS gene_ord FROM (
+    SELECT item_id, array_to_string(list_filter(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}]+'),
+                                                lambda t: length(t) > 0), ' ') AS gene FROM benchmark)
   WHERE length(gene) > 0 GROUP BY gene"""),
     "hits": (("corpus", "search_terms"), """
   SELECT gene, gene_ord, CAST(hit_ord AS INTEGER) AS hit_ord, pmid FROM (

@@ -117,6 +117,20 @@ def q_corpus_search(spark, d):
     return hits(spark, d)
 
 
+@register("phrase_search", cte("corpus", "phrases") + """
+SELECT gene, gene_ord, CAST(hit_ord AS INTEGER) AS hit_ord, pmid FROM (
+  SELECT s.gene, s.gene_ord, d.pmid, row_number() OVER (PARTITION BY s.gene ORDER BY d.year DESC NULLS LAST, d.pmid DESC) AS hit_ord
+  FROM (SELECT pmid, year, ' ' || array_to_string(list_filter(regexp_split_to_array(lower(title), '[^\\p{L}\\p{N}]+'),
+                                                              lambda t: length(t) > 0), ' ') || ' ' AS in_title,
+               ' ' || array_to_string(list_filter(regexp_split_to_array(lower(abstract), '[^\\p{L}\\p{N}]+'),
+                                                  lambda t: length(t) > 0), ' ') || ' ' AS in_abstract
+        FROM corpus WHERE list_contains(mesh_major_topics, 'Colorectal Neoplasms') AND length(abstract) > 0) d
+  JOIN phrases s ON contains(d.in_title, ' ' || s.gene || ' ') OR contains(d.in_abstract, ' ' || s.gene || ' ')) WHERE hit_ord <= 20""")
+def q_phrase_search(spark, d):
+    """S6 with whole benchmark items as phrases, however long."""
+    return C.search_corpus(A.corpus_records(spark, d), A.phrases(spark, d))
+
+
 @register("ordered_fetch", cte("flat") + "SELECT gene, hit_ord, pmid, title, year FROM flat")
 def q_ordered_fetch(spark, d):
     return C.ordered_fetch(hits(spark, d), A.corpus_records(spark, d)).select("gene", "hit_ord", "pmid", "title", "year")
