@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from helixframe.functions.mathx import f_quantile, lgamma_np, trigamma, two_sided_normal_p
+from helixframe.operators.reshape import with_sample_array
 
 MIN_DISP = 1e-8
 MIN_MU = 0.5
@@ -607,38 +608,35 @@ def fit_single_factor(gene_vec: DataFrame, design: list[dict], factor: str, ref:
         raise ValueError(f"reference level {ref!r} not in {factor}")
     order = [ref] + [lv for lv in levels if lv != ref]
     a = F.col(alpha_col)
+    zero = F.lit(0.0)
+    per_sample = [(float(s), order.index(r[factor])) for s, r in zip(sf, design, strict=True)]
+    out = with_sample_array(gene_vec.select("gene_id", alpha_col, "y"), "__d", per_sample, "array<struct<s: double, level: int>>")
+    samples = F.zip_with("y", "__d", lambda y, d: F.struct(y.alias("y"), d["s"].alias("s"), d["level"].alias("level")))
 
-    def level_fit(lv):
-        idx = [i for i, r in enumerate(design) if r[factor] == lv]
-        ys = F.array(*[F.col("y")[i] for i in idx])
-        ss = F.array(*[F.lit(float(sf[i])) for i in idx])
-        pairs = F.arrays_zip(ys.alias("y"), ss.alias("s"))
-        tot_y = F.aggregate(ys, F.lit(0.0), lambda acc, v: acc + v)
-        b0 = F.log(F.greatest(tot_y, F.lit(0.5)) / F.lit(float(sum(sf[i] for i in idx))))
+    def mu(c, b):
+        return F.greatest(c["s"] * F.exp(b), F.lit(MIN_MU))
 
-        def mu(p, b):
-            return F.greatest(p["s"] * F.exp(b), F.lit(MIN_MU))
+    def level_fit(k):
+        own = F.col(f"__c{k}")
+        tot_y = F.aggregate(own, zero, lambda acc, c: acc + c["y"])
+        b0 = F.log(F.greatest(tot_y, F.lit(0.5)) / F.aggregate(own, zero, lambda acc, c: acc + c["s"]))
 
         def step(b, _):
-            num = F.aggregate(pairs, F.lit(0.0), lambda acc, p: acc + (p["y"] - mu(p, b)) / (F.lit(1.0) + a * mu(p, b)))
-            den = F.aggregate(pairs, F.lit(0.0), lambda acc, p: acc + mu(p, b) / (F.lit(1.0) + a * mu(p, b)))
+            num = F.aggregate(own, zero, lambda acc, c: acc + (c["y"] - mu(c, b)) / (F.lit(1.0) + a * mu(c, b)))
+            den = F.aggregate(own, zero, lambda acc, c: acc + mu(c, b) / (F.lit(1.0) + a * mu(c, b)))
             return F.least(F.greatest(b + num / den, F.lit(-30.0)), F.lit(30.0))
 
-        b = F.aggregate(F.sequence(F.lit(1), F.lit(n_iter)), b0, step)
-        return b, pairs
-
-    cols, bs = [], []
-    for k, lv in enumerate(order):
-        b, pairs = level_fit(lv)
-        cols.append(b.alias(f"__b{k}"))
-    out = gene_vec.select("gene_id", alpha_col, "y", *cols)
-    vs = []
-    for k, lv in enumerate(order):
-        idx = [i for i, r in enumerate(design) if r[factor] == lv]
-        w = sum((F.greatest(F.lit(float(sf[i])) * F.exp(F.col(f"__b{k}")), F.lit(MIN_MU)) /
-                 (F.lit(1.0) + a * F.greatest(F.lit(float(sf[i])) * F.exp(F.col(f"__b{k}")), F.lit(MIN_MU)))
-                 for i in idx), F.lit(0.0))
-        vs.append(F.lit(1.0) / w)
+        return F.aggregate(F.sequence(F.lit(1), F.lit(n_iter)), b0, step)
+
+    out = out.select("gene_id", alpha_col, samples.alias("__cells"))
+    out = out.select("gene_id", alpha_col, *[F.filter("__cells", lambda c: c["level"] == F.lit(k)).alias(f"__c{k}") for k in range(len(order))])
+    out = out.select("*", *[level_fit(k).alias(f"__b{k}") for k in range(len(order))])
+
+    def information(k):
+        b = F.col(f"__b{k}")
+        return F.aggregate(f"__c{k}", zero, lambda acc, c: acc + mu(c, b) / (F.lit(1.0) + a * mu(c, b)))
+
+    vs = [F.lit(1.0) / information(k) for k in range(len(order))]
     p = len(order)
     beta = F.array(F.col("__b0"), *[F.col(f"__b{k}") - F.col("__b0") for k in range(1, p)])
     # treatment-coded covariance from independent cell means: var(int) = v0,

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from helixframe.operators.reshape import with_sample_array
 
 
 
@@ -71,8 +72,8 @@ def dispersion_moments(gene_vec: DataFrame, sf_array: list[float]) -> DataFrame:
     on normalised counts (sample variance, m - 1)."""
     m = len(sf_array)
     inv_mean = sum(1.0 / s for s in sf_array) / m
-    sfa = F.array(*[F.lit(float(s)) for s in sf_array])
-    q = F.zip_with("y", sfa, lambda y, s: y / s)
+    gene_vec = with_sample_array(gene_vec, "__sf", sf_array)
+    q = F.zip_with("y", "__sf", lambda y, s: y / s)
     mean = F.aggregate(q, F.lit(0.0), lambda a, x: a + x) / F.lit(float(m))
     return (gene_vec.withColumn("__q", q).withColumn("__mu", mean)
             .withColumn("__var", F.aggregate("__q", F.lit(0.0), lambda a, x: a + (x - F.col("__mu")) * (x - F.col("__mu")))
@@ -96,6 +97,6 @@ def vst(gene_vec: DataFrame, sf_array: list[float], a0: float, a1: float) -> Dat
     Works on the dense gene arrays so zero cells get their transformed
     value too; the output is one row per gene x sample by definition.
     """
-    sfa = F.array(*[F.lit(float(s)) for s in sf_array])
-    v = F.zip_with("y", sfa, lambda y, s: vst_value(y / s, a0, a1))
+    gene_vec = with_sample_array(gene_vec, "__sf", sf_array)
+    v = F.zip_with("y", "__sf", lambda y, s: vst_value(y / s, a0, a1))
     return gene_vec.select("gene_id", F.posexplode(v).alias("sample_idx", "vst"))

@@ -113,15 +113,13 @@ def check_alignment(counts_samples: DataFrame, samples: DataFrame, qc: DataFrame
                     key: str = "sample_id") -> DataFrame:
     """Per sample id, which of counts / metadata / QC carry it.
 
-    One full-outer join of three small key sets; the caller raises on any
-    row where a side is missing (see :func:`assert_aligned`).
+    Presence bits of all three sides in one aggregate: no join, one row per
+    sample leaves a map task. The caller raises on any row where a side is
+    missing (see :func:`assert_aligned`).
     """
-    a = counts_samples.select(F.col(key).alias("sid")).distinct().withColumn("in_counts", F.lit(True))
-    b = samples.select(F.col(key).alias("sid")).distinct().withColumn("in_metadata", F.lit(True))
-    c = qc.select(F.col(key).alias("sid")).distinct().withColumn("in_qc", F.lit(True))
-    j = a.join(b, "sid", "full_outer").join(c, "sid", "full_outer")
-    return j.select(F.col("sid").alias(key),
-                    *[F.coalesce(F.col(x), F.lit(False)).alias(x) for x in ("in_counts", "in_metadata", "in_qc")])
+    sides = {"in_counts": counts_samples, "in_metadata": samples, "in_qc": qc}
+    rows = [df.select(F.col(key), *[F.lit(s == side).alias(s) for s in sides]) for side, df in sides.items()]
+    return rows[0].unionByName(rows[1]).unionByName(rows[2]).groupBy(key).agg(*[F.bool_or(s).alias(s) for s in sides])
 
 
 def assert_aligned(alignment: DataFrame, key: str = "sample_id") -> None:
@@ -148,6 +146,12 @@ def profile(df: DataFrame) -> DataFrame:
     return one.unpivot([], df.columns, "column", "non_null")
 
 
+def with_sample_array(df: DataFrame, name: str, values: list, ddl: str = "array<double>") -> DataFrame:
+    """``df`` with the per-sample values, in sample order, as one array column: a one-row table behind a scalar subquery, so
+    that the plan keeps its size for any number of samples."""
+    return df.withColumn(name, df.sparkSession.createDataFrame([(values,)], f"v {ddl}").scalar())
+
+
 def gene_vectors(counts: DataFrame, samples: DataFrame, n_samples: int, gene: str = "gene_id",
                  sample: str = "sample_id", value: str = "count") -> DataFrame:
     """Gene-major arrays: (gene_id, y array<double>) with y[sample_idx], zeros filled.

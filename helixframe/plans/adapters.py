@@ -75,9 +75,9 @@ def counts_long(spark: SparkSession, d: str, cells: DataFrame | None = None) ->
                     F.col("qty").cast("bigint").alias("count")))
 
 
-def coverage_long(spark: SparkSession, d: str) -> DataFrame:
+def coverage_long(spark: SparkSession, d: str, cells: DataFrame | None = None) -> DataFrame:
     """(gene_id, sample_id, coverage double): base coverage sums, as in a recount table."""
-    cells = count_cells(spark, d)
+    cells = count_cells(spark, d) if cells is None else cells
     p = read_table(spark, d, "part", "p_partkey", "p_size")
     return (cells.join(p, cells.l_partkey == p.p_partkey)
             .select(gene_id_col(F.col("p_partkey"), F.col("p_size")).alias("gene_id"),
@@ -271,6 +271,15 @@ def corpus_xml(spark: SparkSession, d: str) -> DataFrame:
     return p.select(k.alias("doc_id"), el("PubmedArticle", F.concat(medline, pubmed)).alias("xml"))
 
 
+def damaged_xml(spark: SparkSession, d: str) -> DataFrame:
+    """:func:`corpus_xml` with every 11th article cut off and every 13th without its PMID."""
+    x = corpus_xml(spark, d)
+    k = F.col("doc_id")
+    cut = F.expr("substring(xml, 1, length(xml) div 2)")
+    return x.select("doc_id", F.when(k % 11 == 0, cut).when(k % 13 == 0, F.regexp_replace("xml", "<PMID [^>]*>[^<]*</PMID>", ""))
+                    .otherwise(F.col("xml")).alias("xml"))
+
+
 def search_terms(spark: SparkSession, d: str) -> DataFrame:
     """Query genes for corpus search: the first word and the first two words of each benchmark
     item, lower-cased (gene, gene_ord); gene_ord follows the first item id using the term (one word before

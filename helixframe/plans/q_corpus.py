@@ -42,6 +42,25 @@ def q_corpus_from_xml(spark, d):
                     "journal", F.array_join("mesh_major_topics", "; ").alias("mesh_major_topics"))
 
 
+@register("xml_rejects", """
+SELECT source, outcome, count(*) AS n FROM (
+  SELECT CASE WHEN doc_id % 11 = 0 THEN 'malformed' WHEN doc_id % 13 = 0 THEN 'no pmid' ELSE 'record' END AS outcome FROM documents),
+  (VALUES ('column'), ('files')) AS s(source) GROUP BY ALL""")
+def q_xml_rejects(spark, d):
+    """S5 on a feed with broken articles, as a string column and as files: records by the parse, rejects by their reason."""
+    from helixframe.session import scratch_path
+    feed, base = A.damaged_xml(spark, d), scratch_path(spark, "xml_rejects")
+    X.write_xml_documents(feed, f"{base}/files")
+    column = X.parse_xml_column(feed, rejects=f"{base}/column-rejects")
+    files = X.read_pubmed_xml(spark, f"{base}/files", rejects=f"{base}/files-rejects")
+
+    def outcomes(records, source):
+        rejects = spark.read.parquet(f"{base}/{source}-rejects")
+        rows = records.select(F.lit("record").alias("outcome")).unionByName(rejects.select(F.col("reason").alias("outcome")))
+        return rows.select(F.lit(source).alias("source"), "outcome")
+    return outcomes(column, "column").unionByName(outcomes(files, "files")).groupBy("source", "outcome").agg(F.count("*").alias("n"))
+
+
 @register("record_authors", cte("corpus") + """
 SELECT pmid, array_to_string(authors, '; ') AS authors, CAST(len(authors) AS INTEGER) AS n_authors FROM corpus""")
 def q_record_authors(spark, d):

@@ -113,7 +113,7 @@ JOIN (SELECT DISTINCT sample_id FROM counts_long) s ON TRUE
 LEFT JOIN counts_long c ON c.gene_id = g.gene_id AND c.sample_id = s.sample_id""")
 def q_counts_unpivot(spark, d):
     """P1 both ways: sparse long -> wide (0-filled, explicit level list) -> long."""
-    c = A.counts_long(spark, d)
+    c = _counts(spark, d)
     levels = sorted(r[0] for r in c.select("sample_id").distinct().collect())
     wide = R.to_wide(c, levels)
     return R.to_long(wide).select("gene_id", "sample_id", F.col("count").cast("bigint").alias("count"))
@@ -123,8 +123,8 @@ def q_counts_unpivot(spark, d):
 SELECT c.gene_id, c.sample_id, CAST(round_even(c.coverage / q.avg_len, 0) AS BIGINT) AS count
 FROM coverage_long c JOIN qc q ON c.sample_id = q.external_id""")
 def q_coverage_to_counts(spark, d):
-    cov = A.coverage_long(spark, d)
-    return R.coverage_to_counts(cov, A.qc_table(spark, d)).select("gene_id", "sample_id", "count")
+    cells = A.study_cells(spark, d)
+    return R.coverage_to_counts(A.coverage_long(spark, d, cells), A.qc_table(spark, d, cells)).select("gene_id", "sample_id", "count")
 
 
 @register("matrix_stats", cte("counts_long", "qc") + """
@@ -135,7 +135,8 @@ SELECT * FROM (
   UNION ALL SELECT 'min_len', min(avg_len) FROM qc
   UNION ALL SELECT 'max_len', max(avg_len) FROM qc)""")
 def q_matrix_stats(spark, d):
-    return R.matrix_stats(A.counts_long(spark, d), A.qc_table(spark, d))
+    cells = A.study_cells(spark, d)
+    return R.matrix_stats(A.counts_long(spark, d, cells), A.qc_table(spark, d, cells))
 
 
 # ------------------------------------------------------------- metadata P3-P6, W6, A2, A3, F1, J1
@@ -204,7 +205,8 @@ def q_design_balance(spark, d):
 SELECT c.gene_id, c.sample_id, c.count FROM counts_long c
 WHERE c.sample_id IN (SELECT sample_id FROM samples WHERE condition IS NOT NULL)""")
 def q_keep_samples(spark, d):
-    kept, _ = R.keep_samples(A.counts_long(spark, d), A.samples(spark, d), "condition")
+    cells = A.study_cells(spark, d)
+    kept, _ = R.keep_samples(A.counts_long(spark, d, cells), A.samples(spark, d, cells), "condition")
     return kept
 
 
@@ -215,10 +217,9 @@ FROM (SELECT DISTINCT sample_id AS sid FROM counts_long) a
 FULL OUTER JOIN (SELECT sample_id AS sid FROM samples) b ON a.sid = b.sid
 FULL OUTER JOIN (SELECT external_id AS sid FROM qc) c ON coalesce(a.sid, b.sid) = c.sid""")
 def q_alignment_check(spark, d):
-    c = A.counts_long(spark, d)
-    qc = A.qc_table(spark, d).withColumnRenamed("external_id", "sample_id")
-    al = R.check_alignment(c, A.samples(spark, d), qc)
-    return al
+    cells = A.study_cells(spark, d)
+    qc = A.qc_table(spark, d, cells).withColumnRenamed("external_id", "sample_id")
+    return R.check_alignment(A.counts_long(spark, d, cells), A.samples(spark, d, cells), qc)
 
 
 @register("strip_version", cte("counts_long") + """

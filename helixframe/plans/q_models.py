@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from helixframe.operators import explore as X
 from helixframe.operators import glm as G
 from helixframe.operators import normalize as N
+from helixframe.operators.reshape import with_sample_array
 from helixframe.plans.pipeline import de_table, deseq, expression_inputs
 
 Q: dict = {}
@@ -112,8 +113,8 @@ def q_pca_scores(spark, d):
     disp = cut_lineage(G.genewise_dispersion(ctx.gene_vec, Xm, ctx.sf_array))
     t = G.dispersion_trend(disp)
     a0, a1 = (t["a0"], t["a1"]) if t["parametric"] else (t["a0"], 0.0)
-    sfa = F.array(*[F.lit(float(s)) for s in ctx.sf_array])
-    v = ctx.gene_vec.select(F.zip_with("y", sfa, lambda y, s: N.vst_value(y / s, max(a0, 1e-8), a1)).alias("v"))
+    gv = with_sample_array(ctx.gene_vec, "__sf", ctx.sf_array)
+    v = gv.select(F.zip_with("y", "__sf", lambda y, s: N.vst_value(y / s, max(a0, 1e-8), a1)).alias("v"))
     scores, ratios = X.pca(v, ctx.n_samples, 2)
     r = spark.createDataFrame([(i + 1, float(x)) for i, x in enumerate(ratios)], "pc int, explained double")
     ids = ctx.samples.select("sample_idx", "sample_id", "condition")

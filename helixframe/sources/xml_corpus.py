@@ -1,8 +1,8 @@
 """Citation XML -> record rows, with the field rules P14-P19.
 
-Reads one ``PubmedArticle`` element per row with Spark's XML source (or
-``from_xml`` on a string column), under a declared schema so no
-inference pass runs and only the paths below are materialised.
+Reads one ``PubmedArticle`` element per row with ``from_xml``, under a
+declared schema so no inference pass runs and only the paths below are
+materialised. Files are cut into such elements first.
 """
 
 from __future__ import annotations
@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as Ty
 
+from helixframe.session import cut_lineage
+
 _S = Ty.StringType()
 
 
@@ -49,8 +51,11 @@ RECORD_SCHEMA = Ty.StructType([
 
 # Inline markup that may appear inside titles and abstract sections.
 INLINE_TAGS = r"</?(i|b|u|sup|sub)>"
-XML_OPTIONS = {"rowTag": "PubmedArticle", "attributePrefix": "_", "valueTag": "_VALUE",
-               "ignoreSurroundingSpaces": "false", "mode": "PERMISSIVE"}
+ROW_TAG = "PubmedArticle"
+CORRUPT = "_corrupt_record"
+XML_OPTIONS = {"attributePrefix": "_", "valueTag": "_VALUE", "ignoreSurroundingSpaces": "false", "mode": "PERMISSIVE",
+               "columnNameOfCorruptRecord": CORRUPT}
+PARSE_SCHEMA = Ty.StructType([*ARTICLE_SCHEMA.fields, Ty.StructField(CORRUPT, _S)])
 
 
 def _strip_tags(c: Column) -> Column:
@@ -109,37 +114,62 @@ def records_from_struct(a: Column) -> list[Column]:
     ]
 
 
-def parse_xml_column(df: DataFrame, col: str = "xml", rejects: str | None = None) -> DataFrame:
-    """S5 on a string column: ``from_xml`` per row, then the record rules.
+def parse_articles(df: DataFrame, col: str = "xml") -> DataFrame:
+    """One row per input row, parsed once: the columns of ``df``, ``reason`` and the record's columns in ``record``.
 
-    Rows whose XML does not parse, or that lack a PMID, are not records; ``rejects`` names a folder that
-    receives them (see :func:`corrupt_rows`). The parse stands behind an ``explode`` of one element, which a filter on
-    its fields is not pushed through, so each row is parsed once.
+    ``reason`` is null for a record; else ``empty`` (null or blank input), ``malformed`` (no well-formed XML) or
+    ``no pmid``. The parse stands behind an ``explode`` of one element, which a filter on its fields is not
+    pushed through, so that records and rejects may be filtered from the same result.
     """
+    one = F.array(F.from_xml(F.col(col), PARSE_SCHEMA, XML_OPTIONS))
+    parsed = df.select("*", F.explode(one).alias("__article"))
+    a = F.col("__article")
+    reason = (F.when(F.coalesce(F.trim(col), F.lit("")) == "", "empty").when(a[CORRUPT].isNotNull(), "malformed")
+              .when(a["MedlineCitation"]["PMID"]["_VALUE"].isNull(), "no pmid"))
+    return parsed.select(*df.columns, reason.alias("reason"), F.struct(*records_from_struct(a)).alias("record"))
+
+
+def records(parsed: DataFrame) -> DataFrame:
+    return parsed.where("reason IS NULL").select("record.*")
+
+
+def rejected(parsed: DataFrame, col: str = "xml") -> DataFrame:
+    """The inputs that are no records, as they came, with the reason."""
+    return parsed.where("reason IS NOT NULL").select(col, "reason")
+
+
+def parse_xml_column(df: DataFrame, col: str = "xml", rejects: str | None = None) -> DataFrame:
+    """S5 on a string column: its records. ``rejects`` names a folder to which the other rows are added as Parquet (input,
+    reason); the parsed rows are then written once and read twice."""
+    parsed = parse_articles(df, col)
     if rejects:
-        corrupt_rows(df, col).write.mode("append").parquet(rejects)
-    one = F.array(F.from_xml(F.col(col), ARTICLE_SCHEMA, {"ignoreSurroundingSpaces": "false"}))
-    parsed = df.select(F.explode(one).alias("a"))
-    return parsed.where(F.col("a.MedlineCitation.PMID._VALUE").isNotNull()).select(*records_from_struct(F.col("a")))
+        parsed = cut_lineage(parsed)
+        rejected(parsed, col).write.mode("append").parquet(rejects)
+    return records(parsed)
 
 
-def corrupt_rows(df: DataFrame, col: str = "xml") -> DataFrame:
-    """Side table of inputs without a parsable PMID (kept for inspection, never silently lost)."""
-    parsed = df.select("*", F.from_xml(F.col(col), ARTICLE_SCHEMA, {"ignoreSurroundingSpaces": "false"}).alias("a"))
-    return parsed.where(F.col("a.MedlineCitation.PMID._VALUE").isNull()).drop("a")
+def article_strings(spark: SparkSession, path: str) -> DataFrame:
+    """XML files as one string per ``PubmedArticle`` element (column ``xml``), any number per file, with or without a root.
+
+    Files are cut behind end tags by the text reader, so that a large file is read by many tasks, and before start
+    tags, so that an article without its end spoils no other. Text outside of articles is left out. The last
+    article of a file gets an end tag where it lacks just that.
+    """
+    text = spark.read.option("lineSep", f"</{ROW_TAG}>").text(path)
+    start = f"<{ROW_TAG}[\\s/>]"
+    parts = F.filter(F.split("value", f"(?={start})"), lambda x: x.rlike(f"^{start}"))
+    last = F.size(parts) - 1
+    return text.select(F.explode(F.transform(parts, lambda x, i: F.when(i == last, F.concat(x, F.lit(f"</{ROW_TAG}>"))).otherwise(x))).alias("xml"))
 
 
-def read_pubmed_xml(spark: SparkSession, path: str) -> DataFrame:
-    """XML files (one or many ``PubmedArticle`` per file, DOCTYPE allowed) -> records."""
-    raw = spark.read.format("xml").options(**XML_OPTIONS).schema(ARTICLE_SCHEMA).load(path)
-    a = F.struct(*[F.col(c) for c in raw.columns])
-    return raw.where(F.col("MedlineCitation.PMID._VALUE").isNotNull()).select(*records_from_struct(a))
+def read_pubmed_xml(spark: SparkSession, path: str, rejects: str | None = None) -> DataFrame:
+    """XML files -> records; ``rejects`` as in :func:`parse_xml_column`."""
+    return parse_xml_column(article_strings(spark, path), "xml", rejects)
 
 
 def write_xml_documents(df: DataFrame, path: str, col: str = "xml", root: str = "PubmedArticleSet") -> None:
     """Write one article string per row as well-formed XML files: each output
-    file (one per partition) is ``<root> ... </root>``. The XML reader needs
-    the document root; without it the first element is taken as the root."""
+    file (one per partition) is ``<root> ... </root>``."""
     import pandas as pd
 
     def wrap(it):

@@ -290,3 +290,20 @@ def test_single_factor_catalyst_fit_matches_numpy_irls(spark):
         r = got[f"g{i}"]
         assert np.allclose(r.beta, beta_np[i], atol=1e-5)
         assert np.allclose(np.array(r.cov).reshape(3, 3), cov_np[i], rtol=1e-4, atol=1e-8)
+
+
+def test_plans_do_not_grow_with_samples(spark):
+    """Per-sample factors are data, no literals."""
+    import numpy as np
+    from helixframe.operators import glm as G
+    from helixframe.operators import normalize as N
+
+    def sizes(m):
+        y = np.random.default_rng(1).poisson(20, m).astype(float)
+        gv = spark.createDataFrame([("g", y.tolist(), 0.1)], "gene_id string, y array<double>, alpha double")
+        design = [{"c": "nt"[i % 2]} for i in range(m)]
+        plans = [N.dispersion_moments(gv, [1.0 + i / m for i in range(m)]), N.vst(gv, [1.0] * m, 0.05, 3.0),
+                 G.fit_single_factor(gv, design, "c", "n", [1.0] * m)]
+        assert all(p.count() for p in plans)
+        return [len(p._jdf.queryExecution().analyzed().toString().splitlines()) + len(p._jdf.queryExecution().analyzed().toString()) // 2000 for p in plans]
+    assert sizes(16) == sizes(5000)

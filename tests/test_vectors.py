@@ -98,12 +98,50 @@ def test_stream_batch_replay_is_idempotent(spark, tmp_path):
     recs = spark.createDataFrame(
         [("1", "T one", "alpha beta", 2001, "J", ["m"]), ("2", "T two", "gamma", None, "J", [])],
         "pmid string, title string, abstract string, year int, journal string, mesh_major_topics array<string>")
-    run = upsert_batch(spark, str(tmp_path), "c")
+    recs = recs.select(F.lit("<x/>").alias("xml"), F.lit(None).cast("string").alias("reason"), F.struct("*").alias("record"))
+    broken = spark.createDataFrame([("<y",)], "xml string").select("xml", F.lit("malformed").alias("reason"), F.lit(None).cast(recs.schema["record"].dataType).alias("record"))
+    recs = recs.unionByName(broken)
+    run = upsert_batch(spark, str(tmp_path), "c", rejects=str(tmp_path / "rejects"))
     run(recs, 0)
     first = sorted((r.id, r.document) for r in COL.open_collection(spark, str(tmp_path), "c").collect())
     run(recs, 0)
     again = sorted((r.id, r.document) for r in COL.open_collection(spark, str(tmp_path), "c").collect())
     assert first == again == [("1", "T one\n\nalpha beta"), ("2", "T two\n\ngamma")]
+    assert [(r.xml, r.batch_id) for r in spark.read.parquet(str(tmp_path / "rejects")).collect()] == [("<y", 0)]
+
+
+def test_stream_drops_articles_sent_again(spark, tmp_path):
+    """ST1: a pmid that comes again, in the same drop or later, leaves the stream once; rejects are all kept."""
+    from test_xml_records import ART
+    from helixframe.streaming import incremental as I
+    art = lambda k, t: ART.format(pmid=str(k), date="<Year>2011</Year>", title=t, abstract="", authors="", ids="")
+    drops, out, ckpt, side = (str(tmp_path / x) for x in ("drops", "out", "ckpt", "rejects"))
+
+    def send(name, rows):
+        spark.createDataFrame([(r,) for r in rows], "xml string").write.parquet(f"{drops}/{name}")
+
+    seen = []
+
+    def count_batch(batch, batch_id):
+        rows = batch.select("reason", "record.pmid").collect()
+        seen.append(sorted((r.pmid, r.reason) for r in rows if r.reason is None))
+        seen[-1] += [r.reason for r in rows if r.reason]
+
+    def run():
+        before = spark.conf.get(I.STATE_STORE, None)
+        spark.conf.set(I.STATE_STORE, I.ROCKSDB)
+        q = I.corpus_stream(spark, drops).writeStream.foreachBatch(count_batch).option("checkpointLocation", ckpt).trigger(availableNow=True).start()
+        q.awaitTermination()
+        spark.conf.unset(I.STATE_STORE) if before is None else spark.conf.set(I.STATE_STORE, before)
+
+    send("d1", [art(1, "a"), art(1, "a"), art(2, "b"), "broken", "broken"])
+    run()
+    send("d2", [art(2, "changed"), art(3, "c"), "broken"])
+    run()
+    assert [x for x in seen if x] == [[("1", None), ("2", None), "malformed", "malformed"], [("3", None), "malformed"]]
+    live = I.ingest_increment(spark, drops, out, "c", str(tmp_path / "ckpt2"), rejects=side)
+    assert sorted(r.id for r in live.collect()) == ["1", "2", "3"] and spark.read.parquet(side).count() == 3
+    assert I.ingest_increment(spark, drops, out, "c", str(tmp_path / "ckpt2"), rejects=side).count() == 3
 
 
 def test_hashed_vectors_belong_to_rows_not_keys(spark):

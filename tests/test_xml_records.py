@@ -81,11 +81,39 @@ def test_unparsed_rows_go_to_the_side_table(spark, tmp_path):
     df = spark.createDataFrame([(good,), ("<PubmedArticle><broken",), (good.replace('<PMID Version="1">5</PMID>', ""),)], "xml string")
     side = str(tmp_path / "rejects")
     assert [r.pmid for r in X.parse_xml_column(df, rejects=side).collect()] == ["5"]
-    assert spark.read.parquet(side).count() == 2
+    assert sorted(r.reason for r in spark.read.parquet(side).collect()) == ["malformed", "no pmid"]
     plan = X.parse_xml_column(df)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("from_xml") + plan.count("xmltostructs") + plan.count("XmlToStructs") <= 1
 
 
+def test_every_input_row_is_a_record_or_a_reject(spark):
+    good = ART.format(pmid="5", date="<Year>2011</Year>", title="T", abstract="", authors="", ids="")
+    rows = [good, good, None, "", "  ", "no xml", good[:300], good.replace("</Article>", "</Artcle>"), good.replace('<PMID Version="1">5</PMID>', "")]
+    df = spark.createDataFrame(list(enumerate(rows)), "n int, xml string")
+    parsed = X.parse_articles(df)
+    assert {r.n: r.reason for r in parsed.collect()} == {0: None, 1: None, 2: "empty", 3: "empty", 4: "empty", 5: "malformed", 6: "malformed",
+                                                         7: "malformed", 8: "no pmid"}
+    assert X.records(parsed).count() == 2 and [r.xml for r in X.rejected(parsed).orderBy("xml").collect()].count(None) == 1
+    assert X.parse_articles(df.limit(0)).count() == 0
+
+
+def test_files_lose_only_the_broken_article(spark, tmp_path):
+    """Several articles a file, with a root or without one, one truncated in the middle of a file and one at its end."""
+    art = lambda k: ART.format(pmid=str(k), date="<Year>2011</Year>", title=f"T{k}", abstract="", authors="", ids="")
+    src = tmp_path / "xml"
+    src.mkdir()
+    head = '<?xml version="1.0"?>\n<!DOCTYPE PubmedArticleSet PUBLIC "x" "y">\n<PubmedArticleSet>\n'
+    (src / "a.xml").write_text(head + "\n".join([art(1), art(2)[:400], art(3), art(4).replace("</Article>", "</Artcle>"), art(5)]) + "</PubmedArticleSet>")
+    (src / "b.xml").write_text(art(6) + art(7) + art(8)[:200])
+    (src / "c.xml").write_text("")
+    (src / "d.xml").write_text("<PubmedArticleSet>\n" + art(9) + "\n</PubmedArticleSet>\n")
+    side = str(tmp_path / "rejects")
+    got = X.read_pubmed_xml(spark, str(src), rejects=side)
+    assert sorted(r.pmid for r in got.collect()) == ["1", "3", "5", "6", "7", "9"]
+    bad = spark.read.parquet(side).collect()
+    assert len(bad) == 3 and all(r.reason == "malformed" and r.xml.startswith("<PubmedArticle>") for r in bad)
+
+
 def test_cached_fetch_asks_only_for_what_is_missing(spark, tmp_path):
     from helixframe.operators import corpus as C
     path, asked = str(tmp_path / "cache"), []
