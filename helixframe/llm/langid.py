@@ -17,7 +17,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from helixframe.llm.common import fold, id_text, map_arrow, sigmoid
@@ -132,8 +132,9 @@ def train(sample: list[tuple[str, str]], margin: float = 2.0) -> LanguageModel:
 
 def fit(docs: DataFrame, lang_col: str = "lang", k: int = 4, held_out: int = 2, per_language: int = 400,
         max_chars: int = 50_000, max_languages: int = 1000) -> LanguageModel:
-    """Fit on about ``per_language`` texts of each language (rows whose hashed id falls under the language's share) outside
-    the held-out fold, of at most ``max_chars`` characters each. The bounds concern the sample alone."""
+    """Fit on about ``per_language`` texts of each language (rows whose hashed id falls under the language's share; of these
+    at most twice ``per_language``, the smallest by hash and text) outside the held-out fold, of at most ``max_chars``
+    characters each. The bounds concern the sample alone."""
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
                     F.col(lang_col).cast("string").alias("lang"))
     d = d.filter(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & (fold("doc_id", k) != held_out))
@@ -145,8 +146,10 @@ def fit(docs: DataFrame, lang_col: str = "lang", k: int = 4, held_out: int = 2,
     share = F.lit(0.0)
     for r in counts:
         share = F.when(F.col("lang") == r["lang"], F.lit(min(1.0, per_language / r["count"]))).otherwise(share)
-    picked = d.filter((F.pmod(F.xxhash64("doc_id", F.lit(13)), F.lit(1_000_000)) < share * 1_000_000) & (F.length("text") <= max_chars))
-    rows = picked.select("text", "lang").limit(2 * per_language * len(counts)).collect()
+    d = d.withColumn("place", F.pmod(F.xxhash64("doc_id", F.lit(13)), F.lit(1_000_000)))
+    picked = d.filter((F.col("place") < share * 1_000_000) & (F.length("text") <= max_chars))
+    first = F.row_number().over(Window.partitionBy("lang").orderBy("place", "text"))
+    rows = picked.withColumn("first", first).filter(F.col("first") <= 2 * per_language).select("text", "lang").collect()
     return train([(r["text"], r["lang"]) for r in rows])
 
 

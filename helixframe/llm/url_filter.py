@@ -7,7 +7,7 @@ nested or disjoint: one sweep over urls and rules sorted by key keeps the open o
 (never deeper than a host's labels) and finds every fitting rule there.
 
 Urls are dealt into key ranges (ties split by a hash of the row, so that one host may fill many
-ranges); a rule goes to every range that its interval meets.
+ranges; equal rows of a batch travel once, with their number); a rule goes to every range that its interval meets.
 
 The longest fitting rule string (host + path) wins; of two equally long the longer host; of equal
 rules that contradict each other ``block``. Without a fitting rule the verdict is ``default``.
@@ -20,10 +20,12 @@ from __future__ import annotations
 
 from bisect import bisect_left, bisect_right
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+OUT_ROWS = 10_000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -62,9 +64,13 @@ def filter_urls(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url
 
     def ranges_of(batches):
         for b in batches:
-            keys = b.column("spot").to_pylist()
-            at = pa.array([bisect_right(borders, k) for k in keys], pa.int32())
-            yield pa.RecordBatch.from_arrays([*b.columns, at], names=[*b.schema.names, "range"])
+            if not b.num_rows:
+                continue
+            names = b.schema.names
+            once = pa.Table.from_batches([b]).group_by(names, use_threads=False).aggregate([([], "count_all")]).combine_chunks()
+            columns = [once.column(c).combine_chunks() for c in (*names, "count_all")]
+            at = pa.array([bisect_right(borders, k) for k in once.column("spot").to_pylist()], pa.int32())
+            yield pa.RecordBatch.from_arrays([*columns, at], names=[*names, "copies", "range"])
 
     def rule_ranges(batches):
         for b in batches:
@@ -84,7 +90,8 @@ def filter_urls(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url
     clean = (rules.select(F.translate("host", UPPER, LOWER).alias("host"), "path", F.col("verdict").cast("string").alias("verdict"))
              .dropna().filter("host <> ''").withColumn("key", host_key(F.col("host"))))
     rule_rows = (clean.mapInArrow(rule_ranges, "range int, key string, host string, path string, verdict string")
-                 .withColumn("kind", F.lit(0)).withColumn("page_id", F.lit(None).cast(pages.schema[id_col].dataType)))
+                 .withColumn("kind", F.lit(0)).withColumn("copies", F.lit(1).cast("long"))
+                 .withColumn("page_id", F.lit(None).cast(pages.schema[id_col].dataType)))
     both = url_rows.unionByName(rule_rows).repartitionById(len(borders) + 1, F.col("range")).sortWithinPartitions("range", "key", "kind")
     schema = urls.select("page_id", "host", "path").schema.add("rule", "string").add("verdict", "string")
 
@@ -93,7 +100,7 @@ def filter_urls(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url
         here, top = None, None
         for b in batches:
             rows = zip(*(b.column(c).to_pylist() for c in ("range", "key", "kind", "host", "path", "verdict")), strict=True)
-            keep, found, verdicts = [], [], []
+            keep, found, verdicts, copies = [], [], [], b.column("copies").to_pylist()
             for i, (rng, key, kind, host_, path_, verdict) in enumerate(rows):
                 if rng != here:
                     here, stack, top = rng, [], None
@@ -119,12 +126,16 @@ def filter_urls(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url
                 verdicts.append(top[1] if top else default)
             if keep:
                 t = b.take(pa.array(keep))
-                yield pa.RecordBatch.from_arrays(
+                t = pa.RecordBatch.from_arrays(
                     [t.column("page_id"), t.column("host"), t.column("path"), pa.array(found, pa.string()), pa.array(verdicts, pa.string())],
                     names=["page_id", "host", "path", "rule", "verdict"])
+                # every copy is a row again, at most OUT_ROWS a batch
+                ends = np.cumsum([copies[i] for i in keep])
+                for lo in range(0, int(ends[-1]), OUT_ROWS):
+                    yield t.take(pa.array(np.searchsorted(ends, np.arange(lo, min(lo + OUT_ROWS, int(ends[-1]))), "right")))
 
-    return both.select("page_id", "range", "key", "kind", "host", "path", "verdict").mapInArrow(sweep, schema)
+    return both.select("page_id", "range", "key", "kind", "host", "path", "verdict", "copies").mapInArrow(sweep, schema)
 
 
 def _with_range(df: DataFrame):
-    return df.schema.add("spot", "string").add("range", "integer")
+    return df.schema.add("spot", "string").add("copies", "long").add("range", "integer")

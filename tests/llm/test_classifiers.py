@@ -195,6 +195,15 @@ def test_language_held_out(spark):
     assert {r.lang_pred for r in langid.language_predictions(docs.withColumn("lang", F.lit(None).cast("string"))).collect()} == {"und"}
 
 
+def test_language_sample_is_the_same_for_any_order_of_rows(spark):
+    import numpy as np
+    rng = random.Random(9)
+    rows = [(i % 30, " ".join(rng.choices(LANG[k].split(), k=12)), k) for i in range(300) for k in ("de", "en")]      # repeated ids
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    a, b = (langid.fit(d, per_language=20) for d in (docs, docs.orderBy(F.desc("text")).repartition(5)))
+    assert a.langs == b.langs and np.array_equal(a.W, b.W)
+
+
 def test_codewords_are_far_apart_and_decoding_flags_ambiguity():
     code = langid.codewords(6)
     d = [(a != b).sum() for i, a in enumerate(code) for b in code[:i]]

@@ -36,6 +36,16 @@ def test_url_filter_matches_brute_force(spark, parts):
     assert got == sorted(((i, *brute_url(u)) for i, u, _, _ in rows), key=repr)
 
 
+def test_url_filter_equal_rows_travel_once_and_all_come_back(spark, monkeypatch):
+    rules = spark.createDataFrame(RULES, "host string, path string, verdict string")
+    hot, n = "http://hot.example.org/es/1", 30_000
+    pages = spark.range(0, 2 * n, 1, 3).select(F.when(F.col("id") % 2 == 0, F.lit(8)).otherwise(F.col("id")).alias("page_id"),
+                                               F.when(F.col("id") % 2 == 0, F.lit(hot)).otherwise(F.concat(F.lit("http://a.org/"), "id")).alias("url"))
+    got = url_filter.filter_urls(pages, rules, ranges=5)
+    assert [tuple(r) for r in got.groupBy("page_id", "host", "path", "rule", "verdict").count().filter("count > 1").collect()] == [(8, *brute_url(hot), n)]
+    assert got.count() == 2 * n and got.filter("host = 'hot.example.org'").count() == n
+
+
 def test_url_filter_empty_tables(spark):
     rules = spark.createDataFrame([], "host string, path string, verdict string")
     pages = spark.createDataFrame([(1, "http://a.org/")], "page_id long, url string")
