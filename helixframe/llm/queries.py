@@ -54,9 +54,7 @@ GROUP BY d.k, b.k HAVING count(*) >= 0.8 * any_value(size.n) - 1e-6"""
 
 
 def op3_token_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
-    return token_index.token_file_digest(docs, scratch_path(spark, "token_ids"), shards)
+    return token_index.token_file_digest(read_table(spark, sf_dir, "documents", "doc_id", "text"), scratch_path(spark, "token_ids"))
 
 
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -13,7 +13,9 @@ leaves nothing half written; a repeated task writes the same bytes.
 
 Defined results: null text is an empty text (its row holds the end id only); rows with a null key
 come first and are reached by the null key; rows that share a key are stored in order of their text and
-all returned by one lookup; no rows: no files and an empty answer. Rows of one key share one file.
+all returned by one lookup; no rows: no files and an empty answer. Rows of one key share one file unless
+they would fill several: then the text's hash deals them to files of that key alone (equal rows stay together), each
+in order of text. Null keys likewise.
 """
 
 from __future__ import annotations
@@ -22,13 +24,13 @@ import json
 import posixpath
 import uuid
 import zlib
-from bisect import bisect_right
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyarrow import fs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from helixframe.llm.common import id_text
@@ -118,6 +120,8 @@ class ShardWriter:
 
     def close(self) -> dict:
         keys, sizes = np.concatenate(self.keys), np.concatenate(self.sizes)
+        if len(sizes) >= 1 << 32:
+            raise ValueError(f"file {self.shard} has more rows than its index can number")
         distinct, first, count = np.unique(keys, return_index=True, return_counts=True)
         mph = PerfectHash.build(distinct)
         slot = mph.slots(distinct)
@@ -178,24 +182,52 @@ class ShardReader:
 
 # ---------------------------------------------------------------- Spark jobs
 
+#: Text bytes of one file, about.
+SHARD_BYTES = 256 << 20
+
+
 def key_bounds(keys: DataFrame, parts: int) -> list[int]:
-    """At most ``parts - 1`` upper bounds that cut the keys into ranges of about equal size (a quantile sketch)."""
+    """``parts - 1`` upper bounds that cut the keys into ranges of about equal size (a quantile sketch), in order; a key that
+    fills several ranges is there several times."""
     if parts < 2:
         return []
     q = keys.approxQuantile("doc_id", [i / parts for i in range(1, parts)], 0.2 / parts)
-    return sorted({int(x) for x in q})
+    return sorted(int(x) for x in q)
 
 
-def write_shards(docs: DataFrame, folder: str, shards: int, tokenizer: str | None = None, end_id: int = 1) -> DataFrame:
+def shard_of(docs: DataFrame, shards: int | None) -> tuple[Column, int]:
+    """(file number of a row, number of files). Files are ranges of keys in order, null keys first; a key or the null keys
+    that would fill several files get as many of their own, and their rows are dealt to these by the text's hash.
+
+    ``shards`` None: as many as the shuffle has partitions, and more where a file would exceed :data:`SHARD_BYTES`.
+    """
+    size = docs.agg(F.count("*").alias("n"), F.count("doc_id").alias("keys"), F.sum(F.octet_length("text")).alias("bytes")).first()
+    if shards is None:
+        shards = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-(size["bytes"] or 0) // SHARD_BYTES))
+    nulls = (size["n"] - size["keys"]) * shards // max(size["n"], 1)
+    bounds = key_bounds(docs.select("doc_id").dropna(), shards - nulls) if size["keys"] else []
+    part = lambda k: F.pmod(F.xxhash64("text"), k).cast("int")
+    null_file = part(F.lit(nulls)) if nulls else F.lit(0)
+    upper = sorted(set(bounds))
+    if not upper:
+        return F.when(F.col("doc_id").isNull(), null_file).otherwise(nulls), nulls + 1
+    own = [bounds.count(b) if bounds.count(b) > 1 else 0 for b in upper]      # files of a hot key alone
+    first = [nulls + k + sum(own[:k]) for k in range(len(upper) + 1)]
+    longs = lambda xs: "array(" + ",".join(f"{x}L" for x in xs) + ")"
+    at = f"size(filter({longs(upper)}, b -> doc_id > b))"
+    start, hot = F.expr(f"{longs(first)}[{at}]").cast("int"), F.expr(f"IF(array_contains({longs(upper)}, doc_id), {longs([*own, 0])}[{at}], 0L)")
+    file = F.when(F.col("doc_id").isNull(), null_file).when(hot > 0, start + 1 + part(F.greatest(hot, F.lit(1)))).otherwise(start)
+    return file.cast("int"), first[-1] + 1
+
+
+def write_shards(docs: DataFrame, folder: str, shards: int | None = None, tokenizer: str | None = None, end_id: int = 1) -> DataFrame:
     """Encode ``docs`` (doc_id, text) into ``folder``; returns the manifest that ``lookup`` needs
     (one row per file: key range, rows, tokens, ids before it)."""
     spark, path = docs.sparkSession, tokenizer or default_tokenizer()
-    bounds = key_bounds(docs.select("doc_id").dropna(), shards)
-    cuts = "array(" + ",".join(f"{b}L" for b in bounds) + ")" if bounds else "array(0L)"
-    shard = (F.expr(f"coalesce(size(filter({cuts}, b -> doc_id > b)), 0)") if bounds else F.lit(0)).cast("int")
+    shard, n_files = shard_of(docs, shards)
     fs_, root = fs.FileSystem.from_uri(folder)
     fs_.create_dir(root, recursive=True)
-    dealt = (docs.withColumn("shard", shard).repartitionById(max(1, len(bounds) + 1), F.col("shard"))
+    dealt = (docs.withColumn("shard", shard).repartitionById(n_files, F.col("shard"))
              .sortWithinPartitions("shard", F.col("doc_id").asc_nulls_first(), "text"))
     fields = "shard int, rows long, tokens long, nulls long, first_key long, last_key long"
 
@@ -236,21 +268,25 @@ def write_shards(docs: DataFrame, folder: str, shards: int, tokenizer: str | Non
 def lookup(keys: DataFrame, folder: str, key_col: str = "doc_id", payload: bool = False) -> DataFrame:
     """Stored rows of each distinct key: doc_id, start, n_tokens, ids_crc32 (and ``ids`` if ``payload``).
 
-    Keys are dealt to the files by the manifest's ranges and looked up by the perfect hash; a key
-    that was not stored gives no row, but for one in 2^32 whose fingerprint agrees.
+    Keys are dealt to the files by the manifest's ranges (a key of several files to each of them) and looked up by the
+    perfect hash; a key that was not stored gives no row, but for one in 2^32 whose fingerprint agrees.
     """
     spark = keys.sparkSession
     files = spark.read.parquet(posixpath.join(folder, "manifest")).orderBy("shard").collect()   # one row per file
     ranged = [r for r in files if r["last_key"] is not None]
-    lows, lasts = [r["first_key"] for r in ranged], [r["last_key"] for r in ranged]
-    cuts = "array(" + ",".join(f"{x}L" for x in lows) + ")" if lows else "array(cast(null as bigint))"
+    skip = len(files) - len(ranged)                    # files of null keys alone come first
+    cuts = "array(" + ",".join(f"{r['first_key']}L" for r in ranged) + ")" if ranged else "cast(array() as array<bigint>)"
+    null_files = "cast(array(" + ",".join(str(i) for i, r in enumerate(files) if r["nulls"]) + ") as array<int>)"
     wanted = keys.select(F.col(key_col).cast("long").alias("doc_id")).distinct()
-    place = F.when(F.col("doc_id").isNull(), F.lit(0)).otherwise(F.expr(f"size(filter({cuts}, b -> doc_id >= b)) - 1")).cast("int")
-    n = max(1, len(ranged))
+    # files that begin with the key, else the last one that begins below it
+    below, upto = f"size(filter({cuts}, b -> b < doc_id))", f"size(filter({cuts}, b -> b <= doc_id))"
+    places = F.expr(f"""CASE WHEN doc_id IS NULL THEN {null_files} WHEN {upto} = 0 THEN cast(array() as array<int>)
+                        WHEN {below} < {upto} THEN sequence({skip} + {below}, {skip} + {upto} - 1) ELSE array({skip} + {upto} - 1) END""")
+    n = max(1, len(files))
     before = {r["shard"]: r["before"] for r in files}
     fields = "doc_id long, start long, n_tokens long, ids_crc32 long" + (", ids array<int>" if payload else "")
     names = [f.split()[0] for f in fields.split(", ")]
-    shard_of, null_files = [r["shard"] for r in ranged], [r["shard"] for r in files if r["nulls"]]
+    numbers = [r["shard"] for r in files]
     types = [pa.int64()] * 4 + [pa.list_(pa.int32())] * payload
 
     def run(batches):
@@ -271,31 +307,27 @@ def lookup(keys: DataFrame, folder: str, key_col: str = "doc_id", payload: bool
         def batch(rows):
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types, strict=True)], names=names)
 
-        for b in batches:
-            out = []
-            if b.column("doc_id").null_count:
-                for s in null_files:
-                    out += [row(None, s, r) for r in range(reader(s).head["nulls"])]
-            keys_ = pc.drop_null(b.column("doc_id")).to_numpy(zero_copy_only=False).astype(np.int64)
-            where = np.array([bisect_right(lows, k) - 1 for k in keys_.tolist()], np.int64)
-            for p in np.unique(where[where >= 0]):
-                own = np.sort(keys_[where == p])
-                own = own[own <= lasts[p]]
-                first, count = reader(shard_of[p]).find(own)
+        def found(b):
+            places_, keys_ = b.column("place").to_numpy(), b.column("doc_id")
+            for p in np.unique(places_):
+                own, shard = keys_.filter(pa.array(places_ == p)), numbers[p]
+                if own.null_count:
+                    yield from ((None, shard, r) for r in range(reader(shard).head["nulls"]))
+                own = pc.drop_null(own).to_numpy(zero_copy_only=False).astype(np.int64)
+                first, count = reader(shard).find(own)
                 for k, a, c in zip(own.tolist(), first.tolist(), count.tolist(), strict=True):
-                    for r in range(a, a + c):
-                        out.append(row(k, shard_of[p], r))
-                        if payload and len(out) >= 1000:
-                            yield batch(out)
-                            out = []
-            if out:
+                    yield from ((k, shard, r) for r in range(a, a + c))
+
+        for b in batches:
+            hits = found(b)
+            while out := [row(*x) for x in islice(hits, 1000)]:
                 yield batch(out)
 
-    return (wanted.withColumn("place", place).filter("place >= 0").repartitionById(n, F.col("place"))
-            .sortWithinPartitions("place", "doc_id").select("doc_id").mapInArrow(run, fields))
+    return (wanted.select(F.explode(places).alias("place"), "doc_id").repartitionById(n, F.col("place"))
+            .sortWithinPartitions("place", "doc_id").mapInArrow(run, fields))
 
 
-def token_file_digest(docs: DataFrame, folder: str, shards: int, tokenizer: str | None = None, end_id: int = 1) -> DataFrame:
+def token_file_digest(docs: DataFrame, folder: str, shards: int | None = None, tokenizer: str | None = None, end_id: int = 1) -> DataFrame:
     """Write ``docs`` as id shards and read every document back by its key."""
     d = id_text(docs)
     write_shards(d, folder, shards, tokenizer, end_id)

@@ -58,6 +58,27 @@ def test_shards_round_trip(spark, plain, shards):
     assert sorted(got, key=repr) == sorted(want, key=repr)
 
 
+@pytest.mark.parametrize("hot", [7, None, -1, 10**6])
+def test_a_hot_key_fills_files_of_its_own(spark, plain, hot):
+    rows = [(i, f"own text {i}") for i in range(300)] + [(hot, f"hot text {i}") for i in range(300)] + [(7, "x"), (None, "n")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    folder = scratch_path(spark, "ids")
+    files = token_index.write_shards(df, folder, 10).orderBy("shard").collect()
+    alone = [r for r in files if (r.nulls == r.rows if hot is None else r.first_key == r.last_key == hot)]
+    assert len(alone) >= 3 and max(r.rows for r in files) < 200 and sum(r.rows for r in files) == len(rows)
+    spans = [(r.first_key, r.last_key) for r in files if r.first_key is not None]
+    assert spans == sorted(spans) and all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
+    got = token_index.lookup(df.select("doc_id"), folder, payload=True).collect()
+    key = lambda r: (r[0] is not None, r[0] or 0, r[1])
+    assert sorted(((r.doc_id, list(r.ids)) for r in got), key=key) == sorted(((i, plain(t)) for i, t in rows), key=key)
+    at = 0
+    for r in sorted(got, key=lambda r: r.start):              # no gap, no overlap, keys in order
+        assert r.start == at
+        at += r.n_tokens
+    in_order = [(r.doc_id is not None, r.doc_id or 0) for r in sorted(got, key=lambda r: r.start)]
+    assert in_order == sorted(in_order)
+
+
 def test_lookup_reads_only_what_is_asked(spark, plain):
     folder = scratch_path(spark, "ids")
     df = spark.createDataFrame([(i, f"some words {i}") for i in range(0, 200, 2)], "doc_id long, text string")
