@@ -288,7 +288,8 @@ class InvertedFile:
                     np.add.at(total, own, x)
                     count += np.bincount(own, minlength=len(centers))
             c = np.flatnonzero(count)
-            yield pd.DataFrame({"cell": c.astype(np.int32), "n": count[c], "s": list(total[c])})
+            if len(c):                                      # a task without rows has no sums (and Arrow no type for them)
+                yield pd.DataFrame({"cell": c.astype(np.int32), "n": count[c], "s": list(total[c])})
 
         per = (rows.select("__v").mapInPandas(sums, "cell int, n long, s array<double>")
                .select("cell", "n", F.posexplode("s").alias("dim", "x")).groupBy("cell", "dim").agg(F.sum("n").alias("n"), F.sum("x").alias("x")))

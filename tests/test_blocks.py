@@ -54,6 +54,22 @@ def test_inverted_file_of_nothing(spark):
     assert V.knn_ivf(frame(spark, [("a", [1, 2])]), some.limit(0)).collect() == []
 
 
+def test_inverted_file_with_tasks_without_rows(spark):
+    """Splits of a file that hold no row group give tasks without rows; the rounds of the k-means take them."""
+    rng = np.random.default_rng(4)
+    rows = [(f"{i:03d}", rng.normal(size=4)) for i in range(200)]
+    queries = [(f"q{i}", rng.normal(size=4)) for i in range(5)]
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    for k in before:
+        spark.conf.set(k, "500")
+    try:
+        stored = frame(spark, rows).coalesce(1)
+        assert hits(V.knn_ivf(stored, frame(spark, queries, "query_id"), 5)) == brute(rows, queries, 5)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def test_tiled_similarity_is_whole_and_symmetric(spark, monkeypatch):
     monkeypatch.setattr(V, "TILE", 9)
     rng = np.random.default_rng(2)
