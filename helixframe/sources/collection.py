@@ -30,6 +30,7 @@ from helixframe.sources.versioned import add_text, highest, hadoop_path, read_te
 
 COLLECTION_SCHEMA = ("id string, document string, embedding array<double>, "
                      "metadata struct<year:int, journal:string, gene:string>")
+BROADCAST_HITS = 100_000   # hits (ids and distances) sent to every task; more are joined by a shuffle
 BUCKET_ROWS = 50_000   # rows per bucket to start with; four times as many before the rows are dealt anew
 
 
@@ -129,4 +130,10 @@ def query_text(spark: SparkSession, root: str, name: str, queries: DataFrame, k:
     from helixframe.operators import vectors as V
     texts = queries.select(F.col(query_id).cast("string").alias("query_id"), F.col(text_col).alias("__text"))
     vectors = V.embed_hashed(texts, "__text", "query_id") if encoder is None else V.embed_with(texts, "__text", encoder)
-    return V.knn_exact(open_collection(spark, root, name), vectors, k, extra=["document", "metadata"])
+    rows = open_collection(spark, root, name)
+    # documents stay out of the search: the hits, k a query, fetch theirs by id, which a collection holds once
+    hits = cut_lineage(V.knn_exact(rows.select("id", "embedding"), vectors, k))
+    if hits.count() <= BROADCAST_HITS:
+        hits = F.broadcast(hits)
+    found = rows.select(F.col("id").cast("string").alias("__id"), "document", "metadata")
+    return found.join(hits, F.col("__id").eqNullSafe(F.col("id"))).select("query_id", "rank", "id", "distance", "document", "metadata")

@@ -213,3 +213,33 @@ def test_lsh_neighbours_are_mostly_the_exact_ones(spark):
     q = spark.createDataFrame([(f"q{i}", list(map(float, v))) for i, v in enumerate(qs)], "query_id string, embedding array<double>")
     got = V.knn_lsh(stored, q, 1, num_tables=16)
     assert sum(r.id == f"{int(r.query_id[1:]):03d}" for r in got.collect()) >= 18
+
+
+def test_documents_stay_out_of_the_text_search(spark, tmp_path, monkeypatch):
+    from helixframe.sources import collection as COL
+    meta = F.struct(F.lit(2020).alias("year"), F.lit("J").alias("journal"), F.lit(None).cast("string").alias("gene"))
+    texts = spark.createDataFrame([("1", "alpha beta"), ("2", "gamma delta"), ("3", "")], "id string, document string")
+    rows = V.embed_hashed(texts.withColumn("t", F.col("document")), "t", "id").withColumn("metadata", meta)
+    COL.upsert(spark, str(tmp_path), "c", rows)
+    seen, search = [], V.knn_exact
+
+    def watched(stored, *a, **kw):
+        seen.append(stored.columns)
+        return search(stored, *a, **kw)
+
+    monkeypatch.setattr(V, "knn_exact", watched)
+    q = spark.createDataFrame([("q1", "gamma delta"), ("q2", "beta alpha"), ("q3", "")], "query_id string, text string")
+    for most in (100_000, 0):
+        monkeypatch.setattr(COL, "BROADCAST_HITS", most)
+        got = {(r.query_id, r["rank"]): (r.id, r.document, r.metadata.year) for r in COL.query_text(spark, str(tmp_path), "c", q, 5).collect()}
+        assert got["q1", 1] == ("2", "gamma delta", 2020) and got["q2", 1] == ("1", "alpha beta", 2020)
+        assert sorted(got) == [("q1", 1), ("q1", 2), ("q2", 1), ("q2", 2)]
+    assert all(c == ["id", "embedding"] for c in seen)
+
+
+def test_a_search_encodes_each_text_once(spark):
+    texts = spark.createDataFrame([("1", "alpha beta"), ("2", None)], "k string, t string")
+    asked = spark.createDataFrame([("q", [1.0] * 64)], "query_id string, embedding array<double>")
+    found = V.knn_exact(V.embed_hashed(texts, "t", "k"), asked, 5, id_col="k")
+    assert found._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+    assert [r.id for r in found.collect()] == ["1"]
