@@ -26,7 +26,7 @@ def search_corpus(corpus: DataFrame, genes: DataFrame, disease: str = T.DEFAULT_
     A record matches a gene when the gene's word sequence (any length) occurs in the
     tokenised title or in the tokenised abstract (not across the two), the disease is one of its major topics,
     and the abstract is non-empty. A gene is cut into units: its word, or each pair of neighbouring words with its
-    offset. A record's distinct words and its pairs with their positions are equi-joined to the units; a
+    offset. A record's words and its pairs with their positions are equi-joined to the units; a
     gene of one unit is found by that alone, a longer phrase where all its units meet at one start (position less
     offset). No token array passes a shuffle. The
     per-gene cut is ``row_number() <= k``, which Spark plans with a
@@ -37,8 +37,13 @@ def search_corpus(corpus: DataFrame, genes: DataFrame, disease: str = T.DEFAULT_
     """
     docs = corpus.where(F.array_contains("mesh_major_topics", F.lit(disease)) & (F.length("abstract") > 0))
     docs = docs.select("pmid", "year", F.xxhash64("title", "abstract").alias("rec"), *[F.coalesce(T.word_tokens(c), F.array()).alias(c) for c in ("title", "abstract")])
-    words = F.transform(F.array_distinct(F.concat("title", "abstract")), lambda t: _unit(t, -1, -1))
-    cand = docs.select("pmid", "year", "rec", F.explode(F.concat(words, *[_pairs(F.col(c), i) for i, c in enumerate(("title", "abstract"))])).alias("u"))
+    # title, a gap, abstract: each word with the one after it, so that units are made row by row
+    docs = docs.select("pmid", "year", "rec", F.size("title").alias("gap"), F.concat("title", F.array(F.lit(None).cast("string")), "abstract").alias("a"))
+    docs = docs.withColumn("b", F.slice("a", 2, F.size("a")))
+    w = docs.select("pmid", "year", "rec", "gap", F.posexplode(F.arrays_zip("a", "b")).alias("p", "w")).where(F.col("w.a").isNotNull())
+    late = F.col("p") > F.col("gap")
+    pair = F.when(F.col("w.b").isNotNull(), _unit(F.concat("w.a", F.lit(" "), "w.b"), late.cast("int"), F.col("p") - F.when(late, F.col("gap") + 1).otherwise(0)))
+    cand = w.select("pmid", "year", "rec", F.explode(F.array(_unit(F.col("w.a"), -1, -1), pair)).alias("u"))
     q = genes.select("gene", "gene_ord", T.word_tokens("gene").alias("gtok")).where(F.size("gtok") > 0)
     one = F.size("gtok") == 1
     q = q.select("gene", "gene_ord", F.greatest(F.size("gtok") - 1, F.lit(1)).alias("units"),
@@ -58,9 +63,9 @@ def search_corpus(corpus: DataFrame, genes: DataFrame, disease: str = T.DEFAULT_
             .select("gene", "gene_ord", "hit_ord", "pmid"))
 
 
-def _unit(text: Column, field: int, pos) -> Column:
-    pos = F.lit(pos) if isinstance(pos, int) else pos
-    return F.struct(text.alias("unit"), F.lit(field).alias("field"), pos.cast("int").alias("pos"))
+def _unit(text: Column, field, pos) -> Column:
+    pos, field = (F.lit(x) if isinstance(x, int) else x for x in (pos, field))
+    return F.struct(text.alias("unit"), field.alias("field"), pos.cast("int").alias("pos"))
 
 
 def _pairs(tokens: Column, field: int) -> Column:

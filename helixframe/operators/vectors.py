@@ -179,9 +179,9 @@ def _topk_kernel(qids: np.ndarray, qmat: np.ndarray, k: int, id_col: str, vec_co
 
 
 def _sides(stored: DataFrame, queries: DataFrame, id_col: str, vec_col: str, query_id: str, query_vec: str, extra: list[str]):
-    """(id, vector, extras) of the stored rows and (query, vector) of the queries that have a vector."""
-    s = stored.select(F.col(id_col).cast("string").alias("__id"), VF.as_double(vec_col).alias("__v"), *extra).where("__v IS NOT NULL")
-    q = queries.select(F.col(query_id).cast("string").alias("__q"), VF.as_double(query_vec).alias("__qv")).where("__qv IS NOT NULL")
+    """(id, vector, extras) of the stored rows and (query, vector) of the queries, rows without a vector too."""
+    s = stored.select(F.col(id_col).cast("string").alias("__id"), VF.as_double(vec_col).alias("__v"), *extra)
+    q = queries.select(F.col(query_id).cast("string").alias("__q"), VF.as_double(query_vec).alias("__qv"))
     return s, q
 
 
@@ -217,13 +217,15 @@ def knn_exact(stored: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "
     extra = extra or []
     s, q = _sides(stored, queries, id_col, vec_col, query_id, query_vec, extra)
     spark = stored.sparkSession
-    n_rows, n_queries = s.count(), q.count()
+    # counted before the vectors are made: rows without one only make blocks smaller
+    n_rows, n_queries = stored.count(), queries.count()
     blocks = max(1, -(-n_rows // STORED_BLOCK), min(spark.sparkContext.defaultParallelism, n_rows // ROW_BLOCK))
     asked = max(1, -(-n_queries // QUERY_BLOCK))
     number = F.monotonically_increasing_id()
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    s = s.withColumn("__r", F.pmod(number, F.lit(blocks)).cast("int")).withColumn("__b", every(asked))
-    q = q.withColumn("__b", F.pmod(number, F.lit(asked)).cast("int")).withColumn("__r", every(blocks))
+    # the rows' number stands between the encoder and the test for a vector: before it, the test would encode each text again
+    s = s.withColumn("__r", F.pmod(number, F.lit(blocks)).cast("int")).where("__v IS NOT NULL").withColumn("__b", every(asked))
+    q = q.withColumn("__b", F.pmod(number, F.lit(asked)).cast("int")).where("__qv IS NOT NULL").withColumn("__r", every(blocks))
     return _ranked(_score_units(s, q, ["__r", "__b"], k, extra), k, extra)
 
 

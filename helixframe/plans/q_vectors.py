@@ -11,6 +11,7 @@ from helixframe.operators import corpus as C
 from helixframe.operators import vectors as V
 from helixframe.plans import adapters as A
 from helixframe.plans.oracle import cte
+from helixframe.session import cut_lineage
 
 Q: dict = {}
 
@@ -191,11 +192,13 @@ def _ablation_sides(spark, d):
     q = benchmark_queries(spark, d)
     flat = C.flatten_hits(C.search_corpus(A.corpus_records(spark, d), A.search_terms(spark, d)),
                           A.corpus_records(spark, d))
-    genes = C.dedup_records(flat).select("pmid", F.col("genes").alias("gene"))
+    # found once for both sides; the hits of a side fetch their genes, not the collection
+    genes = cut_lineage(C.dedup_records(flat).select(F.col("pmid").alias("__p"), F.col("genes").alias("gene")))
     sides = []
     for builder in (T.text_base, T.text_with_mesh):
-        coll = corpus_vectors(spark, d, builder).join(genes, "pmid", "left")
-        sides.append(V.knn_exact(coll, q, 5, id_col="pmid", extra=["gene"]).withColumnRenamed("pmid", "id"))
+        coll = corpus_vectors(spark, d, builder)
+        hits = V.knn_exact(coll, q, 5, id_col="pmid")
+        sides.append(hits.join(genes, F.col("id") == F.col("__p"), "left").drop("__p"))
     return sides
 
 
