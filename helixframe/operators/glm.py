@@ -29,6 +29,8 @@ MIN_DISP = 1e-8
 MIN_MU = 0.5
 RIDGE = 1e-6
 MAX_IT = 50
+FIXED_POINT = 1e-13         # a coefficient that moves less in a round has settled
+GENES_AT_ONCE = 1_024
 LN2 = math.log(2.0)
 
 
@@ -72,6 +74,9 @@ class Design:
         self.A = np.asarray(A, dtype=np.float64)
         self.block = np.zeros(len(self.A), dtype=np.int64) if block is None else np.asarray(block, dtype=np.int64)
         self.n_blocks, self.names = n_blocks, names or []
+        # a few blocks: their sums as one matrix product
+        self.member = (self.block[:, None] == np.arange(1, n_blocks + 1)).astype(np.float64) if 0 < n_blocks <= 32 else None
+        self.cross = None if self.member is None else (self.member[:, :, None] * self.A[:, None, :]).reshape(len(self.A), -1)
         self.order = np.argsort(self.block, kind="stable")
         self.starts = np.searchsorted(self.block[self.order], np.arange(n_blocks + 1))
         if n_blocks and len(np.unique(self.block)) != n_blocks + 1:
@@ -85,6 +90,8 @@ class Design:
         """Sums of the columns of ``v`` (G, m) over the samples of every block but the reference: (G, n_blocks)."""
         if not self.n_blocks:
             return np.zeros((len(v), 0))
+        if self.member is not None:
+            return v @ self.member
         return np.add.reduceat(v[:, self.order], self.starts, axis=1)[:, 1:]
 
     def full_rank(self) -> bool:
@@ -137,7 +144,8 @@ class Normal:
         self.inv = 1.0 / np.maximum(self.diag, 1e-300)
         self.pull = np.zeros((len(w), D.n_blocks, q))
         if D.n_blocks:
-            rows = np.stack([D.by_block(w * D.A[:, k]) for k in range(q)], axis=2)
+            rows = (np.stack([D.by_block(w * D.A[:, k]) for k in range(q)], axis=2) if D.cross is None
+                    else (w @ D.cross).reshape(len(w), D.n_blocks, q))
             self.pull = rows * self.inv[:, :, None]
             self.schur = self.schur - np.einsum("gbk,gbl->gkl", rows, self.pull)
 
@@ -148,7 +156,11 @@ class Normal:
         return np.concatenate([top, vb * self.inv - np.einsum("gbk,gk->gb", self.pull, top)], axis=1)
 
     def logdet(self) -> np.ndarray:
-        return np.linalg.slogdet(self.schur)[1] + np.log(np.maximum(self.diag, 1e-300)).sum(axis=1)
+        return _logdet(self.schur) + np.log(np.maximum(self.diag, 1e-300)).sum(axis=1)
+
+    @staticmethod
+    def logdet_of(w: np.ndarray, D: Design) -> np.ndarray:
+        return Normal(w, D, 0.0).logdet()
 
     def leverage(self, D: Design, cov: np.ndarray) -> np.ndarray:
         """x_j' (X'WX)^-1 x_j of every gene and sample, ``cov`` being the inverse of ``schur``."""
@@ -169,21 +181,25 @@ def _irls_normal(Y: np.ndarray, D: Design, s: np.ndarray, alpha: np.ndarray):
     # start: least squares on log normalised counts
     z0 = np.log((Y + 0.5) / s[None, :])
     beta = Normal(np.ones((1, Y.shape[1])), D, RIDGE).solve(D, z0)
-    dev_old = np.full(len(Y), np.inf)
-    conv = np.zeros(len(Y), bool)
-    a = alpha[:, None]
+    mean = lambda b: np.maximum(np.exp(np.clip(_predict(b, D) + logs, -30, 30)), MIN_MU)
+    mu, conv = mean(beta), np.zeros(len(Y), bool)
+    # genes still moving: the others stand at their fixed point, where a round gives the same coefficients again
+    live, y, m, a, b = np.arange(len(Y)), Y, mu, alpha[:, None], beta
+    fixed, dev_old = _nb_constant(Y, alpha), np.full(len(Y), np.inf)
     for _ in range(MAX_IT):
-        mu = np.maximum(np.exp(np.clip(_predict(beta, D) + logs, -30, 30)), MIN_MU)
-        w = mu / (1.0 + a * mu)
-        z = np.log(mu) - logs + (Y - mu) / mu
-        beta = Normal(w, D, RIDGE).solve(D, w * z)
-        mu = np.maximum(np.exp(np.clip(_predict(beta, D) + logs, -30, 30)), MIN_MU)
-        dev = -2.0 * _nb_loglik(Y, mu, alpha)
-        conv = np.abs(dev - dev_old) / (np.abs(dev) + 0.1) < 1e-8
-        dev_old = dev
+        w = m / (1.0 + a * m)
+        b_old, b = b, Normal(w, D, RIDGE).solve(D, w * (np.log(m) - logs + (y - m) / m))
+        m = mean(b)
+        dev = -2.0 * (fixed + _nb_in_mu(y, m, a))
+        still = np.abs(dev - dev_old) / (np.abs(dev) + 0.1) < 1e-8
+        beta[live], mu[live], conv[live] = b, m, still
         if conv.all():
             break
-    return beta, Normal(mu / (1.0 + a * mu), D, RIDGE), mu, conv
+        move = ~still | (np.abs(b - b_old).max(axis=1) > FIXED_POINT)
+        dev_old = dev
+        if not move.all():
+            live, y, m, a, b, fixed, dev_old = live[move], y[move], m[move], a[move], b[move], fixed[move], dev[move]
+    return beta, Normal(mu / (1.0 + alpha[:, None] * mu), D, RIDGE), mu, conv
 
 
 def _irls(Y: np.ndarray, X, s: np.ndarray, alpha: np.ndarray):
@@ -198,34 +214,81 @@ def _gram(w: np.ndarray, X: np.ndarray) -> np.ndarray:
     return (w @ (X[:, :, None] * X[:, None, :]).reshape(m, p * p)).reshape(-1, p, p)
 
 
+def _nb_constant(Y, alpha):
+    """The part of each gene's log-likelihood that no mean changes."""
+    r = 1.0 / np.maximum(alpha, MIN_DISP)[:, None]
+    return (lgamma_np(Y + r) - lgamma_np(r) - lgamma_np(Y + 1)).sum(axis=1)
+
+
+def _nb_in_mu(Y, mu, a):
+    """The rest of it, ``a`` (G, 1) being the dispersions."""
+    a = np.maximum(a, MIN_DISP)
+    am = a * mu
+    return (Y * np.log(am) - (Y + 1.0 / a) * np.log1p(am)).sum(axis=1)
+
+
 def _nb_loglik(Y, mu, alpha):
-    a = np.maximum(alpha, MIN_DISP)[:, None]
-    r = 1.0 / a
-    return (lgamma_np(Y + r) - lgamma_np(r) - lgamma_np(Y + 1) - (Y + r) * np.log1p(a * mu)
-            + Y * np.log(a * mu)).sum(axis=1)
+    return _nb_constant(Y, alpha) + _nb_in_mu(Y, mu, alpha[:, None])
+
+
+def _logdet(S: np.ndarray) -> np.ndarray:
+    """Log-determinants of positive definite matrices (G, q, q), eliminated column by column for all genes at once."""
+    q = S.shape[1]
+    if q > 8:
+        return np.linalg.slogdet(S)[1]
+    rows = [[S[:, i, j] for j in range(q)] for i in range(q)]
+    det = np.zeros(len(S))
+    for k in range(q):
+        pivot = np.maximum(np.abs(rows[k][k]), 1e-300)
+        det = det + np.log(pivot)
+        for i in range(k + 1, q):
+            f = rows[i][k] / pivot
+            for j in range(k + 1, q):
+                rows[i][j] = rows[i][j] - f * rows[k][j]
+    return det
+
+
+class CoxReid:
+    """Cox-Reid adjusted profile log-likelihoods of a batch of genes, less the term in Y alone, which no alpha changes.
+    What does not depend on alpha is computed once: sums over a gene's samples, the different counts of the batch."""
+
+    def __init__(self, Y, mu, X):
+        self.Y, self.mu, self.D, self.m = Y, mu, as_design(X), Y.shape[1]
+        self.total, self.log_mu = Y.sum(axis=1), (Y * np.log(mu)).sum(axis=1)
+        self.counts, self.place = np.unique(Y, return_inverse=True)
+        self.place = self.place.reshape(Y.shape)
+
+    def __call__(self, log_alpha):
+        """At each gene's own log alpha (G,), or at one for all (a number)."""
+        al = np.exp(log_alpha)
+        a = np.maximum(al, MIN_DISP)
+        r, ac = 1.0 / a, np.reshape(a, (-1, 1))
+        gammas = lgamma_np(self.counts + r)[self.place] if np.ndim(a) == 0 else lgamma_np(self.Y + r[:, None])
+        log1p = np.log1p(ac * self.mu)
+        ll = (gammas - (self.Y + 1.0 / ac) * log1p).sum(axis=1) - self.m * lgamma_np(r) + self.log_mu + self.total * np.log(a)
+        return ll - 0.5 * Normal.logdet_of(self.mu / (1.0 + np.reshape(al, (-1, 1)) * self.mu), self.D)
 
 
 def _cr_loglik(Y, mu, X, log_alpha):
-    """Cox-Reid adjusted profile log-likelihood of each gene at its own log_alpha (G,), less the
-    term in Y alone, which no alpha changes."""
-    al = np.exp(log_alpha)
-    a = np.maximum(al, MIN_DISP)[:, None]
-    r = 1.0 / a
-    ll = (lgamma_np(Y + r) - lgamma_np(r) - (Y + r) * np.log1p(a * mu) + Y * np.log(a * mu)).sum(axis=1)
-    return ll - 0.5 * Normal(mu / (1.0 + al[:, None] * mu), as_design(X), 0.0).logdet()
+    return CoxReid(Y, mu, X)(log_alpha)
 
 
 def _maximise(Y, mu, X, lo, hi, prior_mean=None, prior_var=None, coarse: int = 17, steps: int = 20):
     """Maximum of the (penalised) Cox-Reid likelihood in log alpha: a coarse grid brackets it, golden
-    sections close in on all genes at once (to about 2e-4; 37 evaluations)."""
-    G = Y.shape[0]
+    sections close in on all genes at once (to about 2e-4; 37 evaluations). More than GENES_AT_ONCE are taken in turn,
+    so that the arrays of an evaluation stay in the processor's cache."""
+    if len(Y) > GENES_AT_ONCE:
+        X, at = as_design(X), lambda v, i: v[i:i + GENES_AT_ONCE] if np.ndim(v) else v
+        return np.concatenate([_maximise(at(Y, i), at(mu, i), X, lo, hi, at(prior_mean, i), at(prior_var, i), coarse, steps)
+                               for i in range(0, len(Y), GENES_AT_ONCE)])
+    likelihood = CoxReid(Y, mu, X)
 
     def obj(la):
-        v = _cr_loglik(Y, mu, X, la)
+        v = likelihood(la)
         return v if prior_mean is None else v - (la - prior_mean) ** 2 / (2.0 * prior_var)
 
     grid = np.linspace(lo, hi, coarse)
-    best = grid[np.argmax(np.stack([obj(np.full(G, x)) for x in grid], axis=1), axis=1)]
+    best = grid[np.argmax(np.stack([obj(x) for x in grid], axis=1), axis=1)]
     left, right = np.maximum(best - (grid[1] - grid[0]), lo), np.minimum(best + (grid[1] - grid[0]), hi)
     k = (math.sqrt(5) - 1) / 2
     x1, x2 = right - k * (right - left), left + k * (right - left)

@@ -36,6 +36,16 @@ def size_factors(counts: DataFrame, n_samples: int, gene: str = "gene_id", sampl
     return ratios.groupBy(sample).agg(F.exp(F.percentile_approx("r", 0.5, 100_000)).alias("size_factor"))
 
 
+def vector_size_factors(gene_vec: DataFrame, n_samples: int) -> DataFrame:
+    """D1 on gene arrays: (sample_idx, size_factor), as :func:`size_factors` of the long table they were made from. A gene's
+    ratios come from its own array, so the only shuffle is that of the medians."""
+    from helixframe.operators.stats import exact_median
+    pos = gene_vec.where(F.array_min("y") > 0).select(F.transform("y", lambda v: F.ln(v)).alias("__l"))
+    lgm = F.aggregate("__l", F.lit(0.0), lambda a, x: a + x) / F.lit(float(n_samples))
+    ratios = pos.withColumn("__g", lgm).select("__g", F.posexplode("__l").alias("sample_idx", "lv")).select("sample_idx", (F.col("lv") - F.col("__g")).alias("r"))
+    return exact_median(ratios, "r", "sample_idx").select("sample_idx", F.exp("r").alias("size_factor"))
+
+
 def normalized_counts(counts: DataFrame, sf: DataFrame, sample: str = "sample_id",
                       value: str = "count") -> DataFrame:
     """Long normalised counts ``y / s`` (null for a sample without a size factor). The planner broadcasts the

@@ -153,16 +153,22 @@ def with_sample_array(df: DataFrame, name: str, values: list, ddl: str = "array<
 
 
 def gene_vectors(counts: DataFrame, samples: DataFrame, n_samples: int, gene: str = "gene_id",
-                 sample: str = "sample_id", value: str = "count") -> DataFrame:
+                 sample: str = "sample_id", value: str = "count", min_total: int | None = None) -> DataFrame:
     """Gene-major arrays: (gene_id, y array<double>) with y[sample_idx], zeros filled.
 
     One shuffle by gene; every sample's cell lands in its fixed slot, so a
     sparse long table densifies inside the array and never as a genes x
-    samples exploded table. Each group holds at most ``n_samples`` values.
+    samples exploded table. Each group holds at most ``n_samples`` values. With ``min_total`` the genes are those of
+    :func:`keep_genes`, whose total is summed in the same group.
     """
     s = samples.select(F.col(sample).alias("__s"), "sample_idx")
-    cells = counts.join(s, counts[sample] == s["__s"]).select(gene, "sample_idx", F.col(value).cast("double").alias("v"))
-    g = cells.groupBy(gene).agg(F.map_from_entries(F.collect_list(F.struct("sample_idx", "v"))).alias("__m"))
+    if min_total is not None:
+        counts = counts.where(F.col(gene).isNotNull())
+    cells = counts.join(s, counts[sample] == s["__s"]).select(gene, "sample_idx", F.col(value).alias("v"))
+    g = cells.groupBy(gene).agg(F.collect_list(F.struct("sample_idx", F.col("v").cast("double").alias("v"))).alias("__l"), F.sum("v").alias("__total"))
+    if min_total is not None:
+        g = g.where(F.col("__total") >= min_total)
+    g = g.select(gene, F.map_from_entries("__l").alias("__m"))
     return g.select(gene, F.transform(F.sequence(F.lit(0), F.lit(n_samples - 1)),
                                       lambda i: F.coalesce(F.try_element_at("__m", i), F.lit(0.0))).alias("y"))
 

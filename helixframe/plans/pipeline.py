@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from helixframe.operators import normalize as N
 from helixframe.operators import reshape as R
 from helixframe.plans import adapters as A
+from helixframe.session import cut_lineage
 
 
 @dataclass
@@ -41,13 +42,14 @@ def expression_inputs(spark: SparkSession, d: str, min_total: int = 10) -> Expre
     qc = A.qc_table(spark, d, cells).withColumnRenamed("external_id", "sample_id")
     R.assert_aligned(R.check_alignment(counts, samples, qc))
     counts, samples = R.keep_samples(counts, samples, "condition")
-    kept = R.keep_genes(counts, min_total)
-    sf = N.size_factors(kept, n)
-    by_id = {r["sample_id"]: r["size_factor"] for r in sf.collect()}
-    if len(by_id) != n:
+    # the gene arrays are made once, written, and read by the size factors and every model job
+    gv = cut_lineage(R.gene_vectors(counts, samples, n, min_total=min_total))
+    by_idx = {r["sample_idx"]: r["size_factor"] for r in N.vector_size_factors(gv, n).collect()}
+    if len(by_idx) != n:
         raise ValueError("size factors need at least one gene with a positive count in every sample")
-    sf_array = [float(by_id[r["sample_id"]]) for r in design]
-    gv = R.gene_vectors(kept, samples, n)
+    sf_array = [float(by_idx[r["sample_idx"]]) for r in design]
+    kept = R.keep_genes(counts, min_total)
+    sf = spark.createDataFrame([(r["sample_id"], s) for r, s in zip(design, sf_array)], "sample_id string, size_factor double")
     return ExpressionInputs(kept, samples, n, sf, sf_array, gv, design)
 
 
@@ -81,7 +83,6 @@ def deseq(ctx: ExpressionInputs, factors: list[str], ref: dict | None = None) ->
     before = spark.conf.get(key, None)
     spark.conf.set(key, str(max(64, min(10_000, 2_000_000 // X.shape[0]))))
     try:
-        from helixframe.session import cut_lineage
         disp = cut_lineage(G.genewise_dispersion(ctx.gene_vec, X, ctx.sf_array))
         trend = G.dispersion_trend(disp)
         prior = G.dispersion_prior(disp, trend, X.shape[0], X.shape[1])

@@ -195,3 +195,40 @@ def test_trend_falls_back_to_the_mean(spark):
     assert not same["parametric"] and abs(same["a0"] - 0.3) < 1e-12
     none = G.dispersion_trend(_trend_frame(spark, np.array([10.0]), np.array([0.2])).where(F.col("alpha_gw") > 1))
     assert not none["parametric"] and none["n_genes"] == 0 and math.isnan(none["a0"])
+
+
+def test_settled_genes_leave_the_fit(monkeypatch):
+    """Genes at their fixed point are not fitted again while slower ones go on; their results stay those of the whole run."""
+    rng = np.random.default_rng(3)
+    X = np.column_stack([np.ones(12), np.tile([0.0, 1.0], 6), np.arange(12) % 3 == 0, np.arange(12) / 12.0])
+    Y = rng.negative_binomial(4, 0.05, size=(200, 12)).astype(float)
+    Y[:3] = 0
+    Y[:3, 5] = 4000                                                           # slow: one sample has all
+    s, alpha, sizes, whole = np.exp(rng.normal(0, 0.3, 12)), np.full(200, 0.25), [], G.Normal
+
+    class Counted(whole):
+        def __init__(self, w, *a):
+            sizes.append(len(w))
+            super().__init__(w, *a)
+
+    monkeypatch.setattr(G, "Normal", Counted)
+    beta, _, mu, _ = G._irls_normal(Y, G.as_design(X), s, alpha)
+    rounds = sizes[1:-1]
+    assert len(rounds) > 6 and sum(rounds) < 0.8 * 200 * len(rounds)
+    monkeypatch.setattr(G, "FIXED_POINT", -1.0)
+    beta_all, _, mu_all, _ = G._irls_normal(Y, G.as_design(X), s, alpha)
+    assert np.allclose(beta, beta_all, rtol=1e-9, atol=1e-11) and np.allclose(mu, mu_all, rtol=1e-9)
+
+
+def test_gene_arrays_are_made_once(spark, tmp_path):
+    """The arrays that the size factors and the model jobs read are a written table, and agree with the long form."""
+    from conftest import SF001
+    from helixframe.operators import normalize as N
+    from helixframe.operators import reshape as R
+    from helixframe.plans.pipeline import expression_inputs
+    ctx = expression_inputs(spark, SF001)
+    assert "Exchange" not in ctx.gene_vec._jdf.queryExecution().executedPlan().toString()
+    long = {r.sample_id: r.size_factor for r in N.size_factors(ctx.counts, ctx.n_samples).collect()}
+    assert np.allclose([long[r["sample_id"]] for r in ctx.design], ctx.sf_array, rtol=1e-12)
+    want = {r.gene_id: r.y for r in R.gene_vectors(ctx.counts, ctx.samples, ctx.n_samples).collect()}
+    assert {r.gene_id: r.y for r in ctx.gene_vec.collect()} == want
